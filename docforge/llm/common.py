@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -22,6 +23,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="docforge-"))
 
 
+def widened(schema: T.StructType, ddl: str) -> T.StructType:
+    """``schema`` followed by the fields of ``ddl``."""
+    return T.StructType([*schema.fields, *T.StructType.fromDDL(ddl).fields])
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Materialise in the shared checkpoint folder, so that lost executors cost no recomputation of the lineage."""
     ensure_checkpoint_dir(df.sparkSession)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docforge.llm import simhash, urlfilter
+from docforge.llm import decontam, langid, simhash, urlfilter
 
 #: Fixed values of the registered URL filter.
 URL_RULES = [
@@ -51,8 +51,25 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.lower(F.lpad(F.hex("f0"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's predicted language under byte context trees learnt from the documents that are not held out."""
+    out = langid.identify(read(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
+    return out.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's words, hit words and the benchmark items whose windows it holds."""
+    out = decontam.scan(read(spark, sf_dir, "documents").select("doc_id", "text"), read(spark, sf_dir, "benchmark"))
+    c = F.col("contamination")
+    return out.select(
+        "doc_id", c["n_words"].alias("n_words"), c["n_hit"].alias("n_hit"), F.size(c["items"]).cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", c["items"]).cast("binary"), 256).alias("items_sha256"),
+        ((c["n_hit"] > 0) & (20 * c["n_hit"] >= c["n_words"])).alias("contaminated"),
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_url_filters": op1_url_filters, "op5_simhash": op5_simhash}
+    return {"op1_url_filters": op1_url_filters, "op5_simhash": op5_simhash, "op6_language_id": op6_language_id, "op10_decontamination": op10_decontamination}
 
 
 def oracle_sql() -> dict[str, str]:
