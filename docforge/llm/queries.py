@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docforge.llm import decontam, langid, simhash, urlfilter
+from docforge.llm import decontam, langid, simhash, substring, urlfilter
 
 #: Fixed values of the registered URL filter.
 URL_RULES = [
@@ -45,6 +45,12 @@ SELECT page_id, host, path, rule_host || rule_path AS rule, coalesce(rule_verdic
 """
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's words, words removed as repeats of 13 words, and the digest of what is kept."""
+    out = substring.remove_repeats(read(spark, sf_dir, "documents"), size=13)
+    return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's 3-word SimHash and the component of fingerprints within 3 bits."""
     out = simhash.near_duplicates(read(spark, sf_dir, "documents"), words=3, distance=3)
@@ -69,7 +75,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_url_filters": op1_url_filters, "op5_simhash": op5_simhash, "op6_language_id": op6_language_id, "op10_decontamination": op10_decontamination}
+    return {"op1_url_filters": op1_url_filters, "op3_substring_dedup": op3_substring_dedup, "op5_simhash": op5_simhash, "op6_language_id": op6_language_id, "op10_decontamination": op10_decontamination}
 
 
 def oracle_sql() -> dict[str, str]:
