@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docforge.llm import decontam, langid, simhash, substring, urlfilter
+from docforge.llm import decontam, langid, linededup, simhash, substring, urlfilter
 
 #: Fixed values of the registered URL filter.
 URL_RULES = [
@@ -63,6 +63,29 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's lines, lines removed as within one edit of an earlier line, and the digest of what is kept."""
+    out = linededup.dedupe_lines(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "n_lines", "n_removed", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
+OP7_SQL = """
+WITH lines AS (
+  SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS pos FROM documents
+), own AS (
+  SELECT *, length(line) AS n, row_number() OVER (ORDER BY doc_id, pos) AS r FROM lines
+), part AS (SELECT * FROM own WHERE n >= 20),
+gone AS (
+  SELECT DISTINCT a.r FROM part a JOIN part b ON b.r < a.r AND b.n BETWEEN a.n - 1 AND a.n + 1
+  WHERE CASE WHEN left(a.line, least(a.n, b.n) // 2) = left(b.line, least(a.n, b.n) // 2) OR right(a.line, least(a.n, b.n) // 2) = right(b.line, least(a.n, b.n) // 2)
+             THEN levenshtein(a.line, b.line) <= 1 ELSE false END
+)
+SELECT doc_id, count(*) AS n_lines, count(gone.r) AS n_removed,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (gone.r IS NULL), '')) AS kept_sha256
+FROM own LEFT JOIN gone ON own.r = gone.r GROUP BY doc_id
+"""
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's words, hit words and the benchmark items whose windows it holds."""
     out = decontam.scan(read(spark, sf_dir, "documents").select("doc_id", "text"), read(spark, sf_dir, "benchmark"))
@@ -75,8 +98,8 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_url_filters": op1_url_filters, "op3_substring_dedup": op3_substring_dedup, "op5_simhash": op5_simhash, "op6_language_id": op6_language_id, "op10_decontamination": op10_decontamination}
+    return {"op1_url_filters": op1_url_filters, "op3_substring_dedup": op3_substring_dedup, "op5_simhash": op5_simhash, "op6_language_id": op6_language_id, "op7_line_dedup": op7_line_dedup, "op10_decontamination": op10_decontamination}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_url_filters": OP1_SQL}
+    return {"op1_url_filters": OP1_SQL, "op7_line_dedup": OP7_SQL}
