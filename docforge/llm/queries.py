@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docforge.llm import decontam, langid, linededup, simhash, substring, urlfilter
+from docforge.llm import decontam, langid, linededup, mixing, simhash, substring, urlfilter
 
 #: Fixed values of the registered URL filter.
 URL_RULES = [
@@ -86,6 +86,45 @@ FROM own LEFT JOIN gone ON own.r = gone.r GROUP BY doc_id
 """
 
 
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's topic, tokens, raked weight, probability and whether it is sampled."""
+    out = mixing.mix(read(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang"))
+    return out.select("doc_id", "source", "lang", "topic", "tokens", F.round("weight", 6).alias("weight"), F.round("probability", 6).alias("probability"), "sampled")
+
+
+OP9_SQL = """
+WITH RECURSIVE docs AS (
+  SELECT doc_id, source, lang, coalesce(source, 'unknown') AS s, coalesce(lang, 'unknown') AS l,
+         CASE WHEN contains(text, 'icense') THEN 'licence' WHEN contains(text, '@') THEN 'contact' WHEN contains(text, ' | ') THEN 'tabular'
+              WHEN contains(text, 'http') THEN 'reference' ELSE 'general' END AS topic,
+         len(list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda w: w <> '')) AS tokens
+  FROM documents
+), cells AS (
+  SELECT s, l, topic, sum(tokens)::DOUBLE AS w FROM docs WHERE tokens > 0 GROUP BY ALL
+), ts AS (SELECT s, pow(sum(w), 0.5) AS p FROM cells GROUP BY s),
+tl AS (SELECT l, pow(sum(w), 0.5) AS p FROM cells GROUP BY l),
+tt AS (SELECT topic, pow(sum(w), 0.7) AS p FROM cells GROUP BY topic),
+start AS (
+  SELECT c.*, (SELECT sum(w) FROM cells) AS n, ts.p / (SELECT sum(p) FROM ts) AS gs, tl.p / (SELECT sum(p) FROM tl) AS gl, tt.p / (SELECT sum(p) FROM tt) AS gt
+  FROM cells c JOIN ts USING (s) JOIN tl USING (l) JOIN tt USING (topic)
+), ipf AS (
+  SELECT 0 AS i, *, 1.0::DOUBLE AS f FROM start
+  UNION ALL
+  SELECT i + 1, s, l, topic, w, n, gs, gl, gt, f * gt * n / sum(w * f) OVER (PARTITION BY topic) FROM (
+    SELECT * REPLACE (f * gl * n / sum(w * f) OVER (PARTITION BY l) AS f) FROM (
+      SELECT * REPLACE (f * gs * n / sum(w * f) OVER (PARTITION BY s) AS f) FROM ipf WHERE i < 25))
+), fit AS (SELECT * FROM ipf WHERE i = 25),
+rates AS (
+  SELECT 0 AS k, 0.5::DOUBLE AS rate
+  UNION ALL
+  SELECT k + 1, rate * (SELECT 0.5 * sum(w) FROM fit) / (SELECT sum(w * least(1.0, rate * f)) FROM fit) FROM rates WHERE k < 40
+), p AS (SELECT s, l, topic, f, least(1.0, (SELECT rate FROM rates WHERE k = 40) * f) AS p FROM fit)
+SELECT doc_id, source, lang, topic, tokens, round(coalesce(f, 0.0), 6) AS weight, round(coalesce(p, 0.0), 6) AS probability,
+       tokens > 0 AND ('0x' || substr(md5('17:' || coalesce(doc_id::VARCHAR, '')), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE < coalesce(p, 0.0) AS sampled
+FROM docs LEFT JOIN p USING (s, l, topic)
+"""
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's words, hit words and the benchmark items whose windows it holds."""
     out = decontam.scan(read(spark, sf_dir, "documents").select("doc_id", "text"), read(spark, sf_dir, "benchmark"))
@@ -98,8 +137,8 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_url_filters": op1_url_filters, "op3_substring_dedup": op3_substring_dedup, "op5_simhash": op5_simhash, "op6_language_id": op6_language_id, "op7_line_dedup": op7_line_dedup, "op10_decontamination": op10_decontamination}
+    return {"op1_url_filters": op1_url_filters, "op3_substring_dedup": op3_substring_dedup, "op5_simhash": op5_simhash, "op6_language_id": op6_language_id, "op7_line_dedup": op7_line_dedup, "op9_mixing": op9_mixing, "op10_decontamination": op10_decontamination}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_url_filters": OP1_SQL, "op7_line_dedup": OP7_SQL}
+    return {"op1_url_filters": OP1_SQL, "op7_line_dedup": OP7_SQL, "op9_mixing": OP9_SQL}
