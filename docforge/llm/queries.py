@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docforge.llm import decontam, langid, linededup, mixing, simhash, substring, urlfilter
+from docforge.llm import ann, decontam, langid, linededup, mixing, pii, simhash, substring, toxicity, urlfilter
+
+#: Key of the registered surrogates; a real run passes its own secret.
+PII_KEY = b"registered query"
 
 #: Fixed values of the registered URL filter.
 URL_RULES = [
@@ -45,12 +48,23 @@ SELECT page_id, host, path, rule_host || rule_path AS rule, coalesce(rule_verdic
 """
 
 
+def op2_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest found of every twentieth embedding among all others."""
+    return ann.search(read(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's words, words removed as repeats of 13 words, and the digest of what is kept."""
     out = substring.remove_repeats(read(spark, sf_dir, "documents"), size=13)
     return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op4_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's text with surrogates, and the entities that were replaced."""
+    out = pii.pseudonymise(read(spark, sf_dir, "documents").select("doc_id", "text"), PII_KEY)
+    return out.select("doc_id", "text", F.size("entities").cast("long").alias("n_entities"), "entities")
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's 3-word SimHash and the component of fingerprints within 3 bits."""
     out = simhash.near_duplicates(read(spark, sf_dir, "documents"), words=3, distance=3)
@@ -86,6 +100,12 @@ FROM own LEFT JOIN gone ON own.r = gone.r GROUP BY doc_id
 """
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's probability of being marked toxic."""
+    out = toxicity.toxicity(read(spark, sf_dir, "documents").select("doc_id", "text"), read(spark, sf_dir, "labels"))
+    return out.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's topic, tokens, raked weight, probability and whether it is sampled."""
     out = mixing.mix(read(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang"))
@@ -137,7 +157,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_url_filters": op1_url_filters, "op3_substring_dedup": op3_substring_dedup, "op5_simhash": op5_simhash, "op6_language_id": op6_language_id, "op7_line_dedup": op7_line_dedup, "op9_mixing": op9_mixing, "op10_decontamination": op10_decontamination}
+    return {"op1_url_filters": op1_url_filters, "op2_nearest_neighbours": op2_nearest_neighbours, "op3_substring_dedup": op3_substring_dedup, "op4_pii_surrogates": op4_pii_surrogates, "op5_simhash": op5_simhash, "op6_language_id": op6_language_id, "op7_line_dedup": op7_line_dedup, "op8_toxicity": op8_toxicity, "op9_mixing": op9_mixing, "op10_decontamination": op10_decontamination}
 
 
 def oracle_sql() -> dict[str, str]:
