@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -11,8 +12,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from docforge.session import ship
+
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
+#: Bits of the largest sketch that is broadcast: a million words.
+SKETCH_BITS = 1 << 26
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
 
@@ -34,17 +39,19 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str, setup: Callable[[], Callable] | None = None) -> DataFrame:
-    """Apply ``fn`` to each Arrow batch; ``setup`` builds it once in each task instead."""
+def written(df: DataFrame) -> DataFrame:
+    """Like ``cut``, as a Parquet table in the shared checkpoint folder: smaller for many rows. It stays with the folder."""
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    folder = f"{spark.sparkContext._jsc.sc().getCheckpointDir().get()}/table-{uuid.uuid4().hex}"
+    df.write.option("compression", "snappy").parquet(folder)
+    return spark.read.schema(df.schema).parquet(folder)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        f = setup() if setup else fn
-        for batch in batches:
-            out = f(batch)
-            if out is not None and out.num_rows:
-                yield out
 
-    return df.mapInArrow(run, schema)
+def map_arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str | T.StructType) -> DataFrame:
+    """``mapInArrow`` with this package at hand on the executors."""
+    ship(df.sparkSession)
+    return df.mapInArrow(fn, schema)
 
 
 def text_chunks(column: pa.Array, most: int = 1 << 20) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -69,6 +76,33 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def sketch(keys: DataFrame, column: str) -> tuple[DataFrame, int]:
+    """(words of a bit map of hashed keys, its bits): 16 bits a key, SKETCH_BITS at most, so it is safe to broadcast."""
+    bits = 1 << 16
+    wanted = 16 * keys.count()
+    while bits < min(wanted, SKETCH_BITS):
+        bits *= 2
+    bit = F.col(column).bitwiseAND(F.lit(bits - 1))
+    words = keys.select(F.shiftrightunsigned(bit, 6).alias("_slot"), bit.bitwiseAND(F.lit(63)).cast("int").alias("_bit"))
+    return words.groupBy("_slot").agg(F.bit_or(F.expr("shiftleft(1L, _bit)")).alias("_word")), bits
+
+
+def maybe_in(df: DataFrame, column: str, words: DataFrame, bits: int) -> DataFrame:
+    """Rows whose key may be in the sketch: all that are, and few others unless the sketch is full."""
+    bit = F.col(column).bitwiseAND(F.lit(bits - 1))
+    near = df.withColumn("_slot", F.shiftrightunsigned(bit, 6)).withColumn("_bit", bit.bitwiseAND(F.lit(63)).cast("int"))
+    return near.join(F.broadcast(words), "_slot").where("getbit(_word, _bit) = 1").drop("_slot", "_bit", "_word")
+
+
+def parted(df: DataFrame, column: str, words: DataFrame, bits: int) -> tuple[DataFrame, DataFrame]:
+    """(rows whose key may be in the sketch, rows whose key is surely not), so that only the first need a join."""
+    bit = F.coalesce(F.col(column), F.lit(0)).bitwiseAND(F.lit(bits - 1))
+    near = df.withColumn("_slot", F.shiftrightunsigned(bit, 6)).withColumn("_bit", bit.bitwiseAND(F.lit(63)).cast("int"))
+    near = near.join(F.broadcast(words), "_slot", "left")
+    inside = F.coalesce(F.expr("getbit(_word, _bit) = 1"), F.lit(False))
+    return near.where(inside).select(*df.columns), near.where(~inside).select(*df.columns)
+
+
 class WordHasher:
     """Word starts, ends and 64-bit hashes of whole byte chunks without a Python loop over words.
 

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docforge.llm.common import widened
+from docforge.llm.common import map_arrow, widened
 
 #: Items are sent to all executors up to this many bytes of text; larger sets are refused.
 MAX_ITEM_BYTES = 64 << 20
@@ -107,7 +107,7 @@ def _pass(docs: DataFrame, windows: list, text: str, out: str) -> DataFrame:
             struct = pa.StructArray.from_arrays([pa.array(c, f.type) for c, f in zip(columns, kind, strict=True)], fields=list(kind))
             yield pa.RecordBatch.from_arrays([*batch.columns, struct], names=[*batch.schema.names, out])
 
-    return docs.mapInArrow(run, widened(docs.schema, f"{out} {SCHEMA}"))
+    return map_arrow(docs, run, widened(docs.schema, f"{out} {SCHEMA}"))
 
 
 def _merge(df: DataFrame, out: str, text: str) -> DataFrame:

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docforge.llm.common import text_chunks, widened
+from docforge.llm.common import map_arrow, text_chunks, widened
 
 #: Bounds of the training sample: documents of a language (at most), bytes of a document, languages (the most frequent).
 SAMPLE_DOCS, SAMPLE_BYTES, MAX_LANGUAGES = 256, 1 << 16, 64
@@ -168,7 +168,7 @@ def predict(docs: DataFrame, model: Model, text: str = "text", lang_out: str = "
                     rates.append(float(rate[k]) if known else 0.0)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(names), pa.array(scores), pa.array(rates)], names=[*batch.schema.names, lang_out, score_out, bits_out])
 
-    return docs.mapInArrow(run, widened(docs.schema, f"{lang_out} string, {score_out} double, {bits_out} double"))
+    return map_arrow(docs, run, widened(docs.schema, f"{lang_out} string, {score_out} double, {bits_out} double"))
 
 
 def identify(docs: DataFrame, text: str = "text", lang: str = "lang", doc_id: str = "doc_id", **names: str) -> DataFrame:

@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docforge.llm.common import LOWER, components, cut, map_batches, mix64
+from docforge.llm.common import LOWER, components, cut, map_arrow, mix64
 
 #: Members of a block that one step compares; larger blocks are dealt out as pairs of such chunks.
 CHUNK = 4096
@@ -50,13 +50,14 @@ def fingerprint(text: bytes, words: int = 3, lanes: int = 1) -> tuple[int, ...]:
 def fingerprints(df: DataFrame, text: str = "text", doc_id: str = "doc_id", words: int = 3, lanes: int = 1) -> DataFrame:
     """Rows (doc_id, f0, f1, ...): lanes of the fingerprint as signed longs. A null text has no words."""
 
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        values = [fingerprint((t.as_buffer().to_pybytes() if t.is_valid else b""), words, lanes) for t in batch.column(1).cast(pa.large_binary())]
-        lane = np.array(values, dtype=np.uint64).reshape(-1, lanes).view(np.int64)
-        return pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(lane[:, k]) for k in range(lanes))], names=["doc_id", *(f"f{k}" for k in range(lanes))])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            values = [fingerprint((t.as_buffer().to_pybytes() if t.is_valid else b""), words, lanes) for t in batch.column(1).cast(pa.large_binary())]
+            lane = np.array(values, dtype=np.uint64).reshape(-1, lanes).view(np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(lane[:, k]) for k in range(lanes))], names=["doc_id", *(f"f{k}" for k in range(lanes))])
 
     source = df.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    return map_batches(source, run, "doc_id long, " + ", ".join(f"f{k} long" for k in range(lanes)))
+    return map_arrow(source, run, "doc_id long, " + ", ".join(f"f{k} long" for k in range(lanes)))
 
 
 def blocks(distance: int, lanes: int = 1, rounds: int = 1, seed: int = 11) -> list[list[int]]:
@@ -181,7 +182,7 @@ def links(nodes: DataFrame, distance: int, lanes: int = 1, rounds: int = 1) -> D
         if rows:
             yield _batch(rows, fields)
 
-    found = cut(keyed.mapInArrow(compare, ddl))
+    found = cut(map_arrow(keyed, compare, ddl))
     near = found.where("b is not null").select("a", "b")
     members = found.where("b is null").select(F.col("a").alias("node"), "t", "k", "part", *lane)
     most = members.groupBy("t", "k").agg(F.max("part").alias("last")).where("last > 0")
