@@ -7,10 +7,11 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docforge.llm.common import SPACE, WordHasher, cut, text_chunks, windows
+from docforge.llm.common import SPACE, WordHasher, map_arrow, parted, sketch, text_chunks, windows, written
 
 #: Words of an anchor. A window of n words is seeded by the smallest hash of its n - ANCHOR + 1 anchors.
 ANCHOR = 4
@@ -102,7 +103,7 @@ def _each(df: DataFrame, size: int, schema: str, emit: Callable[[Windows, np.nda
                     arrays = [known[n] if n in known else pa.array(next(rest)) for n in names]
                     yield pa.RecordBatch.from_arrays(arrays, names=names)
 
-    return df.where("doc_id is not null").mapInArrow(run, schema)
+    return map_arrow(df.where("doc_id is not null"), run, schema)
 
 
 def recurring(anchors: DataFrame, column: str = "a") -> np.ndarray:
@@ -131,7 +132,7 @@ def repeats(df: DataFrame, text: str = "text", doc_id: str = "doc_id", size: int
     2. Extension: windows in a row with one marked anchor are one run, which takes in all words that they cover. Where
        all runs of an anchor are the same words, the run repeats as a whole in every document but the first.
     3. Where an anchor has different runs, as at the ends of a repeat or at an edit, its single windows are compared by
-       two 64-bit hashes, so that repeats end at the exact word.
+       two 64-bit hashes, so that repeats end at the exact word. A further map holds what recurs among them.
     Each comparison is a minimum with map-side combine and an equi-join with one row for each key; no pairs of documents
     are made.
     """
@@ -150,20 +151,28 @@ def repeats(df: DataFrame, text: str = "text", doc_id: str = "doc_id", size: int
         first, last = w.runs(in_map(marked.value, w.anchor))
         return first, w.anchor[first].view(np.int64), w.spans(first, last).view(np.int64), place[first].astype(np.int32), (last - first + 1).astype(np.int32)
 
-    runs = cut(_each(source, size, "doc_id long, print long, a long, s long, place int, many int", extended))
-    by_anchor = cut(runs.groupBy("a").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.min("s").alias("s0"), F.max("s").alias("s1")).where("low < high"))
+    runs = written(_each(source, size, "doc_id long, print long, a long, s long, place int, many int", extended))
+    by_anchor = written(runs.groupBy("a").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.min("s").alias("s0"), F.max("s").alias("s1")).where("low < high"))
     alike = by_anchor.where("s0 = s1").select("a", "low")
     whole = runs.join(alike, "a").where("doc_id > low").select("doc_id", "print", "place", "many")
     unlike = sc.broadcast(recurring(by_anchor.where("s0 <> s1")))
 
-    def single(w: Windows, place: np.ndarray) -> tuple:
-        at = np.flatnonzero(in_map(unlike.value, w.anchor))
-        second = windows(w.hashes, size, SECOND_BASE)
-        return at, windows(w.hashes, size)[w.at[at]].view(np.int64), second[w.at[at]].view(np.int64), place[at].astype(np.int32)
+    def singles(chosen: Broadcast, single: Broadcast | None) -> Callable[[Windows, np.ndarray], tuple]:
+        def emit(w: Windows, place: np.ndarray) -> tuple:
+            at = np.flatnonzero(in_map(chosen.value, w.anchor))
+            first = windows(w.hashes, size)[w.at[at]]
+            if single is not None:
+                good = in_map(single.value, first)
+                at, first = at[good], first[good]
+            return at, first.view(np.int64), windows(w.hashes, size, SECOND_BASE)[w.at[at]].view(np.int64), place[at].astype(np.int32)
 
-    singles = cut(_each(source, size, "doc_id long, print long, w1 long, w2 long, place int", single))
-    earliest = singles.groupBy("w1", "w2").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high").select("w1", "w2", "low")
-    return whole.unionByName(singles.join(earliest, ["w1", "w2"]).where("doc_id > low").select("doc_id", "print", "place", F.lit(1).alias("many")))
+        return emit
+
+    schema = "doc_id long, print long, w1 long, w2 long, place int"
+    earliest = _each(source, size, schema, singles(unlike, None)).groupBy("w1", "w2").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
+    earliest = written(earliest.where("low < high").select("w1", "w2", "low"))
+    again = _each(source, size, schema, singles(unlike, sc.broadcast(recurring(earliest, "w1"))))
+    return whole.unionByName(again.join(earliest, ["w1", "w2"]).where("doc_id > low").select("doc_id", "print", "place", F.lit(1).alias("many")))
 
 
 def remove_repeats(df: DataFrame, text: str = "text", doc_id: str = "doc_id", size: int = 13) -> DataFrame:
@@ -175,9 +184,13 @@ def remove_repeats(df: DataFrame, text: str = "text", doc_id: str = "doc_id", si
     rows that repeat a doc_id don't count against each other. Extra columns are ignored.
     """
     found = repeats(df, text, doc_id, size).groupBy("doc_id", "print").agg(F.collect_list(F.struct("place", "many")).alias("found"))
+    found = written(found.withColumn("key", F.xxhash64("doc_id", "print")))
     source = df.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    source = source.withColumn("print", F.crc32(F.coalesce("text", F.lit("")).cast("binary")))
-    joined = source.join(found, ["doc_id", "print"], "left").select("doc_id", "text", F.col("found.place").alias("place"), F.col("found.many").alias("many"))
+    source = source.withColumn("print", F.crc32(F.coalesce("text", F.lit("")).cast("binary"))).withColumn("key", F.xxhash64("doc_id", "print"))
+    some, rest = parted(source, "key", *sketch(found, "key"))
+    joined = some.join(found.hint("shuffle_hash"), ["key", "doc_id", "print"], "left").select("doc_id", "text", F.col("found.place").alias("place"), F.col("found.many").alias("many"))
+    none = F.lit(None).cast("array<int>")
+    joined = joined.unionByName(rest.select("doc_id", "text", none.alias("place"), none.alias("many")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -200,4 +213,4 @@ def remove_repeats(df: DataFrame, text: str = "text", doc_id: str = "doc_id", si
                 removed.append(gone)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(kept, pa.string()), pa.array(counts, pa.int64()), pa.array(removed, pa.int64())], names=["doc_id", "kept", "n_words", "n_removed"])
 
-    return joined.mapInArrow(run, "doc_id long, kept string, n_words long, n_removed long")
+    return map_arrow(joined, run, "doc_id long, kept string, n_words long, n_removed long")
