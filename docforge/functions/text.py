@@ -88,25 +88,33 @@ def contains_evidence(text: Column, evidence: Column) -> Column:
     return (e != "") & (F.contains(t, e) | F.contains(F.replace(t, F.lit(" "), F.lit("")), F.replace(e, F.lit(" "), F.lit(""))))
 
 
-@F.pandas_udf("string")
-def nfc(values: pd.Series) -> pd.Series:
+def nfc(c: Column) -> Column:
     """Canonical composition, for which Spark has no function."""
-    return values.map(lambda v: None if v is None else unicodedata.normalize("NFC", v))
 
+    @F.pandas_udf("string")
+    def run(values: pd.Series) -> pd.Series:
+        return values.map(lambda v: None if v is None else unicodedata.normalize("NFC", v))
 
-@F.pandas_udf("string")
-def repair_text(values: pd.Series) -> pd.Series:
+    return run(c)
+
+
+def repair_text(c: Column) -> Column:
     """UTF-8 that was once read as Windows-1252; all of a value is repaired or none of it."""
+    triggers = tuple(V.MOJIBAKE_TEXT)
 
     def fix(v: str | None) -> str | None:
-        if v is None or not any(t in v for t in V.MOJIBAKE_TEXT):
+        if v is None or not any(t in v for t in triggers):
             return v
         try:
             return v.encode("cp1252").decode("utf-8")
         except UnicodeError:
             return v
 
-    return values.map(fix)
+    @F.pandas_udf("string")
+    def run(values: pd.Series) -> pd.Series:
+        return values.map(fix)
+
+    return run(c)
 
 
 def join_split_dates(c: Column) -> Column:
