@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from docforge.llm.common import cut
@@ -12,7 +12,7 @@ TOPICS = [("licence", "icense"), ("contact", "@"), ("tabular", " | "), ("referen
 DIMENSIONS = ("source", "lang", "topic")
 #: Share of a value in the target mix: its share of the tokens to this power, made to sum to one.
 TEMPERATURES = {"source": 0.5, "lang": 0.5, "topic": 0.7}
-ROUNDS, BUDGET_ROUNDS = 25, 40
+ROUNDS, STEP, BUDGET_ROUNDS = 15, 5, 40
 
 
 def topic_of(text: Column) -> Column:
@@ -43,17 +43,21 @@ def tempered(cells: DataFrame, name: str, power: float) -> DataFrame:
 def rake(cells: DataFrame, targets: dict[str, DataFrame], rounds: int = ROUNDS) -> DataFrame:
     """``cells`` (the dimensions, tokens) with a factor by which tokens * factor meets every target.
 
-    Each step divides a dimension's targets by its sums and joins the quotients back: a sum with map-side combine and an
-    equi-join on the table of cells, never on documents. Each round is checkpointed. Values without a target keep 0.
+    Each step scales the cells of each value of one dimension to the value's target, by sums over windows on the table
+    of cells, which has a row for each combination of values, never one for a document. Every STEP rounds are
+    checkpointed. Values without a target get 0.
     """
-    now = cut(cells.withColumn("factor", F.lit(1.0)))
-    for _ in range(rounds):
-        for name, target in targets.items():
-            sums = now.groupBy(name).agg(F.sum(F.col("tokens") * F.col("factor")).alias("_sum"))
-            quotient = sums.join(target, name, "left").select(name, F.when(F.col("_sum") > 0, F.coalesce("_target", F.lit(0.0)) / F.col("_sum")).otherwise(0.0).alias("_q"))
-            now = now.join(quotient, name).withColumn("factor", F.col("factor") * F.col("_q")).drop("_q")
-        now = cut(now)
-    return now
+    now = cells.withColumn("factor", F.lit(1.0))
+    for name, target in targets.items():
+        now = now.join(target.select(name, F.col("_target").alias(f"_to{name}")), name, "left").fillna(0.0, [f"_to{name}"])
+    now = cut(now)
+    for k in range(rounds):
+        for name in targets:
+            own = F.sum(F.col("tokens") * F.col("factor")).over(Window.partitionBy(name))
+            now = now.withColumn("factor", F.when(own > 0, F.col("factor") * F.col(f"_to{name}") / own).otherwise(0.0))
+        if (k + 1) % STEP == 0 or k + 1 == rounds:
+            now = cut(now)
+    return now.select(*cells.columns, "factor")
 
 
 def mix(df: DataFrame, share: float = 0.5, seed: int = 17, text: str = "text", doc_id: str = "doc_id", temperatures: dict[str, float] | None = None) -> DataFrame:

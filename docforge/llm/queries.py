@@ -132,8 +132,8 @@ start AS (
   UNION ALL
   SELECT i + 1, s, l, topic, w, n, gs, gl, gt, f * gt * n / sum(w * f) OVER (PARTITION BY topic) FROM (
     SELECT * REPLACE (f * gl * n / sum(w * f) OVER (PARTITION BY l) AS f) FROM (
-      SELECT * REPLACE (f * gs * n / sum(w * f) OVER (PARTITION BY s) AS f) FROM ipf WHERE i < 25))
-), fit AS (SELECT * FROM ipf WHERE i = 25),
+      SELECT * REPLACE (f * gs * n / sum(w * f) OVER (PARTITION BY s) AS f) FROM ipf WHERE i < 15))
+), fit AS (SELECT * FROM ipf WHERE i = 15),
 rates AS (
   SELECT 0 AS k, 0.5::DOUBLE AS rate
   UNION ALL
