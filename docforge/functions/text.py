@@ -200,7 +200,7 @@ def cache_key(**items: Column) -> Column:
 
 
 def split_notes(c: Column) -> Column:
-    return F.filter(F.transform(F.split(F.coalesce(c, F.lit("")), ";"), F.trim), lambda x: x != "")
+    return F.filter(F.transform(F.split(F.coalesce(c, F.lit("")), ";"), lambda x: F.trim(x)), lambda x: x != "")
 
 
 def clamp(c: Column, default: float = 0.0) -> Column:
