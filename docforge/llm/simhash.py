@@ -60,21 +60,20 @@ def fingerprints(df: DataFrame, text: str = "text", doc_id: str = "doc_id", word
     return map_arrow(source, run, "doc_id long, " + ", ".join(f"f{k} long" for k in range(lanes)))
 
 
-def blocks(distance: int, lanes: int = 1, rounds: int = 1, seed: int = 11) -> list[list[int]]:
+def blocks(distance: int, lanes: int = 1, rounds: int = 1, width: int = 20, seed: int = 11) -> list[list[int]]:
     """Masks, as one signed long for each lane, under which close fingerprints are equal.
 
     One lane: 64 bits in ``distance + 3`` blocks of which any three are kept, about 32 bits of 64 for a distance of 3,
     so that every pair within ``distance`` shares a mask. More lanes: in each round the shuffled bits are split into
-    blocks of about 25 bits. Pairs with fewer differing bits than a round has blocks are surely found; others with the
+    blocks of about ``width`` bits: 20 suit up to some 10**9 different fingerprints, 25 more. Pairs with fewer differing bits than a round has blocks are surely found; others with the
     probability that one of all blocks is free of differences.
     """
-    width = 64 * lanes
     rng = np.random.default_rng(seed)
     if lanes == 1:
         parts = np.array_split(np.arange(64), distance + 3)
         chosen = [np.concatenate(c) for c in combinations(parts, 3)]
     else:
-        chosen = [p for _ in range(rounds) for p in np.array_split(rng.permutation(width), width // 25)]
+        chosen = [p for _ in range(rounds) for p in np.array_split(rng.permutation(64 * lanes), 64 * lanes // width)]
     masks = []
     for bits in chosen:
         lane = [0] * lanes
@@ -117,21 +116,21 @@ def bipartite(a: tuple, b: tuple, distance: int) -> list[tuple[int, int]]:
     return edges
 
 
-def _runs(batches: Iterator[pa.RecordBatch], lanes: int) -> Iterator[tuple[tuple, np.ndarray, np.ndarray, int]]:
+def _runs(batches: Iterator[pa.RecordBatch], lanes: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, int]]:
     """(key, nodes, fingerprints, part) of each run of equal keys in sorted batches, in parts of at most CHUNK rows."""
     held: list[tuple[np.ndarray, np.ndarray]] = []
     key, part, size = None, 0, 0
     for batch in batches:
         if not batch.num_rows:
             continue
-        table, block, node = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(3))
-        fps = np.stack([batch.column(3 + k).to_numpy(zero_copy_only=False).view(np.uint64) for k in range(lanes)], axis=1)
-        change = np.flatnonzero((table[1:] != table[:-1]) | (block[1:] != block[:-1])) + 1
-        bounds = np.concatenate([[0], change, [len(table)]])
+        block, node = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(2))
+        fps = np.stack([batch.column(2 + k).to_numpy(zero_copy_only=False).view(np.uint64) for k in range(lanes)], axis=1)
+        change = np.flatnonzero(block[1:] != block[:-1]) + 1
+        bounds = np.concatenate([[0], change, [len(block)]])
         first, last = bounds[:-1], bounds[1:]
-        plain = (last - first > 1) | (first == 0) | (last == len(table))  # a single row inside a batch has no partner
+        plain = (last - first > 1) | (first == 0) | (last == len(block))  # a single row inside a batch has no partner
         for s, e in zip(first[plain].tolist(), last[plain].tolist(), strict=True):
-            own = (int(table[s]), int(block[s]))
+            own = int(block[s])
             if own != key:
                 if key is not None and size:
                     yield key, *_joined(held), part
@@ -151,31 +150,30 @@ def _joined(held: list) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate([h[0] for h in held]), np.concatenate([h[1] for h in held])
 
 
-def links(nodes: DataFrame, distance: int, lanes: int = 1, rounds: int = 1) -> DataFrame:
+def links(nodes: DataFrame, distance: int, lanes: int = 1, rounds: int = 1, width: int = 20) -> DataFrame:
     """Edges (a, b) that join all nodes whose fingerprints are within ``distance``; not every pair has an edge.
 
     ``nodes`` has (node, f0, ...) with distinct fingerprints. A block of any size is compared: one of up to CHUNK members
     in a task, a larger one as pairs of chunks, each a task's group of its own.
     """
     lane = [f"f{k}" for k in range(lanes)]
-    masks = blocks(distance, lanes, rounds)
+    masks = blocks(distance, lanes, rounds, width)
 
-    def key(mask: list[int]) -> Column:
-        parts = [F.col(c).bitwiseAND(F.lit(m)) for c, m in zip(lane, mask, strict=True)]
-        return parts[0] if lanes == 1 else F.xxhash64(*parts)
+    def key(t: int, mask: list[int]) -> Column:
+        return F.xxhash64(F.lit(t), *(F.col(c).bitwiseAND(F.lit(m)) for c, m in zip(lane, mask, strict=True)))
 
-    keyed = nodes.select(F.explode(F.array(*(F.struct(F.lit(t).alias("t"), key(m).alias("k")) for t, m in enumerate(masks)))).alias("b"), "node", *lane)
-    keyed = keyed.select("b.t", "b.k", "node", *lane).repartition("t", "k").sortWithinPartitions("t", "k")
-    fields = [("a", pa.int64()), ("b", pa.int64()), ("t", pa.int32()), ("k", pa.int64()), ("part", pa.int32()), *((c, pa.int64()) for c in lane)]
-    ddl = "a long, b long, t int, k long, part int, " + ", ".join(f"{c} long" for c in lane)
+    keyed = nodes.select(F.explode(F.array(*(key(t, m) for t, m in enumerate(masks)))).alias("k"), "node", *lane)
+    keyed = keyed.repartition("k").sortWithinPartitions("k")
+    fields = [("a", pa.int64()), ("b", pa.int64()), ("k", pa.int64()), ("part", pa.int32()), *((c, pa.int64()) for c in lane)]
+    ddl = "a long, b long, k long, part int, " + ", ".join(f"{c} long" for c in lane)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows: list[tuple] = []
         for run, ids, fps, part in _runs(batches, lanes):
             order = np.argsort(ids, kind="stable")
-            rows += [(a, b, None, None, None, *(None,) * lanes) for a, b in spanning(ids[order], fps[order], distance)]
+            rows += [(a, b, None, None, *(None,) * lanes) for a, b in spanning(ids[order], fps[order], distance)]
             if part or len(ids) == CHUNK:  # perhaps one of several chunks
-                rows += [(int(i), None, run[0], run[1], part, *(int(x) for x in f)) for i, f in zip(ids, fps.view(np.int64), strict=True)]
+                rows += [(int(i), None, run, part, *(int(x) for x in f)) for i, f in zip(ids, fps.view(np.int64), strict=True)]
             if len(rows) >= 1 << 15:
                 yield _batch(rows, fields)
                 rows = []
@@ -184,11 +182,11 @@ def links(nodes: DataFrame, distance: int, lanes: int = 1, rounds: int = 1) -> D
 
     found = cut(map_arrow(keyed, compare, ddl))
     near = found.where("b is not null").select("a", "b")
-    members = found.where("b is null").select(F.col("a").alias("node"), "t", "k", "part", *lane)
-    most = members.groupBy("t", "k").agg(F.max("part").alias("last")).where("last > 0")
+    members = found.where("b is null").select(F.col("a").alias("node"), "k", "part", *lane)
+    most = members.groupBy("k").agg(F.max("part").alias("last")).where("last > 0")
     if most.isEmpty():
         return near
-    dealt = members.join(most, ["t", "k"]).select("*", F.explode(F.sequence(F.lit(0), F.col("last"))).alias("with")).where("part <> with")
+    dealt = members.join(most, "k").select("*", F.explode(F.sequence(F.lit(0), F.col("last"))).alias("with")).where("part <> with")
     dealt = dealt.withColumn("x", F.least("part", "with")).withColumn("y", F.greatest("part", "with"))
 
     def across(_: tuple, group: pa.Table) -> pa.Table:
@@ -199,7 +197,7 @@ def links(nodes: DataFrame, distance: int, lanes: int = 1, rounds: int = 1) -> D
         pairs = bipartite(sides[0], sides[1], distance)
         return pa.table({"a": pa.array([p[0] for p in pairs], pa.int64()), "b": pa.array([p[1] for p in pairs], pa.int64())})
 
-    return near.unionByName(dealt.groupBy("t", "k", "x", "y").applyInArrow(across, "a long, b long"))
+    return near.unionByName(dealt.groupBy("k", "x", "y").applyInArrow(across, "a long, b long"))
 
 
 def _batch(rows: list[tuple], fields: list) -> pa.RecordBatch:
@@ -207,7 +205,7 @@ def _batch(rows: list[tuple], fields: list) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, kind) for c, (_, kind) in zip(columns, fields, strict=True)], names=[n for n, _ in fields])
 
 
-def near_duplicates(df: DataFrame, text: str = "text", doc_id: str = "doc_id", words: int = 3, distance: int = 3, lanes: int = 1, rounds: int = 1) -> DataFrame:
+def near_duplicates(df: DataFrame, text: str = "text", doc_id: str = "doc_id", words: int = 3, distance: int = 3, lanes: int = 1, rounds: int = 1, width: int = 20) -> DataFrame:
     """Rows (doc_id, f0, ..., component_id), one for each input row.
 
     Documents link if their fingerprints differ in at most ``distance`` bits; component_id is the smallest doc_id that
@@ -219,6 +217,6 @@ def near_duplicates(df: DataFrame, text: str = "text", doc_id: str = "doc_id", w
     lane = [f"f{k}" for k in range(lanes)]
     prints = cut(fingerprints(df, text, doc_id, words, lanes))
     nodes = prints.groupBy(*lane).agg(F.min("doc_id").alias("node"))
-    roots = components(links(nodes.where("node is not null"), distance, lanes, rounds))
+    roots = components(links(nodes.where("node is not null"), distance, lanes, rounds, width))
     named = nodes.join(roots, "node", "left").select(*lane, F.coalesce("root", "node").alias("component_id"))
     return prints.join(named, lane).select("doc_id", *lane, "component_id")
