@@ -21,11 +21,11 @@ LANDMARKS, LENGTH, DECAY = 48, 3, 0.6
 #: Words have at most so many characters for the kernel; longer ones are taken in overlapping pieces of this size.
 PIECE = 24
 #: A word is held against a landmark if it has this share of the landmark's different letters.
-SHARED = 0.75
+SHARED = 0.8
 #: Kernel values, as shares of the landmark's own, count from here on.
 LEAST_SHARE = 0.4
 #: Words whose kernel values a worker keeps at most.
-REMEMBERED = 1_000_000
+REMEMBERED = 400_000
 PUNCTUATION = dict.fromkeys(map(ord, [*(chr(c) for c in range(33, 127) if not chr(c).isalnum()), *"«»„“”‘’…–—¡¿·•\u200b"]))
 SPACED = re.compile(r"(?<!\S)(?:\w[\s.\-_*]){2,}\w(?!\S)")
 
@@ -33,7 +33,8 @@ SPACED = re.compile(r"(?<!\S)(?:\w[\s.\-_*]){2,}\w(?!\S)")
 def words_of(sentence: str) -> list[str]:
     """Lower-case words as they stand; single letters in a row, whatever is between them, make one more word."""
     sentence = sentence.lower()
-    return [*sentence.split(), *("".join(c for c in m.group() if c.isalnum()) for m in SPACED.finditer(sentence))]
+    spaced = ("".join(c for c in m.group() if c.isalnum()) for m in SPACED.finditer(sentence))
+    return [*sentence.split(), *(w for w in spaced if w)]
 
 
 def marked(word: str) -> str:
@@ -77,8 +78,10 @@ class Classifier:
         self.landmarks = self._choose(rows)
         self.codes = encode(self.landmarks)
         self.own = kernel(self.codes, self.codes) if self.landmarks else np.zeros(0)
-        self.bits = {c: 1 << i % 64 for i, c in enumerate(sorted(set("".join(self.landmarks)) - set("^$")))}
-        self.masks = np.array([self._mask(w) for w in self.landmarks], np.uint64)
+        self.bits = np.zeros(1 << 14, np.uint64)
+        for i, c in enumerate(sorted(set("".join(self.landmarks)) - set("^$"))):
+            self.bits[min(ord(c), len(self.bits) - 2)] |= np.uint64(1 << i % 64)
+        self.masks = self._masks(self.landmarks)
         self.least = np.ceil(SHARED * np.bitwise_count(self.masks)).astype(np.uint8)
         self.forget()
         self._fit(rows)
@@ -88,11 +91,12 @@ class Classifier:
         self.known: set[str] = set()
         self.hot: dict[str, tuple] = {}
 
-    def _mask(self, word: str) -> int:
-        out, bits = 0, self.bits
-        for c in word:
-            out |= bits.get(c, 0)
-        return out
+    def _masks(self, words: list[str]) -> np.ndarray:
+        """A bit for each different letter of the landmarks that a word has."""
+        codes = np.frombuffer("".join(words).encode("utf-32-le", "replace"), np.uint32)
+        ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)))
+        bits = self.bits[np.minimum(codes, len(self.bits) - 1)]
+        return np.bitwise_or.reduceat(bits, np.concatenate([[0], ends[:-1]])) if len(bits) else np.zeros(len(words), np.uint64)
 
     @staticmethod
     def _pieces(word: str) -> list[str]:
@@ -126,7 +130,7 @@ class Classifier:
         self.known.update(new)
         if not new or not self.landmarks:
             return
-        masks = np.array([self._mask(w) for w in new], np.uint64)
+        masks = self._masks(new)
         for i in range(0, len(new), 1 << 15):
             rows, marks = np.nonzero(np.bitwise_count(masks[i : i + (1 << 15), None] & self.masks) >= self.least)
             at = [(new[i + r], k, p) for r, k in zip(rows.tolist(), marks.tolist(), strict=True) for p in self._pieces(marked(new[i + r]))]
