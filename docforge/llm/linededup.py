@@ -5,91 +5,110 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docforge.llm.common import cut
+from docforge.functions.text import let
+from docforge.llm.common import cut, maybe_in, parted, sketch, written
 
 #: Shortest line, in characters, that takes part; shorter ones (list marks, "Home") are kept.
 MIN_CHARS = 20
 #: Lines whose lengths fall in one class of STEP characters are cut at the same places.
 STEP = 16
-#: Bits of the largest sketch that is broadcast: a million words.
-SKETCH_BITS = 1 << 26
+#: Times that what lines differ in is cut again before variants are made: down to some tens of characters.
+REFINEMENTS = 3
 
 
-def sketch(keys: DataFrame, column: str) -> tuple[DataFrame, int]:
-    """(words of a bit map of hashed keys, its bits): 16 bits a key, SKETCH_BITS at most, so it is safe to broadcast."""
-    bits = 1 << 16
-    wanted = 16 * keys.count()
-    while bits < min(wanted, SKETCH_BITS):
-        bits *= 2
-    bit = F.col(column).bitwiseAND(F.lit(bits - 1))
-    words = keys.select(F.shiftrightunsigned(bit, 6).alias("_slot"), bit.bitwiseAND(F.lit(63)).cast("int").alias("_bit"))
-    return words.groupBy("_slot").agg(F.bit_or(F.expr("shiftleft(1L, _bit)")).alias("_word")), bits
+def rough_blocks(line: Column) -> list[Column]:
+    """(key, left, right) for blocks of a line: a hash of all bytes but the block's, and how many are before and after.
 
-
-def maybe_in(df: DataFrame, column: str, words: DataFrame, bits: int) -> DataFrame:
-    """Rows whose key may be in the sketch: all that are, and few others unless the sketch is full."""
-    bit = F.col(column).bitwiseAND(F.lit(bits - 1))
-    near = df.withColumn("_slot", F.shiftrightunsigned(bit, 6)).withColumn("_bit", bit.bitwiseAND(F.lit(63)).cast("int"))
-    return near.join(F.broadcast(words), "_slot").where("getbit(_word, _bit) = 1").drop("_slot", "_bit", "_word")
+    Lines within one edit share a key at least. A line of n bytes is cut at quarters of its class m, the multiple of
+    STEP below n. One edit changes up to four bytes in a row, so blocks reach three bytes over the next cut and a line
+    less than four bytes above m also counts to the class below (else it has nulls there). Plain slices of bytes in
+    compiled code, so that every line costs little.
+    """
+    raw, n = line.cast("binary"), F.octet_length(line)
+    own = F.floor(n / STEP).cast("int") * STEP
+    out = []
+    for m in (own, F.when((n - own < 4) & (own > STEP), own - STEP)):
+        for q in range(4):
+            left = F.floor(m * q / 4).cast("int")
+            right = F.greatest(F.lit(0), m - F.floor(m * (q + 1) / 4).cast("int") - 3)
+            key = F.xxhash64(F.lit(q), m, F.substring(raw, F.lit(1), left), F.substring(raw, n - right + 1, right))
+            out.append(F.when(m.isNotNull(), F.struct(key.alias("key"), left.alias("left"), right.alias("right"))))
+    return out
+
+
+def middle_of(line: Column, left: Column, right: Column) -> Column:
+    """The characters of a line that are not whole in its first ``left`` or last ``right`` bytes."""
+    raw, n = line.cast("binary"), F.octet_length(line)
+    count = lambda size: F.char_length(F.substring(raw, F.lit(1), size).cast("string"))  # noqa: E731  a cut character counts
+    start = count(left) - (F.octet_length(F.substring(line, F.lit(1), count(left))) > left).cast("int")
+    return F.substring(line, start + 1, count(n - right) - start)
 
 
 def parts(length: Column) -> Column:
-    """Blocks of a line of class ``length``: 4, or the cube root of a long one, so that work stays far below its square."""
-    return F.greatest(F.lit(4), F.when(length > 1024, F.ceil(F.cbrt(length))).otherwise(F.lit(4))).cast("int")
+    """Blocks of a text of class ``length``: 4, or the cube root of a long one, so that work stays far below its square."""
+    return F.greatest(F.lit(4), F.ceil(F.cbrt(length))).cast("int")
 
 
-def cuts(line: Column) -> Column:
-    """Array of (m, q, left, right): for each block q of the line's class m, the characters before and after the block.
+def cuts(text: Column) -> Column:
+    """Array of (m, q, left, right): for each block q of the text's class m, the characters before and after the block.
 
-    Two lines within one edit agree, under a class that both have, in all that is before and after one of the blocks. A
-    line at the lower end of its class also counts to the class below.
+    Two texts within one edit agree, under a class that both have, in all that is before and after one of the blocks. A
+    text at the lower end of its class also counts to the class below. Below 2 * STEP characters all is one block.
     """
-    n = F.char_length(line)
+    n = F.char_length(text)
     base = F.floor(n / STEP).cast("int") * STEP
-    classes = F.when(n == base, F.array(base - STEP, base)).otherwise(F.array(base))
-    classes = F.filter(classes, lambda m: m > 0)
+    classes = F.array_distinct(F.transform(F.when(n == base, F.array(base - STEP, base)).otherwise(F.array(base)), lambda m: F.when(m < 2 * STEP, 0).otherwise(m)))
 
     def block(m: Column, q: Column) -> Column:
-        count = parts(m)
-        left = F.floor(q * m / count).cast("int")
-        right = m - F.floor((q + 1) * m / count).cast("int")
+        left = F.floor(q * m / parts(m)).cast("int")
+        right = m - F.floor((q + 1) * m / parts(m)).cast("int")
         return F.struct(m.alias("m"), q.alias("q"), left.alias("left"), right.alias("right"))
 
-    return F.flatten(F.transform(classes, lambda m: F.transform(F.sequence(F.lit(0), parts(m) - 1), lambda q: block(m, q))))
+    return F.flatten(F.transform(classes, lambda m: F.transform(F.sequence(F.lit(0), F.when(m > 0, parts(m) - 1).otherwise(0)), lambda q: block(m, q))))
 
 
-def block_key(line: Column, c: Column) -> Column:
-    n = F.char_length(line)
-    return F.xxhash64(c["m"], c["q"], F.substring(line, F.lit(1), c["left"]), F.substring(line, n - c["right"] + 1, c["right"]))
+def refined(blocks: DataFrame) -> DataFrame:
+    """Blocks of blocks (key, h1, h2, at, middle) that another line shares in all but the new, smaller middle."""
+    new = blocks.select("key", "h1", "h2", "at", "middle", F.explode(cuts(F.col("middle"))).alias("c"))
+    n, left, right = F.char_length("middle"), F.col("c.left"), F.col("c.right")
+    key = F.xxhash64("key", "c.m", "c.q", F.substring("middle", F.lit(1), left), F.substring("middle", n - right + 1, right))
+    new = cut(new.select(key.alias("key"), "h1", "h2", "at", F.substring("middle", left + 1, n - left - right).alias("middle")))
+    shared = new.groupBy("key").agg(F.min("h1").alias("a"), F.max("h1").alias("b")).where("a <> b").select("key")
+    return new.join(shared, "key")
 
 
 def lines_of(df: DataFrame, min_chars: int) -> DataFrame:
     """Rows (doc_id, print, pos, line) of the lines that take part."""
     split = df.where("doc_id is not null and text is not null").select("doc_id", F.crc32(F.col("text").cast("binary")).alias("print"), F.posexplode(F.split("text", "\n", -1)).alias("pos", "line"))
-    return split.where(F.char_length("line") >= min_chars)
+    return split.where((F.octet_length("line") >= 4 * min_chars) | (F.char_length("line") >= min_chars))
 
 
 def later_lines(df: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     """Rows (doc_id, print, pos) of lines with an earlier line, by (doc_id, pos), within one edit of them.
 
-    ``df`` has doc_id and text. Equal lines meet by two 64-bit hashes. For one edit, lines are first cut into blocks:
-    only lines that agree with another line in all but one block (checked through a bounded sketch, then exactly) emit
-    the variants of that block with one character deleted, and the block itself. Lines that share a variant at one
-    place differ by a substitution; a block that equals another's variant is an insertion. In each group of equal
-    variants the members are only held against the earliest one, and Levenshtein's distance is verified on these links.
+    ``df`` has doc_id and text. Equal lines meet by two 64-bit hashes. For one edit, lines are first sifted by rough keys:
+    those that share none with another line are done. The rest, found again through a sketch of bounded size, are cut
+    into finer and finer blocks, and where two lines agree in all but one block they emit the variants of that block
+    with one character deleted, and the block itself. Lines that share a variant at one place differ by a substitution;
+    a block that equals another's variant is an insertion. In each group of equal variants the members are only held
+    against the earliest one, and Levenshtein's distance is verified on these links.
     """
     at = F.struct("doc_id", "pos")
-    lines = lines_of(df, min_chars).withColumn("h1", F.xxhash64("line")).withColumn("h2", F.xxhash64(F.lit(1), "line"))
-    plain = cut(lines.select("doc_id", "print", "pos", "h1", "h2", F.transform(cuts(F.col("line")), lambda c: block_key(F.col("line"), c)).alias("keys")))
-    shared = plain.select(F.explode("keys").alias("key"), "h1").groupBy("key").agg(F.min("h1").alias("a"), F.max("h1").alias("b")).where("a <> b").select("key")
-    shared = cut(shared)
-    words, bits = sketch(shared, "key")
-    blocks = lines.select("doc_id", "pos", "h1", "h2", "line", F.explode(cuts(F.col("line"))).alias("c"))
-    blocks = maybe_in(blocks.withColumn("key", block_key(F.col("line"), F.col("c"))), "key", words, bits)
-    middle = F.substring("line", F.col("c.left") + 1, F.char_length("line") - F.col("c.left") - F.col("c.right"))
-    blocks = blocks.select("key", "h1", "h2", at.alias("at"), middle.alias("middle")).join(shared, "key")
-    blocks = cut(blocks.groupBy("key", "h1", "h2").agg(F.min("at").alias("at"), F.min("middle").alias("middle")))
-    owner = F.struct("at", "h1", "h2").alias("owner")
+    lines = lines_of(df, min_chars).withColumn("h1", F.xxhash64("line"))
+    second = F.xxhash64(F.lit(1), "line").alias("h2")
+    rough = rough_blocks(F.col("line"))
+    plain = written(lines.select("doc_id", "print", "pos", "h1", second, *(b["key"].alias(f"k{i}") for i, b in enumerate(rough))))
+    keys = plain.select(F.explode(F.array(*(f"k{i}" for i in range(len(rough))))).alias("key"), "h1").where("key is not null")
+    shared = cut(keys.groupBy("key").agg(F.min("h1").alias("a"), F.max("h1").alias("b")).where("a <> b").select("key"))
+    in_shared = sketch(shared, "key")
+    near = cut(maybe_in(keys, "key", *in_shared).select("h1").distinct())
+    rest = maybe_in(lines, "h1", *sketch(near, "h1")).select("doc_id", "pos", "line", "h1", second, F.explode(F.array(*rough)).alias("b"))
+    rest = maybe_in(rest.where("b is not null").select("doc_id", "pos", "line", "h1", "h2", "b.key", "b.left", "b.right"), "key", *in_shared)
+    blocks = rest.select("key", "h1", "h2", at.alias("at"), middle_of(F.col("line"), F.col("left"), F.col("right")).alias("middle"))
+    blocks = blocks.groupBy("key", "h1", "h2").agg(F.min("at").alias("at"), F.min("middle").alias("middle"))
+    for _ in range(REFINEMENTS):
+        blocks = refined(blocks)
+    blocks = cut(blocks)
     places = F.sequence(F.lit(1), F.char_length("middle"))
     gone = lambda i: F.concat(F.substring("middle", F.lit(1), i - 1), F.substring("middle", i + 1, F.char_length("middle")))
     variants = F.flatten(F.array(
@@ -97,21 +116,19 @@ def later_lines(df: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
         F.array_distinct(F.transform(places, lambda i: F.struct(F.xxhash64(F.col("key"), gone(i)).alias("v"), F.lit(1).alias("kind")))),
         F.transform(places, lambda i: F.struct(F.xxhash64(F.col("key"), i, gone(i)).alias("v"), F.lit(2).alias("kind"))),
     ))
-    emitted = blocks.select("key", owner, F.explode(F.when(F.char_length("middle") > 0, variants).otherwise(F.slice(variants, 1, 1))).alias("e")).select("key", "owner", "e.v", "e.kind")
+    emitted = blocks.select("key", "at", F.explode(F.when(F.char_length("middle") > 0, variants).otherwise(F.slice(variants, 1, 1))).alias("e")).select("key", "at", "e.v", "e.kind")
     # kind 2 meets kind 2; kind 0 meets kind 1 and the other way round
     first = emitted.groupBy("v").agg(
-        *(F.min(F.when(F.col("kind") == k, F.col("owner"))).alias(f"low{k}") for k in (0, 1, 2)), F.min("owner").alias("low"), F.max("owner").alias("high")
+        *(F.min(F.when(F.col("kind") == k, F.col("at"))).alias(f"low{k}") for k in (0, 1, 2)), F.min("at").alias("low"), F.max("at").alias("high")
     ).where("low <> high").drop("low", "high")
     other = F.when(F.col("kind") == 2, F.col("low2")).when(F.col("kind") == 0, F.col("low1")).otherwise(F.col("low0"))
-    links = emitted.join(first, "v").select("key", "owner", other.alias("other")).where("other.at < owner.at").distinct()
-    one, two = blocks.select("key", "h1", "h2", F.col("middle").alias("mine")), blocks.select("key", F.col("h1").alias("g1"), F.col("h2").alias("g2"), F.col("middle").alias("theirs"))
-    links = links.select("key", F.col("owner.h1").alias("h1"), F.col("owner.h2").alias("h2"), F.col("other.at").alias("at"), F.col("other.h1").alias("g1"), F.col("other.h2").alias("g2"))
-    near = links.join(one, ["key", "h1", "h2"]).join(two, ["key", "g1", "g2"]).where(F.levenshtein("mine", "theirs", 1) >= 0)
-    near = near.groupBy("h1", "h2").agg(F.min("at").alias("near"))
+    links = emitted.join(first, "v").select("key", "at", other.alias("other")).where("other < at").distinct()
+    theirs = blocks.select("key", F.col("at").alias("other"), F.col("middle").alias("theirs"))
+    near = links.join(blocks, ["key", "at"]).join(theirs, ["key", "other"]).where(F.levenshtein("middle", "theirs", 1) >= 0)
+    near = near.groupBy("h1", "h2").agg(F.min("other").alias("near"))
     equal = plain.groupBy("h1", "h2").agg(F.min(at).alias("equal"), F.count("*").alias("many")).where("many > 1").select("h1", "h2", "equal")
     low = cut(equal.join(near, ["h1", "h2"], "full").select("h1", "h2", F.least("equal", "near").alias("low")))
-    words, bits = sketch(low, "h1")
-    found = maybe_in(plain.select("doc_id", "print", "pos", "h1", "h2"), "h1", words, bits).join(low, ["h1", "h2"])
+    found = maybe_in(plain.select("doc_id", "print", "pos", "h1", "h2"), "h1", *sketch(low, "h1")).join(low, ["h1", "h2"])
     return found.where(F.struct("doc_id", "pos") > F.col("low")).select("doc_id", "print", "pos")
 
 
@@ -126,14 +143,17 @@ def dedupe_lines(df: DataFrame, text: str = "text", doc_id: str = "doc_id", min_
     """
     source = df.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     gone = later_lines(source, min_chars).groupBy("doc_id", "print").agg(F.collect_set("pos").alias("_gone"))
-    gone = gone.select(F.col("doc_id").alias("_doc"), F.col("print").alias("_print"), "_gone")
+    gone = written(gone.select(F.xxhash64("doc_id", "print").alias("_key"), F.col("doc_id").alias("_doc"), F.col("print").alias("_print"), "_gone"))
     base = df.drop("n_lines", "n_removed")
-    joined = base.join(gone, (F.col(doc_id).cast("long") == F.col("_doc")) & (F.crc32(F.col(text).cast("binary")) == F.col("_print")), "left")
-    lines = F.split(F.col(text), "\n", -1)
-    kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("_gone"))
-    kept_text = F.when(F.col("_gone").isNull(), F.col(text)).otherwise(F.array_join(F.transform(kept, lambda i: F.get(lines, i)), "\n"))
+    printed = base.withColumn("_p", F.crc32(F.col(text).cast("binary"))).withColumn("_k", F.xxhash64(F.col(doc_id).cast("long"), "_p"))
+    some, rest = parted(printed, "_k", *sketch(gone, "_key"))
+    joined = some.join(gone.hint("shuffle_hash"), (F.col("_k") == F.col("_key")) & (F.col(doc_id).cast("long") == F.col("_doc")) & (F.col("_p") == F.col("_print")), "left")
+    joined = joined.select(*base.columns, "_gone").unionByName(rest.select(*base.columns, F.lit(None).cast("array<int>").alias("_gone")))
+    places = F.array_except(F.sequence(F.lit(0), F.size(F.split(F.col(text), "\n", -1)) - 1), F.col("_gone"))
+    kept = let(F.split(F.col(text), "\n", -1), lambda lines: F.array_join(F.transform(places, lambda i: F.get(lines, i)), "\n"))
+    kept_text = F.when(F.col("_gone").isNull(), F.col(text)).otherwise(kept)
     return joined.select(
         *(kept_text.alias(c) if c == text else F.col(c) for c in base.columns),
-        F.coalesce(F.when(F.col(text).isNotNull(), F.size(lines)), F.lit(0)).cast("long").alias("n_lines"),
+        F.coalesce(F.octet_length(text) - F.octet_length(F.replace(F.col(text), F.lit("\n"), F.lit(""))) + 1, F.lit(0)).cast("long").alias("n_lines"),
         F.coalesce(F.when(F.col("_gone").isNotNull(), F.size("_gone")), F.lit(0)).cast("long").alias("n_removed"),
     )
