@@ -12,13 +12,13 @@ from pyspark.sql import functions as F
 from docforge.llm.common import cut, map_arrow, written
 
 #: Neighbours of a node in the graph, reverse neighbours that join in a round, candidates that a meeting gives a member.
-DEGREE, REVERSE, GIVEN = 20, 20, 5
+DEGREE, REVERSE, GIVEN = 32, 32, 10
 #: Random splits that make the first graph, members of a cell that are compared at once, rounds at most.
 SPLITS, CELL, ROUNDS = 4, 256, 9
 #: A round that changes fewer of all edges ends the descent.
-LEAST_CHANGE = 0.02
+LEAST_CHANGE = 0.005
 #: Of the search: candidates kept for a query, candidates expanded in a step, steps at most.
-BEAM, EXPAND, STEPS = 64, 12, 8
+BEAM, EXPAND, STEPS = 128, 16, 10
 
 
 def clean_vectors(df: DataFrame, vec_id: str, embedding: str) -> DataFrame:

@@ -1,7 +1,6 @@
 """Each corpus operator against a brute-force version, and on nulls, empty and long texts, ties, repeated rows, empty
 tables and extra columns."""
 
-import hashlib
 import random
 import re
 
@@ -174,7 +173,7 @@ def test_surrogates(spark, docs, empty):
     out = {r.doc_id: r for r in pii.pseudonymise(df, b"k").collect()}
     new = dict(zip(values, out[1].text.split(" ; "), strict=False))
     assert all(v != n for v, n in new.items()) and len(set(new.values())) == len(values)
-    assert new["a.b@x.org"] == out[2].text and new["A.B@X.org"] == new["a.b@x.org"].title().replace(".Org", ".org").replace(new["a.b@x.org"].split("@")[0].title(), new["A.B@X.org"].split("@")[0]) or True
+    assert new["a.b@x.org"] == out[2].text and new["A.B@X.org"].lower() == new["a.b@x.org"]
     assert new["10.1.2.3"].startswith("10.") and not new["8.8.8.8"].startswith("10.")
     assert re.sub(r"\D", "", new["+1 (212) 555-0100"])[1:] == new["212-555-0100"].replace("-", "")
     assert pii.luhn(new["4111 1111 1111 1111"].replace(" ", "")) and not pii.luhn(new["4111111111111112"])
@@ -454,7 +453,3 @@ def test_too_large_a_benchmark_is_refused(spark, docs, monkeypatch):
     monkeypatch.setattr(decontam, "MAX_ITEM_BYTES", 3)
     with pytest.raises(ValueError, match="bytes of text"):
         decontam.scan(docs, spark.createDataFrame([(1, "long text")], "item_id long, text string"))
-
-
-def test_digest_of_no_words():
-    assert hashlib.sha256(b"").hexdigest().startswith("e3b0c442")
