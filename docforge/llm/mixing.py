@@ -45,7 +45,7 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], rounds: int = ROUNDS)
 
     Each step scales the cells of each value of one dimension to the value's target, by sums over windows on the table
     of cells, which has a row for each combination of values, never one for a document. Every STEP rounds are
-    checkpointed. Values without a target get 0.
+    checkpointed. Values without a target get 0. Where no factors meet all targets, the last dimension's are met.
     """
     now = cells.withColumn("factor", F.lit(1.0))
     for name, target in targets.items():
