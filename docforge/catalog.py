@@ -30,6 +30,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+MOST_ITEMS = 10_000
 LICENCE = r"(?i)licen[cs]e"
 
 
@@ -260,18 +261,13 @@ def validate_docs(spark, d):
 b AS (SELECT item_id, trim(regexp_replace(regexp_replace(lower(text), '[^\p{L}\p{N}_\s]', ' ', 'g'), '\s+', ' ', 'g')) AS e FROM benchmark)
 SELECT item_id, count(*) AS n_docs, min(doc_id) AS first_doc FROM k JOIN b ON e <> '' AND (contains(t, e) OR contains(replace(t, ' ', ''), replace(e, ' ', ''))) GROUP BY item_id""")
 def evidence_contains(spark, d):
-    """Which documents hold a benchmark item whole: candidates by the item's rarest start, then containment."""
+    """Which documents hold a benchmark item whole, spaces aside. A small set of items goes to every document, as the
+    question is one of containment, which no key can answer; more than MOST_ITEMS are refused."""
     keyed = text.once(table(spark, d, "documents").select("doc_id", "text"), t=F.replace(text.evidence_key(F.col("text")), F.lit(" "), F.lit(""))).select("doc_id", "t")
     items = table(spark, d, "benchmark").select("item_id", F.replace(text.evidence_key(F.col("text")), F.lit(" "), F.lit("")).alias("e")).where("e <> ''")
-    size = items.agg(F.min(F.char_length("e"))).first()[0] or 1
-    size = min(size, 40)
-    starts = F.transform(F.sequence(F.lit(1), F.greatest(F.char_length("t") - size + 1, F.lit(1))), lambda i: F.xxhash64(F.substring("t", i, F.lit(size))))
-    wanted = items.withColumn("h", F.xxhash64(F.substring("e", 1, size)))
-    hashes = [r[0] for r in wanted.select("h").distinct().limit(10_001).collect()]
-    if len(hashes) > 10_000:
-        raise ValueError("more than 10000 different items")
-    near = keyed.select("doc_id", "t", F.explode(F.array_intersect(starts, F.array(*(F.lit(h) for h in hashes)) if hashes else F.array().cast("array<long>"))).alias("h"))
-    found = near.join(wanted, "h").where(F.contains("t", F.col("e"))).select("doc_id", "item_id").distinct()
+    if items.count() > MOST_ITEMS:
+        raise ValueError(f"more than {MOST_ITEMS} items")
+    found = keyed.join(F.broadcast(items), F.contains("t", F.col("e"))).select("doc_id", "item_id")
     return found.groupBy("item_id").agg(F.count("*").alias("n_docs"), F.min("doc_id").alias("first_doc"))
 
 
