@@ -31,10 +31,11 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies, that with the smallest id."""
+    """One document of each group of near copies, that with the smallest id; documents without an id all stay."""
     groups = simhash.near_duplicates(docs, words=SHINGLE, distance=DISTANCE, lanes=LANES, rounds=ROUNDS)
     kept = groups.where("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns)
+    named = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns)
+    return named.unionByName(docs.where("doc_id is null"))
 
 
 def clean_of_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
