@@ -14,7 +14,7 @@ from docforge.llm.common import map_arrow, text_chunks, widened
 #: Bounds of the training sample: documents of a language (at most), bytes of a document, languages (the most frequent).
 SAMPLE_DOCS, SAMPLE_BYTES, MAX_LANGUAGES = 256, 1 << 16, 64
 #: Bytes of the table of code lengths that each worker holds; fewer third-order contexts are kept for more languages.
-TABLE_BYTES = 96 << 20
+TABLE_BYTES = 48 << 20
 #: Letters keep their byte with A-Z lower-cased; every other ASCII byte is a space.
 FOLD = np.array([b if 97 <= b <= 122 or b >= 128 else b + 32 if 65 <= b <= 90 else 32 for b in range(256)], np.uint8)
 
@@ -91,11 +91,11 @@ class Model:
 
     def _lengths(self, grams: np.ndarray, counts: np.ndarray, frequent: np.ndarray) -> np.ndarray:
         size = self.size
-        lower = np.full((1, size), 8.0)  # bits without any context
+        lower = np.full((1, size), 8.0, np.float32)  # bits without any context
         for order in (0, 1, 2):
-            cells = np.bincount(grams % size ** (order + 1), counts, minlength=size ** (order + 1)).reshape(-1, size)
+            cells = np.bincount(grams % size ** (order + 1), counts, minlength=size ** (order + 1)).astype(np.float32).reshape(-1, size)
             lower = self._mix(cells, np.tile(lower, (cells.shape[0] // lower.shape[0], 1)))
-        own = np.zeros((len(frequent), size))
+        own = np.zeros((len(frequent), size), np.float32)
         if len(frequent):
             place = np.searchsorted(frequent, grams // size).clip(max=len(frequent) - 1)
             good = frequent[place] == grams // size

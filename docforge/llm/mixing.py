@@ -12,7 +12,7 @@ TOPICS = [("licence", "icense"), ("contact", "@"), ("tabular", " | "), ("referen
 DIMENSIONS = ("source", "lang", "topic")
 #: Share of a value in the target mix: its share of the tokens to this power, made to sum to one.
 TEMPERATURES = {"source": 0.5, "lang": 0.5, "topic": 0.7}
-ROUNDS, STEP, BUDGET_ROUNDS = 15, 5, 40
+ROUNDS, STEP, BUDGET_ROUNDS = 15, 5, 20
 
 
 def topic_of(text: Column) -> Column:
@@ -78,11 +78,12 @@ def mix(df: DataFrame, share: float = 0.5, seed: int = 17, text: str = "text", d
     cells = cut(keyed.where("tokens > 0").groupBy(*dims).agg(F.sum("tokens").alias("tokens")))
     fitted = rake(cells, {f"_{d}": cut(tempered(cells, f"_{d}", temperatures[d])) for d in DIMENSIONS})
     budget, rate = share * float(cells.agg(F.sum("tokens")).first()[0] or 0), share
-    for _ in range(BUDGET_ROUNDS):
-        expected = fitted.agg(F.sum(F.col("tokens") * F.least(F.lit(1.0), F.lit(rate) * F.col("factor")))).first()[0] or 0.0
-        if not expected or abs(expected / budget - 1) < 1e-9:
+    for _ in range(BUDGET_ROUNDS):  # Newton's steps on a concave, piecewise linear function: a few reach its exact root
+        sure = F.lit(rate) * F.col("factor") >= 1
+        fixed, slope = fitted.agg(F.sum(F.when(sure, F.col("tokens"))), F.sum(F.when(~sure, F.col("tokens") * F.col("factor")))).first()
+        before, rate = rate, (budget - float(fixed or 0)) / slope if slope else rate
+        if abs(rate - before) <= 1e-12 * rate:
             break
-        rate *= budget / expected
     chances = fitted.select(*dims, F.col("factor").alias("weight"), F.least(F.lit(1.0), F.lit(rate) * F.col("factor")).alias("probability"))
     drawn = keyed.join(chances, dims, "left")
     some = F.col("tokens") > 0
