@@ -18,7 +18,7 @@ SPLITS, CELL, ROUNDS = 4, 256, 9
 #: A round that changes fewer of all edges ends the descent.
 LEAST_CHANGE = 0.005
 #: Of the search: candidates kept for a query, candidates expanded in a step, steps at most.
-BEAM, EXPAND, STEPS = 128, 16, 10
+BEAM, EXPAND, STEPS = 160, 24, 10
 
 
 def clean_vectors(df: DataFrame, vec_id: str, embedding: str) -> DataFrame:
