@@ -116,8 +116,9 @@ def bipartite(a: tuple, b: tuple, distance: int) -> list[tuple[int, int]]:
     return edges
 
 
-def _runs(batches: Iterator[pa.RecordBatch], lanes: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, int]]:
-    """(key, nodes, fingerprints, part) of each run of equal keys in sorted batches, in parts of at most CHUNK rows."""
+def _runs(batches: Iterator[pa.RecordBatch], lanes: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, int, bool]]:
+    """(key, nodes, fingerprints, part, whether more parts follow) of each run of equal keys in sorted batches, in parts
+    of at most CHUNK rows. Any part may be short, as a run may begin anywhere in a batch."""
     held: list[tuple[np.ndarray, np.ndarray]] = []
     key, part, size = None, 0, 0
     for batch in batches:
@@ -133,17 +134,17 @@ def _runs(batches: Iterator[pa.RecordBatch], lanes: int) -> Iterator[tuple[int,
             own = int(block[s])
             if own != key:
                 if key is not None and size:
-                    yield key, *_joined(held), part
+                    yield key, *_joined(held), part, False
                 key, part, held, size = own, 0, [], 0
             for at in range(s, e, CHUNK):
                 to = min(e, at + CHUNK)
                 if size + to - at > CHUNK:
-                    yield key, *_joined(held), part
+                    yield key, *_joined(held), part, True
                     part, held, size = part + 1, [], 0
                 held.append((node[at:to], fps[at:to]))
                 size += to - at
     if key is not None and size:
-        yield key, *_joined(held), part
+        yield key, *_joined(held), part, False
 
 
 def _joined(held: list) -> tuple[np.ndarray, np.ndarray]:
@@ -169,10 +170,10 @@ def links(nodes: DataFrame, distance: int, lanes: int = 1, rounds: int = 1, widt
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows: list[tuple] = []
-        for run, ids, fps, part in _runs(batches, lanes):
+        for run, ids, fps, part, more in _runs(batches, lanes):
             order = np.argsort(ids, kind="stable")
             rows += [(a, b, None, None, *(None,) * lanes) for a, b in spanning(ids[order], fps[order], distance)]
-            if part or len(ids) == CHUNK:  # perhaps one of several chunks
+            if part or more:  # one of several chunks
                 rows += [(int(i), None, run, part, *(int(x) for x in f)) for i, f in zip(ids, fps.view(np.int64), strict=True)]
             if len(rows) >= 1 << 15:
                 yield _batch(rows, fields)

@@ -244,6 +244,38 @@ def test_simhash_links_in_dense_groups(spark, monkeypatch, chunk):
     assert {i: roots.get(i, i) for i, _ in rows} == grouped([(i, p % 2**64) for i, p in rows])
 
 
+def test_simhash_links_across_chunks_of_a_block_that_starts_late_in_a_batch(monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(simhash, "CHUNK", 8)
+    keys = [1] * 7 + [2] * 20 + [3] + [4] * 8 + [5] * 2
+    rows = [(k, i, 100 + i) for i, k in enumerate(keys)]
+    batches = [pa.RecordBatch.from_pydict(dict(zip("knf", map(list, zip(*rows[i : i + 10], strict=True)), strict=True))) for i in range(0, len(rows), 10)]
+    parts = {}
+    for key, ids, _, part, more in simhash._runs(iter(batches), 1):
+        assert len(ids) <= 8
+        parts.setdefault(key, []).append((part, more, ids.tolist()))
+    for key in (1, 2, 4, 5):
+        own = parts[key]
+        assert sum((p[2] for p in own), []) == [i for k, i, _ in rows if k == key]
+        assert [p[0] for p in own] == list(range(len(own))) and [p[1] for p in own] == [True] * (len(own) - 1) + [False]
+    assert len(parts[2][0][2]) == 3  # block 2 begins three rows before the end of a batch
+
+
+def test_simhash_links_in_a_large_block_across_batches(spark):
+    # pairs that differ in three blocks share one mask only, and all 5000 rows share it
+    rng = random.Random(12)
+    prints = rng.sample(range(1 << 30), 2500)
+    prints = [p << 33 for p in prints] + [(p << 33) ^ (1 << 35 | 1 << 47 | 1 << 60) for p in prints]
+    rows = [(i, p - 2**64 if p >= 2**63 else p) for i, p in enumerate(prints)]
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 3000)
+    try:
+        roots = {r.node: r.root for r in components(simhash.links(spark.createDataFrame(rows, "node long, f0 long"), 3)).collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert [i for i in range(2500) if roots.get(i, i) != roots.get(i + 2500, i + 2500)] == []
+
+
 def test_wide_fingerprints_find_near_copies(spark):
     base = prose(8, 400).split()
     rng = random.Random(9)
