@@ -9,11 +9,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from docforge.llm.common import cut, map_arrow, written
+from docforge.llm.common import cut, map_arrow, mix64, written
 
-#: Neighbours of a node in the graph, reverse neighbours that join in a round, candidates that a meeting gives a member.
-DEGREE, REVERSE, GIVEN = 32, 32, 10
-#: Random splits that make the first graph, members of a cell that are compared at once, rounds at most.
+#: Neighbours of a node in the graph, reverse neighbours that join in a round, candidates that a meeting gives a
+#: member (DEGREE where a list is not full yet). GIVEN is no less than the results of a query, else tight groups close.
+DEGREE, REVERSE, GIVEN = 32, 32, 20
+#: Splits by random planes that make the first graph along with one by a hash, members of a cell that are compared at once, rounds at most.
 SPLITS, CELL, ROUNDS = 4, 256, 9
 #: A round that changes fewer of all edges ends the descent.
 LEAST_CHANGE = 0.005
@@ -53,7 +54,10 @@ def unpack(codes: pa.Array) -> np.ndarray:
 
 
 def cells(nodes: DataFrame, count: int) -> DataFrame:
-    """Rows (c, m, fresh, least, code): in each of SPLITS random splits, members of one cell share the signs of projections."""
+    """Rows (c, m, fresh, least, code): in each of SPLITS random splits, members of one cell share the signs of projections.
+
+    In one more split a hash of the node deals it a cell, so that a tight group also gets to know nodes far from it.
+    """
     bits = max(0, int(np.ceil(np.log2(max(1, count) / (CELL // 4)))))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -62,9 +66,14 @@ def cells(nodes: DataFrame, count: int) -> DataFrame:
                 continue
             x = unpack(batch.column(1))
             planes = np.random.default_rng(23).standard_normal((SPLITS, max(1, bits), x.shape[1])).astype(np.float32)
-            for k in range(SPLITS if bits else 1):
-                sign = (x @ planes[k].T > 0)[:, :bits]
-                cell = (sign @ (1 << np.arange(bits, dtype=np.int64)) if bits else np.zeros(len(x), np.int64)) * SPLITS + k
+            dealt = mix64(batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)) & np.uint64((1 << bits) - 1)
+            for k in range(SPLITS + 1 if bits else 1):
+                if k < SPLITS:
+                    sign = (x @ planes[k].T > 0)[:, :bits]
+                    cell = sign @ (1 << np.arange(bits, dtype=np.int64)) if bits else np.zeros(len(x), np.int64)
+                else:
+                    cell = dealt.astype(np.int64)
+                cell = cell * (SPLITS + 1) + k
                 yield pa.RecordBatch.from_arrays([pa.array(cell), batch.column(0), pa.array(np.ones(len(x), bool)), pa.array(np.full(len(x), -np.inf, np.float32)), batch.column(1)], names=["c", "m", "fresh", "least", "code"])
 
     return map_arrow(nodes, run, "c long, m long, fresh boolean, least float, code binary")
@@ -84,7 +93,7 @@ def meet(members: DataFrame) -> DataFrame:
         s[~(fresh[:, None] | fresh[None, :])] = -np.inf
         np.fill_diagonal(s, -np.inf)
         s[s <= least[:, None]] = -np.inf
-        k = min(GIVEN, len(ids))
+        k = min(DEGREE if np.isneginf(least).any() else GIVEN, len(ids))
         best = np.argpartition(-s, k - 1, axis=1)[:, :k]
         score = np.take_along_axis(s, best, axis=1)
         i, j = np.nonzero(np.isfinite(score))

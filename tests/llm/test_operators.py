@@ -130,6 +130,23 @@ def test_neighbours(spark):
     assert hits >= 0.9 * 45 * 20 and {r.query_id for r in out} == set(range(0, 900, 20))
 
 
+def test_neighbours_in_tight_groups(spark):
+    rng = np.random.default_rng(2)
+    groups = np.repeat(rng.standard_normal((150, 32)), [11, 15, 20] * 50, axis=0)
+    x = groups + 0.0005 * rng.standard_normal(groups.shape)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    out = ann.search(spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")).collect()
+    found, hits, asked = {}, 0, range(0, len(x), 20)
+    for r in out:
+        found.setdefault(r.query_id, set()).add(r.vec_id)
+    for q in asked:
+        score = x @ x[q]
+        score[q] = -np.inf
+        hits += len(found[q] & set(np.argsort(-score)[:20].tolist()))
+    assert {q: len(found[q]) for q in asked} == dict.fromkeys(asked, 20)
+    assert hits >= 0.9 * 20 * len(asked)
+
+
 def test_few_neighbours(spark):
     df = spark.createDataFrame([(0, [1.0, 0.0]), (20, [1.0, 0.0]), (3, [0.0, 1.0])], "vec_id long, embedding array<double>")
     assert [(r.query_id, r.rank, r.vec_id, r.score) for r in ann.search(df).orderBy("query_id", "rank").collect()] == [(0, 1, 20, 1.0), (0, 2, 3, 0.0), (20, 1, 0, 1.0), (20, 2, 3, 0.0)]
