@@ -29,15 +29,20 @@ CLASS = {c: a for a in ALPHABETS for c in a}
 GENDER = {name: key for key, names in NAMES.items() for name in names}
 WORD = re.compile(r"[^\W\d_]+\.?")
 PATTERNS = [
-    ("email", re.compile(r"[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,24}")),
+    ("email", re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,24}")),
     ("ipv4", re.compile(r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)\.){3}(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)(?![\d]|\.\d)")),
     ("card", re.compile(r"(?<![\d.])\d{4}([ -]?)\d{4}\1\d{4}\1\d{4}(?!\d)")),
     ("phone", re.compile(r"(?<![\w+])(?:\+\d{1,3}[ .-]?)?(?:\(\d{3}\)[ .-]?\d{3}[ .-]?\d{4}|\d{3}[.-]\d{3}[.-]\d{4})(?!\d)|(?<![\w+])\+\d{1,3}(?:[ .-]?\d){8,12}(?!\d)")),
     ("ssn", re.compile(r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])")),
-    ("key", re.compile(r"(?<![A-Za-z0-9])(?:AKIA|ASIA|ghp_|gho_|xoxb-|sk-)[A-Za-z0-9]{16,64}(?![A-Za-z0-9])")),
-    ("secret", re.compile(r"(?i)(?<=[\"'=: ])(?<![A-Za-z0-9])[0-9a-f]{16,128}(?![A-Za-z0-9])|(?<=password=)\S{6,128}|(?<=passwd=)\S{6,128}|(?<=api_key=)\S{6,128}")),
+    ("key", re.compile(r"(?<![A-Za-z0-9])(?:AKIA|ASIA|ghp_|gho_|xoxb-|sk-)[A-Za-z0-9]{16,}(?![A-Za-z0-9])")),
+    ("secret", re.compile(r"(?i)(?<=[\"'=: ])(?<![A-Za-z0-9])[0-9a-f]{16,}(?![A-Za-z0-9])|(?<=password=)\S{6,}|(?<=passwd=)\S{6,}|(?<=api_key=)\S{6,}")),
 ]
-MAYBE = re.compile(r"@|\d\d|\d\.\d|[Pp]ass|[Aa]pi_key|ghp_|gho_|AKIA|ASIA|xoxb|sk-")
+#: What every match of a pattern holds; texts without it are not searched for the whole.
+NEEDS = {"email": re.compile("@"), "ipv4": re.compile(r"\d\.\d"), "card": re.compile(r"\d{4}"), "phone": re.compile(r"\d"), "ssn": re.compile(r"\d{3}-")}
+TITLE_WORDS = {t for own in TITLES.values() for t in own}
+OPENS = frozenset(GENDER) | TITLE_WORDS
+#: Letters that are one number; a longer value is taken in such pieces, as numbers cost the square of their length.
+PIECE = 128
 
 
 def luhn(digits: str) -> bool:
@@ -54,7 +59,7 @@ class Surrogates:
 
     def __init__(self, key: bytes) -> None:
         self.key = key
-        self.letters = lru_cache(1 << 16)(self._letters)
+        self.piece = lru_cache(1 << 16)(self._letters)
 
     def _round(self, tag: str, i: int, half: int) -> int:
         return int.from_bytes(hashlib.blake2b(f"{tag}|{i}|{half}".encode(), key=self.key, digest_size=32).digest(), "big")
@@ -89,6 +94,9 @@ class Surrogates:
             step = step % (count - 1) + 1
         return self._permute(tag, (self._permute(tag, n, count, False) + step) % count, count, True)
 
+    def letters(self, tag: str, text: str, hexadecimal: bool = False) -> str:
+        return "".join(self.piece(f"{tag}+{i}" if i else tag, text[i : i + PIECE], hexadecimal) for i in range(0, len(text), PIECE))
+
     def _letters(self, tag: str, text: str, hexadecimal: bool = False) -> str:
         """Each letter or digit by one of its class (script and case); everything else stays."""
         classes = ["0123456789abcdef" if hexadecimal and c in "0123456789abcdef" else CLASS.get(c) for c in text]
@@ -171,7 +179,6 @@ def people(text: str) -> list[tuple[int, int, str]]:
     and in the same text every later or earlier mention of these words."""
     words = [(m.start(), m.end(), m.group()) for m in WORD.finditer(text)]
     known: dict[str, str] = {}
-    titles = {t for own in TITLES.values() for t in own}
     proper = lambda w: len(w) > 1 and w[0].isupper() and w[1:].islower()
     for (_, e, a), (s, _, b) in zip(words, words[1:], strict=False):
         b = b.rstrip(".")
@@ -179,7 +186,7 @@ def people(text: str) -> list[tuple[int, int, str]]:
             if a in GENDER:
                 known[a] = "given"
                 known.setdefault(b, "given" if b in GENDER else "surname")
-            elif a in titles:
+            elif a in TITLE_WORDS:
                 known.setdefault(b, "given" if b in GENDER else "surname")
     if not known:
         return []
@@ -189,13 +196,12 @@ def people(text: str) -> list[tuple[int, int, str]]:
 def detect(text: str) -> list[tuple[int, int, str]]:
     """Spans (start, end, kind) in order, without overlaps; of two the earlier in PATTERNS wins."""
     found: list[tuple[int, int, str]] = []
-    if MAYBE.search(text):
-        for kind, pattern in PATTERNS:
+    for kind, pattern in PATTERNS:
+        if kind not in NEEDS or NEEDS[kind].search(text):
             for m in pattern.finditer(text):
                 if all(m.end() <= s or m.start() >= e for s, e, _ in found):
                     found.append((m.start(), m.end(), kind))
-    tokens = set(text.split())
-    if not (tokens.isdisjoint(GENDER) and tokens.isdisjoint(t for own in TITLES.values() for t in own)):
+    if not OPENS.isdisjoint(WORD.findall(text)):
         taken = list(found)
         found += [p for p in people(text) if all(p[1] <= s or p[0] >= e for s, e, _ in taken)]
     return sorted(found)

@@ -202,6 +202,17 @@ def test_surrogates(spark, docs, empty):
     assert pii.pseudonymise(docs, b"k").count() == docs.count() and pii.pseudonymise(empty, b"k").count() == 0
 
 
+@pytest.mark.parametrize(
+    ("text", "private"),
+    [("DB_PASSWORD=hunterTwo!", "hunterTwo!"), ("API_KEY=abcDEFxyz", "abcDEFxyz"), ("token: deadbeefcafebabefeedface", "deadbeefcafebabefeedface"), ("token: a1b2c3d4e5f6a7b8c9d0", "a1b2c3d4e5f6a7b8c9d0")]
+    + [("(Alice Walker", "Walker"), ('"Mr. Smith', "Smith"), ("Name:Alice Walker", "Alice")]
+    + [(f"password={'aB' * 200}", "aB" * 20), (f"key sk-{'a1' * 60}", "a1a1a1a1"), (f"token: {'ab' * 90}", "abababab"), (f"{'long.' * 20}name@x.org", "long.long")],
+)
+def test_each_entity_is_found_where_it_is_the_only_one(text, private):
+    out, entities = pii.replace(text, pii.Surrogates(b"k"))
+    assert entities and private not in out
+
+
 @pytest.mark.parametrize("count", [2, 3, 10, 97, 1000])
 def test_numbers_are_permuted_without_fixed_points(count):
     s = pii.Surrogates(b"key")
