@@ -62,18 +62,24 @@ class Windows:
 
 
 def _pieces(data: np.ndarray, size: int) -> Iterator[tuple[int, np.ndarray]]:
-    """(words before, bytes) of pieces of a long text such that each window of ``size`` words is in just one piece."""
+    """(words before, bytes) of pieces of a long text such that each window of ``size`` words is in just one piece.
+
+    A piece that would hold fewer words than a window, but some, is made longer, so that the next one begins later.
+    """
     begin, before = 0, 0
     while True:
-        end = min(len(data), begin + STEP)
-        while end < len(data) and not SPACE[data[end]]:
-            end = min(len(data), end + 1)
-        piece = data[begin:end]
-        yield before, piece
+        end, starts = begin, np.zeros(0, np.int64)
+        while True:
+            old, end = end, min(len(data), end + STEP)
+            while end < len(data) and not SPACE[data[end]]:
+                end += 1
+            inside = np.concatenate([[False], ~SPACE[data[old:end]]])  # ``old`` is the text's start, a word's or a space
+            starts = np.concatenate([starts, np.flatnonzero(inside[1:] & ~inside[:-1]) + (old - begin)])
+            if end == len(data) or not len(starts) or len(starts) >= size:
+                break
+        yield before, data[begin:end]
         if end == len(data):
             return
-        inside = np.concatenate([[False], ~SPACE[piece]])
-        starts = np.flatnonzero(inside[1:] & ~inside[:-1])
         kept = min(size - 1, len(starts))
         before += len(starts) - kept
         begin = end if not kept else begin + int(starts[-kept])

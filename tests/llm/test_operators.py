@@ -180,6 +180,19 @@ def test_repeats(spark, docs, empty, monkeypatch):
     assert substring.remove_repeats(empty).count() == 0
 
 
+def test_pieces_of_texts_with_few_words_in_a_step_end(monkeypatch):
+    from itertools import islice
+
+    monkeypatch.setattr(substring, "STEP", 64)
+    text = " ".join(["first"] + ["x" * 300] + [f"w{i}" for i in range(40)] + ["y" * 100] * 4 + [" " * 200] + ["z" * 90] * 3 + [f"v{i}" for i in range(30)])
+    words, windows = text.split(), []
+    for before, piece in islice(substring._pieces(np.frombuffer(text.encode(), np.uint8), 13), 1000):
+        own = piece.tobytes().decode().split()
+        assert own == words[before : before + len(own)]
+        windows += range(before, before + len(own) - 12)
+    assert windows == list(range(len(words) - 12))
+
+
 # 4 surrogates
 
 
