@@ -17,6 +17,8 @@ LEAST_SCORE = 0.5
 #: pairs at 0.7 about half). Six rounds of twelve blocks find a pair of similarity 0.8 with probability 0.89, one of 0.85
 #: with 0.98, and fingerprints with less than 12 bits between them surely.
 SHINGLE, LANES, DISTANCE, ROUNDS = 5, 4, 48, 6
+#: Words of a benchmark window: a document with one is dropped, however long it is.
+WINDOW = 13
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,10 +41,13 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def clean_of_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Without documents of which benchmark windows make at least a twentieth."""
+    """Without documents that hold a whole benchmark window of WINDOW words, or of which shorter items make a twentieth.
+
+    A null or empty text has no words and stays; repeated rows go or stay together.
+    """
     hit = F.col("_hit")
-    out = decontam.scan(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), out="_hit")
-    return out.where((hit["n_hit"] == 0) | (20 * hit["n_hit"] < hit["n_words"])).select(*docs.columns)
+    out = decontam.scan(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), size=WINDOW, out="_hit")
+    return out.where((hit["n_hit"] == 0) | ((hit["n_hit"] < WINDOW) & (20 * hit["n_hit"] < hit["n_words"]))).select(*docs.columns)
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
