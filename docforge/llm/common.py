@@ -22,10 +22,13 @@ LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """The cluster's shared folder if it names one; a temporary folder only where none is set (tests)."""
+    """The cluster's shared folder; a temporary folder only where none is set and all runs on one machine (tests)."""
     sc = spark.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="docforge-"))
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder and not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="docforge-"))
 
 
 def widened(schema: T.StructType, ddl: str) -> T.StructType:
@@ -48,6 +51,22 @@ def written(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(folder)
 
 
+def spread_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner", least: int = 10_000) -> DataFrame:
+    """Equi-join in which one key may hold any share of ``left``, whose keys are not null; ``left`` is best a cut one.
+
+    Keys with more than ``least`` rows and more than a thousandth of all, so a thousand at most, are broadcast; their
+    rows on the left are dealt by a hash over salted copies of the right ones.
+    """
+    most = max(least, left.count() // 1000)
+    hot = left.groupBy(*on).count().where(F.col("count") > most).select(*on, F.ceil(F.col("count") / most).cast("int").alias("_salts"))
+    hot = cut(hot)
+    if hot.isEmpty():
+        return left.join(right, on, how)
+    dealt = left.join(F.broadcast(hot), on, "left").withColumn("_salt", F.coalesce(F.pmod(F.xxhash64(*left.columns), F.col("_salts")), F.lit(0)).cast("int")).drop("_salts")
+    copies = right.join(F.broadcast(hot), on, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1))).drop("_salts")
+    return dealt.join(copies, [*on, "_salt"], how).drop("_salt")
+
+
 def map_arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str | T.StructType) -> DataFrame:
     """``mapInArrow`` with this package at hand on the executors."""
     ship(df.sparkSession)

@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from docforge.llm import ann, decontam, langid, linededup, mixing, pii, simhash, substring, toxicity, urlfilter
-from docforge.llm.common import SPACE, WordHasher, components, text_chunks
+from docforge.llm.common import SPACE, WordHasher, components, spread_join, text_chunks
 
 WORDS = "alpha beta gamma delta Ünïcode zeta eta theta iota kappa lambda mu nu xi omicron pi rho sigma tau upsilon".split()
 LOWER = {i: i + 32 for i in range(65, 91)}
@@ -317,19 +317,44 @@ def test_simhash_links_in_a_large_block_across_batches(spark):
     assert [i for i in range(2500) if roots.get(i, i) != roots.get(i + 2500, i + 2500)] == []
 
 
-def test_wide_fingerprints_find_near_copies(spark):
-    base = prose(8, 400).split()
-    rng = random.Random(9)
-    texts = [" ".join(base)]
-    for _ in range(8):
-        w = list(base)
-        for k in rng.sample(range(400), 6):
-            w[k] = "edit" + str(rng.random())
-        texts.append(" ".join(w))
-    texts += [prose(200 + i, 400) for i in range(8)]
-    out = simhash.near_duplicates(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), words=5, distance=48, lanes=4, rounds=6)
+def jaccard(a, b, words=5):
+    a, b = ({tuple(w[i : i + words]) for i in range(max(1, len(w) - words + 1))} for w in (tokens(t.translate(LOWER)) for t in (a, b)))
+    return len(a & b) / len(a | b)
+
+
+@pytest.mark.parametrize("chunk", [4096, 8])
+def test_verified_near_copies(spark, monkeypatch, chunk):
+    monkeypatch.setattr(simhash, "CHUNK", chunk)
+    rng, texts = random.Random(9), []
+    for family in range(12):
+        base = prose(800 + family, 300).split()
+        texts.append(" ".join(base))
+        for edits in (1, 3, 5, 6, 20, 25, 60):
+            w = list(base)
+            for k in rng.sample(range(300), edits):
+                w[k] = "edit" + str(rng.random())
+            texts.append(" ".join(w))
+    texts += [None, "", "short text", "short text", "Short text"]
+    rows = [(i, t, "x") for i, t in enumerate(texts)] + [(None, texts[0], "x"), (3, texts[3], "x")]
+    out = simhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string, f0 string"), words=5, distance=60, lanes=4, similarity=0.8)
+    assert out.count() == len(rows)
     group = {r.doc_id: r.component_id for r in out.collect()}
-    assert sum(group[i] == 0 for i in range(9)) >= 8 and all(group[i] == i for i in range(9, 17))  # a sketch: some are missed
+    parent = {i: i for i in range(len(texts))}
+    for i, a in enumerate(texts):
+        for j in range(i):
+            if (not a and not texts[j]) or (a and texts[j] and jaccard(a, texts[j]) >= 0.8):
+                x, y = find(parent, i), find(parent, j)
+                parent[max(x, y)] = min(x, y)
+    assert {i: group[i] for i in parent} == {i: find(parent, i) for i in parent}
+
+
+def test_spread_join(spark):
+    left = spark.createDataFrame([(i % 7 if i % 2 else 3, i) for i in range(200)], "k int, x int")
+    right = spark.createDataFrame([(k, f"r{k}") for k in (0, 1, 3, 3, 9)], "k int, y string")
+    for how in ("inner", "left"):
+        want = sorted((r.k, r.x, str(r.y)) for r in left.join(right, "k", how).collect())
+        for least in (10, 1000):
+            assert sorted((r.k, r.x, str(r.y)) for r in spread_join(left, right, ["k"], how, least).collect()) == want
 
 
 # 6 language ID
