@@ -8,36 +8,47 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docforge.llm import decontam, langid, linededup, mixing, simhash
-from docforge.llm.common import ensure_checkpoint_dir
+from docforge.llm.common import cut, ensure_checkpoint_dir, parted, sketch
 
 #: Documents whose language is less sure than this are rejected.
 LEAST_SCORE = 0.5
-#: Near copies: 256-bit fingerprints of five-word shingles. At a Jaccard similarity of 0.8 the shingle sets' cosine is 8/9,
-#: so that fingerprints differ in 39 bits with a standard deviation of 5.7; 48 bits take in 94 % of such pairs (and of
-#: pairs at 0.7 about half). Six rounds of twelve blocks find a pair of similarity 0.8 with probability 0.89, one of 0.85
-#: with 0.98, and fingerprints with less than 12 bits between them surely.
-SHINGLE, LANES, DISTANCE, ROUNDS = 5, 4, 48, 6
+#: Near copies: 256-bit fingerprints of five-word shingles propose pairs, a Jaccard similarity of SIMILAR decides. At 0.8 the
+#: shingle sets' cosine is 8/9, so that fingerprints differ in 39 bits with a standard deviation of 5.7: 57 bits take in
+#: 99.9 % of such pairs, and blocks are chosen so that 98 % of them meet in one.
+SHINGLE, LANES, DISTANCE, SIMILAR, RECALL = 5, 4, 57, 0.8, 0.98
 #: Words of a benchmark window: a document with one is dropped, however long it is.
 WINDOW = 13
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Without documents of no language (``und``) or of one that is unsure."""
+    """Without documents of no language (``und``: null, empty or without a letter) or of one that is unsure.
+
+    Repeated rows go or stay together.
+    """
     return langid.identify(docs, lang_out="_lang", score_out="_score", bits_out="_bits").where((F.col("_lang") != "und") & (F.col("_score") >= LEAST_SCORE)).select(*docs.columns)
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Without repeated lines; documents of which nothing is left go."""
+    """Without repeated lines; documents of which nothing is left go, null texts stay (see dedupe_lines)."""
     out = linededup.dedupe_lines(docs).where((F.col("n_removed") == 0) | (F.trim("text") != ""))
     return out.withColumn("n_chars", F.when(F.col("n_removed") == 0, F.col("n_chars")).otherwise(F.char_length("text").cast("long"))).select(*docs.columns)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies, that with the smallest id; documents without an id all stay."""
-    groups = simhash.near_duplicates(docs, words=SHINGLE, distance=DISTANCE, lanes=LANES, rounds=ROUNDS)
-    kept = groups.where("doc_id = component_id").select("doc_id").distinct()
-    named = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns)
-    return named.unionByName(docs.where("doc_id is null"))
+    """One document of each group of near copies, that with the smallest id.
+
+    Null and blank texts are copies of one another. Documents without an id all stay; rows that repeat an id are one
+    document and go or stay together, less rows that repeat another in all columns. Only texts whose id is dropped or
+    repeated, and the few that a sketch of these ids can't tell from them, are shuffled.
+    """
+    groups = cut(simhash.near_duplicates(docs.select("doc_id", "text"), words=SHINGLE, lanes=LANES, distance=DISTANCE, similarity=SIMILAR, recall=RECALL).select("doc_id", "component_id"))
+    ids = groups.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("rows"), F.min("component_id").alias("first"))
+    odd = cut(ids.where("rows > 1 or first <> doc_id").select(F.col("doc_id").alias("_id"), (F.col("first") == F.col("doc_id")).alias("_stays"), F.xxhash64("doc_id").alias("_key")))
+    some, rest = parted(docs.withColumn("_k", F.xxhash64(F.col("doc_id").cast("long"))), "_k", *sketch(odd, "_key"))
+    some = some.join(odd, F.col("doc_id") == F.col("_id"), "left")
+    single = some.where("_id is null").select(*docs.columns)
+    repeated = some.where("_stays").select(*docs.columns).dropDuplicates()
+    return rest.select(*docs.columns).unionByName(single).unionByName(repeated)
 
 
 def clean_of_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,7 +62,7 @@ def clean_of_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The sample that meets the target shares of source, language and topic."""
+    """The sample that meets the target shares of source, language and topic; texts without words, null ones too, go."""
     return mixing.mix(docs).where("sampled").drop("sampled")
 
 
