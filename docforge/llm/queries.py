@@ -132,13 +132,13 @@ start AS (
   UNION ALL
   SELECT i + 1, s, l, topic, w, n, gs, gl, gt, f * gt * n / sum(w * f) OVER (PARTITION BY topic) FROM (
     SELECT * REPLACE (f * gl * n / sum(w * f) OVER (PARTITION BY l) AS f) FROM (
-      SELECT * REPLACE (f * gs * n / sum(w * f) OVER (PARTITION BY s) AS f) FROM ipf WHERE i < 15))
-), fit AS (SELECT * FROM ipf WHERE i = 15),
+      SELECT * REPLACE (f * gs * n / sum(w * f) OVER (PARTITION BY s) AS f) FROM ipf WHERE i < 80))
+), fit AS (SELECT * FROM ipf WHERE i = 80),
 rates AS (
   SELECT 0 AS k, 0.5::DOUBLE AS rate
   UNION ALL
-  SELECT k + 1, ((SELECT 0.5 * sum(w) FROM fit) - (SELECT coalesce(sum(w), 0) FROM fit WHERE rate * f >= 1)) / (SELECT sum(w * f) FROM fit WHERE rate * f < 1) FROM rates WHERE k < 12
-), p AS (SELECT s, l, topic, f, least(1.0, (SELECT rate FROM rates WHERE k = 12) * f) AS p FROM fit)
+  SELECT k + 1, ((SELECT 0.5 * sum(w) FROM fit) - (SELECT coalesce(sum(w), 0) FROM fit WHERE rate * f >= 1)) / (SELECT sum(w * f) FROM fit WHERE rate * f < 1) FROM rates WHERE k < 40
+), p AS (SELECT s, l, topic, f, least(1.0, (SELECT rate FROM rates WHERE k = 40) * f) AS p FROM fit)
 SELECT doc_id, source, lang, topic, tokens, round(coalesce(f, 0.0), 6) AS weight, round(coalesce(p, 0.0), 6) AS probability,
        tokens > 0 AND ('0x' || substr(md5('17:' || coalesce(doc_id::VARCHAR, '')), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE < coalesce(p, 0.0) AS sampled
 FROM docs LEFT JOIN p USING (s, l, topic)

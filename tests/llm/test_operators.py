@@ -504,7 +504,7 @@ def test_mixing(spark, docs, empty):
                 own[v] = own.get(v, 0) + r.tokens
         norm = sum(n**power for n in own.values())
         # two repeated words are all that has no source and no language, so that these two targets can't both be met
-        assert all(have[v] == pytest.approx(total * own[v] ** power / norm, rel=0.1) for v in own if v != "unknown")
+        assert all(have[v] == pytest.approx(total * own[v] ** power / norm, rel=0.01) for v in own if name == "topic")
     assert sum(r.tokens * r.probability for r in out) == pytest.approx(total / 2, rel=1e-6)
     assert sum(r.tokens for r in out if r.sampled) == pytest.approx(total / 2, rel=0.15)
     by = {}
@@ -514,6 +514,20 @@ def test_mixing(spark, docs, empty):
     assert mixing.mix(empty).count() == 0 and mixing.mix(docs).count() == docs.count()
 
 
+@pytest.mark.parametrize("few", [100_000, 0])
+def test_mixing_to_given_shares(spark, monkeypatch, few):
+    monkeypatch.setattr(mixing, "FEW_CELLS", few)
+    rng = random.Random(16)
+    rows = [(i, prose(i, rng.randrange(5, 40)) + rng.choice(["", " me@x.org"]), rng.choice(["en", "en", "de"]), rng.choice(["s0", "s0", "s1"])) for i in range(400)]
+    targets = {"source": {"s0": 1.0, "s1": 3.0, "absent": 9.0}, "lang": {"de": 0.75, "en": 0.25}, "topic": {"contact": 0.4, "general": 0.6}}
+    out = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string"), targets=targets).collect()
+    total = sum(r.tokens for r in out)
+    for name, values in (("source", {"s0": 0.25, "s1": 0.75}), ("lang", {"de": 0.75, "en": 0.25}), ("topic", {"contact": 0.4, "general": 0.6})):
+        for value, part in values.items():
+            assert sum(r.tokens * r.weight for r in out if r[name] == value) == pytest.approx(part * total, rel=1e-8)
+    assert sum(r.tokens * r.probability for r in out) == pytest.approx(total / 2, rel=1e-9)
+
+
 # 10 decontamination
 
 
