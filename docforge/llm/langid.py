@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import codecs
 from collections.abc import Iterator
 
 import numpy as np
@@ -11,10 +12,10 @@ from pyspark.sql import functions as F
 
 from docforge.llm.common import map_arrow, text_chunks, widened
 
-#: Bounds of the training sample: documents of a language (at most), bytes of a document, languages (the most frequent).
-SAMPLE_DOCS, SAMPLE_BYTES, MAX_LANGUAGES = 256, 1 << 16, 64
-#: Bytes of the table of code lengths that each worker holds; fewer third-order contexts are kept for more languages.
-TABLE_BYTES = 48 << 20
+#: Bounds of the training sample: documents of a language, documents in all (but one for each language), bytes of a document.
+SAMPLE_DOCS, SAMPLE_ALL, SAMPLE_BYTES = 256, 1 << 14, 1 << 16
+#: Bytes of context, languages that share a table, bytes of text that are scored at once.
+ORDER, GROUP, STEP = 3, 8, 1 << 18
 #: Letters keep their byte with A-Z lower-cased; every other ASCII byte is a space.
 FOLD = np.array([b if 97 <= b <= 122 or b >= 128 else b + 32 if 65 <= b <= 90 else 32 for b in range(256)], np.uint8)
 
@@ -29,100 +30,155 @@ def held_out(doc_id: Column) -> Column:
 
 
 def sample(docs: DataFrame, text: str, lang: str, doc_id: str) -> list[tuple[str, str]]:
-    """(language, text): of each language at most SAMPLE_DOCS learnable documents, one for each of as many hash buckets.
+    """(language, text): of each language at most SAMPLE_DOCS learnable documents, fewer if there are so many languages
+    that all of them would be over SAMPLE_ALL; one for each of as many hash buckets.
 
-    The document of a bucket is the one with the smallest hash, so the choice is by a minimum with map-side combine.
+    The document of a bucket is the one with the smallest hash, of at most SAMPLE_BYTES where there is one (else its first
+    SAMPLE_BYTES characters are learnt), so the choice is by a minimum with map-side combine. One row for each id.
     """
-    own = docs.select(F.col(doc_id).alias("i"), F.col(lang).alias("l"), F.col(text).alias("t")).where(
-        F.col("l").isNotNull() & F.col("t").isNotNull() & learnable(F.col("i")) & F.octet_length("t").between(1, SAMPLE_BYTES)
+    own = docs.select(F.col(doc_id).alias("i"), F.col(lang).cast("string").alias("l"), F.col(text).cast("string").alias("t")).where(
+        F.col("l").isNotNull() & F.col("t").isNotNull() & learnable(F.col("i")) & (F.octet_length("t") > 0)
     )
-    top = own.groupBy("l").count().orderBy(F.desc("count"), "l").limit(MAX_LANGUAGES)
-    names = [r[0] for r in top.collect()]
+    many = own.select("l").distinct().count()
+    each = max(1, min(SAMPLE_DOCS, SAMPLE_ALL // max(1, many)))
     h = F.xxhash64(F.col("i").cast("string"))
-    picked = own.where(F.col("l").isin(names)).groupBy("l", F.pmod(F.xxhash64(h), F.lit(SAMPLE_DOCS)).alias("b")).agg(F.min(F.struct(h.alias("h"), "i")).alias("m"))
-    ids = [r[0] for r in picked.select("m.i").collect()]
-    rows = own.where(F.col("i").isin(ids)).select("l", "t").collect() if ids else []
-    return sorted((r[0], r[1]) for r in rows)
-
-
-class Model:
-    """Order-3 context trees of each language as one table of code lengths: row of a context, then symbol, then language.
+    order = F.struct((F.octet_length("t") > SAMPLE_BYTES).alias("long"), h.alias("h"), "i")
+    picked = own.groupBy("l", F.pmod(F.xxhash64(h), F.lit(each)).alias("b")).agg(F.min(order).alias("m")).select("l", "m.i")
+    found = picked.collect()
+    if not found:
+        return []
+    wanted = docs.sparkSession.createDataFrame(found, picked.schema)  # at most SAMPLE_ALL rows, or one for each language
+    rows = own.join(F.broadcast(wanted), ["l", "i"]).groupBy("l", "i").agg(F.min(F.substring("t", 1, SAMPLE_BYTES)).alias("t"))
+    return sorted((r.l, r.t) for r in rows.collect())
+
+
+class Places:
+    """Where 32-bit keys stand in a sorted array: one probe of a hash table, a binary search for the few it has lost."""
+
+    def __init__(self, keys: np.ndarray) -> None:
+        self.keys = keys
+        self.shift = np.uint32(32 - max(8, int(8 * len(keys)).bit_length()) if len(keys) < 1 << 26 else 2)
+        self.slots = np.full(1 << (32 - int(self.shift)), -1, np.int32)
+        slot = self._slot(keys)
+        self.slots[slot] = np.arange(len(keys), dtype=np.int32)
+        self.lost = np.flatnonzero(self.slots[slot] != np.arange(len(keys))).astype(np.int32)
+        self.lost_keys = keys[self.lost]
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return (keys * np.uint32(2654435761)) >> self.shift
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """The place of each key, or -1."""
+        if not len(self.keys):
+            return np.full(len(keys), -1, np.int32)
+        at = self.slots[self._slot(keys)]
+        wrong = np.flatnonzero(self.keys[at] != keys)
+        out = at.copy()
+        out[wrong] = -1
+        if len(self.lost):
+            wrong = wrong[at[wrong] >= 0]
+            place = np.searchsorted(self.lost_keys, keys[wrong]).clip(max=len(self.lost) - 1)
+            good = self.lost_keys[place] == keys[wrong]
+            out[wrong[good]] = self.lost[place[good]]
+        return out
+
+
+class Tree:
+    """Context trees of a few languages, order by order: code lengths of the symbols seen after a context, and escapes.
 
     Method C: a context with n symbols of d kinds gives a symbol seen c times c/(n+d) and the escape d/(n+d); an escape
     goes on with the next shorter context, at last with all 256 bytes alike. A context that a language never saw is
-    passed over without cost. Each length is exact for the frozen counts.
+    passed over without cost. A row stands for a context and symbol that one of the languages saw and has the whole
+    length under each language, exact for the frozen counts; what none of them saw is added up from escapes.
     """
 
+    def __init__(self, grams: list[tuple[np.ndarray, np.ndarray]]) -> None:
+        many = len(grams)
+        self.seen, self.bits, self.contexts, self.escapes = [], [], [], []
+        for order in range(ORDER + 1):
+            mask = np.uint32(2 ** (8 * (order + 1)) - 1)
+            own = []
+            for keys, counts in grams:
+                short, at = np.unique(keys & mask, return_inverse=True)
+                own.append((short, np.bincount(at, counts, minlength=len(short))))
+            seen = np.unique(np.concatenate([k for k, _ in own]))
+            context = np.unique(seen >> np.uint32(8)) if order else np.zeros(1, np.uint32)
+            lower = self.bits[-1][self.seen[-1].find(seen & (mask >> np.uint32(8)))] if order else np.full((len(seen), many), 8.0, np.float32)
+            bits, escapes = np.zeros((len(seen), many), np.float32), np.zeros((len(context), many), np.float32)
+            of = np.searchsorted(context, seen >> np.uint32(8)) if order else np.zeros(len(seen), int)
+            for k, (keys, counts) in enumerate(own):
+                at = np.searchsorted(context, keys >> np.uint32(8)) if order else np.zeros(len(keys), int)
+                n, d = np.bincount(at, counts, minlength=len(context)), np.bincount(at, minlength=len(context))
+                with np.errstate(divide="ignore", invalid="ignore"):
+                    escapes[:, k] = np.where(n > 0, -np.log2(d / (n + d)), 0)
+                bits[:, k] = escapes[of, k] + lower[:, k]
+                bits[np.searchsorted(seen, keys), k] = -np.log2(counts / (n + d)[at])
+            self.seen.append(Places(seen))
+            self.bits.append(bits)
+            self.contexts.append(Places(context))
+            self.escapes.append(escapes)
+
+    def lengths(self, keys: np.ndarray) -> np.ndarray:
+        """Bits of the last byte of each key after the other three, under each language."""
+        out = np.zeros((len(keys), self.bits[0].shape[1]), np.float32)
+        left = np.arange(len(keys))
+        for order in range(ORDER, -1, -1):
+            own = keys if order == ORDER else keys[left] & np.uint32(2 ** (8 * (order + 1)) - 1)
+            at = self.seen[order].find(own)
+            hit = at >= 0
+            out[left[hit]] += self.bits[order][at[hit]]
+            left, own = left[~hit], own[~hit]
+            if not len(left):
+                return out
+            context = self.contexts[order].find(own >> np.uint32(8)) if order else np.zeros(len(own), np.int32)
+            known = context >= 0
+            out[left[known]] += self.escapes[order][context[known]]
+        out[left] += 8
+        return out
+
+
+class Model:
+    """Order-3 context trees of every language, GROUP languages to a Tree, so that memory follows the contexts seen."""
+
     def __init__(self, rows: list[tuple[str, str]]) -> None:
         self.languages = sorted({r[0] for r in rows})
-        parts = {name: [FOLD[np.frombuffer(t.encode(), np.uint8)] for own, t in rows if own == name] for name in self.languages}
-        seen = np.zeros(256, bool)
-        seen[32] = True
-        for arrays in parts.values():
-            for a in arrays:
-                seen[a] = True
-        self.symbol = np.zeros(256, np.int64)  # 0: a byte that no language has
-        self.symbol[seen] = 1 + np.arange(seen.sum())
-        self.size = size = int(seen.sum()) + 1
-        self.fold = self.symbol[FOLD]
-        self.space = int(self.symbol[32])
-        many = max(1, len(self.languages))
-        room = max(0, TABLE_BYTES // (4 * many * size) - size * size)
-        fourth, frequent = {}, np.zeros(0, np.int64)
+        grams: dict[str, list] = {name: [] for name in self.languages}
+        for name, text in rows:
+            data = FOLD[np.frombuffer(text.encode(), np.uint8)]
+            grams[name].append(np.unique(self._keys(data, np.array([0, len(data)]), 0, len(data)), return_counts=True))
+        counted = []
         for name in self.languages:
-            grams = [self._contexts(self.symbol[a]) for a in parts[name]]
-            fourth[name] = np.unique(np.concatenate(grams) if grams else np.zeros(0, np.int64), return_counts=True)
-        keys = np.concatenate([g // size for g, _ in fourth.values()]) if fourth else np.zeros(0, np.int64)
-        weights = np.concatenate([c for _, c in fourth.values()]) if fourth else np.zeros(0, np.int64)
-        contexts, at = np.unique(keys, return_inverse=True)
-        if len(contexts):
-            total = np.bincount(at, weights)
-            frequent = np.sort(contexts[np.lexsort((contexts, -total))[:room]])
-        self.row = np.tile(np.arange(size * size, dtype=np.int32), size)
-        self.row[frequent] = size * size + np.arange(len(frequent), dtype=np.int32)
-        self.table = np.zeros(((size * size + len(frequent)) * size, many), np.float32)
-        for k, name in enumerate(self.languages):
-            self.table[:, k] = self._lengths(*fourth[name], frequent)
-
-    def _contexts(self, s: np.ndarray) -> np.ndarray:
-        """Every symbol with the three before it as one number; a text begins after spaces."""
-        p = np.concatenate([np.full(3, self.space), s])
-        return ((p[:-3] * self.size + p[1:-2]) * self.size + p[2:-1]) * self.size + p[3:]
-
-    def _lengths(self, grams: np.ndarray, counts: np.ndarray, frequent: np.ndarray) -> np.ndarray:
-        size = self.size
-        lower = np.full((1, size), 8.0, np.float32)  # bits without any context
-        for order in (0, 1, 2):
-            cells = np.bincount(grams % size ** (order + 1), counts, minlength=size ** (order + 1)).astype(np.float32).reshape(-1, size)
-            lower = self._mix(cells, np.tile(lower, (cells.shape[0] // lower.shape[0], 1)))
-        own = np.zeros((len(frequent), size), np.float32)
-        if len(frequent):
-            place = np.searchsorted(frequent, grams // size).clip(max=len(frequent) - 1)
-            good = frequent[place] == grams // size
-            np.add.at(own, (place[good], (grams % size)[good]), counts[good])
-            own = self._mix(own, lower[frequent % (size * size)])
-        return np.concatenate([lower, own]).reshape(-1)
+            keys, at = np.unique(np.concatenate([k for k, _ in grams[name]]), return_inverse=True)
+            counted.append((keys, np.bincount(at, np.concatenate([c for _, c in grams[name]]))))
+        self.trees = [Tree(counted[i : i + GROUP]) for i in range(0, len(counted), GROUP)]
 
     @staticmethod
-    def _mix(cells: np.ndarray, lower: np.ndarray) -> np.ndarray:
-        n, d = cells.sum(axis=1, keepdims=True), (cells > 0).sum(axis=1, keepdims=True)
-        with np.errstate(divide="ignore", invalid="ignore"):
-            hit, escape = -np.log2(cells / (n + d)), -np.log2(d / (n + d))
-        return np.where(n == 0, lower, np.where(cells > 0, hit, np.where(n == 0, 0, escape) + lower))
+    def _keys(folded: np.ndarray, offsets: np.ndarray, start: int, stop: int) -> np.ndarray:
+        """Each byte from ``start`` to ``stop`` with the three before it in its text; a text begins after spaces."""
+        out = np.zeros(stop - start, np.uint32)
+        first = offsets[:-1][(offsets[:-1] < stop) & (offsets[1:] > start)]
+        for back in range(ORDER, -1, -1):
+            own = folded[max(0, start - back) : max(0, stop - back)]
+            own = np.concatenate([np.full(stop - start - len(own), 32, np.uint8), own]).astype(np.uint32)
+            for k in range(back):
+                at = first + k - start
+                own[at[(at >= 0) & (at < len(own))]] = 32
+            out = (out << np.uint32(8)) | own
+        return out
 
     def code_lengths(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-        """Bits of each text under each language."""
-        s, n = self.fold[data], len(data)
-        first = offsets[:-1][offsets[:-1] < offsets[1:]]
-        context, before = np.zeros(n, np.int64), s
-        for weight in (1, self.size, self.size * self.size):
-            before = np.concatenate([[self.space], before[:-1]])
-            before[first] = self.space
-            context += weight * before
-        bits = self.table[self.row[context].astype(np.int64) * self.size + s]
-        sums = np.zeros((n + 1, bits.shape[1]))
-        np.cumsum(bits, axis=0, dtype=np.float64, out=sums[1:])
-        return sums[offsets[1:]] - sums[offsets[:-1]]
+        """Bits of each text under each language; memory is bounded however long a text is."""
+        folded, total = FOLD[data], np.zeros((len(offsets) - 1, len(self.languages)))
+        for start in range(0, len(data), STEP):
+            stop = min(len(data), start + STEP)
+            keys = self._keys(folded, offsets, start, stop)
+            edge = offsets.clip(start, stop) - start
+            for k, tree in enumerate(self.trees):
+                bits = tree.lengths(keys)
+                sums = np.zeros((len(bits) + 1, bits.shape[1]))
+                np.cumsum(bits, axis=0, dtype=np.float64, out=sums[1:])
+                total[:, k * GROUP : k * GROUP + bits.shape[1]] += sums[edge[1:]] - sums[edge[:-1]]
+        return total
 
 
 def posterior(bits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -134,7 +190,8 @@ def posterior(bits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def has_letter(raw: bytes) -> bool:
-    return any(c.isalpha() for c in raw.decode("utf-8", "replace"))
+    decoder = codecs.getincrementaldecoder("utf-8")("replace")
+    return any(c.isalpha() for i in range(0, len(raw), 4096) for c in decoder.decode(raw[i : i + 4096]))
 
 
 def predict(docs: DataFrame, model: Model, text: str = "text", lang_out: str = "lang_pred", score_out: str = "score", bits_out: str = "bits_per_byte") -> DataFrame:
@@ -142,7 +199,7 @@ def predict(docs: DataFrame, model: Model, text: str = "text", lang_out: str = "
 
     A null or empty text, one without a letter, or a model without languages gives ``und`` and score 0. Ties go to the
     language that sorts first. Columns of ``docs`` with the names of the new ones are replaced. Texts of any length are
-    scored whole, in steps of about 1 MB or one text.
+    scored whole, in steps of STEP bytes. Repeated rows come out alike; an empty table stays empty.
     """
     docs = docs.drop(lang_out, score_out, bits_out)
     shared, at = docs.sparkSession.sparkContext.broadcast(model), docs.columns.index(text)
@@ -151,7 +208,7 @@ def predict(docs: DataFrame, model: Model, text: str = "text", lang_out: str = "
         own = shared.value
         for batch in batches:
             names, scores, rates = [], [], []
-            for i, data, offsets in text_chunks(batch.column(at), 1 << 19):
+            for i, data, offsets in text_chunks(batch.column(at), STEP):
                 size = np.diff(offsets)
                 many = len(size)
                 if own.languages:

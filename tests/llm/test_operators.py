@@ -388,16 +388,37 @@ def slow_bits(texts, target, languages=None):
     return bits
 
 
-def test_code_lengths_are_exact():
-    rows = [("aa", "the cat sat on the mat"), ("aa", "a hat"), ("bb", "le chat été là"), ("bb", "où")]
+@pytest.mark.parametrize(("step", "group"), [(1 << 18, 8), (5, 2), (1, 1)])
+def test_code_lengths_are_exact(monkeypatch, step, group):
+    monkeypatch.setattr(langid, "STEP", step)
+    monkeypatch.setattr(langid, "GROUP", group)
+    rows = [("aa", "the cat sat on the mat"), ("aa", "a hat"), ("bb", "le chat été là"), ("bb", "où"), ("cc", "кот и мат"), ("dd", "猫坐在垫子上")]
     model = langid.Model(rows)
-    targets = ["the chat", "été! 12 Où", "", "zzz"]
+    targets = ["the chat", "été! 12 Où", "", "zzz", "a", "b", "", "ab", "c", "мат the кот", "猫坐", "x" * 40]
     raw = [t.encode() for t in targets]
     bits = model.code_lengths(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)]))
-    want = [[slow_bits([t for name, t in rows if name == own], x) for own in ("aa", "bb")] for x in targets]
+    want = [[slow_bits([t for name, t in rows if name == own], x) for own in ("aa", "bb", "cc", "dd")] for x in targets]
     assert np.allclose(bits, want, rtol=1e-4)
 
 
+def test_places():
+    rng = np.random.default_rng(3)
+    keys = np.unique(rng.integers(0, 1 << 32, 50_000, dtype=np.uint32))
+    places = langid.Places(keys)
+    asked = np.concatenate([keys[::3], rng.integers(0, 1 << 32, 50_000, dtype=np.uint32)])
+    place = np.searchsorted(keys, asked).clip(max=len(keys) - 1)
+    assert (places.find(asked) == np.where(keys[place] == asked, place, -1)).all() and (langid.Places(keys[:0]).find(keys) == -1).all()
+
+
+def test_many_languages_and_repeated_ids_keep_the_sample_bounded(spark, monkeypatch):
+    rows = [(i, f"{'abcdefghijklmnop'[i % 16] * 5} {i}" * 3, f"l{i % 80}") for i in range(800)] + [(4, "repeated", "l4")] * 300
+    monkeypatch.setattr(langid, "SAMPLE_ALL", 160)
+    got = langid.sample(spark.createDataFrame(rows, "doc_id long, text string, lang string"), "text", "lang", "doc_id")
+    assert len({name for name, _ in got}) == 80 and len(got) <= 160
+    monkeypatch.setattr(langid, "SAMPLE_BYTES", 3)  # all are longer
+    assert {len(t) for _, t in langid.sample(spark.createDataFrame(rows, "doc_id long, text string, lang string"), "text", "lang", "doc_id")} == {3}
+
+
 def test_languages(spark, docs, empty):
     rng = random.Random(2)
     kinds = {"x": "the of and ing tion er".split(), "y": "der und ich ein sch en".split()}
