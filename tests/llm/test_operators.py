@@ -472,20 +472,86 @@ def test_lines(spark, empty):
 # 8 toxicity
 
 
+def slow_units(text):
+    """The sentences of a text as lists of symbols, character by character."""
+    chars, sentence, n = f" {text.lower()}\n", [], 0
+    for i, c in enumerate(chars):
+        n += i == 0 or c == "\n" or (c.isspace() and chars[i - 1] in ".!?")
+        symbol = int(toxicity.SYMBOLS[min(ord(c), 0xFFFF)]) if ord(c) < 65536 else toxicity.OTHER + ord(c) % (toxicity.SPACE - toxicity.OTHER)
+        if symbol:
+            sentence.append((symbol, n))
+    space = lambda i: not 0 <= i < len(sentence) or sentence[i][0] == toxicity.SPACE
+    kept = []
+    for i, (symbol, n) in enumerate(sentence):
+        lone = space(i) and space(i - 2) and space(i + 2) and not space(i - 1) and not space(i + 1)
+        if not lone and not (i and space(i) and space(i - 1) and sentence[i - 1][1] == n):
+            kept.append((symbol, n))
+    out = []
+    for n in dict.fromkeys(n for _, n in kept):
+        words, own = [[]], [s for s, m in kept if m == n]
+        for s in own:
+            if s == toxicity.SPACE:
+                words.append([])
+            else:
+                words[-1].append(s)
+        flat = [([toxicity.SPACE] if k else []) + w for k, w in enumerate(words) if not (k and w and w == words[k - 1])]
+        parts, place = {}, 0
+        for w in flat:
+            parts.setdefault(place // toxicity.LONGEST, []).extend(w)
+            place += len(w)
+        out += [p for p in parts.values() if p]
+    return out
+
+
+def slow_features(symbols):
+    out, square = {}, 0.0
+    for i in range(len(symbols)):
+        for k in range(i + 2, min(len(symbols), i + toxicity.SPAN)):
+            for j in range(i + 1, k):
+                w = toxicity.DECAY ** (k - i - 2)
+                key = (symbols[i], symbols[j], symbols[k])
+                out[key] = out.get(key, 0) + w
+                square += w * w
+    return out, max(square, 1e-12) ** 0.5
+
+
 def slow_kernel(a, b):
-    from itertools import combinations
+    (x, nx), (y, ny) = slow_features(a), slow_features(b)
+    return sum(v * y.get(u, 0) for u, v in x.items()) / (nx * ny)
+
+
+TOXIC_TEXTS = ["You idiot!", "an i.d.i-o-t, and i d i o t", "id1ot idio ot\nnew line. Next? Äöü ß 漢字 𝒳", "", "  ", "a b", "same same same word word", "no " * 90 + "x" * 300 + " end", "one. two! three?four\n\n. "]
+
 
-    return sum(
-        toxicity.DECAY ** (i[-1] - i[0] + 1 + j[-1] - j[0] + 1)
-        for i in combinations(range(len(a)), toxicity.LENGTH)
-        for j in combinations(range(len(b)), toxicity.LENGTH)
-        if [a[x] for x in i] == [b[x] for x in j]
-    )
+def test_kernel_of_sentences():
+    units = toxicity.Units([t.lower() for t in TOXIC_TEXTS])
+    got = [units.sym[a : a + n].tolist() for a, n in zip(units.start, units.size, strict=True)]
+    want = [(i, u) for i, t in enumerate(TOXIC_TEXTS) for u in slow_units(t)]
+    assert got == [u for _, u in want] and units.text.tolist() == [i for i, _ in want]
+    some = units.take(np.array([1, 0, 3]))
+    slow = [[slow_kernel(a, b) for b in (got[1], got[0], got[3])] for a in got]
+    assert np.allclose(toxicity.gram(units, some), slow, rtol=1e-4, atol=1e-6)
+
+
+def test_scores_are_the_kernel_machine(monkeypatch):
+    monkeypatch.setattr(toxicity, "LANDMARKS", 12)
+    rows = [(f"{prose(i, 12)} {'you idiot' if i % 2 else 'quite fine'} {prose(90 + i, 5)}. {prose(50 + i, 9)}", i % 2) for i in range(40)]
+    model = toxicity.Classifier(rows)
+    marks = [model.landmarks.sym[a : a + n].tolist() for a, n in zip(model.landmarks.start, model.landmarks.size, strict=True)]
+    assert 4 < len(marks) <= 12
+    texts = [*TOXIC_TEXTS, *(t for t, _ in rows[:6]), "idiot"]
+    want = []
+    for t in texts:
+        best = max(sum(a * slow_kernel(u, m) for a, m in zip(model.alpha, marks, strict=True)) for u in slow_units(t)) + model.bias
+        want.append(1 / (1 + np.exp(-(model.slope * best + model.shift))))
+    assert np.allclose(model.scores(texts), want, rtol=1e-3, atol=1e-4)
+    monkeypatch.setattr(toxicity, "STEP", 40)  # several batches, and long texts in pieces
+    assert np.allclose(model.scores(texts[:7]), want[:7], rtol=1e-3, atol=1e-4) and len(model.scores(texts)) == len(texts)
 
 
-@pytest.mark.parametrize(("a", "b"), [("idiot", "idiot"), ("i.d.iot", "idiot"), ("abcabc", "cabb"), ("ab", "ab"), ("", "abc")])
-def test_kernel(a, b):
-    assert toxicity.kernel(toxicity.encode([a]), toxicity.encode([b]))[0] == pytest.approx(slow_kernel(a, b))
+def test_repeated_ids_are_learnt_once(spark):
+    docs = spark.createDataFrame([(i % 3, f"text {i}") for i in range(300)], "doc_id long, text string")
+    assert len(toxicity.sample(docs, spark.createDataFrame([(0, 1), (0, 1), (1, 0), (3, 1)], "doc_id long, toxic int"), "text", "doc_id", "toxic")) <= 2
 
 
 def test_toxic_texts(spark, docs, empty):
