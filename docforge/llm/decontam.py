@@ -11,60 +11,84 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docforge.llm.common import map_arrow, widened
+from docforge.llm.common import map_arrow, widened, written
 
-#: Items are sent to all executors up to this many bytes of text; larger sets are refused.
-MAX_ITEM_BYTES = 64 << 20
-#: Windows in one automaton, about 100 bytes of key each; a larger set takes one more pass for each further part.
-MAX_WINDOWS = 200_000
+#: Bytes of item text that the driver collects and sends out at once; a larger set takes a pass for each further group.
+MAX_ITEM_BYTES = 16 << 20
+#: Windows in one automaton, some 100 MB; a larger group is several automata that a batch of texts meets in turn.
+MAX_WINDOWS = 100_000
 #: a-z, 0-9 and all bytes of non-ASCII characters are kept, A-Z lower-cased, the rest separates words.
 NORMAL = bytes(b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else b + 32 if 65 <= b <= 90 else 32 for b in range(256))
 SCHEMA = "struct<n_words:bigint,n_hit:bigint,items:array<string>,spans:array<struct<start:int,end:int>>>"
-_automata: dict = {}
-
-
-def item_windows(text: str | None, size: int = 13) -> list[str]:
-    """Each ``size`` consecutive words of an item, or all of a shorter one, between single spaces (as Latin-1)."""
-    words = (text or "").encode().translate(NORMAL).split()
-    count = max(1, len(words) - size + 1) if words else 0
-    return [(b" " + b" ".join(words[i : i + size]) + b" ").decode("latin-1") for i in range(count)]
-
-
-def automaton(key: str, windows: list[tuple[str, tuple[str, ...]]]) -> ahocorasick.Automaton:
-    """One automaton per Python worker and key."""
-    if key not in _automata:
-        _automata.clear()
-        own = ahocorasick.Automaton()
-        for window, items in windows:
-            own.add_word(window, (window.count(" ") - 1, items))
-        own.make_automaton()
-        _automata[key] = own
-    return _automata[key]
-
-
-def find(text: bytes, own: ahocorasick.Automaton) -> tuple[int, int, list[str], list[tuple[int, int]]]:
-    """(words, hit words, sorted items, byte spans of the runs of hit words in ``text``)."""
-    mapped = text.translate(NORMAL)
-    words = mapped.split()
-    joined = (b" " + b" ".join(words) + b" ").decode("latin-1")
-    ends, sizes, items = [], [], set()
-    for end, (size, of) in own.iter(joined):
-        ends.append(end)
-        sizes.append(size)
-        items.update(of)
-    if not ends:
-        return len(words), 0, [], []
-    spaces = np.flatnonzero(np.frombuffer(joined.encode("latin-1"), np.uint8) == 32)
-    last = np.searchsorted(spaces, ends)  # words before the closing space
-    delta = np.zeros(len(words) + 1, np.int64)
-    np.add.at(delta, last - np.array(sizes), 1)
-    np.add.at(delta, last, -1)
-    hit = np.concatenate([[False], np.cumsum(delta[:-1]) > 0, [False]])
-    edge = np.diff(hit.astype(np.int8))
-    inside = np.concatenate([[False], np.frombuffer(mapped, np.uint8) != 32, [False]])
+#: A word is three characters, each from a range of its own, so that matches begin at words and nodes have few branches.
+BASE, UNKNOWN = 128, "\uffff" * 3
+_matchers: dict = {}
+
+
+def words_of(text: bytes) -> list[bytes]:
+    return text.translate(NORMAL).split()
+
+
+class Matcher:
+    """One automaton over the windows of items: ``size`` consecutive words, or all of a shorter item."""
+
+    def __init__(self, items: list[tuple[str, list[bytes]]], size: int) -> None:
+        self.code: dict[bytes, str] = {}
+        names: dict[str, set[str]] = {}
+        for name, words in items:
+            codes = [self.code.setdefault(w, self._coded(len(self.code))) for w in words]
+            for i in range(max(1, len(codes) - size + 1) if codes else 0):
+                names.setdefault("".join(codes[i : i + size]), set()).add(name)
+        self.automaton = ahocorasick.Automaton()
+        for window, of in names.items():
+            self.automaton.add_word(window, (len(window) // 3, tuple(of)))
+        self.automaton.make_automaton()
+
+    @staticmethod
+    def _coded(n: int) -> str:
+        return chr(0xE000 + n // BASE**2) + chr(BASE + n // BASE % BASE) + chr(2 * BASE + n % BASE)
+
+    def find(self, words: list[bytes], delta: np.ndarray, items: set[str]) -> None:
+        """Add the items of the windows that occur, and the ends of the occurrences to ``delta``."""
+        if not self.code or self.code.keys().isdisjoint(words):
+            return
+        get = self.code.get
+        for end, (size, of) in self.automaton.iter("".join([get(w, UNKNOWN) for w in words])):
+            last = (end + 1) // 3
+            delta[last - size] += 1
+            delta[last] -= 1
+            items.update(of)
+
+
+def matcher(key: str, items: list, size: int) -> Matcher:
+    """One automaton per Python worker is kept."""
+    if key not in _matchers:
+        _matchers.clear()
+        _matchers[key] = Matcher(items, size)
+    return _matchers[key]
+
+
+def parts(items: list[tuple[str, bytes]], size: int) -> list[list[tuple[str, list[bytes]]]]:
+    """Items in parts of at most MAX_WINDOWS windows; a longer item is in several, of which each has whole windows."""
+    out: list[list] = [[]]
+    room = MAX_WINDOWS
+    for name, text in items:
+        words, at = words_of(text), 0
+        while words and (at == 0 or len(words) - at >= size):
+            if not room:
+                out, room = [*out, []], MAX_WINDOWS
+            count = min(room, max(1, len(words) - size + 1 - at))
+            out[-1].append((name, words[at : at + count + size - 1]))
+            room, at = room - count, at + count
+    return out
+
+
+def spans_of(text: bytes, hit: np.ndarray) -> list[dict]:
+    """Byte spans of the runs of hit words."""
+    edge = np.diff(np.concatenate([[0], hit.astype(np.int8), [0]]))
+    inside = np.concatenate([[False], np.frombuffer(text.translate(NORMAL), np.uint8) != 32, [False]])
     starts, stops = np.flatnonzero(inside[1:] & ~inside[:-1]), np.flatnonzero(inside[:-1] & ~inside[1:])
-    spans = [(int(starts[a]), int(stops[b - 1])) for a, b in zip(np.flatnonzero(edge == 1), np.flatnonzero(edge == -1), strict=True)]
-    return len(words), int(hit.sum()), sorted(items), spans
+    return [{"start": int(starts[a]), "end": int(stops[b - 1])} for a, b in zip(np.flatnonzero(edge == 1), np.flatnonzero(edge == -1), strict=True)]
 
 
 def scan(docs: DataFrame, items: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text", size: int = 13, out: str = "contamination") -> DataFrame:
@@ -73,37 +97,52 @@ def scan(docs: DataFrame, items: DataFrame, text: str = "text", item_id: str = "
     Words are taken as in NORMAL. A window is ``size`` consecutive words of an item, or all words of a shorter one; a
     document word inside any occurrence is hit. Null and empty texts have no words; items without words or with a null
     id are left out; repeated items count once by id. Without items nothing is hit. A column of ``docs`` called ``out``
-    is replaced. The texts of the items are collected after a check of their total size (MAX_ITEM_BYTES).
+    is replaced. Repeated rows come out alike.
+
+    The texts are read once, for a benchmark of up to MAX_ITEM_BYTES. A larger one is dealt into groups by a hash of the
+    item's id and text; the driver holds one group at a time, and each takes a pass whose result is written.
     """
-    total = items.agg(F.sum(F.octet_length(F.col(item_text)))).first()[0] or 0
-    if total > MAX_ITEM_BYTES:
-        raise ValueError(f"the items hold {total} bytes of text; at most {MAX_ITEM_BYTES} are sent to the executors")
-    by_window: dict[str, set[str]] = {}
-    for name, value in items.where(F.col(item_id).isNotNull()).select(F.col(item_id).cast("string"), item_text).collect():
-        for window in item_windows(value, size):
-            by_window.setdefault(window, set()).add(name)
-    windows = [(w, tuple(sorted(ids))) for w, ids in sorted(by_window.items())]
-    base = docs.drop(out)
-    parts = [windows[i : i + MAX_WINDOWS] for i in range(0, len(windows), MAX_WINDOWS)] or [[]]
-    found = _pass(base, parts[0], text, out)
-    for part in parts[1:]:
-        found = _merge(_pass(found.withColumnRenamed(out, "_before"), part, text, out), out, text)
+    named = items.where(F.col(item_id).isNotNull() & F.col(item_text).isNotNull()).select(F.col(item_id).cast("string").alias("n"), F.col(item_text).cast("string").alias("t")).distinct()
+    total = named.agg(F.sum(F.octet_length("t"))).first()[0] or 0
+    groups = max(1, -(-total // MAX_ITEM_BYTES))
+    found = docs.drop(out)
+    for g in range(groups):
+        own = named.where(F.pmod(F.xxhash64("n", "t"), F.lit(groups)) == g) if groups > 1 else named
+        rows = sorted((r.n, r.t.encode()) for r in own.collect())
+        if g:
+            found = _merge(_pass(found.withColumnRenamed(out, "_before"), rows, text, size, out), out, text)
+        else:
+            found = _pass(found, rows, text, size, out)
+        if groups > 1:
+            found = written(found)
     return found
 
 
-def _pass(docs: DataFrame, windows: list, text: str, out: str) -> DataFrame:
-    shared, key, at = docs.sparkSession.sparkContext.broadcast(windows), uuid.uuid4().hex, docs.columns.index(text)
+def _pass(docs: DataFrame, items: list[tuple[str, bytes]], text: str, size: int, out: str) -> DataFrame:
+    shared = [(uuid.uuid4().hex, docs.sparkSession.sparkContext.broadcast(part)) for part in parts(items, size)]
+    at = docs.columns.index(text)
     kind = pa.struct([("n_words", pa.int64()), ("n_hit", pa.int64()), ("items", pa.list_(pa.string())), ("spans", pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            own = automaton(key, shared.value) if shared.value else None
-            rows = []
-            for value in batch.column(at).cast(pa.large_binary()):
-                raw = value.as_buffer().to_pybytes() if value.is_valid else b""
-                n, hit, items, spans = find(raw, own) if own is not None else (len(raw.translate(NORMAL).split()), 0, [], [])
-                rows.append((n, hit, items, spans))
-            columns = [[r[0] for r in rows], [r[1] for r in rows], [r[2] for r in rows], [[{"start": a, "end": b} for a, b in r[3]] for r in rows]]
+            column = batch.column(at).cast(pa.large_binary())
+            raw = lambda i: column[i].as_buffer().to_pybytes() if column[i].is_valid else b""  # noqa: B023, E731
+            many, hits, names = [0] * len(column), {}, {}
+            for key, part in shared:
+                own = matcher(key, part.value, size)
+                for i in range(len(column)):
+                    words, found = words_of(raw(i)), set()
+                    many[i] = len(words)
+                    delta = hits.get(i)
+                    delta = np.zeros(len(words) + 1, np.int64) if delta is None else delta
+                    own.find(words, delta, found)
+                    if found:
+                        hits[i], names[i] = delta, names.get(i, set()) | found
+            covered = {i: np.cumsum(delta[:-1]) > 0 for i, delta in hits.items()}
+            columns = [
+                many, [int(covered[i].sum()) if i in covered else 0 for i in range(len(column))], [sorted(names.get(i, ())) for i in range(len(column))],
+                [spans_of(raw(i), covered[i]) if i in covered else [] for i in range(len(column))],
+            ]
             struct = pa.StructArray.from_arrays([pa.array(c, f.type) for c, f in zip(columns, kind, strict=True)], fields=list(kind))
             yield pa.RecordBatch.from_arrays([*batch.columns, struct], names=[*batch.schema.names, out])
 
@@ -111,7 +150,7 @@ def _pass(docs: DataFrame, windows: list, text: str, out: str) -> DataFrame:
 
 
 def _merge(df: DataFrame, out: str, text: str) -> DataFrame:
-    """Union of the hits of two passes: spans are merged and their words counted anew."""
+    """Union of the hits of two passes: spans that meet are merged and the words inside counted anew."""
     a, b = F.col("_before"), F.col(out)
     spans = F.array_sort(F.concat(a["spans"], b["spans"]))
     kind = "array<struct<start:int,end:int>>"
