@@ -25,9 +25,20 @@ NAMES = {
 ALPHABETS = ["0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "абвгдежзийклмнопрстуфхцчшщъыьэюя", "АБВГДЕЖЗИЙКЛМНОПРСТУФХЦЧШЩЪЫЬЭЮЯ", "αβγδεζηθικλμνξοπρστυφχψω", "ΑΒΓΔΕΖΗΘΙΚΛΜΝΞΟΠΡΣΤΥΦΧΨΩ", "áàâäçéèêëíîïñóôöúùûüÿ"]
 TITLES = {"m": ["Mr", "Mr.", "Herr", "Monsieur", "Señor", "Sr."], "f": ["Mrs", "Mrs.", "Ms", "Ms.", "Frau", "Madame", "Mme", "Señora", "Sra."]}
 
+#: Words before a person's name, in lower case: "my name is", "signed by", "Dear" and their like.
+CUES = ["my name is", "name is", "name:", "i am", "dear", "signed by", "signed,", "contact", "regards,", "sincerely,", "mein name ist", "ich heiße", "lieber", "liebe", "je m'appelle", "cher", "chère", "me llamo", "mi nombre es", "querido", "querida", "меня зовут"]
+NO_NAMES = {"Sir", "Sirs", "Madam", "All", "Customer", "Customers", "Friend", "Friends", "Team", "Us"}
+VOWELS = "aeiouyаеиоуыэюяαεηιουωáàâäéèêëíîïóôöúùûü"
+
 CLASS = {c: a for a in ALPHABETS for c in a}
+#: For names: vowels by vowels and consonants by consonants of the same script and case, so that they can be spoken.
+SPOKEN = {c: "".join(x for x in a if (x.lower() in VOWELS) == (c.lower() in VOWELS)) for a in ALPHABETS[1:] for c in a}
 GENDER = {name: key for key, names in NAMES.items() for name in names}
 WORD = re.compile(r"[^\W\d_]+\.?")
+HEXADECIMAL, HEX = re.compile("[0-9a-f]+"), {c: "0123456789abcdef" for c in "0123456789abcdef"}
+CUE = re.compile(r"(?i)(?<!\w)(?:" + "|".join(re.escape(c).replace(r"\ ", r"\s+") for c in CUES) + r")\s+")
+#: Address blocks whose kind a surrogate keeps: this network, private, loopback, link-local, multicast and beyond.
+BLOCKS = [("0.0.0.0", 8), ("10.0.0.0", 8), ("127.0.0.0", 8), ("169.254.0.0", 16), ("172.16.0.0", 12), ("192.168.0.0", 16), ("224.0.0.0", 4), ("240.0.0.0", 4)]
 PATTERNS = [
     ("email", re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,24}")),
     ("ipv4", re.compile(r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)\.){3}(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)(?![\d]|\.\d)")),
@@ -37,6 +48,7 @@ PATTERNS = [
     ("key", re.compile(r"(?<![A-Za-z0-9])(?:AKIA|ASIA|ghp_|gho_|xoxb-|sk-)[A-Za-z0-9]{16,}(?![A-Za-z0-9])")),
     ("secret", re.compile(r"(?i)(?<=[\"'=: ])(?<![A-Za-z0-9])[0-9a-f]{16,}(?![A-Za-z0-9])|(?<=password=)\S{6,}|(?<=passwd=)\S{6,}|(?<=api_key=)\S{6,}")),
 ]
+RANGES = sorted((int.from_bytes(bytes(map(int, a.split("."))), "big"), int.from_bytes(bytes(map(int, a.split("."))), "big") + (1 << 32 - n) - 1) for a, n in BLOCKS)
 #: What every match of a pattern holds; texts without it are not searched for the whole.
 NEEDS = {"email": re.compile("@"), "ipv4": re.compile(r"\d\.\d"), "card": re.compile(r"\d{4}"), "phone": re.compile(r"\d"), "ssn": re.compile(r"\d{3}-")}
 TITLE_WORDS = {t for own in TITLES.values() for t in own}
@@ -94,12 +106,13 @@ class Surrogates:
             step = step % (count - 1) + 1
         return self._permute(tag, (self._permute(tag, n, count, False) + step) % count, count, True)
 
-    def letters(self, tag: str, text: str, hexadecimal: bool = False) -> str:
-        return "".join(self.piece(f"{tag}+{i}" if i else tag, text[i : i + PIECE], hexadecimal) for i in range(0, len(text), PIECE))
+    def letters(self, tag: str, text: str, table: str = "class") -> str:
+        return "".join(self.piece(f"{tag}+{i}" if i else tag, text[i : i + PIECE], table) for i in range(0, len(text), PIECE))
 
-    def _letters(self, tag: str, text: str, hexadecimal: bool = False) -> str:
-        """Each letter or digit by one of its class (script and case); everything else stays."""
-        classes = ["0123456789abcdef" if hexadecimal and c in "0123456789abcdef" else CLASS.get(c) for c in text]
+    def _letters(self, tag: str, text: str, table: str = "class") -> str:
+        """Each letter or digit by one of its class (script and case; hexadecimal; speakable); everything else stays."""
+        own = {"class": CLASS, "hex": HEX, "spoken": SPOKEN}[table]
+        classes = [own.get(c) for c in text]
         n, count, shape = 0, 1, []
         for c, a in zip(text, classes, strict=True):
             if a:
@@ -134,15 +147,23 @@ class Surrogates:
         return f"{self.cased('email', name)}@{self.cased('domain', host)}.{top}"
 
     def ipv4(self, text: str) -> str:
-        def group(n: int) -> int:
-            a, b = n >> 24, n >> 16 & 255
-            return 1 if a == 10 else 2 if a == 127 else 3 if a == 172 and 16 <= b < 32 else 4 if a == 192 and b == 168 else 5 if a in (0,) or a >= 224 else 0
-
-        old = new = int.from_bytes(bytes(int(p) for p in text.split(".")), "big")
-        while True:
-            new = self.number("ipv4", new, 1 << 32)
-            if group(new) == group(old):
-                return ".".join(str(b) for b in new.to_bytes(4, "big"))
+        """A number within the address's own block, or among all addresses outside of the blocks."""
+        old = int.from_bytes(bytes(int(p) for p in text.split(".")), "big")
+        for first, last in RANGES:
+            if first <= old <= last:
+                return self._dotted(first + self.number(f"ipv4|{first}", old - first, last - first + 1))
+        place, size = old, 1 << 32
+        for first, last in RANGES:
+            size -= last - first + 1
+            place -= last - first + 1 if last < old else 0
+        new = self.number("ipv4", place, size)
+        for first, last in RANGES:
+            new += last - first + 1 if first <= new else 0
+        return self._dotted(new)
+
+    @staticmethod
+    def _dotted(n: int) -> str:
+        return ".".join(str(b) for b in n.to_bytes(4, "big"))
 
     def card(self, text: str) -> str:
         head = text[0]
@@ -160,7 +181,13 @@ class Surrogates:
         return text[:at] + self.letters(f"key{text[:at]}", text[at:])
 
     def secret(self, text: str) -> str:
-        return self.letters("secret", text, True) if re.fullmatch(r"[0-9a-f]+", text) else self.letters("secret", text)
+        """Hexadecimal secrets among themselves, others among others: both walks stay on one cycle of a bijection."""
+        if HEXADECIMAL.fullmatch(text):
+            return self.letters("secret", text, "hex")
+        new = self.letters("secret", text)
+        while HEXADECIMAL.fullmatch(new):
+            new = self.letters("secret", new)
+        return new
 
     def given(self, name: str) -> str:
         kind = GENDER[name]
@@ -168,53 +195,87 @@ class Surrogates:
         return pool[self.number(f"given{kind}", pool.index(name), len(pool))]
 
     def surname(self, name: str) -> str:
-        return self.letters("surname", name)
+        """A speakable name of the same length, script and case; not one of the given names."""
+        new = self.letters("surname", name, "spoken")
+        while new in GENDER or new == name:
+            if new == name and all(c not in SPOKEN or len(SPOKEN[c]) < 2 for c in name):
+                break  # nothing to exchange
+            new = self.letters("surname", new, "spoken")
+        return new
 
     def of(self, kind: str, text: str) -> str:
         return {"email": self.email, "ipv4": self.ipv4, "card": self.card, "phone": self.phone, "ssn": lambda t: self.digits("ssn", t), "key": self.key_value, "secret": self.secret, "given": self.given, "surname": self.surname}[kind](text)
 
 
 def people(text: str) -> list[tuple[int, int, str]]:
-    """Spans of given names and surnames: a known given name before a capitalised word, or a title before such a word,
-    and in the same text every later or earlier mention of these words."""
+    """Spans of given names and surnames: a known given name before a capitalised word, a title before such a word, or
+    a cue such as "my name is" before one or two; and in the same text every later or earlier mention of these words."""
     words = [(m.start(), m.end(), m.group()) for m in WORD.finditer(text)]
     known: dict[str, str] = {}
     proper = lambda w: len(w) > 1 and w[0].isupper() and w[1:].islower()
+    kind = lambda w: "given" if w in GENDER else "surname"
     for (_, e, a), (s, _, b) in zip(words, words[1:], strict=False):
         b = b.rstrip(".")
         if text[e:s] == " " and proper(b):
             if a in GENDER:
                 known[a] = "given"
-                known.setdefault(b, "given" if b in GENDER else "surname")
+                known.setdefault(b, kind(b))
             elif a in TITLE_WORDS:
-                known.setdefault(b, "given" if b in GENDER else "surname")
+                known.setdefault(b, kind(b))
+    for m in CUE.finditer(text):
+        at = m.end()
+        for _ in range(2):
+            found = WORD.match(text, at)
+            name = found.group().rstrip(".") if found else ""
+            if not proper(name) or name in TITLE_WORDS or name in NO_NAMES:
+                break
+            known.setdefault(name, kind(name))
+            at = found.end() + 1
+            if text[found.end() : at] != " ":
+                break
     if not known:
         return []
     return [(s, s + len(w.rstrip(".")), known[w.rstrip(".")]) for s, _, w in words if w.rstrip(".") in known]
 
 
 def detect(text: str) -> list[tuple[int, int, str]]:
-    """Spans (start, end, kind) in order, without overlaps; of two the earlier in PATTERNS wins."""
+    """Spans (start, end, kind) in order, without overlaps; of two the earlier in PATTERNS wins, names come last."""
     found: list[tuple[int, int, str]] = []
+    taken = bytearray(len(text))
+
+    def take(start: int, end: int, kind: str) -> None:
+        if taken.find(1, start, end) < 0:
+            found.append((start, end, kind))
+            taken[start:end] = b"\x01" * (end - start)
+
     for kind, pattern in PATTERNS:
         if kind not in NEEDS or NEEDS[kind].search(text):
             for m in pattern.finditer(text):
-                if all(m.end() <= s or m.start() >= e for s, e, _ in found):
-                    found.append((m.start(), m.end(), kind))
-    if not OPENS.isdisjoint(WORD.findall(text)):
-        taken = list(found)
-        found += [p for p in people(text) if all(p[1] <= s or p[0] >= e for s, e, _ in taken)]
+                take(m.start(), m.end(), kind)
+    if not OPENS.isdisjoint(WORD.findall(text)) or CUE.search(text):
+        for p in people(text):
+            take(*p)
     return sorted(found)
 
 
 def replace(text: str, surrogates: Surrogates) -> tuple[str, list[dict]]:
-    """(text with surrogates, the entities); raises if two values of one text were given one surrogate."""
-    out, at, entities, given = [], 0, [], {}
+    """(text with surrogates, the entities).
+
+    Should two values of one kind have one surrogate in spite of the bijections, the later one is mapped on until its
+    surrogate is its own; so is each mention of it in this text.
+    """
+    out, at, entities, given, chosen = [], 0, [], {}, {}
     for start, end, kind in detect(text):
         old = text[start:end]
-        new = surrogates.of(kind, old)
-        if given.setdefault((kind, new), old) != old:
-            raise ValueError(f"two values of kind {kind} have one surrogate")
+        new = chosen.get((kind, old))
+        if new is None:
+            new = surrogates.of(kind, old)
+            for _ in range(64):
+                if given.get((kind, new), old) == old:
+                    break
+                new = surrogates.of(kind, new)
+            given.setdefault((kind, new), old)
+            chosen[kind, old] = new
         out += [text[at:start], new]
         entities.append({"kind": kind, "start": start, "end": end, "surrogate": new})
         at = end

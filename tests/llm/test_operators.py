@@ -226,6 +226,51 @@ def test_each_entity_is_found_where_it_is_the_only_one(text, private):
     assert entities and private not in out
 
 
+def test_surrogates_are_distinct_and_stable():
+    """Over many values: one surrogate for one value everywhere, others for others, never the value, within the format."""
+    rng, s = random.Random(8), pii.Surrogates(b"k")
+    hexa = lambda n: "".join(rng.choice("0123456789abcdef") for _ in range(n))
+    word = lambda n: "".join(rng.choice("abcdefghij") for _ in range(n))
+    makers = {
+        "email": lambda: f"{word(2)}{rng.randrange(9)}@{word(2)}.org", "ipv4": lambda: f"{rng.choice([0, 8, 10, 100, 127, 172, 192, 230])}.{rng.choice([16, 168, 254])}.0.{rng.randrange(256)}",
+        "card": lambda: f"4{rng.randrange(10**15):015d}", "phone": lambda: f"{rng.randrange(200, 999)}-{rng.randrange(200, 999)}-{rng.randrange(10**4):04d}",
+        "ssn": lambda: f"{rng.randrange(1000):03d}-{rng.randrange(100):02d}-{rng.randrange(10**4):04d}", "key": lambda: f"sk-{word(16)}",
+        "secret": lambda: rng.choice([hexa(16), word(6), "".join(rng.choice("abcdefgh") for _ in range(6))]), "surname": lambda: word(1).upper() + word(3),
+    }
+    for kind, make in makers.items():
+        values = sorted({make() for _ in range(1500)})
+        new = [s.of(kind, v) for v in values]
+        assert len(set(new)) == len(values) and all(a != b and len(a) == len(b) or kind == "ipv4" and a != b for a, b in zip(values, new, strict=True)), kind
+        assert new == [pii.Surrogates(b"k").of(kind, v) for v in values]
+        if kind == "ipv4":
+            block = lambda v: next((i for i, (a, b) in enumerate(pii.RANGES) if a <= int.from_bytes(bytes(map(int, v.split("."))), "big") <= b), None)
+            assert [block(v) for v in values] == [block(v) for v in new]
+        if kind == "surname":
+            assert all([c in pii.VOWELS for c in a.lower()] == [c in pii.VOWELS for c in b.lower()] for a, b in zip(values, new, strict=True))
+    small = [s.ipv4(f"192.168.0.{i}") for i in range(256)]
+    assert len(set(small)) == 256 and all(v.startswith("192.168.") for v in small)
+
+
+def test_entities_of_a_long_text_take_linear_time():
+    import time
+
+    text = " ".join(f"user{i}@mail{i % 7}.org 10.0.{i % 256}.{i // 256}" for i in range(20_000))
+    surrogates, start = pii.Surrogates(b"k"), time.perf_counter()
+    assert len(pii.detect(text)) == 40_000
+    assert time.perf_counter() - start < 5
+    out, entities = pii.replace(text, surrogates)
+    names = {}
+    for e in entities:
+        names.setdefault((e["kind"], text[e["start"] : e["end"]]), set()).add(e["surrogate"])
+    assert all(len(v) == 1 for v in names.values()) and len({(k[0], *v) for k, v in names.items()}) == len(names) and out.count("@") == 20_000
+
+
+@pytest.mark.parametrize(("text", "names"), [("My name is Zorblat Quill. Later Quill left.", ["Zorblat", "Quill"]), ("Dear Wenzeslaus,", ["Wenzeslaus"]), ("Ich heiße Brunhilde Eck", ["Brunhilde"]), ("Dear Sir", []), ("we contact people", [])])
+def test_names_after_a_cue(text, names):
+    out, entities = pii.replace(text, pii.Surrogates(b"k"))
+    assert not any(n in out for n in names) and (out == text) == (not names)
+
+
 @pytest.mark.parametrize("count", [2, 3, 10, 97, 1000])
 def test_numbers_are_permuted_without_fixed_points(count):
     s = pii.Surrogates(b"key")
