@@ -62,7 +62,8 @@ def spread_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "in
     hot = cut(hot)
     if hot.isEmpty():
         return left.join(right, on, how)
-    dealt = left.join(F.broadcast(hot), on, "left").withColumn("_salt", F.coalesce(F.pmod(F.xxhash64(*left.columns), F.col("_salts")), F.lit(0)).cast("int")).drop("_salts")
+    hashed = F.xxhash64(*(c for c, kind in left.dtypes if "map<" not in kind and "variant" not in kind))
+    dealt = left.join(F.broadcast(hot), on, "left").withColumn("_salt", F.coalesce(F.pmod(hashed, F.col("_salts")), F.lit(0)).cast("int")).drop("_salts")
     copies = right.join(F.broadcast(hot), on, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1))).drop("_salts")
     return dealt.join(copies, [*on, "_salt"], how).drop("_salt")
 

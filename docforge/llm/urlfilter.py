@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from docforge.llm.common import spread_join
+
 #: Rules up to this number are sent to all executors; more are joined by a shuffle.
 BROADCAST_RULES = 100_000
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -21,10 +23,10 @@ def url_path(url: Column) -> Column:
     return F.coalesce(F.regexp_extract(url, r"(?s)^.*?://[^/?#]*([^?#]*)", 1), F.lit(""))
 
 
-def expressions(host: Column, path: Column, lengths: list[int]) -> Column:
-    """Every host suffix at a dot, followed by every path prefix of one of ``lengths`` characters."""
-    labels = F.split(host, r"\.", -1)
-    suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
+def expressions(host: Column, path: Column, labels: list[int], lengths: list[int]) -> Column:
+    """Every host suffix of one of ``labels`` labels, followed by every path prefix of one of ``lengths`` characters."""
+    own = F.char_length(host) - F.char_length(F.replace(host, F.lit("."), F.lit(""))) + 1
+    suffixes = F.filter(F.array(*(F.when(own >= n, F.substring_index(host, ".", -n)) for n in labels)), lambda s: s.isNotNull())
     fit = F.filter(F.array(*(F.lit(n) for n in lengths)), lambda n: n <= F.char_length(path))
     return F.flatten(F.transform(suffixes, lambda s: F.transform(fit, lambda n: F.struct(s.alias("h"), F.substring(path, F.lit(1), n).alias("p")))))
 
@@ -38,8 +40,10 @@ def judge(pages: DataFrame, rules: DataFrame, url: str = "url", default: str = "
     rule. Rules with a null or empty host fit nothing. Rows are kept as they are, repeated rows too; columns of
     ``pages`` named host, path, rule or verdict are replaced.
 
-    Each distinct url is expanded once; its expressions meet the rules by the first 32 bits of their SHA-256, and a pair
-    counts if the whole digests agree. The rules are broadcast after a count shows that they are few.
+    Each distinct url is expanded once, into suffixes and prefixes of the sizes that rules have, so that work is linear in
+    its length; its expressions meet the rules by the first 32 bits of their SHA-256, and a pair counts if the whole
+    digests agree. The rules are broadcast after a count shows that they are few. Urls and expressions of any frequency
+    are dealt over salted copies of what they meet.
     """
     clean = rules.where("host is not null and host <> ''").select(
         F.translate("host", UPPER, LOWER).alias("rule_host"), F.coalesce("path", F.lit("")).alias("rule_path"), F.col("verdict").alias("rule_verdict")
@@ -48,17 +52,19 @@ def judge(pages: DataFrame, rules: DataFrame, url: str = "url", default: str = "
     digest = lambda h, p: F.sha2(F.concat(h, F.lit("\n"), p), 256)
     clean = clean.withColumn("rule_digest", digest(F.col("rule_host"), F.col("rule_path"))).withColumn("prefix", F.substring("rule_digest", 1, 8))
     lengths = [r[0] for r in clean.select(F.char_length("rule_path")).distinct().collect()]
+    labels = [r[0] for r in clean.select(F.size(F.split("rule_host", r"\.", -1))).distinct().collect()]
     few = clean.count() <= BROADCAST_RULES
-    urls = pages.select(F.col(url).alias("page_url")).where("page_url is not null").distinct()
-    urls = urls.select("page_url", url_host(F.col("page_url")).alias("h0"), url_path(F.col("page_url")).alias("p0")).where("h0 <> ''")
-    cells = urls.select("page_url", F.explode(expressions(F.col("h0"), F.col("p0"), lengths) if lengths else F.expr("cast(array() as array<struct<h:string,p:string>>)")).alias("e"))
-    cells = cells.withColumn("digest", digest(F.col("e.h"), F.col("e.p"))).select("page_url", "digest", F.substring("digest", 1, 8).alias("prefix"))
-    hits = cells.join(F.broadcast(clean) if few else clean, "prefix").where("digest = rule_digest")
+    urls = pages.select(F.col(url).alias("_page_url")).where("_page_url is not null").distinct()
+    urls = urls.select("_page_url", url_host(F.col("_page_url")).alias("h0"), url_path(F.col("_page_url")).alias("p0")).where("h0 <> ''")
+    cells = urls.select("_page_url", F.explode(expressions(F.col("h0"), F.col("p0"), labels, lengths) if lengths else F.expr("cast(array() as array<struct<h:string,p:string>>)")).alias("e"))
+    cells = cells.withColumn("digest", digest(F.col("e.h"), F.col("e.p"))).select("_page_url", "digest", F.substring("digest", 1, 8).alias("prefix"))
+    hits = (cells.join(F.broadcast(clean), "prefix") if few else spread_join(cells, clean, ["prefix"])).where("digest = rule_digest")
     size = F.char_length("rule_host") + F.char_length("rule_path")
-    best = hits.groupBy("page_url").agg(F.max(F.struct(size.alias("size"), "rule_verdict", "rule_host", "rule_path")).alias("best"))
-    best = best.select("page_url", F.concat("best.rule_host", "best.rule_path").alias("best_rule"), F.col("best.rule_verdict").alias("best_verdict"))
-    keep = [pages[c] for c in pages.columns if c.lower() not in ("host", "path", "rule", "verdict")]
-    out = pages.join(best, pages[url] == best["page_url"], "left")
-    return out.select(
-        *keep, url_host(pages[url]).alias("host"), url_path(pages[url]).alias("path"), best["best_rule"].alias("rule"), F.coalesce(best["best_verdict"], F.lit(default)).alias("verdict")
-    )
+    best = hits.groupBy("_page_url").agg(F.max(F.struct(size.alias("size"), "rule_verdict", "rule_host", "rule_path")).alias("best"))
+    best = best.select("_page_url", F.concat("best.rule_host", "best.rule_path").alias("_best_rule"), F.col("best.rule_verdict").alias("_best_verdict"))
+    keep = [c for c in pages.columns if c.lower() not in ("host", "path", "rule", "verdict")]
+    rows = pages.select(*keep, F.col(url).alias("_page_url"))
+    out = spread_join(rows.where("_page_url is not null"), best, ["_page_url"], "left")
+    none = F.lit(None).cast("string")
+    out = out.unionByName(rows.where("_page_url is null").withColumns({"_best_rule": none, "_best_verdict": none}))
+    return out.select(*keep, url_host(F.col("_page_url")).alias("host"), url_path(F.col("_page_url")).alias("path"), F.col("_best_rule").alias("rule"), F.coalesce("_best_verdict", F.lit(default)).alias("verdict"))

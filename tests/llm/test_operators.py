@@ -104,6 +104,14 @@ def test_url_rules(spark):
     assert {r.verdict for r in urlfilter.judge(pages, none).collect()} == {"allow"} and urlfilter.judge(pages.limit(0), none).count() == 0
 
 
+def test_long_and_frequent_urls(spark):
+    long = "http://" + "a." * 20_000 + "example.com/en/" + "x/" * 20_000
+    pages = spark.createDataFrame([(1, long), (2, None), (3, "")] + [(10 + i, "http://hot.example.com/en/") for i in range(300)], "page_id long, url string")
+    rules = spark.createDataFrame([("example.com", "/en/", "block")], "host string, path string, verdict string")
+    got = {r.page_id: (r.rule, r.verdict) for r in urlfilter.judge(pages, rules).collect()}
+    assert len(got) == 303 and got[1] == ("example.com/en/", "block") == got[200] and got[2] == got[3] == (None, "allow")
+
+
 def test_many_url_rules_are_not_broadcast(spark, monkeypatch):
     monkeypatch.setattr(urlfilter, "BROADCAST_RULES", 0)
     test_url_rules(spark)
@@ -116,7 +124,7 @@ def test_neighbours(spark):
     rng = np.random.default_rng(1)
     x = rng.standard_normal((900, 16)) + 2 * rng.integers(0, 2, (900, 1))
     x[700:720] = x[20]
-    odd = [(5000, None), (5001, [0.0] * 16), (5002, [None] + [1.0] * 15), (5003, [float("nan")] * 16), (5004, [1.0, 2.0]), (None, x[0].tolist()), (20, x[20].tolist()), (5005, [])]
+    odd = [(5000, None), (5001, [0.0] * 16), (5002, [None] + [1.0] * 15), (5003, [float("nan")] * 16), (5004, [1.0, 2.0]), (5006, [float("inf")] * 16), (None, x[0].tolist()), (20, x[20].tolist()), (5005, [])]
     rows = [(i, v.tolist()) for i, v in enumerate(x)] + odd
     out = ann.search(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
     hits = 0
@@ -147,6 +155,21 @@ def test_neighbours_in_tight_groups(spark):
     assert hits >= 0.9 * 20 * len(asked)
 
 
+def test_neighbours_among_vectors_of_their_own_length(spark):
+    rng = np.random.default_rng(3)
+    x = {i: rng.standard_normal((8, 5, 1)[i % 3]) for i in range(600)}
+    x = {i: v + 5 * (len(v) == 1) for i, v in x.items()}
+    found = {}
+    for r in ann.search(spark.createDataFrame([(i, v.tolist()) for i, v in x.items()], "vec_id long, embedding array<double>")).collect():
+        found.setdefault(r.query_id, {})[r.rank] = r.vec_id
+    hits = 0
+    for q in range(0, 600, 20):
+        want = sorted((i for i in x if i != q and len(x[i]) == len(x[q])), key=lambda i: (-float(x[i] @ x[q]), i))[:20]
+        assert all(len(x[i]) == len(x[q]) for i in found[q].values()) and len(found[q]) == 20
+        hits += len(set(want) & set(found[q].values()))
+    assert hits >= 0.9 * 20 * 30
+
+
 def test_few_neighbours(spark):
     df = spark.createDataFrame([(0, [1.0, 0.0]), (20, [1.0, 0.0]), (3, [0.0, 1.0])], "vec_id long, embedding array<double>")
     assert [(r.query_id, r.rank, r.vec_id, r.score) for r in ann.search(df).orderBy("query_id", "rank").collect()] == [(0, 1, 20, 1.0), (0, 2, 3, 0.0), (20, 1, 0, 1.0), (20, 2, 3, 0.0)]
