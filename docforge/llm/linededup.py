@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docforge.functions.text import let
-from docforge.llm.common import cut, maybe_in, parted, sketch, written
+from docforge.llm.common import cut, maybe_in, parted, sketch, spread_join, written
 
 #: Shortest line, in characters, that takes part; shorter ones (list marks, "Home") are kept.
 MIN_CHARS = 20
@@ -91,7 +91,8 @@ def later_lines(df: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     into finer and finer blocks, and where two lines agree in all but one block they emit the variants of that block
     with one character deleted, and the block itself. Lines that share a variant at one place differ by a substitution;
     a block that equals another's variant is an insertion. In each group of equal variants the members are only held
-    against the earliest one, and Levenshtein's distance is verified on these links.
+    against the earliest one, and Levenshtein's distance is verified on these links. A line that is the earliest of any
+    number of others is dealt over salted copies.
     """
     at = F.struct("doc_id", "pos")
     lines = lines_of(df, min_chars).withColumn("h1", F.xxhash64("line"))
@@ -124,7 +125,8 @@ def later_lines(df: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     other = F.when(F.col("kind") == 2, F.col("low2")).when(F.col("kind") == 0, F.col("low1")).otherwise(F.col("low0"))
     links = emitted.join(first, "v").select("key", "at", other.alias("other")).where("other < at").distinct()
     theirs = blocks.select("key", F.col("at").alias("other"), F.col("middle").alias("theirs"))
-    near = links.join(blocks, ["key", "at"]).join(theirs, ["key", "other"]).where(F.levenshtein("middle", "theirs", 1) >= 0)
+    both = cut(links.join(blocks, ["key", "at"]))
+    near = spread_join(both, theirs, ["key", "other"]).where(F.levenshtein("middle", "theirs", 1) >= 0)
     near = near.groupBy("h1", "h2").agg(F.min("other").alias("near"))
     equal = plain.groupBy("h1", "h2").agg(F.min(at).alias("equal"), F.count("*").alias("many")).where("many > 1").select("h1", "h2", "equal")
     low = cut(equal.join(near, ["h1", "h2"], "full").select("h1", "h2", F.least("equal", "near").alias("low")))
