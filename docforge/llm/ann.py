@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -18,19 +19,25 @@ DEGREE, REVERSE, GIVEN = 32, 32, 20
 SPLITS, CELL, ROUNDS = 4, 256, 9
 #: A round that changes fewer of all edges ends the descent.
 LEAST_CHANGE = 0.005
-#: Of the search: candidates kept for a query, candidates expanded in a step, steps at most.
-BEAM, EXPAND, STEPS = 160, 24, 10
+#: Of the search: candidates kept for a query among up to BASE nodes (half as many more for each doubling beyond), and
+#: the share of them that is expanded in a step. A walk goes on until none of its candidates is left to expand.
+BEAM, BASE, EXPAND = 160, 16_384, 1 / 6
 
 
 def clean_vectors(df: DataFrame, vec_id: str, embedding: str) -> DataFrame:
-    """Rows (vec_id, x: array of double) that take part: one for each id, all of the most frequent length."""
+    """Rows (vec_id, x: array of double) that take part: one for each id."""
     x = F.col(embedding).cast("array<double>")
     rows = df.select(F.col(vec_id).cast("long").alias("vec_id"), x.alias("x")).where("vec_id is not null and x is not null")
     finite = ~F.exists("x", lambda v: v.isNull() | F.isnan(v) | (F.abs(v) == float("inf")))
     rows = rows.where(finite & F.exists("x", lambda v: v != 0))
-    rows = rows.groupBy("vec_id").agg(F.min("x").alias("x"))
-    length = rows.groupBy(F.size("x").alias("n")).count().orderBy(F.desc("count"), F.desc("n")).first()
-    return rows.where(F.size("x") == (length[0] if length else 0))
+    return rows.groupBy("vec_id").agg(F.min("x").alias("x"))
+
+
+def alike(sizes: pa.Array) -> Iterator[tuple[int, np.ndarray]]:
+    """(size, rows) for each size; vectors of different lengths are never compared."""
+    sizes = sizes.to_numpy(zero_copy_only=False)
+    for n in np.unique(sizes):
+        yield int(n), np.flatnonzero(sizes == n)
 
 
 def packed(vectors: DataFrame) -> DataFrame:
@@ -38,17 +45,19 @@ def packed(vectors: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows:
-                x = np.array(batch.column(1).flatten().to_numpy(zero_copy_only=False)).reshape(batch.num_rows, -1)
+            for _, rows in alike(pc.list_value_length(batch.column(1))):
+                own = batch.take(pa.array(rows))
+                x = np.array(own.column(1).flatten().to_numpy(zero_copy_only=False)).reshape(len(rows), -1)
                 scale = np.abs(x).max(axis=1) / 127
                 codes = np.rint(x / scale[:, None]).astype(np.int8)
                 values = [s.tobytes() + c.tobytes() for s, c in zip(scale.astype(np.float32), codes, strict=True)]
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(values, pa.binary())], names=["node", "code"])
+                yield pa.RecordBatch.from_arrays([own.column(0), pa.array(values, pa.binary())], names=["node", "code"])
 
     return map_arrow(vectors, run, "node long, code binary")
 
 
 def unpack(codes: pa.Array) -> np.ndarray:
+    """The vectors of codes of one length."""
     raw = np.frombuffer(b"".join(c.as_buffer() for c in codes), np.uint8).reshape(len(codes), -1)
     return raw[:, 4:].view(np.int8).astype(np.float32) * raw[:, :4].copy().view(np.float32)
 
@@ -62,19 +71,19 @@ def cells(nodes: DataFrame, count: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            x = unpack(batch.column(1))
-            planes = np.random.default_rng(23).standard_normal((SPLITS, max(1, bits), x.shape[1])).astype(np.float32)
-            dealt = mix64(batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)) & np.uint64((1 << bits) - 1)
-            for k in range(SPLITS + 1 if bits else 1):
-                if k < SPLITS:
-                    sign = (x @ planes[k].T > 0)[:, :bits]
-                    cell = sign @ (1 << np.arange(bits, dtype=np.int64)) if bits else np.zeros(len(x), np.int64)
-                else:
-                    cell = dealt.astype(np.int64)
-                cell = cell * (SPLITS + 1) + k
-                yield pa.RecordBatch.from_arrays([pa.array(cell), batch.column(0), pa.array(np.ones(len(x), bool)), pa.array(np.full(len(x), -np.inf, np.float32)), batch.column(1)], names=["c", "m", "fresh", "least", "code"])
+            for size, rows in alike(pc.binary_length(batch.column(1))):
+                own = batch.take(pa.array(rows))
+                x = unpack(own.column(1))
+                planes = np.random.default_rng(23).standard_normal((SPLITS, max(1, bits), x.shape[1])).astype(np.float32)
+                dealt = mix64(own.column(0).to_numpy(zero_copy_only=False).view(np.uint64)) & np.uint64((1 << bits) - 1)
+                for k in range(SPLITS + 1 if bits else 1):
+                    if k < SPLITS:
+                        sign = (x @ planes[k].T > 0)[:, :bits]
+                        cell = sign @ (1 << np.arange(bits, dtype=np.int64)) if bits else np.zeros(len(x), np.int64)
+                    else:
+                        cell = dealt.astype(np.int64)
+                    cell = mix64((cell * (SPLITS + 1) + k).astype(np.uint64) + (np.uint64(size) << np.uint64(44))).view(np.int64)
+                    yield pa.RecordBatch.from_arrays([pa.array(cell), own.column(0), pa.array(np.ones(len(x), bool)), pa.array(np.full(len(x), -np.inf, np.float32)), own.column(1)], names=["c", "m", "fresh", "least", "code"])
 
     return map_arrow(nodes, run, "c long, m long, fresh boolean, least float, code binary")
 
@@ -114,7 +123,8 @@ def meet(members: DataFrame) -> DataFrame:
             if not batch.num_rows:
                 continue
             c, ids, fresh, least = (batch.column(k).to_numpy(zero_copy_only=False) for k in range(4))
-            x = unpack(batch.column(4))
+            sizes = pc.min_max(pc.binary_length(batch.column(4)))
+            whole = unpack(batch.column(4)) if sizes["min"] == sizes["max"] else None
             bounds = np.concatenate([[0], np.flatnonzero(np.diff(c)) + 1, [len(c)]]).tolist()
             for s, e in zip(bounds[:-1], bounds[1:], strict=True):
                 if c[s] != centre:
@@ -124,7 +134,8 @@ def meet(members: DataFrame) -> DataFrame:
                     b = min(e, a + CELL)
                     if size + b - a > CELL:
                         close()
-                    held.append((ids[a:b], fresh[a:b], least[a:b], x[a:b]))
+                    x = unpack(batch.column(4).slice(a, b - a)) if whole is None else whole[a:b]  # a centre's members are of one length
+                    held.append((ids[a:b], fresh[a:b], least[a:b], x))
                     size += b - a
             if out:
                 yield _edges(out)
@@ -182,29 +193,35 @@ def scored(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows:
-                s = np.einsum("ij,ij->i", unpack(batch.column(2)), unpack(batch.column(3)))
-                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(s.astype(np.float32))], names=["q", "w", "s"])
+            for _, rows in alike(pc.binary_length(batch.column(2))):
+                own = batch.take(pa.array(rows))
+                s = np.einsum("ij,ij->i", unpack(own.column(2)), unpack(own.column(3)))
+                yield pa.RecordBatch.from_arrays([own.column(0), own.column(1), pa.array(s.astype(np.float32))], names=["q", "w", "s"])
 
     return map_arrow(coded, run, "q long, w long, s float")
 
 
 def greedy(queries: DataFrame, graph: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Rows (q, w) of the BEAM best nodes that a greedy walk from each query's own place in the graph finds."""
+    """Rows (q, w) of the best nodes that a greedy walk from each query's own place in the graph finds.
+
+    Of the candidates kept for a query, those not expanded yet give their neighbours, the best first, until all are
+    expanded: a dropped node is worse than all that are kept, so it never comes back and every walk ends.
+    """
+    beam = int(BEAM * max(1.0, 1 + np.log2(max(1, nodes.count()) / BASE) / 2))
+    expand = int(np.ceil(beam * EXPAND))
     links = written(around(graph, 99, DEGREE).select(F.col("c").alias("at"), F.col("m").alias("w")).distinct())
     start = graph.join(queries, F.col("v") == F.col("q"), "left_semi").select(F.col("v").alias("q"), F.col("u").alias("w"), "s")
     pool = cut(start.withColumn("open", F.lit(True)))
     best = Window.partitionBy("q").orderBy(F.desc("s"), "w")
-    for _ in range(STEPS):
+    while True:
         ranked = pool.withColumn("n", F.row_number().over(Window.partitionBy("q", "open").orderBy(F.desc("s"), "w")))
-        go = F.col("open") & (F.col("n") <= EXPAND)
+        go = F.col("open") & (F.col("n") <= expand)
         new = ranked.where(go).select("q", F.col("w").alias("at")).join(links, "at").select("q", "w").where("q <> w").distinct()
         new = scored(new.join(pool.select("q", "w"), ["q", "w"], "left_anti"), nodes).withColumn("open", F.lit(True))
         after = ranked.withColumn("open", F.col("open") & ~go).drop("n").unionByName(new)
-        pool = cut(after.withColumn("n", F.row_number().over(best)).where(F.col("n") <= BEAM).drop("n"))
-        if not pool.where("open").limit(1).count():
-            break
-    return pool.select("q", "w")
+        pool = cut(after.withColumn("n", F.row_number().over(best)).where(F.col("n") <= beam).drop("n"))
+        if pool.where("open").isEmpty():
+            return pool.select("q", "w")
 
 
 def search(df: DataFrame, every: int = 20, k: int = 20, vec_id: str = "vec_id", embedding: str = "embedding") -> DataFrame:
@@ -212,8 +229,9 @@ def search(df: DataFrame, every: int = 20, k: int = 20, vec_id: str = "vec_id",
 
     The score is the inner product of the original vectors in double precision; nearest first, ties to the smaller id; a
     query is not its own neighbour. Null vectors, vectors without a component other than zero or with a null or
-    non-finite one, rows with a null id and vectors of another length than the most frequent one take no part. Rows that
-    repeat an id count once. Equal vectors are one node of the graph, whose smallest ids are put in for it at the end.
+    non-finite one and rows with a null id take no part; a query's candidates are the vectors of its length, as others
+    have no inner product with it. Rows that repeat an id count once, with the smallest vector. Equal vectors are one
+    node of the graph, whose smallest ids are put in for it at the end. An empty table gives no rows.
     """
     vectors = written(clean_vectors(df, vec_id, embedding))
     classes = written(vectors.groupBy("x").agg(F.min("vec_id").alias("node")))
