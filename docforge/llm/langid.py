@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docforge.llm.common import map_arrow, text_chunks, widened
+from docforge.llm.common import cut, map_arrow, text_chunks, widened
 
 #: Bounds of the training sample: documents of a language, documents in all (but one for each language), bytes of a document.
 SAMPLE_DOCS, SAMPLE_ALL, SAMPLE_BYTES = 256, 1 << 14, 1 << 16
@@ -44,11 +44,8 @@ def sample(docs: DataFrame, text: str, lang: str, doc_id: str) -> list[tuple[str
     h = F.xxhash64(F.col("i").cast("string"))
     order = F.struct((F.octet_length("t") > SAMPLE_BYTES).alias("long"), h.alias("h"), "i")
     picked = own.groupBy("l", F.pmod(F.xxhash64(h), F.lit(each)).alias("b")).agg(F.min(order).alias("m")).select("l", "m.i")
-    found = picked.collect()
-    if not found:
-        return []
-    wanted = docs.sparkSession.createDataFrame(found, picked.schema)  # at most SAMPLE_ALL rows, or one for each language
-    rows = own.join(F.broadcast(wanted), ["l", "i"]).groupBy("l", "i").agg(F.min(F.substring("t", 1, SAMPLE_BYTES)).alias("t"))
+    wanted = F.broadcast(cut(picked))  # at most SAMPLE_ALL rows, or one for each language
+    rows = own.join(wanted, ["l", "i"]).groupBy("l", "i").agg(F.min(F.substring("t", 1, SAMPLE_BYTES)).alias("t"))
     return sorted((r.l, r.t) for r in rows.collect())
 
 

@@ -17,7 +17,7 @@ TEMPERATURES = {"source": 0.5, "lang": 0.5, "topic": 0.7}
 #: Raking ends when every value's tokens are within this share of all tokens of the target, or no round helps any more.
 TOLERANCE = 1e-11
 #: Rounds at most, rounds to a checkpoint, steps for the rate.
-ROUNDS, STEP, BUDGET_ROUNDS = 300, 5, 40
+ROUNDS, STEP, BUDGET_ROUNDS = 300, 3, 40
 #: Tables of up to so many cells are raked in one task and sent to all executors; larger ones stay spread out.
 FEW_CELLS = 100_000
 
