@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from docforge.functions import rules, similarity, text, vision
 from docforge.functions.adapters import apply_model, mock_ocr_lines
-from docforge.operators import merge, qa, rows, sequence, validate
+from docforge.operators import evidence, merge, qa, rows, sequence, validate
 from docforge.sources import ingest, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,7 +30,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-MOST_ITEMS = 10_000
 LICENCE = r"(?i)licen[cs]e"
 
 
@@ -84,10 +83,9 @@ def doc_line_offsets(spark, d):
     return spans.select("doc_id", F.col("pos").cast("long").alias("pos"), F.col("s.start").cast("long").alias("start_at"), F.char_length("s.line").cast("long").alias("n"))
 
 
-@query("SELECT doc_id, sha256(trim(regexp_replace(translate(upper(strip_accents(text)), '01', 'OI'), '[^A-Z0-9]+', ' ', 'g'))) AS key_sha FROM documents WHERE NOT contains(text, 'ß')")
+@query("SELECT doc_id, sha256(trim(regexp_replace(translate(upper(strip_accents(replace(text, 'ß', 'ss'))), '01', 'OI'), '[^A-Z0-9]+', ' ', 'g'))) AS key_sha FROM documents")
 def doc_match_key(spark, d):
-    docs = table(spark, d, "documents").where(~F.contains("text", F.lit("ß")))  # engines differ in the capital of ß
-    return docs.select("doc_id", F.sha2(text.match_key(F.col("text")).cast("binary"), 256).alias("key_sha"))
+    return table(spark, d, "documents").select("doc_id", F.sha2(text.match_key(F.col("text")).cast("binary"), 256).alias("key_sha"))
 
 
 @query(r"SELECT doc_id, sha256(trim(regexp_replace(strip_accents(lower(text)), '[^\p{L}\p{N}_]+', ' ', 'g'))) AS compare_sha FROM documents")
@@ -113,18 +111,17 @@ def marker_exact_split(spark, d):
 FUZZY = "GNU General Public License"
 
 
-@query(f"""WITH l AS (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents WHERE NOT contains(text, 'ß')),
+@query(f"""WITH l AS (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents),
 w AS (SELECT doc_id, i * 3 + k AS rank, trim(array_to_string(ls[i:i + k - 1], ' '), ' ' || chr(9)) AS raw FROM l, unnest(range(1, len(ls) + 1)) AS a(i), unnest([1, 2, 3]) AS b(k)),
-c AS (SELECT *, trim(regexp_replace(translate(upper(strip_accents(raw)), '01', 'OI'), '[^A-Z0-9]+', ' ', 'g')) AS key, '{FUZZY.upper()}' AS goal FROM w WHERE raw <> ''),
+c AS (SELECT *, trim(regexp_replace(translate(upper(strip_accents(replace(raw, 'ß', 'ss'))), '01', 'OI'), '[^A-Z0-9]+', ' ', 'g')) AS key, '{FUZZY.upper()}' AS goal FROM w WHERE raw <> ''),
 n AS (SELECT * FROM c WHERE 200 * least(length(key), length(goal)) >= 50 * (length(key) + length(goal))),
 s AS (SELECT *, 200.0::DOUBLE * list_reduce(list_transform(string_split(key, ''), lambda x: [[0]] || [[ascii(x)]]),
         lambda acc, x: [list_reduce(list_transform(range(1, length(goal) + 1), lambda j: [j]), lambda r, j: r || [CASE WHEN ascii(substr(goal, j[1], 1)) = x[2][1] THEN acc[1][j[1]] + 1 ELSE greatest(r[-1], acc[1][j[1] + 1]) END], [0])],
         [list_transform(range(0, length(goal) + 1), lambda j: 0)])[1][-1] / (length(key) + length(goal)) AS score FROM n)
-SELECT doc_id, arg_max(raw, (score, -rank)) AS best_text, round(max(score), 6) AS score, max(score) >= 82 AS found FROM s GROUP BY doc_id""")
+SELECT doc_id, arg_max(raw, (score, -rank)) AS best_text, round(max(score), 6) AS score, coalesce(max(score) >= 82, false) AS found FROM documents LEFT JOIN s USING (doc_id) GROUP BY doc_id""")
 def marker_fuzzy_window(spark, d):
-    docs = table(spark, d, "documents").where(~F.contains("text", F.lit("ß"))).select("doc_id", "text")  # engines differ in its capital
-    docs = text.once(docs, best=F.array_max(similarity.marker_windows(F.col("text"), FUZZY, 50.0)))
-    return docs.where("best is not null").select("doc_id", F.col("best.text").alias("best_text"), F.round("best.score", 6).alias("score"), (F.col("best.score") >= 82).alias("found"))
+    docs = text.once(table(spark, d, "documents").select("doc_id", "text"), best=similarity.best_window(F.col("text"), FUZZY, 50.0))
+    return docs.select("doc_id", F.col("best.text").alias("best_text"), F.round("best.score", 6).alias("score"), F.coalesce(F.col("best.score") >= 82, F.lit(False)).alias("found"))
 
 
 @query("""WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS pos, strpos(lower(text), 'licen') AS place FROM documents),
@@ -261,13 +258,7 @@ def validate_docs(spark, d):
 b AS (SELECT item_id, trim(regexp_replace(regexp_replace(lower(text), '[^\p{L}\p{N}_\s]', ' ', 'g'), '\s+', ' ', 'g')) AS e FROM benchmark)
 SELECT item_id, count(*) AS n_docs, min(doc_id) AS first_doc FROM k JOIN b ON e <> '' AND (contains(t, e) OR contains(replace(t, ' ', ''), replace(e, ' ', ''))) GROUP BY item_id""")
 def evidence_contains(spark, d):
-    """Which documents hold a benchmark item whole, spaces aside. A small set of items goes to every document, as the
-    question is one of containment, which no key can answer; more than MOST_ITEMS are refused."""
-    keyed = text.once(table(spark, d, "documents").select("doc_id", "text"), t=F.replace(text.evidence_key(F.col("text")), F.lit(" "), F.lit(""))).select("doc_id", "t")
-    items = table(spark, d, "benchmark").select("item_id", F.replace(text.evidence_key(F.col("text")), F.lit(" "), F.lit("")).alias("e")).where("e <> ''")
-    if items.count() > MOST_ITEMS:
-        raise ValueError(f"more than {MOST_ITEMS} items")
-    found = keyed.join(F.broadcast(items), F.contains("t", F.col("e"))).select("doc_id", "item_id")
+    found = evidence.holds(table(spark, d, "documents"), table(spark, d, "benchmark"))
     return found.groupBy("item_id").agg(F.count("*").alias("n_docs"), F.min("doc_id").alias("first_doc"))
 
 

@@ -92,14 +92,10 @@ def address(c: Column) -> Column:
 
 
 def canonical_role(label: Column) -> Column:
+    """The name of the first entry of ROLE_NAMES that stands in the label; else the label."""
     key = F.lower(squeeze(label))
-    return (
-        F.when(F.contains(key, F.lit("bị cáo")), "Bị cáo")
-        .when(F.contains(key, F.lit("bị hại")), "Bị hại")
-        .when(F.contains(key, F.lit("quyền lợi")) | F.contains(key, F.lit("liên quan")), V.INTERESTED)
-        .when(F.contains(key, F.lit("làm chứng")), "Người làm chứng")
-        .otherwise(F.trim(label))
-    )
+    names = F.filter(F.array(*(F.when(F.contains(key, F.lit(part)), name) for part, name in V.ROLE_NAMES)), lambda x: x.isNotNull())
+    return F.coalesce(F.get(names, F.lit(0)), F.trim(label))
 
 
 def role_blocks(c: Column, label: str = V.ROLE_LABEL) -> Column:
@@ -113,13 +109,13 @@ def role_blocks(c: Column, label: str = V.ROLE_LABEL) -> Column:
 
 def people(block: Column) -> Column:
     """The numbered items of a block if there are several, else the block."""
-    block = F.regexp_replace(block, IGNORE + r"^\s*(?:gồm|bao gồm)\s*[:：]?\s*", "")
-    items = F.filter(F.transform(F.split(block, r"(?:^|\n)\s*\d{1,2}\s*[.)]\s*", -1), lambda x: F.btrim(x, F.lit(" \n\t"))), lambda x: x != "")
+    block = F.regexp_replace(block, IGNORE + V.LIST_LEAD, "")
+    items = F.filter(F.transform(F.split(block, V.LIST_ITEM, -1), lambda x: F.btrim(x, F.lit(" \n\t"))), lambda x: x != "")
     return let(items, lambda found: F.when(F.size(found) > 1, found).otherwise(F.filter(F.array(F.btrim(block, F.lit(" \n\t"))), lambda x: x != "")))
 
 
 def party(role: Column, text: Column, strict: bool = False) -> Column:
-    raw = F.regexp_replace(strip_chars(squeeze(text), " .;:-"), IGNORE + r"^\s*(?:gồm|là)\s*[:：]?\s*", "")
+    raw = F.regexp_replace(strip_chars(squeeze(text), " .;:-"), IGNORE + V.PARTY_LEAD, "")
     return let(raw, lambda r: F.struct(
         role.alias("tu_cach_to_tung"), person_name(r, strict).alias("ho_ten"), birth_year(r).alias("nam_sinh"),
         identity_number(r).alias("cccd"), address(r).alias("dia_chi"), r.alias("raw_text"),

@@ -1,12 +1,16 @@
-"""Fuzzy comparison and the search for the section marker, without Python on the executors."""
+"""Fuzzy comparison and the search for the section marker."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections import Counter
+
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docforge.functions import vocab as V
 from docforge.functions.text import let, match_key, once
+from docforge.session import ship
 
 
 def lcs(a: Column, b: Column) -> Column:
@@ -33,12 +37,6 @@ def indel_score(a: Column, b: Column) -> Column:
     return F.when(total == 0, 100.0).otherwise(200.0 * lcs(a, b) / F.greatest(total, F.lit(1)))
 
 
-def reachable(a: Column, b: Column, threshold: float) -> Column:
-    """Whether lengths alone allow the score: the common subsequence is at most the shorter text."""
-    x, y = F.char_length(a), F.char_length(b)
-    return 200.0 * F.least(x, y) >= threshold * (x + y)
-
-
 def line_spans(c: Column) -> Column:
     """Array of (line, start, end): offsets of each line in characters."""
     lines = F.split(c, "\n", -1)
@@ -52,25 +50,63 @@ def line_spans(c: Column) -> Column:
     return F.aggregate(lines, first, step)["spans"]
 
 
-def marker_windows(c: Column, marker: str = V.MARKER, threshold: float = V.THRESHOLD) -> Column:
-    """Array of (score, rank, start, end, text) of one to three lines in a row whose lengths allow the threshold."""
-    key = match_key(F.lit(marker))
-
-    def window(spans: Column, i: Column, size: int) -> Column:
-        def made(part: Column) -> Column:
-            raw = F.btrim(F.array_join(F.transform(part, lambda s: s["line"]), " "), F.lit(" \t"))
-            return F.struct((i * 3 + size).alias("rank"), F.get(part, F.lit(0))["start"].alias("start"), F.get(part, F.size(part) - 1)["end"].alias("end"), raw.alias("text"))
-
-        return let(F.slice(spans, i + 1, F.lit(size)), made)
-
-    def scored(spans: Column) -> Column:
-        windows = F.flatten(F.transform(F.sequence(F.lit(0), F.size(spans) - 1), lambda i: F.array(*(window(spans, i, n) for n in (1, 2, 3)))))
-        short = F.filter(windows, lambda w: (w["text"] != "") & (F.char_length(w["text"]) * 3 >= F.char_length(key)))
-        keyed = F.transform(short, lambda w: F.struct(w["rank"], w["start"], w["end"], w["text"], match_key(w["text"]).alias("key")))
-        near = F.filter(keyed, lambda w: reachable(w["key"], key, threshold))
-        return F.transform(near, lambda w: F.struct(indel_score(w["key"], key).alias("score"), (-w["rank"]).alias("rank"), w["start"].alias("start"), w["end"].alias("end"), w["text"].alias("text")))
-
-    return let(line_spans(c), scored)
+def common_length(a: str, masks: dict[str, int], size: int) -> int:
+    """Longest common subsequence with the text of ``size`` characters whose places ``masks`` gives: a row of the table
+    is one integer, of which an addition carries every step at once."""
+    row = full = (1 << size) - 1
+    for c in a:
+        hit = row & masks.get(c, 0)
+        row = ((row + hit) | (row - hit)) & full
+    return size - row.bit_count()
+
+
+WINDOW = "struct<score:double,rank:int,start:int,end:int,text:string>"
+
+
+def best_window(c: Column, marker: str = V.MARKER, threshold: float = V.THRESHOLD) -> Column:
+    """(score, rank, start, end, text) of the best window of one to three lines in a row, the earliest of equals.
+
+    Only windows count whose lengths allow the threshold. Lines' keys are made in the JVM; windows are compared in Arrow
+    batches, and only those whose counts of letters could still beat the best so far.
+    """
+    ship(SparkSession.getActiveSession())
+    keys = F.transform(F.split(c, "\n", -1), match_key)
+
+    @F.pandas_udf(WINDOW)
+    def run(texts: pd.Series, line_keys: pd.Series, goals: pd.Series) -> pd.DataFrame:
+        found = []
+        for value, own, goal in zip(texts, line_keys, goals, strict=True):
+            found.append((None,) * 5 if value is None or own is None else search(value.split("\n"), own, goal, threshold))
+        return pd.DataFrame(found, columns=["score", "rank", "start", "end", "text"]).astype({"score": "Float64", "rank": "Int32", "start": "Int32", "end": "Int32"})
+
+    return run(c, keys, match_key(F.lit(marker)))
+
+
+def search(lines: list[str], keys: list[str], goal: str, threshold: float) -> tuple:
+    masks, counts, size = {}, Counter(goal), len(goal)
+    for i, x in enumerate(goal):
+        masks[x] = masks.get(x, 0) | 1 << i
+    best, at = (None,) * 5, 0
+    for i, line in enumerate(lines):
+        key, stop = "", at - 1
+        for n in range(min(3, len(lines) - i)):
+            stop += len(lines[i + n]) + 1
+            key = f"{key} {keys[i + n]}".strip()
+            total = len(key) + size
+            if 200.0 * min(len(key), size) < threshold * total:
+                if len(key) > size:
+                    break  # longer windows are further off
+                continue
+            if best[0] is not None:
+                shared = sum(min(k, counts[x]) for x, k in Counter(key).items())
+                if 200.0 * shared / total <= best[0]:
+                    continue
+            raw = " ".join(lines[i : i + n + 1]).strip(" \t")
+            score = 200.0 * common_length(key, masks, size) / total if total else 100.0
+            if raw and (best[0] is None or score > best[0]):
+                best = (score, 3 * i + n + 1, at, stop, raw)
+        at += len(line) + 1
+    return best
 
 
 MATCH = "struct<found:boolean,start:int,end:int,text:string,score:double>"
@@ -96,7 +132,7 @@ def find_marker(df: DataFrame, column: str, out: str = "marker", marker: str = V
             out = F.when(raw != "", hit(pattern, F.when(exact, 100.0).otherwise(score) if k == 0 else score)).otherwise(out)
         return out
 
-    df = once(df, _best=F.array_max(marker_windows(c, marker, threshold)), _inline=let(F.contains(match_key(c), key), inline))
+    df = once(df, _best=best_window(c, marker, threshold), _inline=let(F.contains(match_key(c), key), inline))
     best, found = F.col("_best"), F.col("_inline")
     zero, none = F.lit(0.0), F.lit(None)
     perfect = F.coalesce(best["score"] >= 100, F.lit(False))

@@ -88,43 +88,50 @@ def contains_evidence(text: Column, evidence: Column) -> Column:
     return (e != "") & (F.contains(t, e) | F.contains(F.replace(t, F.lit(" "), F.lit("")), F.replace(e, F.lit(" "), F.lit(""))))
 
 
-def nfc(c: Column) -> Column:
-    """Canonical composition, for which Spark has no function."""
+@cache
+def not_composed() -> str:
+    """A pattern for characters that composition may change: marks, jamo, and letters that are not composed themselves."""
+    own = [c for c in range(0x80, 0x10000) if not 0xD800 <= c < 0xE000 and unicodedata.normalize("NFC", chr(c)) != chr(c)]
+    runs: list[list[int]] = []
+    for c in own:
+        if runs and c == runs[-1][1] + 1:
+            runs[-1][1] = c
+        else:
+            runs.append([c, c])
+    return r"[\p{M}\u1100-\u11FF" + "".join(f"\\u{a:04X}-\\u{b:04X}" for a, b in runs) + r"\x{1D100}-\x{1D1FF}\x{2F800}-\x{2FA1F}]"
+
+
+def in_python(c: Column, needs: Column, change: Callable[[str], str]) -> Column:
+    """``change`` of the texts that need it; only these leave the JVM, in Arrow batches."""
 
     @F.pandas_udf("string")
     def run(values: pd.Series) -> pd.Series:
-        return values.map(lambda v: None if v is None else unicodedata.normalize("NFC", v))
+        return values.map(lambda v: None if v is None else change(v))
 
-    return run(c)
+    return F.coalesce(run(F.when(needs, c)), c)
 
 
-def repair_text(c: Column) -> Column:
-    """UTF-8 that was once read as Windows-1252; all of a value is repaired or none of it."""
-    triggers = tuple(V.MOJIBAKE_TEXT)
+def nfc(c: Column) -> Column:
+    """Canonical composition, for which Spark has no function."""
+    return in_python(c, F.rlike(c, F.lit(not_composed())), lambda v: unicodedata.normalize("NFC", v))
 
-    def fix(v: str | None) -> str | None:
-        if v is None or not any(t in v for t in triggers):
-            return v
+
+def repair_text(c: Column, triggers: list[str] = V.MOJIBAKE_TEXT) -> Column:
+    """UTF-8 that was once read as Windows-1252; all of a value is repaired or none of it. Values without a trigger stay."""
+
+    def fix(v: str) -> str:
         try:
             return v.encode("cp1252").decode("utf-8")
         except UnicodeError:
             return v
 
-    @F.pandas_udf("string")
-    def run(values: pd.Series) -> pd.Series:
-        return values.map(fix)
-
-    return run(c)
+    return in_python(c, F.rlike(c, F.lit("|".join(triggers))), fix)
 
 
 def join_split_dates(c: Column) -> Column:
     """Dates of which the line breaks before the month or the year are taken out."""
-    for pattern, new in (
-        (r"\bngày\s+(\d{1,2})\s*\n+\s*tháng\s+(\d{1,2})\s*\n+\s*năm\s+(\d{4})", "ngày $1 tháng $2 năm $3"),
-        (r"\bngày\s+(\d{1,2})\s*\n+\s*tháng\s+(\d{1,2})", "ngày $1 tháng $2"),
-        (r"\btháng\s+(\d{1,2})\s*\n+\s*năm\s+(\d{4})", "tháng $1 năm $2"),
-    ):
-        c = F.regexp_replace(c, IGNORE + pattern, new)
+    for label, number, then, last in V.DATE_BREAKS:
+        c = F.regexp_replace(c, rf"{IGNORE}\b{label}\s+({number})\s*\n\s*{then}\s+({last})", f"{label} $1 {then} $2")
     return c
 
 
@@ -146,10 +153,10 @@ def correct(c: Column, pairs: list[tuple[str, str]]) -> Column:
 def should_join(previous: Column, current: Column) -> Column:
     """Whether a line goes on from the one before: the first rule that applies decides."""
     return (
-        F.when(F.rlike(previous, F.lit(r"[:;.?!]$")), False)
+        F.when(F.rlike(previous, F.lit(V.LINE_END)), False)
         .when(F.rlike(current, F.lit(IGNORE + V.NO_JOIN_HEAD)), False)
-        .when(F.rlike(current, F.lit(r"^\d+[.)]\s+")), False)
-        .when(F.rlike(current, F.lit(r"^\p{Ll}")), True)
+        .when(F.rlike(current, F.lit(V.LIST_LINE)), False)
+        .when(F.rlike(current, F.lit(V.LOWER_START)), True)
         .otherwise(F.rlike(previous, F.lit(IGNORE + V.DANGLING)))
     )
 
@@ -167,8 +174,9 @@ def fold_lines(c: Column) -> Column:
     return F.array_join(F.aggregate(F.split(c, "\n", -1), F.array().cast("array<string>"), step), "\n")
 
 
-def normalise(c: Column, compose: bool = False) -> Column:
-    """Text as the extractors want it; with ``compose`` mojibake is repaired and accents composed, in Python."""
+def normalise(c: Column, compose: bool = True) -> Column:
+    """Text as the extractors want it; ``compose`` says whether mojibake is repaired and accents are composed, for which
+    the texts that need it go through Python."""
     c = F.coalesce(c, F.lit(""))
     if compose:
         c = nfc(repair_text(c))

@@ -78,6 +78,16 @@ CORRECTIONS = [
 ]
 MOJIBAKE_TEXT, MOJIBAKE_KEY = ["Ã", "áº", "á»", "Ä"], ["Ã", "áº", "á»"]
 
+DATE_BREAKS = [("ngày", r"\d{1,2}", "tháng", r"\d{1,2}"), ("tháng", r"\d{1,2}", "năm", r"\d{4}")]
+LINE_END, LIST_LINE, LOWER_START = r"[:;.?!]$", r"^\d+[.)]\s+", r"^\p{Ll}"
+LIST_LEAD, LIST_ITEM, PARTY_LEAD = r"^\s*(?:gồm|bao gồm)\s*[:：]?\s*", r"(?:^|\n)\s*\d{1,2}\s*[.)]\s*", r"^\s*(?:gồm|là)\s*[:：]?\s*"
+ROLE_NAMES = [
+    ("bị cáo", "Bị cáo"),
+    ("bị hại", "Bị hại"),
+    ("quyền lợi", "Người có quyền lợi, nghĩa vụ liên quan"),
+    ("liên quan", "Người có quyền lợi, nghĩa vụ liên quan"),
+    ("làm chứng", "Người làm chứng"),
+]
 DATE_LONG = r"ngày\s+(\d{1,2})\s+tháng\s+(\d{1,2})\s+năm\s+(\d{4})"
 DATE_SHORT = r"(\d{1,2})[/-](\d{1,2})[/-](\d{4})"
 DOCKET_LABEL = r"(?:thụ\s*lý\s*số|số\s*thụ\s*lý)"
@@ -109,7 +119,6 @@ ROLE_LABEL = (
     r"(?:Các bị cáo|Bị cáo|Người bị hại|Bị hại|"
     r"Người có quyền lợi[, ]+(?:và\s+)?nghĩa vụ liên quan|Người liên quan|Người làm chứng)"
 )
-INTERESTED = "Người có quyền lợi, nghĩa vụ liên quan"
 NAME_END = (
     r"\b(?:sinh|SN|năm sinh|giới tính|nghề nghiệp|quốc tịch|dân tộc|địa chỉ|nơi cư trú|"
     r"trú tại|cư trú tại|HKTT|ĐKHKTT|CCCD|CMND|Căn cước|Chứng minh)\b"

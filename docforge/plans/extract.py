@@ -18,12 +18,13 @@ from docforge.operators.validate import validate
 
 @dataclass(frozen=True)
 class Options:
-    """marker and threshold of the search; whether to extract without a marker; whether accents are composed in Python."""
+    """marker and threshold of the search; whether to extract without a marker; whether mojibake is
+    repaired and accents are composed, in Python for the texts that need it."""
 
     marker: str = V.MARKER
     threshold: float = V.THRESHOLD
     extract_without_marker: bool = True
-    compose: bool = False
+    compose: bool = True
     strict_names: bool = False
 
 

@@ -1,6 +1,7 @@
 """Rules, marker search, merging, validation, reports and sources on small texts of our own."""
 
 import json
+import random
 import zipfile
 
 import pytest
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 from docforge.functions import payload, rules, similarity, text
 from docforge.functions import vocab as V
 from docforge.functions.adapters import apply_model, polygon_box, with_fallback
-from docforge.operators import merge, qa, rows, sequence, validate
+from docforge.operators import evidence, merge, qa, rows, sequence, validate
 from docforge.plans.extract import Options, extract, headers
 from docforge.sources import ingest, sinks
 from docforge.streaming.incremental import process_new
@@ -73,6 +74,48 @@ def test_scores(spark):
     assert score("", "") == 100 and score("abc", "") == 0 and score("abc", "xbz") == pytest.approx(100 / 3)
 
 
+def slow_best(text, marker, threshold, spark):
+    keys = [value(spark, text_key(F.col("t")), t=t) for t in text.split("\n")]
+    goal = value(spark, text_key(F.lit(marker)))
+    lines, best = text.split("\n"), None
+    for i in range(len(lines)):
+        for n in (1, 2, 3):
+            raw = " ".join(lines[i : i + n]).strip(" \t")
+            key = " ".join(k for k in keys[i : i + n] if k)
+            if raw and 200 * min(len(key), len(goal)) >= threshold * (len(key) + len(goal)):
+                table = [[0] * (len(goal) + 1) for _ in range(len(key) + 1)]
+                for a, x in enumerate(key, 1):
+                    for b, y in enumerate(goal, 1):
+                        table[a][b] = table[a - 1][b - 1] + 1 if x == y else max(table[a - 1][b], table[a][b - 1])
+                score = 200 * table[-1][-1] / (len(key) + len(goal))
+                if best is None or score > best[0]:
+                    best = (score, raw)
+    return best
+
+
+text_key = text.match_key
+
+
+def test_best_window_against_every_window(spark):
+    rng = random.Random(4)
+    cases = ["\n".join("".join(rng.choice("ND OIUGVẤAss ") for _ in range(rng.randrange(0, 14))) for _ in range(9)) for _ in range(12)] + ["", " ", "Nội\ndung\nvụ án", "x" * 50]
+    df = spark.createDataFrame([(i, c) for i, c in enumerate(cases)] + [(99, None)], "i int, t string")
+    got = {r.i: r.b for r in df.select("i", similarity.best_window(F.col("t"), threshold=30.0).alias("b")).collect()}
+    for i, c in enumerate(cases):
+        want = slow_best(c, V.MARKER, 30.0, spark)
+        assert (got[i].score, got[i].text) == (want or (None, None)) if want is None else (got[i].score == pytest.approx(want[0]) and got[i].text == want[1]), c
+    assert got[99].score is None
+
+
+def test_evidence_in_parts(spark, monkeypatch):
+    docs = spark.createDataFrame([(1, "The cat, sat on THE mat."), (2, "catsat"), (3, None), (4, "")], "doc_id long, text string")
+    items = spark.createDataFrame([(1, "cat sat"), (2, "the mat"), (3, "dog"), (4, " ?"), (5, None), (6, "c at")], "item_id int, text string")
+    for part, group in ((1 << 20, 1 << 24), (7, 8)):
+        monkeypatch.setattr(evidence, "PART", part)
+        monkeypatch.setattr(evidence, "GROUP", group)
+        assert sorted(map(tuple, evidence.holds(docs, items).collect())) == [(1, 1), (1, 2), (1, 6), (2, 1), (2, 6)]
+
+
 def test_normalisation(spark):
     n = lambda t, **k: value(spark, text.normalise(F.col("t"), **k), t=t)
     assert n("a\r\n\r\n\r\n\r\nB​. \t x\r") == "a\n\nB. x"
