@@ -407,8 +407,11 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
+    from docforge import catalog_rules  # noqa: F401  registers its queries
+
     return {name: f for name, (f, _) in REGISTERED.items()}
 
 
 def oracle_sql() -> dict[str, str]:
+    queries()
     return {name: sql for name, (_, sql) in REGISTERED.items() if sql}

@@ -7,10 +7,11 @@ from collections.abc import Callable
 from functools import cache, reduce
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docforge.functions import vocab as V
+from docforge.session import ship
 
 IGNORE = "(?iu)"
 
@@ -104,6 +105,8 @@ def not_composed() -> str:
 def in_python(c: Column, needs: Column, change: Callable[[str], str]) -> Column:
     """``change`` of the texts that need it; only these leave the JVM, in Arrow batches."""
 
+    ship(SparkSession.getActiveSession())
+
     @F.pandas_udf("string")
     def run(values: pd.Series) -> pd.Series:
         return values.map(lambda v: None if v is None else change(v))
@@ -111,21 +114,33 @@ def in_python(c: Column, needs: Column, change: Callable[[str], str]) -> Column:
     return F.coalesce(run(F.when(needs, c)), c)
 
 
+def compose(v: str) -> str:
+    return unicodedata.normalize("NFC", v)
+
+
+def repair(v: str, triggers: tuple[str, ...] = tuple(V.MOJIBAKE_TEXT)) -> str:
+    """UTF-8 that was once read as Windows-1252; all of a value is repaired or none of it. Values without a trigger stay."""
+    if not any(t in v for t in triggers):
+        return v
+    try:
+        return v.encode("cp1252").decode("utf-8")
+    except UnicodeError:
+        return v
+
+
 def nfc(c: Column) -> Column:
     """Canonical composition, for which Spark has no function."""
-    return in_python(c, F.rlike(c, F.lit(not_composed())), lambda v: unicodedata.normalize("NFC", v))
+    return in_python(c, F.rlike(c, F.lit(not_composed())), compose)
 
 
 def repair_text(c: Column, triggers: list[str] = V.MOJIBAKE_TEXT) -> Column:
-    """UTF-8 that was once read as Windows-1252; all of a value is repaired or none of it. Values without a trigger stay."""
+    return in_python(c, F.rlike(c, F.lit("|".join(triggers))), lambda v: repair(v, tuple(triggers)))
 
-    def fix(v: str) -> str:
-        try:
-            return v.encode("cp1252").decode("utf-8")
-        except UnicodeError:
-            return v
 
-    return in_python(c, F.rlike(c, F.lit("|".join(triggers))), fix)
+def repaired_and_composed(c: Column) -> Column:
+    """``repair_text`` and then ``nfc``, in one way through Python."""
+    either = not_composed()[:-1] + "".join(t for t in V.MOJIBAKE_TEXT if len(t) == 1) + "]|" + "|".join(t for t in V.MOJIBAKE_TEXT if len(t) > 1)
+    return in_python(c, F.rlike(c, F.lit(either)), lambda v: compose(repair(v)))
 
 
 def join_split_dates(c: Column) -> Column:
@@ -174,12 +189,12 @@ def fold_lines(c: Column) -> Column:
     return F.array_join(F.aggregate(F.split(c, "\n", -1), F.array().cast("array<string>"), step), "\n")
 
 
-def normalise(c: Column, compose: bool = True) -> Column:
-    """Text as the extractors want it; ``compose`` says whether mojibake is repaired and accents are composed, for which
+def normalise(c: Column, composed: bool = True) -> Column:
+    """Text as the extractors want it; ``composed`` says whether mojibake is repaired and accents are composed, for which
     the texts that need it go through Python."""
     c = F.coalesce(c, F.lit(""))
-    if compose:
-        c = nfc(repair_text(c))
+    if composed:
+        c = repaired_and_composed(c)
     c = collapse_lines(join_split_dates(correct(plain_lines(c), V.CORRECTIONS)))
     return F.btrim(fold_lines(c), F.lit(" \n\t"))
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -31,15 +32,19 @@ def warning_group(c: Column) -> Column:
     return out.otherwise("other")
 
 
-def suspicious(name: Column, year: Column, identity: Column) -> dict[str, Column]:
+def suspicious_flags(name: Column, year: Column, identity: Column) -> dict[str, Column]:
     digits, y = F.regexp_replace(F.coalesce(identity, F.lit("")), r"\D", ""), F.trim(F.coalesce(year, F.lit("")))
     return {
-        "suspicious_name_like_phrase": F.count_if(F.rlike(ascii_key(name), F.lit(V.SUSPICIOUS_NAME))),
-        "invalid_birth_year": F.count_if((y != "") & ~F.rlike(y, F.lit("^[0-9]{4}$"))),
-        "invalid_identity_number_length": F.count_if((digits != "") & ~F.char_length(digits).isin(9, 12)),
+        "suspicious_name_like_phrase": F.rlike(ascii_key(name), F.lit(V.SUSPICIOUS_NAME)),
+        "invalid_birth_year": (y != "") & ~F.rlike(y, F.lit("^[0-9]{4}$")),
+        "invalid_identity_number_length": (digits != "") & ~F.char_length(digits).isin(9, 12),
     }
 
 
+def suspicious(name: Column, year: Column, identity: Column) -> dict[str, Column]:
+    return {k: F.count_if(c) for k, c in suspicious_flags(name, year, identity).items()}
+
+
 def sections(frames: dict[str, DataFrame]) -> DataFrame:
     """One (section, key, n) table of one-row tables (their columns) and of two-column tables (key, n)."""
     out = []
@@ -53,20 +58,36 @@ def sections(frames: dict[str, DataFrame]) -> DataFrame:
 
 
 def batch_report(results: DataFrame) -> DataFrame:
-    """(section, key, n) over validated results: batch, marker, review, extractors, fields, warnings, suspicious."""
-    people = results.select(F.explode("participants").alias("p")).select("p.*")
-    case = fill_rates(results.select("case_info.*"), list(V.CASE_FIELDS))
-    party = fill_rates(people, list(V.PARTY_FIELDS))
-    flat = lambda df: df.select(F.explode(F.array(*(F.struct(F.concat_ws(".", "field", F.lit(m)).alias("key"), F.col(m).alias("n")) for m in ("total", "non_empty", "empty")))).alias("p")).select("p.key", "p.n")
-    counts = results.agg(F.count(F.lit(1)).alias("result_objects"), F.coalesce(F.sum(F.size("participants")), F.lit(0)).alias("participant_rows"))
-    marker = results.agg(F.count_if(F.col("marker_found")).alias("found"), F.count_if(~F.coalesce("marker_found", F.lit(False))).alias("not_found"))
-    review = results.agg(F.count_if(F.col("review_required")).alias("required"), F.count_if(~F.coalesce("review_required", F.lit(False))).alias("not_required"))
-    odd = people.agg(*(c.alias(k) for k, c in suspicious(F.col("ho_ten"), F.col("nam_sinh"), F.col("cccd")).items()))
-    warned = results.select(F.explode("warnings").alias("w"))
-    return sections({
-        "batch": counts, "marker": marker, "review": review, "extractors": histogram(results, F.col("primary_extractor"), "key"), "case_fields": flat(case),
-        "participant_fields": flat(party), "warnings": histogram(warned, warning_group(F.col("w")), "key"), "suspicious_counts": odd,
-    })
+    """(section, key, n) over validated results: batch, marker, review, extractors, fields, warnings, suspicious.
+
+    One pass: each result gives its counts as rows, which are summed with map-side combine; counts of nothing are 0.
+    """
+    people = F.col("participants")
+
+    def entry(section: str, key: Column | str, n: Column) -> Column:
+        return F.struct(F.lit(section).alias("section"), (F.lit(key) if isinstance(key, str) else key).alias("key"), n.cast("long").alias("n"))
+
+    def stats(section: str, field: str, total: Column, filled: Column) -> list[Column]:
+        return [entry(section, f"{field}.{m}", n) for m, n in (("total", total), ("non_empty", filled), ("empty", total - filled))]
+
+    def count_if(test: Callable[[Column], Column]) -> Column:
+        return F.coalesce(F.size(F.filter(people, lambda p: F.coalesce(test(p), F.lit(False)))), F.lit(0))
+
+    found, review = (F.coalesce(F.col(c), F.lit(False)).cast("int") for c in ("marker_found", "review_required"))
+    many = F.coalesce(F.size(people), F.lit(0))
+    fixed = [entry("batch", "result_objects", F.lit(1)), entry("batch", "participant_rows", many)]
+    fixed += [entry("marker", "found", found), entry("marker", "not_found", 1 - found), entry("review", "required", review), entry("review", "not_required", 1 - review)]
+    for f in V.CASE_FIELDS:
+        fixed += stats("case_fields", f, F.lit(1), (~is_blank(F.col("case_info")[f])).cast("int"))
+    for f in V.PARTY_FIELDS:
+        fixed += stats("participant_fields", f, many, count_if(lambda p: ~is_blank(p[f])))  # noqa: B023
+    odd = lambda k: count_if(lambda p: suspicious_flags(p["ho_ten"], p["nam_sinh"], p["cccd"])[k])
+    fixed += [entry("suspicious_counts", k, odd(k)) for k in suspicious_flags(F.lit(""), F.lit(""), F.lit(""))]
+    varied = F.array_append(F.transform(F.coalesce("warnings", F.array().cast("array<string>")), lambda w: entry("warnings", warning_group(w), F.lit(1))), entry("extractors", F.coalesce("primary_extractor", F.lit("unknown")), F.lit(1)))
+    rows = results.select(F.inline(F.concat(F.array(*fixed), varied)))
+    zero = results.sparkSession.range(1).select(F.lit(None).cast("boolean").alias("marker_found"), F.lit(None).cast("boolean").alias("review_required"), F.lit(None).cast(results.schema["participants"].dataType).alias("participants"), F.lit(None).cast(results.schema["case_info"].dataType).alias("case_info"))
+    zero = zero.select(F.inline(F.array(*fixed))).withColumn("n", F.lit(0).cast("long"))
+    return rows.unionByName(zero).groupBy("section", "key").agg(F.sum("n").alias("n"))
 
 
 def blanks_by_column(df: DataFrame) -> DataFrame:
