@@ -4,11 +4,24 @@ from __future__ import annotations
 
 import shutil
 import tempfile
+import uuid
 from pathlib import Path
 
 from pyspark.sql import SparkSession
 
 
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A new folder under the cluster's shared one (``spark.checkpoint.dir``); a temporary one only on a single machine."""
+    sc = spark.sparkContext
+    known = sc._jsc.sc().getCheckpointDir()
+    base = known.get() if known.isDefined() else spark.conf.get("spark.checkpoint.dir", None)
+    if base is None:
+        if not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        base = tempfile.mkdtemp(prefix="docforge-")
+    return f"{base}/{name}-{uuid.uuid4().hex}"
+
+
 def ship(spark: SparkSession) -> None:
     """Send this package to the executors' Python once per context, as they may not have it on their path."""
     sc = spark.sparkContext

@@ -3,17 +3,45 @@
 from __future__ import annotations
 
 import io
+import re
 import zipfile
+import zlib
 from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from docforge.functions.text import cache_key
 from docforge.operators.sequence import keep_first
 
 
+STREAM = re.compile(rb"/FlateDecode.{0,200}?stream\r?\n(.*?)endstream", re.DOTALL)
+PAGE, PAGES = re.compile(rb"/Type\s*/Page(?![a-zA-Z])"), re.compile(rb"/Type\s*/Pages\b[^>]{0,200}?/Count\s+(\d+)")
+LINE = "struct<text:string,page_number:int,bbox:array<double>,confidence:double>"
+OCR_DOCUMENT = f"source_file string, file_id string, cache_key string, page_count int, pages array<struct<page_number:int,text:string,lines:array<{LINE}>>>, metadata map<string,string>"
+
+
+def ocr_documents(spark: SparkSession, path: str) -> DataFrame:
+    """Cached OCR documents: pages of lines with boxes, as ``sinks.write_ocr_cache`` writes them."""
+    return spark.read.schema(OCR_DOCUMENT).json(path)
+
+
+def page_texts(documents: DataFrame) -> DataFrame:
+    """(source_file, page_number, text): a page's own text, else its non-blank lines; blank pages are left out."""
+    pages = documents.select("source_file", F.explode("pages").alias("p"))
+    lines = F.array_join(F.filter(F.transform("p.lines", lambda x: x["text"]), lambda t: F.trim(t) != ""), "\n")
+    text = F.coalesce(F.when(F.trim("p.text") != "", F.col("p.text")), lines)
+    return pages.select("source_file", "p.page_number", text.alias("text")).where(F.trim("text") != "")
+
+
+def batch_results(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """The results of batch summaries: JSON files with a list ``results`` of ``schema``; items that are no objects go."""
+    df = spark.read.schema(f"total long, success long, failed long, skipped long, results array<struct<{schema}>>").option("multiLine", True).json(path)
+    return df.select(F.explode("results").alias("r")).where("r is not null").select("r.*")
+
+
 def binary_files(spark: SparkSession, path: str, suffix: str = "pdf") -> DataFrame:
     """path, length, content and file_id (SHA-256 of the content) of the files with a suffix, not below folders."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", f"*.{suffix}").load(path)
@@ -26,8 +54,35 @@ def checked(files: DataFrame, magic: bytes = b"%PDF") -> DataFrame:
     return files.withColumn("error", F.when(F.col("length") == 0, "empty file").when(~start, "unexpected content"))
 
 
+def page_counts(files: DataFrame) -> DataFrame:
+    """``checked`` with page_count, from the page objects of the file or the largest count its page tree gives.
+
+    Object streams are inflated. A file without a page has an error, as the last in the order of errors.
+    """
+
+    def count(content: bytes) -> int:
+        plain = [content]
+        for m in STREAM.finditer(content):
+            try:
+                plain.append(zlib.decompressobj().decompress(m.group(1), 1 << 24))
+            except zlib.error:
+                continue
+        pages = sum(len(PAGE.findall(p)) for p in plain)
+        return max([pages, *(int(n) for p in plain for n in PAGES.findall(p))])
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            known = [None if e is not None or c is None else count(c) for c, e in zip(batch["content"], batch["error"], strict=True)]
+            yield batch.assign(page_count=pd.Series(known, index=batch.index, dtype="Int32"))
+
+    files = checked(files)
+    out = files.mapInPandas(run, T.StructType([*files.schema.fields, T.StructField("page_count", T.IntegerType())]))
+    return out.withColumn("error", F.coalesce("error", F.when(F.col("page_count") < 1, "no pages")))
+
+
 def zip_members(files: DataFrame, suffix: str = ".pdf") -> DataFrame:
-    """(path, member, content) of the members of ZIP archives with a suffix in any case; broken archives give none."""
+    """(path, member, content, error) of the members of ZIP archives with a suffix in any case; a broken archive is one
+    row with an error."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -36,22 +91,22 @@ def zip_members(files: DataFrame, suffix: str = ".pdf") -> DataFrame:
                     with zipfile.ZipFile(io.BytesIO(content)) as archive:
                         for name in archive.namelist():
                             if name.lower().endswith(suffix):
-                                yield pd.DataFrame({"path": [path], "member": [name], "content": [archive.read(name)]})
-                except zipfile.BadZipFile:
-                    continue
+                                yield pd.DataFrame({"path": [path], "member": [name], "content": [archive.read(name)], "error": [None]})
+                except (zipfile.BadZipFile, zlib.error, NotImplementedError, RuntimeError) as problem:
+                    yield pd.DataFrame({"path": [path], "member": [None], "content": [None], "error": [f"broken archive: {type(problem).__name__}"]})
 
-    return files.select("path", "content").mapInPandas(run, "path string, member string, content binary")
+    return files.select("path", "content").mapInPandas(run, "path string, member string, content binary, error string")
 
 
 def text_files(spark: SparkSession, path: str) -> DataFrame:
     """(source_file, text): each file whole."""
-    return spark.read.option("wholetext", True).text(path).select(F.regexp_extract(F.input_file_name(), r"([^/]+)$", 1).alias("source_file"), F.col("value").alias("text"))
+    return spark.read.text(path, wholetext=True).select(F.regexp_extract(F.input_file_name(), r"([^/]+)$", 1).alias("source_file"), F.col("value").alias("text"))
 
 
 def gold_rows(spark: SparkSession, path: str) -> DataFrame:
     """Gold rows of CSV with a header, JSON lines, or JSON with a list (or ``rows``), by suffix; a byte order mark is fine."""
     if path.endswith(".csv"):
-        df = spark.read.option("header", True).option("multiLine", True).csv(path)
+        df = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path)
     elif path.endswith(".jsonl"):
         df = spark.read.json(path)
     else:

@@ -11,13 +11,36 @@ from docforge.operators.rows import redact
 def write_rows(rows: DataFrame, path: str, single: bool = False) -> None:
     """Flat rows as CSV with a header, in the order of source and party; ``single`` asks for one file."""
     out = rows.orderBy("source_file", "row_index")
-    (out.coalesce(1) if single else out).write.mode("overwrite").option("header", True).csv(path)
+    (out.coalesce(1) if single else out).write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
 
 
 def write_json(df: DataFrame, path: str, private: list[str] | None = None, include_sensitive: bool = False) -> None:
     redact(df, private or [], include_sensitive).write.mode("overwrite").json(path)
 
 
+def write_texts(df: DataFrame, path: str, text: str = "text") -> None:
+    """Texts only, one line each with line ends escaped; for looking into a run, so nothing writes them unless asked."""
+    line = F.replace(F.replace(F.coalesce(F.col(text), F.lit("")), F.lit("\\"), F.lit("\\\\")), F.lit("\n"), F.lit("\\n"))
+    df.select(line.alias("value")).write.mode("overwrite").text(path)
+
+
+def read_texts(df: DataFrame, value: str = "value") -> DataFrame:
+    """The texts of lines that ``write_texts`` wrote."""
+    parts = F.transform(F.split(F.col(value), r"\\\\", -1), lambda p: F.replace(p, F.lit("\\n"), F.lit("\n")))
+    return df.select(F.array_join(parts, "\\").alias("text"))
+
+
+def write_ocr_cache(documents: DataFrame, path: str) -> None:
+    """OCR documents (see ``ingest.OCR_DOCUMENT``) as JSON, one a line, in folders by the first letters of their keys."""
+    documents.withColumn("shard", F.substring("cache_key", 1, 2)).write.mode("append").partitionBy("shard").json(path)
+
+
+def write_summary(summary: DataFrame, results: DataFrame, path: str) -> None:
+    """The counts of a batch beside its results: ``path``/summary and ``path``/results, both JSON."""
+    summary.coalesce(1).write.mode("overwrite").json(f"{path}/summary")
+    results.write.mode("overwrite").json(f"{path}/results")
+
+
 def append_manifest(done: DataFrame, path: str) -> None:
     """File ids that went through; failed ones are left for the next run."""
     done.select("file_id", F.lit("done").alias("status")).write.mode("append").parquet(path)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import io
 import re
+import tempfile
 import zipfile
 from collections.abc import Iterator
 from itertools import chain
@@ -37,7 +38,8 @@ def _row(number: int, values: list) -> str:
 
 
 def write_workbook(rows: DataFrame, path: str, order: list[str], columns: list[str], sheet: str = "Trich xuat") -> None:
-    """A header and the rows in ``order`` as one sheet: a single file by nature, streamed row by row through the driver.
+    """A header and the rows in ``order`` as one sheet: a single file by nature, streamed row by row through the driver and
+    then copied to ``path``, in any file system that Spark knows.
 
     Nulls are empty cells. More rows than a sheet holds are refused; write_rows takes any number.
     """
@@ -49,7 +51,8 @@ def write_workbook(rows: DataFrame, path: str, order: list[str], columns: list[s
         "xl/workbook.xml": f'<workbook xmlns="{MAIN}" xmlns:r="{OFFICE}"><sheets><sheet name="{escape(sheet)}" sheetId="1" r:id="rId1"/></sheets></workbook>',
         "xl/_rels/workbook.xml.rels": f'<Relationships xmlns="{PACKAGE}/relationships"><Relationship Id="rId1" Type="{OFFICE}/worksheet" Target="worksheets/sheet1.xml"/></Relationships>',
     }
-    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as archive:
+    local = f"{tempfile.mkdtemp(prefix='docforge-')}/sheet.xlsx"
+    with zipfile.ZipFile(local, "w", zipfile.ZIP_DEFLATED) as archive:
         for name, content in parts.items():
             archive.writestr(name, f'<?xml version="1.0" encoding="UTF-8"?>{content}')
         with archive.open("xl/worksheets/sheet1.xml", "w") as out:
@@ -57,6 +60,9 @@ def write_workbook(rows: DataFrame, path: str, order: list[str], columns: list[s
             for number, row in enumerate(chain([columns], rows.orderBy(*order).select(*(F.col(f"`{c}`").cast("string") for c in columns)).toLocalIterator()), 1):
                 out.write(_row(number, list(row)).encode())
             out.write(b"</sheetData></worksheet>")
+    jvm, conf = rows.sparkSession._jvm, rows.sparkSession.sparkContext._jsc.hadoopConfiguration()
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(conf).copyFromLocalFile(True, True, jvm.org.apache.hadoop.fs.Path(f"file://{local}"), target)
 
 
 def sheet_rows(content: bytes) -> Iterator[list[str | None]]:

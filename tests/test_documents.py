@@ -7,12 +7,13 @@ import zipfile
 import pytest
 from pyspark.sql import functions as F
 
-from docforge.functions import payload, rules, similarity, text
+from docforge.functions import chat, payload, rules, similarity, text
 from docforge.functions import vocab as V
 from docforge.functions.adapters import apply_model, polygon_box, with_fallback
 from docforge.operators import evidence, merge, qa, rows, sequence, validate
+from docforge.plans.batch import Batch, process_batch
 from docforge.plans.extract import Options, extract, headers
-from docforge.sources import ingest, sinks
+from docforge.sources import ingest, options, sinks
 from docforge.streaming.incremental import process_new
 
 HEADER = """TÒA ÁN NHÂN DÂN TỈNH X
@@ -233,7 +234,8 @@ def test_files(spark, tmp_path):
     assert files.count() == 3 and {r.error for r in ingest.checked(files).collect()} == {None, "unexpected content"}
     fresh = ingest.not_processed(files, files.where("length = 2").select("file_id"))
     assert [r.path.rsplit("/", 1)[1] for r in fresh.collect()] == ["a.pdf"]
-    assert [r.member for r in ingest.zip_members(ingest.binary_files(spark, str(tmp_path), "zip")).collect()] == ["in.PDF"]
+    members = {r.member: r.error for r in ingest.zip_members(ingest.binary_files(spark, str(tmp_path), "zip")).collect()}
+    assert members == {"in.PDF": None, None: "broken archive: BadZipFile"}
     (tmp_path / "gold.csv").write_text("﻿source_file,f\na,1\n", encoding="utf-8")
     assert ingest.gold_rows(spark, str(tmp_path / "gold.csv")).first().source_file == "a"
     (tmp_path / "gold.json").write_text('{"rows": [{"source_file": "b"}]}')
@@ -248,3 +250,51 @@ def test_sinks_and_stream(spark, tmp_path, judged):
     for _ in range(2):
         process_new(spark, str(tmp_path / "in"), "id long", str(tmp_path / "state"), lambda df, n: seen.append(df.count())).awaitTermination()
     assert sum(seen) == 5
+
+
+def test_options_are_checked():
+    for bad in ({"limit": 0}, {"sample": -1}, {"most_pages": 51}, {"dpi": 301}):
+        with pytest.raises(ValueError, match="must be"):
+            Batch(**bad).check()
+
+
+def test_a_batch_with_a_limit_of_files_that_all_fail(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    for i in range(12):
+        (tmp_path / "in" / f"{i:02}.pdf").write_bytes(b"%PDF " + str(i).encode())
+
+    def load():
+        def read(content, most):
+            raise RuntimeError("broken")
+
+        return read
+
+    done = process_batch(spark, str(tmp_path / "in"), str(tmp_path / "out"), load, Batch(limit=10))
+    assert done.count() == 10 == done.where("error = 'RuntimeError: broken'").count()
+    summary = spark.read.json(str(tmp_path / "out/summary/summary")).first()
+    assert (summary.total, summary.success, summary.failed, summary.skipped) == (10, 0, 10, 0)
+    required = process_batch(spark, str(tmp_path / "in"), str(tmp_path / "out2"), lambda: lambda c, m: ["text"], Batch(limit=2, require_model=True))
+    assert {r.error for r in required.collect()} == {"RequiredModelError: no answer of the model"}
+
+
+def test_environment(tmp_path):
+    (tmp_path / ".env").write_text("# no\nA='x y'\nB=2\nC\nD=on\nE=bad\n")
+    e = options.load_env(str(tmp_path / ".env"), {"B": "3"})
+    assert e == {"A": "x y", "B": "3", "D": "on", "E": "bad"}
+    assert options.flag(e, "Z", "D") and not options.flag(e, "A") and options.flag(e, "Z", default=True)
+    assert options.number(e, "Z", "B", default=7) == 3 and options.number(e, "E", default=7) == 7 and options.number(e, "B", default=1.5) == 3.0
+    assert options.listed("vi, en,") == ["vi", "en"] and options.prompt(str(tmp_path / "none"), "p") == "p"
+
+
+def test_a_chat_model_mends_its_answer_once():
+    sent = []
+
+    def send(url, body, **_):
+        sent.append(body["messages"][0]["content"])
+        return {"choices": [{"message": {"content": answers.pop(0)}}]} if len(sent) % 2 else {"message": {"content": answers.pop(0)}}
+
+    answers = ["{oops", '```json\n{"case_type": "x"}\n```']
+    assert json.loads(chat.chat_model("u", "m", "Q {}", send=send)()("text")) == {"case_type": "x"} and sent[0] == "Q text" and "{oops" in sent[1]
+    answers = ["[1]", "[2]"]
+    with pytest.raises(chat.ModelError):
+        chat.chat_model("u", "m", "Q {}", send=send)()("text")
