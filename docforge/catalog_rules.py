@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docforge.catalog import query, table
-from docforge.functions import payload, rules, similarity, text
+from docforge.functions import payload, rules, similarity, text, vision
 from docforge.functions import vocab as V
 from docforge.functions.adapters import apply_model, polygon_box, with_fallback
 from docforge.operators import merge, qa, rows, sequence, validate
@@ -302,3 +302,13 @@ def results_in_one_table(spark, d):
     a = table(spark, d, "documents").select(F.col("doc_id").cast("string").alias("source_file"), F.lit(0).alias("row_index"), F.col("lang").alias("value"))
     b = table(spark, d, "conversations").select(F.col("role").alias("value"), F.col("turn").cast("int").alias("row_index"), F.col("conv_id").cast("string").alias("source_file"))
     return a.unionByName(b)
+
+
+@query("""WITH p AS (SELECT p_partkey AS k, p_partkey * 37 % 256 AS r, p_partkey * 7 % 256 AS g, p_partkey * 13 % 256 AS b FROM part)
+SELECT k, CASE WHEN r > 120 AND r > 1.25 * g AND r > 1.25 * b THEN 'FFFFFF' ELSE upper(printf('%02x%02x%02x', b, g, r)) END AS pixel FROM p""")
+def red_pixels(spark, d):
+    """Red pixels of images of one pixel made white, the others as they are."""
+    k = F.col("p_partkey")
+    data = F.unhex(F.concat(*(F.lpad(F.hex(k * n % 256), 2, "0") for n in (13, 7, 37))))
+    images = table(spark, d, "part").select(k.alias("k"), F.struct(F.lit(1).alias("height"), F.lit(1).alias("width"), F.lit(3).alias("nChannels"), data.alias("data")).alias("image"))
+    return vision.whiten_red(images).select("k", F.hex("data").alias("pixel"))
