@@ -78,7 +78,10 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document's lines, lines removed as within one edit of an earlier line, and the digest of what is kept."""
+    """Every document's lines, lines removed as within one edit of an earlier line, and the digest of what is kept.
+
+    Lines of under 20 characters (linededup.MIN_CHARS) are neither removed nor compared, as the SQL says too.
+    """
     out = linededup.dedupe_lines(read(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("doc_id", "n_lines", "n_removed", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
 
