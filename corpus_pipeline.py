@@ -79,11 +79,17 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Apply STAGES to documents; each result is written to the shared folder as Parquet and read by the next stage."""
+    """Apply STAGES to documents; each result is written to the shared folder as Parquet and read by the next stage.
+
+    A stage's result is deleted when the next one's is written; the last one's stays, as what is returned reads it.
+    """
     ensure_checkpoint_dir(spark)
     folder = f"{spark.sparkContext._jsc.sc().getCheckpointDir().get()}/pipeline-{uuid.uuid4().hex}"
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for k, (_, stage) in enumerate(STAGES):
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{k}")
         docs = spark.read.parquet(f"{folder}/{k}")
+        if k:
+            before = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{folder}/{k - 1}")
+            before.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(before, True)
     return docs

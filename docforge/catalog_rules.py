@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from docforge.catalog import query, table
 from docforge.functions import payload, rules, similarity, text, vision
 from docforge.functions import vocab as V
-from docforge.functions.adapters import apply_model, polygon_box, with_fallback
+from docforge.functions.adapters import apply_model, chosen_engine, labelled_boxes, mock_ocr_lines, polygon_box, read_with, with_entities, with_fallback
 from docforge.operators import merge, qa, rows, sequence, validate
 from docforge.plans.extract import Options, extract, headers
 from docforge.sources import ingest
@@ -312,3 +312,55 @@ def red_pixels(spark, d):
     data = F.unhex(F.concat(*(F.lpad(F.hex(k * n % 256), 2, "0") for n in (13, 7, 37))))
     images = table(spark, d, "part").select(k.alias("k"), F.struct(F.lit(1).alias("height"), F.lit(1).alias("width"), F.lit(3).alias("nChannels"), data.alias("data")).alias("image"))
     return vision.whiten_red(images).select("k", F.hex("data").alias("pixel"))
+
+
+@query(f"""WITH c AS ({CASE_SQL}) SELECT k::VARCHAR AS source_file, 5 - (ngay_thu_ly IS NULL)::INT - (quan_he_phap_luat IS NULL)::INT AS n_case, 1 + (k % 3 > 0)::INT + (k % 3 = 2)::INT AS n_parties, k % 3 < 2 OR k % 4 < 3 AS ok FROM c""")
+def smoke_counts(spark, d):
+    """How much an extraction has in it, and whether that is enough."""
+    return qa.smoke(extract(judgments(spark, d), source="k"), method="rule_support_no_local_llm", case_fields=4)
+
+
+@query("""WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS i FROM documents),
+b AS (SELECT doc_id, i, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS label FROM l WHERE trim(line) <> '')
+SELECT doc_id, label::INT AS label, 40.0::DOUBLE AS x0, (40 + 34 * i)::DOUBLE AS y0, 1200.0::DOUBLE AS x1, (68 + 34 * i)::DOUBLE AS y1 FROM b WHERE i % 3 > 0""")
+def overlay_boxes(spark, d):
+    """Boxes to draw over a page; lines without a whole box keep their number."""
+    lines = F.transform(mock_ocr_lines(F.col("text")), lambda b: b.withField("bbox", F.when((F.get(b["bbox"], F.lit(1)) - 40) % 102 == 0, F.array(F.lit(1.0))).otherwise(b["bbox"])))
+    docs = text.once(table(spark, d, "documents").select("doc_id", "text"), boxes=labelled_boxes(lines))
+    return docs.select("doc_id", F.inline("boxes"))
+
+
+@query("""SELECT c_custkey, CASE WHEN c_custkey % 5 > 0 THEN 'PER:' || c_name ELSE '' END AS entities FROM customer""")
+def entities_beside_fields(spark, d):
+    """What a recogniser finds, of the labels asked for and sure enough; a failure gives none."""
+
+    def load():
+        def find(name):
+            if int(name.rsplit("#", 1)[-1]) % 5 == 0:
+                raise ValueError("no model")
+            return [{"text": name, "label": "PER", "score": 0.35}, {"text": name, "label": "LOC", "score": 0.9}, {"text": "x", "label": "PER", "score": 0.34}]
+
+        return find
+
+    df = with_entities(table(spark, d, "customer").select("c_custkey", "c_name"), "c_name", load, ["PER", "ORG"])
+    return df.select("c_custkey", F.array_join(F.transform("entities", lambda e: F.concat_ws(":", e["label"], e["text"])), ",").alias("entities"))
+
+
+@query("""SELECT n_nationkey, CASE WHEN n_nationkey % 2 = 0 THEN 'remote ' WHEN n_nationkey % 3 = 0 THEN 'local ' END || n_name AS page, n_nationkey % 2 = 0 OR n_nationkey % 3 = 0 AS ok FROM nation""")
+def engines_in_order(spark, d):
+    """A page by the remote engine, else by the local one; what neither reads is an error of its own."""
+
+    def engine(name, every):
+        def load():
+            def read(value):
+                if int(value.split("|")[0]) % every:
+                    raise ValueError("unreadable")
+                return f"{name} {value.split('|')[1]}"
+
+            return read
+
+        return load
+
+    pages = table(spark, d, "nation").select("n_nationkey", F.concat_ws("|", F.col("n_nationkey").cast("string"), "n_name").alias("image"))
+    out = read_with(pages, "image", chosen_engine(engine("remote", 2), engine("local", 3)), "string")
+    return out.select("n_nationkey", F.col("page.value").alias("page"), F.col("page.ok").alias("ok"))

@@ -60,3 +60,45 @@ def polygon_box(polygon: Column) -> Column:
     """[least x, least y, largest x, largest y] of an array of points."""
     side = lambda k, f: f(F.transform(polygon, lambda p: F.get(p, F.lit(k))))
     return F.array(side(0, F.array_min), side(1, F.array_min), side(0, F.array_max), side(1, F.array_max))
+
+
+def chosen_engine(remote: Callable | None = None, local: Callable | None = None, mock: Callable | None = None, fall_back: bool = True) -> list[Callable]:
+    """Loaders in the order in which a page tries them: a remote engine, then the mock one if it is on, else the local."""
+    here = mock or local
+    order = [remote, here if fall_back or remote is None else None]
+    found = [load for load in order if load is not None]
+    if not found:
+        raise ValueError("no engine is set up")
+    return found
+
+
+def read_with(df: DataFrame, column: str, engines: list[Callable], kind: str, out: str = "page") -> DataFrame:
+    """``out`` as (ok, error, value) of the first engine that reads ``column``; the others are only asked for what failed."""
+    df = apply_model(df, column, engines[0], kind, out=out)
+    for load in engines[1:]:
+        left = df.withColumn("_rest", F.when(~F.col(out)["ok"], F.col(column)))
+
+        def only_rest(load: Callable = load) -> Callable:
+            model = load()
+            return lambda value: None if value is None else model(value)
+
+        tried = apply_model(left, "_rest", only_rest, kind, out="_next")
+        df = tried.withColumn(out, F.when(F.col(out)["ok"], F.col(out)).otherwise(F.col("_next"))).drop("_rest", "_next")
+    return df
+
+
+ENTITIES = "array<struct<text:string,label:string,score:double>>"
+
+
+def with_entities(df: DataFrame, column: str, load: Callable[[], Callable[[str], list[dict]]], labels: list[str], threshold: float = 0.35, out: str = "entities") -> DataFrame:
+    """``out``: entities of a recogniser with one of ``labels`` and at least ``threshold``; none where it failed. They stand
+    beside an extraction's fields and are never merged into them."""
+    df = apply_model(df, column, load, ENTITIES, out="_found")
+    known = F.filter(F.coalesce(F.col("_found")["value"], F.array().cast(ENTITIES)), lambda e: e["label"].isin(labels) & (e["score"] >= threshold))
+    return df.withColumn(out, known).drop("_found")
+
+
+def labelled_boxes(lines: Column) -> Column:
+    """Array of (label, x0, y0, x1, y1) to draw: lines without four numbers are left out but counted by the labels."""
+    numbered = F.transform(lines, lambda line, i: F.struct((i + 1).alias("label"), line["bbox"].alias("b")))
+    return F.transform(F.filter(numbered, lambda x: F.size(x["b"]) == 4), lambda x: F.struct(x["label"].alias("label"), *(F.get(x["b"], F.lit(k)).alias(n) for k, n in enumerate(("x0", "y0", "x1", "y1")))))

@@ -111,3 +111,11 @@ def field_accuracy(gold: DataFrame, predicted: DataFrame, fields: list[str], key
 def row_index(df: DataFrame, key: str, order: str) -> DataFrame:
     """A place within each source, from 0."""
     return df.withColumn("row_index", F.row_number().over(Window.partitionBy(key).orderBy(order)) - 1)
+
+
+def smoke(results: DataFrame, method: str = "local_llm", case_fields: int = 3, parties: int = 1) -> DataFrame:
+    """(source_file, n_case, n_parties, ok): whether an extraction comes from ``method`` and has enough in it."""
+    filled = F.size(F.filter(F.array(*(F.col("case_info")[k] for k in V.CASE_FIELDS)), lambda v: ~is_blank(v)))
+    many = F.coalesce(F.size("participants"), F.lit(0))
+    ok = (F.coalesce("primary_extractor", F.lit("")) == method) & (filled >= case_fields) & (many >= parties)
+    return results.select("source_file", filled.cast("long").alias("n_case"), many.cast("long").alias("n_parties"), ok.alias("ok"))

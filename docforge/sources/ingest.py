@@ -42,10 +42,22 @@ def batch_results(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return df.select(F.explode("results").alias("r")).where("r is not null").select("r.*")
 
 
-def binary_files(spark: SparkSession, path: str, suffix: str = "pdf") -> DataFrame:
-    """path, length, content and file_id (SHA-256 of the content) of the files with a suffix, not below folders."""
+def binary_files(spark: SparkSession, path: str, suffix: str = "pdf", empty: bool = True) -> DataFrame:
+    """path, length, content and file_id (SHA-256 of the content) of the files with a suffix, not below folders.
+
+    Scans pass over files without a byte; with ``empty`` they are rows too, from a listing on the driver.
+    """
     files = spark.read.format("binaryFile").option("pathGlobFilter", f"*.{suffix}").load(path)
-    return files.select("path", "length", "content", F.sha2("content", 256).alias("file_id"))
+    out = files.select("path", "length", "content", F.sha2("content", 256).alias("file_id"))
+    if not empty:
+        return out
+    pattern = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/*.{suffix}")
+    found = pattern.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(pattern) or []
+    names = [f.getPath().toString() for f in found if f.getLen() == 0 and f.isFile()]
+    if not names:
+        return out
+    rows = spark.createDataFrame([(n,) for n in names], "path string").withColumns({"length": F.lit(0).cast("long"), "content": F.lit("").cast("binary")})
+    return out.unionByName(rows.withColumn("file_id", F.sha2("content", 256)))
 
 
 def checked(files: DataFrame, magic: bytes = b"%PDF") -> DataFrame:

@@ -7,6 +7,7 @@ import zipfile
 import pytest
 from pyspark.sql import functions as F
 
+from docforge.__main__ import run
 from docforge.functions import chat, payload, rules, similarity, text
 from docforge.functions import vocab as V
 from docforge.functions.adapters import apply_model, polygon_box, with_fallback
@@ -299,3 +300,15 @@ def test_a_chat_model_mends_its_answer_once():
     answers = ["[1]", "[2]"]
     with pytest.raises(chat.ModelError):
         chat.chat_model("u", "m", "Q {}", send=send)()("text")
+
+
+def test_command_lines(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.txt").write_text("%PDF\n" + HEADER, encoding="utf-8")
+    (tmp_path / "in" / "b.txt").write_text("", encoding="utf-8")
+    out = str(tmp_path / "out")
+    assert sorted((r.path.rsplit("/", 1)[1], r.error) for r in run(spark, ["batch", str(tmp_path / "in"), out]).collect()) == [("a.txt", None), ("b.txt", "empty file")]
+    report = {(r.section, r.key): r.n for r in run(spark, ["report", out]).collect()}
+    assert report["batch", "result_objects"] == 1 and report["batch", "participant_rows"] == 3
+    spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(f"{out}/rows").coalesce(1).write.json(f"{tmp_path}/gold.jsonl")
+    assert {r.accuracy for r in run(spark, ["score", f"{out}/rows", f"{tmp_path}/gold.jsonl"]).collect()} == {1.0}
