@@ -15,7 +15,7 @@ from docforge.llm.langid import learnable
 
 #: Bounds of the training sample: documents of each label (at most) and bytes of a document.
 SAMPLE_DOCS, SAMPLE_BYTES = 3072, 1 << 16
-#: Landmarks of the last round (each round has as many more), their symbols, rounds of choosing landmarks and fitting anew.
+#: Landmarks, their symbols, rounds of choosing landmarks and fitting anew.
 LANDMARKS, LANDMARK, ROUNDS = 384, 12, 3
 #: Subsequences of three symbols that span at most SPAN; each symbol that one spans beyond three weighs it by DECAY.
 SPAN, DECAY = 6, 0.5
@@ -177,8 +177,8 @@ class Classifier:
         self._contrast(parts, labels)
         rng = np.random.default_rng(seed)
         hard: dict[int, np.ndarray] = {}
-        for k in range(ROUNDS):
-            self._fit(parts, labels, rng, hard, LANDMARKS * (k + 1) // ROUNDS)
+        for _ in range(ROUNDS):
+            self._fit(parts, labels, rng, hard)
         self._calibrate(np.concatenate([self._margins(units, n) for units, n, _ in parts]), labels)
 
     @staticmethod
@@ -205,7 +205,7 @@ class Classifier:
         np.maximum.at(worst, units.text, self.values(units))
         return np.where(np.isinf(worst), 0.0, worst) + self.bias
 
-    def _fit(self, parts: list, labels: np.ndarray, rng: np.random.Generator, hard: dict, landmarks: int) -> None:
+    def _fit(self, parts: list, labels: np.ndarray, rng: np.random.Generator, hard: dict) -> None:
         chosen, stretches = [], ([], [])
         for units, _, first in parts:
             places = units.places(self.table)
@@ -225,7 +225,7 @@ class Classifier:
                     begin = a + int(np.argmax(sums[a + width : a + size + 1] - sums[a : a + size + 1 - width]))
                     stretches[labels[first + units.text[u]]].append((float(values[u]), units.sym[begin : begin + width].tobytes()))
         drawn = []
-        for label, most in ((1, landmarks * 3 // 4), (0, landmarks // 4)):
+        for label, most in ((1, LANDMARKS * 3 // 4), (0, LANDMARKS // 4)):
             unique = sorted({w: v for v, w in stretches[label]}.items())
             drawn += [unique[i][0] for i in sorted(rng.permutation(len(unique))[:most].tolist())]
         if not drawn:
