@@ -17,13 +17,17 @@ from docforge.session import shared_folder
 from docforge.sources import ingest, sinks, workbook
 from docforge.streaming.incremental import process_new
 
-ODD = F.concat(F.lit('a "q", '), F.col("lang"), F.lit("\n\\\\ b\\\\n"))
+def odd_text() -> Column:
+    """Quotes, commas, backslashes and a line end."""
+    return F.concat(F.lit('a "q", '), F.col("lang"), F.lit("\n\\\\ b\\\\n"))
+
+
 ODD_SQL = "'a \"q\", ' || lang || chr(10) || '\\\\ b\\\\n'"
 
 
 def labelled(spark: SparkSession, d: str) -> DataFrame:
     docs = table(spark, d, "documents")
-    return docs.select(F.col("doc_id").cast("string").alias("source_file"), F.lit("0").alias("row_index"), F.when(F.col("doc_id") % 3 > 0, ODD).alias("value"))
+    return docs.select(F.col("doc_id").cast("string").alias("source_file"), F.lit("0").alias("row_index"), F.when(F.col("doc_id") % 3 > 0, odd_text()).alias("value"))
 
 
 LABELLED_SQL = f"SELECT doc_id::VARCHAR AS source_file, '0' AS row_index, CASE WHEN doc_id % 3 > 0 THEN {ODD_SQL} END AS value FROM documents"
