@@ -17,6 +17,7 @@ from docforge.session import shared_folder
 from docforge.sources import ingest, sinks, workbook
 from docforge.streaming.incremental import process_new
 
+
 def odd_text() -> Column:
     """Quotes, commas, backslashes and a line end."""
     return F.concat(F.lit('a "q", '), F.col("lang"), F.lit("\n\\\\ b\\\\n"))

@@ -33,7 +33,7 @@ def sql_pick(values: list[str], k: str) -> str:
 
 
 def judgments(spark: SparkSession, d: str) -> DataFrame:
-    """(k, text): the head of an invented judgment for each order."""
+    """(k, text): the head of an invented judgment for each order, spread over all cores, as a text costs far more than a row."""
     k, day = F.col("o_orderkey"), lambda f: F.date_format("o_orderdate", f)
     number = F.concat((k % 99999 + 1).cast("string"), F.lit("/"), day("yyyy"), F.lit("/"), pick(CODES, k))
     date = F.when(k % 3 == 0, F.concat(F.lit(" ngày "), day("d"), F.lit(" tháng "), day("M"), F.lit(" năm "), day("yyyy"))).when(k % 3 == 1, F.concat(F.lit(" ngày "), day("dd/MM/yyyy"))).otherwise("")
@@ -47,7 +47,8 @@ def judgments(spark: SparkSession, d: str) -> DataFrame:
         .otherwise("")
     )
     head = F.concat(F.lit("TÒA ÁN NHÂN DÂN TỈNH X\nVụ án "), pick(KINDS, k), F.lit(" thụ lý số: "), number, date, about, F.lit("\n"), judge, F.lit("\n"), first, others)
-    return table(spark, d, "orders").select(k.alias("k"), F.concat(head, F.lit("\n"), pick(MARKERS, k), F.lit("\nBị cáo: Người Khác khai")).alias("text"))
+    orders = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderdate").repartition(spark.sparkContext.defaultParallelism, "o_orderkey")
+    return orders.select(k.alias("k"), F.concat(head, F.lit("\n"), pick(MARKERS, k), F.lit("\nBị cáo: Người Khác khai")).alias("text"))
 
 
 CASE_SQL = f"""SELECT o_orderkey AS k, {sql_pick(KIND_NAMES, 'o_orderkey')} AS loai_an, (o_orderkey % 99999 + 1) || '/' || year(o_orderdate) || '/' || {sql_pick(CODES, 'o_orderkey')} AS so_thu_ly,
