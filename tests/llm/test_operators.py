@@ -176,6 +176,36 @@ def test_few_neighbours(spark):
     assert ann.search(df.limit(0)).count() == 0
 
 
+def test_neighbours_move_few_bytes(spark):
+    def moved() -> int:
+        summary = spark.sparkContext._jsc.sc().statusStore().executorList(True)
+        return sum(summary.apply(i).totalShuffleWrite() for i in range(summary.size()))
+
+    x = np.random.default_rng(4).standard_normal((4000, 32))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    before = moved()
+    assert ann.search(df).count() == 200 * 20
+    assert moved() - before < 8 * x.nbytes
+
+
+def test_neighbours_in_many_blocks(spark, monkeypatch):
+    monkeypatch.setattr(ann, "MOST_ROWS", 150)  # cells in pieces, queries in several blocks
+    rng = np.random.default_rng(5)
+    x = rng.standard_normal((1500, 24))
+    x[:600] = x[0] + 0.001 * rng.standard_normal((600, 24))
+    x[1400:] = x[1300:1400]
+    out = ann.search(spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")).collect()
+    found, hits, asked = {}, 0, range(0, len(x), 20)
+    for r in out:
+        found.setdefault(r.query_id, {})[r.vec_id] = r.score
+    for q in asked:
+        score = x @ x[q]
+        score[q] = -np.inf
+        hits += len(found[q].keys() & set(np.argsort(-score, kind="stable")[:20].tolist()))
+        assert len(found[q]) == 20 and all(abs(score[i] - s) < 1e-9 for i, s in found[q].items())
+    assert len(out) == 20 * len(asked) and hits >= 0.9 * 20 * len(asked)
+
+
 # 3 substring dedup
 
 
