@@ -25,9 +25,9 @@ ENTRIES = 256
 #: Queries held against all nodes to find how many cells the others need, and the recall that these must have there.
 TRIED, RECALL = 256, 0.95
 #: A block's rows: BLOCK times the root of all, MOST_ROWS and BLOCK_BYTES (as float32) at most.
-BLOCK, MOST_ROWS, BLOCK_BYTES = 128, 1 << 19, 1 << 27
-#: Shares of a cell's rows that are compared first.
-PASSES = 1 / 512, 1 / 32
+BLOCK, MOST_ROWS, BLOCK_BYTES = 192, 1 << 19, 1 << 27
+#: Of a block: shares of a cell's rows that are compared first; columns and scores of one product.
+PASSES, COLS, TILE = (1 / 16,), 4096, 1 << 19
 NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
 LOW = np.uint64(0xFFFFF)
 
@@ -106,7 +106,8 @@ class Graph:
             known = self.lists != NONE
             if (self.lists[known] & np.uint64(1)).sum() <= LEAST_CHANGE * known.sum():
                 break
-        self.links = self.around(99)[0]
+        links = self.around(99)[0]
+        self.links = np.where(links < 0, np.arange(self.n)[:, None], links).astype(np.int32)  # none: a link to itself
         del self.lists, self.least
 
     def leaves(self, rng: np.random.Generator) -> np.ndarray:
@@ -190,7 +191,7 @@ class Graph:
             fresh[act] &= ~go
             to = self.links[at]
             new = np.zeros(go.shape, bool)
-            new.ravel()[(row[:, None] * self.n + to)[to >= 0]] = True
+            new.ravel()[to + row[:, None] * self.n] = True
             new &= np.isneginf(score[act])
             row, to = np.nonzero(new)
             bounds, x, found = np.searchsorted(row, np.arange(len(act) + 1)).tolist(), self.x[to], np.empty(len(to), np.float32)
@@ -203,13 +204,21 @@ class Graph:
     def limit(self, score: np.ndarray, beam: int) -> np.ndarray:
         return np.partition(score, self.n - beam, axis=1)[:, self.n - beam, None] if beam < self.n else np.full((len(score), 1), -np.inf, np.float32)
 
-    def walks(self, q: np.ndarray, beam: int, most: int = 1 << 18) -> Iterator[tuple[int, np.ndarray]]:
+    def walks(self, q: np.ndarray, beam: int, most: int = 1 << 17) -> Iterator[tuple[int, np.ndarray]]:
         """(first row, flags) of runs of queries."""
         step = int(np.clip(most // self.n, 8, 256))
         for a in range(0, len(q), step):
             yield a, self.walk(np.ascontiguousarray(q[a : a + step], np.float32), beam)
 
 
+def dropped(table: DataFrame) -> None:
+    """Deletes a table that ``written`` made and nothing reads any more."""
+    sc = table.sparkSession.sparkContext
+    for folder in {f.rpartition("/")[0] for f in table.inputFiles()}:
+        path = sc._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def loads(n: int, spark: SparkSession) -> list[int]:
     """A key for each of ``n`` partitions, which Spark's hash sends there."""
     there = spark.range(64 * n + 1024).select("id", F.pmod(F.hash("id"), F.lit(n)).alias("p")).groupBy("p").agg(F.min("id").alias("id"))
@@ -421,9 +430,9 @@ class Block:
             for i, j in zip(start.tolist(), np.append(start, len(cell))[1:].tolist(), strict=True):
                 low, high = where.get(int(cell[i]), (0, 0))  # a piece of a cell may be empty
                 low, high = low + int(np.ceil((high - low) * begin)), low + int(np.ceil((high - low) * end))
-                for a in range(low, high, 4096):
-                    b = min(high, a + 4096)
-                    step = max(1, (1 << 19) // (b - a))
+                for a in range(low, high, COLS):
+                    b = min(high, a + COLS)
+                    step = max(1, TILE // (b - a))
                     for r in range(i, j, step):
                         who = row[r : min(j, r + step)]
                         s = q[who] @ x[a:b].T
@@ -486,8 +495,9 @@ def compared(dealt: DataFrame, kind: str, most: int) -> DataFrame:
                     block = block or Block(parts, most, kind)
                     if size not in block.by:
                         continue
-                    for a in range(0, len(rows), 8192):
-                        some = own.slice(a, 8192)
+                    step = -(-len(rows) // -(-len(rows) // 8192))
+                    for a in range(0, len(rows), step):
+                        some = own.slice(a, step)
                         row, score, ids = block.nearest(size, unpack(some.column(4), kind), [np.frombuffer(c.as_buffer(), np.int32) for c in some.column(5)])
                         start_ = runs(row)[0]
                         pairs = np.empty(len(row), [("s", "<f8"), ("w", "<i8")])
@@ -545,14 +555,16 @@ def search(df: DataFrame, every: int = 20, k: int = 20, vec_id: str = "vec_id",
     vectors = written(packed(clean))
     repeated = vectors.groupBy("digest").agg(F.min("vec_id").alias("w"), F.count("*").alias("n")).where("n > 1").drop("n")
     copies = written(vectors.select("vec_id", "digest").join(repeated, "digest").select("w", "vec_id"))
-    nodes, asked = vectors, vectors.where(F.pmod("vec_id", F.lit(every)) == 0).select(F.col("vec_id").alias("query_id"))
+    nodes, asks = vectors, F.pmod("vec_id", F.lit(every)) == 0
     none = copies.isEmpty()
     if not none:
         nodes = nodes.join(copies.where("vec_id <> w").select("vec_id"), "vec_id", "left_anti")
     index = fitted(nodes, kind)
     rows = written(placed(nodes, index))
-    asked = asked.join(copies.withColumnRenamed("vec_id", "query_id"), "query_id", "left").select("query_id", F.coalesce("w", "query_id").alias("q"))
-    queries = rows.where(F.pmod("vec_id", F.lit(every)) == 0) if none else rows.join(asked, F.col("vec_id") == F.col("q"), "left_semi")
+    dropped(vectors)
+    asked = rows.where(asks).select(F.col("vec_id").alias("query_id"), F.col("vec_id").alias("q"))
+    asked = asked.unionByName(copies.where(asks & (F.col("vec_id") != F.col("w"))).select(F.col("vec_id").alias("query_id"), F.col("w").alias("q")))
+    queries = rows.where(asks) if none else rows.join(asked, F.col("vec_id") == F.col("q"), "left_semi")
     counts = {r.cell: r["count"] for r in rows.groupBy("cell").count().collect()}
     n, width = sum(counts.values()), max(index.graphs, default=8) // np.dtype(kind).itemsize
     blocks = index.deal(counts, int(min(max(BLOCK * n**0.5, 1 << 14), MOST_ROWS, max(1024, BLOCK_BYTES // (4 * max(1, width))))))
