@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docforge.llm import ann, decontam, langid, linededup, mixing, pii, simhash, substring, toxicity, urlfilter
+from docforge.llm import ann, centroids, decontam, idfiles, langid, linededup, mixing, pii, simhash, substring, toxicity, trie, urlfilter
 
 #: Key of the registered surrogates; a real run passes its own secret.
 PII_KEY = b"registered query"
@@ -159,9 +159,94 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every 64-component embedding's cluster after five rounds from 40 drawn vectors, with exact integer distances."""
+    found = centroids.cluster(read(spark, sf_dir, "embeddings"), size=64, scale=256, k=40, rounds=5, seed=2)
+    return centroids.with_inertia(found)
+
+
+def _op11_sql() -> str:
+    nearest = """{name} AS (
+  SELECT vec_id, v, r, cluster, distance FROM (
+    SELECT q.vec_id, q.v, q.r, c.n AS cluster, list_sum(list_transform(list_zip(q.v, c.v), lambda p: (p[1] - p[2]) * (p[1] - p[2])))::BIGINT AS distance,
+           row_number() OVER (PARTITION BY q.r ORDER BY list_sum(list_transform(list_zip(q.v, c.v), lambda p: (p[1] - p[2]) * (p[1] - p[2]))), c.n) AS i
+    FROM q, {centroids} c) WHERE i = 1
+)"""
+    moved = """c{k} AS (
+  SELECT n, coalesce(m.v, c.v) AS v FROM c{before} c LEFT JOIN (
+    SELECT cluster, list(((s - ((s % w + w) % w)) // w)::BIGINT ORDER BY place) AS v FROM (
+      SELECT cluster, place, sum(x) AS s, count(*) AS w FROM (SELECT cluster, unnest(v) AS x, unnest(range(1, 65)) AS place FROM a{before}) GROUP BY cluster, place) GROUP BY cluster
+  ) m ON m.cluster = c.n
+)"""
+    steps = ["""WITH q AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v, row_number() OVER (ORDER BY vec_id) AS r FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: isfinite(x) AND abs(256 * x::DOUBLE) < 134217728)) = 64
+)""", """c0 AS (
+  SELECT row_number() OVER (ORDER BY sha256('2:' || vec_id), vec_id) - 1 AS n, v FROM q QUALIFY n < 40
+)"""]
+    for k in range(6):
+        steps.append(nearest.format(name=f"a{k}", centroids=f"c{k}"))
+        if k < 5:
+            steps.append(moved.format(k=k + 1, before=k))
+    return ",\n".join(steps) + """
+SELECT vec_id, cluster::INTEGER AS cluster, distance, (sum(distance) OVER (PARTITION BY cluster))::BIGINT AS cluster_inertia, (sum(distance) OVER ())::BIGINT AS inertia,
+       sha256(array_to_string(c5.v, ',')) AS centroid_sha256
+FROM a5 JOIN c5 ON c5.n = cluster
+"""
+
+
+def op12_token_ids(spark: SparkSession, sf_dir: str, tokenizer: str | None = None) -> DataFrame:
+    """Every document's place, size and checksum in Simple-8b files of its byte-level ids, read back from the files."""
+    if tokenizer is None:
+        import public_tokenizers
+
+        tokenizer = public_tokenizers.path("byte_bpe_50k.json")
+    return idfiles.read_counts(idfiles.write_ids(read(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer, end_id=2))
+
+
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the trie of rebuilt conversations, with what its subtree holds and saves."""
+    return trie.conversation_trie(read(spark, sf_dir, "conversations"), every=20, most=4)
+
+
+OP13_SQL = """
+WITH turns AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS place FROM conversations WHERE conv_id IS NOT NULL
+), own AS (
+  SELECT conv_id, list({'role': role, 'text': text} ORDER BY place) AS seq FROM turns GROUP BY conv_id
+), crc AS (
+  SELECT conv_id, seq, xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(string_split(conv_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+         lambda a, b: list_reduce(list_prepend(xor(a, b), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]), lambda x, y: xor(x // 2, 3988292384 * (x % 2))))) % 4 AS h
+  FROM own
+), rebuilt AS (
+  SELECT c.conv_id, list_concat(coalesce(list_slice(b.seq, 1, c.h), []), list_slice(c.seq, c.h + 1, len(c.seq))) AS seq
+  FROM crc c LEFT JOIN own b ON b.conv_id = c.conv_id - c.conv_id % 20
+), members AS (
+  SELECT conv_id, len(seq) AS n, seq, d, list_slice(seq, 1, d) AS prefix FROM (SELECT *, unnest(range(0, len(seq) + 1)) AS d FROM rebuilt)
+), nodes AS (
+  SELECT d, prefix, min(conv_id) AS conv, count(*) AS n_convs,
+         coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (n = d), '') AS ends,
+         len(list_filter(regexp_split_to_array(coalesce(prefix[d].text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '')) AS words
+  FROM members GROUP BY d, prefix
+), path AS (
+  SELECT m.conv_id, m.d, n.conv FROM members m JOIN nodes n ON n.d = m.d AND n.prefix = m.prefix
+), tree AS (
+  SELECT n.*, p.conv AS parent FROM nodes n LEFT JOIN path p ON p.conv_id = n.conv AND p.d = n.d - 1
+), kids AS (
+  SELECT d - 1 AS d, parent AS conv, count(*) AS n FROM tree WHERE d > 0 GROUP BY ALL
+), sums AS (
+  SELECT a.d, a.conv, sum((t.n_convs - 1) * t.words) AS saved, count(*) FILTER (k.n IS NULL) AS leaves
+  FROM tree t JOIN path a ON a.conv_id = t.conv AND a.d <= t.d LEFT JOIN kids k ON k.d = t.d AND k.conv = t.conv GROUP BY a.d, a.conv
+)
+SELECT t.conv AS conv_id, t.d::BIGINT AS depth, t.parent AS parent_conv_id, t.n_convs, coalesce(k.n, 0) AS n_children, s.leaves AS n_leaves, s.saved::BIGINT AS saved_tokens, sha256(t.ends) AS ends_sha256
+FROM tree t JOIN sums s ON s.d = t.d AND s.conv = t.conv LEFT JOIN kids k ON k.d = t.d AND k.conv = t.conv
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_url_filters": op1_url_filters, "op2_nearest_neighbours": op2_nearest_neighbours, "op3_substring_dedup": op3_substring_dedup, "op4_pii_surrogates": op4_pii_surrogates, "op5_simhash": op5_simhash, "op6_language_id": op6_language_id, "op7_line_dedup": op7_line_dedup, "op8_toxicity": op8_toxicity, "op9_mixing": op9_mixing, "op10_decontamination": op10_decontamination}
+    return {"op1_url_filters": op1_url_filters, "op2_nearest_neighbours": op2_nearest_neighbours, "op3_substring_dedup": op3_substring_dedup, "op4_pii_surrogates": op4_pii_surrogates, "op5_simhash": op5_simhash, "op6_language_id": op6_language_id, "op7_line_dedup": op7_line_dedup, "op8_toxicity": op8_toxicity, "op9_mixing": op9_mixing, "op10_decontamination": op10_decontamination, "op11_centroid_clustering": op11_centroid_clustering, "op12_token_ids": op12_token_ids, "op13_conversation_trie": op13_conversation_trie}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_url_filters": OP1_SQL, "op7_line_dedup": OP7_SQL, "op9_mixing": OP9_SQL}
+    return {"op1_url_filters": OP1_SQL, "op7_line_dedup": OP7_SQL, "op9_mixing": OP9_SQL, "op11_centroid_clustering": _op11_sql(), "op13_conversation_trie": OP13_SQL}
