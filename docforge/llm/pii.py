@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import unicodedata
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 from math import gcd
@@ -53,6 +54,7 @@ RANGES = sorted((int.from_bytes(bytes(map(int, a.split("."))), "big"), int.from_
 NEEDS = {"email": re.compile("@"), "ipv4": re.compile(r"\d\.\d"), "card": re.compile(r"\d{4}"), "phone": re.compile(r"\d"), "ssn": re.compile(r"\d{3}-")}
 TITLE_WORDS = {t for own in TITLES.values() for t in own}
 OPENS = frozenset(GENDER) | TITLE_WORDS
+SIGNS = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum())
 #: Letters that are one number; a longer value is taken in such pieces, as numbers cost the square of their length.
 PIECE = 128
 
@@ -62,6 +64,18 @@ def luhn(digits: str) -> bool:
     return total % 10 == 0
 
 
+@lru_cache(1 << 14)
+def kin(c: str) -> str:
+    """What a character outside of the alphabets may become: a sign of ASCII for one, else one of its category in its block
+    of 256. Kin and alphabets share no character, so that values of different formats stay distinct too."""
+    if c in SIGNS:
+        return SIGNS
+    first, category = ord(c) & ~255, unicodedata.category(c)
+    if c.isspace() or ord(c) < 128:
+        return c
+    return "".join(x for x in map(chr, range(max(first, 128), first + 256)) if unicodedata.category(x) == category and x not in CLASS)
+
+
 class Surrogates:
     """One bijection for each kind and format, without fixed points, so that distinct values stay distinct.
 
@@ -110,9 +124,10 @@ class Surrogates:
         return "".join(self.piece(f"{tag}+{i}" if i else tag, text[i : i + PIECE], table) for i in range(0, len(text), PIECE))
 
     def _letters(self, tag: str, text: str, table: str = "class") -> str:
-        """Each letter or digit by one of its class (script and case; hexadecimal; speakable); everything else stays."""
-        own = {"class": CLASS, "hex": HEX, "spoken": SPOKEN}[table]
-        classes = [own.get(c) for c in text]
+        """Each letter or digit by one of its class (script and case; hexadecimal; speakable), those outside of the
+        alphabets by their kin; signs of ASCII stay unless all characters are to change."""
+        own = {"class": CLASS, "hex": HEX, "spoken": SPOKEN, "all": CLASS}[table]
+        classes = [own.get(c) or (None if c in SIGNS and table != "all" or c.isspace() else kin(c)) for c in text]
         n, count, shape = 0, 1, []
         for c, a in zip(text, classes, strict=True):
             if a:
@@ -184,11 +199,15 @@ class Surrogates:
         """Hexadecimal secrets among themselves, others among others: both walks stay on one cycle of a bijection."""
         if HEXADECIMAL.fullmatch(text):
             return self.letters("secret", text, "hex")
-        new = self.letters("secret", text)
+        new = self.letters("secret", text, "all")
         while HEXADECIMAL.fullmatch(new):
-            new = self.letters("secret", new)
+            new = self.letters("secret", new, "all")
         return new
 
+    def masked(self, kind: str, text: str) -> str:
+        """For a value that has no other of its format: a keyed digest in its place."""
+        return hashlib.blake2b(f"{kind}|{text}".encode(), key=self.key, digest_size=16).hexdigest()
+
     def given(self, name: str) -> str:
         kind = GENDER[name]
         pool = NAMES[kind]
@@ -262,7 +281,8 @@ def replace(text: str, surrogates: Surrogates) -> tuple[str, list[dict]]:
     """(text with surrogates, the entities).
 
     Should two values of one kind have one surrogate in spite of the bijections, the later one is mapped on until its
-    surrogate is its own; so is each mention of it in this text.
+    surrogate is its own; so is each mention of it in this text. A value that keeps itself, or finds no free surrogate, is
+    masked by a digest.
     """
     out, at, entities, given, chosen = [], 0, [], {}, {}
     for start, end, kind in detect(text):
@@ -271,9 +291,11 @@ def replace(text: str, surrogates: Surrogates) -> tuple[str, list[dict]]:
         if new is None:
             new = surrogates.of(kind, old)
             for _ in range(64):
-                if given.get((kind, new), old) == old:
+                if given.get((kind, new), old) == old and new != old:
                     break
                 new = surrogates.of(kind, new)
+            if given.get((kind, new), old) != old or new == old:
+                new = surrogates.masked(kind, old)
             given.setdefault((kind, new), old)
             chosen[kind, old] = new
         out += [text[at:start], new]
@@ -291,7 +313,7 @@ def pseudonymise(docs: DataFrame, key: bytes, text: str = "text", out: str = "en
     Kinds: email, ipv4, card, phone, ssn, key, secret, given name, surname. A value has the same surrogate wherever it
     stands under one ``key``, other values of its kind have others, and none keeps its own. Formats stay: letters by
     letters of their script and case, digits by digits, separators and the top-level domain, Luhn's check, the class of
-    an address (private, loopback, public); given names stay within their script and gender. As every surrogate is the
+    an address (private, loopback, public); in secrets signs change too; given names stay within their script and gender. As every surrogate is the
     value of a bijection, no table of values is kept or shuffled; distinctness is checked again in each text. Null texts
     stay null with no entities. A column called ``out`` is replaced. Repeated rows come out alike.
     """

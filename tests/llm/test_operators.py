@@ -7,6 +7,8 @@ import re
 import numpy as np
 import pytest
 import xxhash
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from docforge.llm import ann, decontam, langid, linededup, mixing, pii, simhash, substring, toxicity, urlfilter
@@ -279,6 +281,29 @@ def test_each_entity_is_found_where_it_is_the_only_one(text, private):
     assert entities and private not in out
 
 
+SECRETS = st.text(st.one_of(st.characters(min_codepoint=33, max_codepoint=126), st.characters(exclude_categories=["Cs", "Zs", "Zl", "Zp", "Cc"])), min_size=6, max_size=12)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(SECRETS.filter(lambda v: not any(c.isspace() for c in v)), min_size=1, max_size=4))
+def test_no_secret_stays_in_clear(values):
+    text = "\n".join(f"password={v} " for v in values)
+    out, entities = pii.replace(text, pii.Surrogates(b"k"))
+    assert all(e["surrogate"] != text[e["start"] : e["end"]] for e in entities)
+    kept = {text[e["start"] : e["end"]]: e["surrogate"] for e in entities if e["kind"] == "secret"}
+    assert len(set(kept.values())) == len(kept)
+    for line, v in zip(out.split("\n"), values, strict=True):
+        assert line != f"password={v} "
+
+
+def test_surrogates_in_other_scripts():
+    s = pii.Surrogates(b"k")
+    for values in (["!@#$%^&*()" + c for c in pii.SIGNS], ["密码密码密" + chr(0x4E00 + i) for i in range(256)], ["ßßßßß" + c for c in "ßæøþðáé"]):
+        made = [s.secret(v) for v in values]
+        assert len(set(made)) == len(values) and not any(a == b for a, b in zip(made, values, strict=True))
+    assert s.phone("٠٣٠-٢٢٢-٤٤٤٤") != "٠٣٠-٢٢٢-٤٤٤٤"
+
+
 def test_surrogates_are_distinct_and_stable():
     """Over many values: one surrogate for one value everywhere, others for others, never the value, within the format."""
     rng, s = random.Random(8), pii.Surrogates(b"k")
