@@ -8,7 +8,9 @@ import re
 import struct
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
+from functools import lru_cache
 from pathlib import Path
 
 import numpy as np
@@ -30,11 +32,28 @@ BLOCK = 1024
 RUN = 1024
 #: A shard ends with the document that takes it to this many ids or documents.
 SHARD_IDS, SHARD_DOCS = 1 << 25, 1 << 20
+#: Most tasks that read files.
+READERS = 10_000
 MAGIC = b"s8bids01"
-#: Distinct pieces of text whose ids are remembered by a worker, and the longest of them in characters.
-REMEMBERED, LONGEST = 1 << 18, 64
-#: Between a word and a single space before the next word, a byte-level pre-tokenizer always cuts.
-CUT = re.compile(r"(?<=[^\s\u180e])(?= [^\s\u180e])")
+#: Different parts of texts whose ids a worker remembers (and half as many pieces of these), and the longest in characters.
+REMEMBERED, LONGEST = 1 << 20, 64
+#: What str.isspace or a tokenizer takes for a blank.
+BLANK = frozenset(c for c in map(chr, range(0x3001)) if c.isspace() or c == "\u180e")
+MARKS = frozenset(".,;:!?")
+#: Pieces of a text that end where a byte-level pre-tokenizer always cuts: words before blanks and marks, marks before
+#: blanks, letters and digits, a single line feed between words, and all else up to the next blank between two characters.
+PIECE = re.compile(r" ?[A-Za-z]++(?![^ \n.,;:!?])|[.,;:!?]++(?![^\sA-Za-z0-9])|\n(?=[A-Za-z])|[\s\S]+?(?=(?<=[^\s\u180e])[ \n][^\s\u180e]|\Z)")
+
+
+#: Bit lengths of what fits 16 bits.
+SHORT = np.frexp(np.arange(1 << 16, dtype=np.float64))[1].astype(np.uint8)
+
+
+def bit_lengths(values: np.ndarray) -> np.ndarray:
+    if not len(values) or values.max() < 1 << 16:
+        return SHORT[values.astype(np.uint16)]
+    high, low = (values >> np.uint64(32)).astype(np.float64), (values & np.uint64(0xFFFFFFFF)).astype(np.float64)  # both exact
+    return np.where(high > 0, 32 + np.frexp(high)[1], np.frexp(low)[1]).astype(np.uint8)
 
 
 def encode(ids: np.ndarray, block: int = BLOCK) -> tuple[np.ndarray, np.ndarray]:
@@ -54,11 +73,9 @@ def encode(ids: np.ndarray, block: int = BLOCK) -> tuple[np.ndarray, np.ndarray]
     if blocks and n % block:
         sizes[-1] = n % block
     values = padded.reshape(-1)
-    # bit length of each value: exact through halves of 32 bits
-    high, low = (values >> np.uint64(32)).astype(np.float64), (values & np.uint64(0xFFFFFFFF)).astype(np.float64)
-    bits = np.where(high > 0, 32 + np.frexp(high)[1], np.frexp(low)[1]).astype(np.int64)
+    bits = bit_lengths(values)
     # the best selector at each place: the largest count whose widest value fits
-    best = np.full(len(values), ESCAPE, np.int8)
+    best = np.full(len(values), ESCAPE, np.uint8)
     widest, reach = bits, 1
     for selector in range(14, 0, -1):
         count = int(COUNTS[selector])
@@ -66,20 +83,17 @@ def encode(ids: np.ndarray, block: int = BLOCK) -> tuple[np.ndarray, np.ndarray]
             step = min(reach, count - reach)
             widest = np.concatenate([np.maximum(widest[:-step], widest[step:]), widest[-step:]])
             reach += step
-        best[widest <= WIDTHS[selector]] = selector
-    out_block, out_place = [], []
+        np.copyto(best, np.uint8(selector), where=widest <= WIDTHS[selector])
+    begins = np.zeros(len(values), bool)  # where a word's first value stands
     place, alive = np.zeros(blocks, np.int64), np.arange(blocks)
     base = np.arange(blocks, dtype=np.int64) * (block + 60)
     while len(alive):
         at = base[alive] + place[alive]
-        out_block.append(alive)
-        out_place.append(at)
+        begins[at] = True
         place[alive] += COUNTS[best[at]]
         alive = alive[place[alive] < sizes[alive]]
-    which = np.concatenate(out_block) if out_block else np.zeros(0, np.int64)
-    where = np.concatenate(out_place) if out_place else np.zeros(0, np.int64)
-    order = np.lexsort((where, which))
-    which, where = which[order], where[order]
+    where = np.flatnonzero(begins)
+    which = where // (block + 60)
     chosen = best[where].astype(np.int64)
     packed = chosen.astype(np.uint64) << np.uint64(60)
     for selector in range(1, ESCAPE):
@@ -146,23 +160,25 @@ class ShardWriter:
         self.offsets, self.doc_ids, self.missing, self.sizes = [np.zeros(1, np.int64)], [], [], []
         self.held, self.n_held, self.n_ids = [], 0, 0
 
-    def add(self, doc_id: int | None, ids: np.ndarray) -> None:
+    def add(self, doc_id: int | None, ids: bytes) -> None:
+        """A document and its ids, four bytes each."""
+        n = len(ids) // 4
         self.doc_ids.append(doc_id or 0)
         self.missing.append(doc_id is None)
-        self.sizes.append(len(ids))
+        self.sizes.append(n)
         self.held.append(ids)
-        self.n_held += len(ids)
-        self.n_ids += len(ids)
+        self.n_held += n
+        self.n_ids += n
         if self.n_held >= BLOCK * RUN:
             self._flush(self.n_held - self.n_held % BLOCK)
 
     def _flush(self, upto: int) -> None:
-        ids = np.concatenate(self.held) if self.held else np.zeros(0, np.uint64)
+        ids = np.frombuffer(b"".join(self.held), np.uint32)
         for i in range(0, upto, BLOCK * RUN):
             words, starts = encode(ids[i : min(upto, i + BLOCK * RUN)].astype(np.uint64))
             self.out.write(words.astype("<u8").tobytes())
             self.offsets.append(self.offsets[-1][-1] + starts[1:])
-        self.held, self.n_held = [ids[upto:]], len(ids) - upto
+        self.held, self.n_held = [ids[upto:].tobytes()], len(ids) - upto
 
     def close(self) -> tuple[str, int, int]:
         """(file name, documents, ids)"""
@@ -212,16 +228,29 @@ def _system(folder: str) -> tuple[fs.FileSystem, str]:
 
 
 def cuts_at_words(definition: str) -> bool:
-    """Whether a tokenizer's definition is byte-level without normalisation, so that CUT never parts a token."""
+    """Whether a tokenizer's definition is byte-level without normalisation, so that no token reaches over a PIECE's end."""
     known = json.loads(definition)
     before = known.get("pre_tokenizer") or {}
     special = known.get("added_tokens") or []
-    plain = not any(a.get("lstrip") or a.get("rstrip") or a.get("single_word") or " " in a["content"] for a in special)
+    plain = not any(a.get("lstrip") or a.get("rstrip") or a.get("single_word") or re.search(r"[\s.,;:!?]", a["content"]) or a["content"].isalpha() for a in special)
     return before.get("type") == "ByteLevel" and before.get("use_regex", True) and not before.get("add_prefix_space") and not known.get("normalizer") and plain
 
 
+def byte_letters() -> dict[int, str]:
+    """What byte-level models read for each byte: printable characters of Latin-1 stand for themselves, the others for the
+    characters from 256 on."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(256 + k) for k, b in enumerate(hidden)}
+
+
 class Encoder:
-    """Ids of whole texts. Pieces between sure cuts are encoded once and remembered; other tokenizers get whole texts."""
+    """Ids of whole texts. What stands between sure cuts is encoded once and remembered; other tokenizers get whole texts.
+
+    A text is cut before each blank between two characters that are no blanks. Of each new part its PIECEs are looked up,
+    and of each new piece its ids are made: a piece of letters, digits or marks alone, after a blank or not, is one word
+    to the pre-tokenizer, so that the tokenizer's model gets it at once. When too many parts or pieces are known, all are forgotten.
+    """
 
     def __init__(self, definition: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has a worker on each core
@@ -229,19 +258,65 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_str(definition)
         self.by_pieces = cuts_at_words(definition)
-        self.known: dict[str, bytes] = {}
-
-    def encode(self, text: str) -> np.ndarray:
+        self.letters, self.model = byte_letters(), self.tokenizer.model
+        self.parts: dict[str, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
+
+    def _word(self, piece: str) -> bytes:
+        """The ids of what is one word to the pre-tokenizer."""
+        shown = piece.replace(" ", self.letters[32]) if piece.isascii() else piece.encode().decode("latin-1").translate(self.letters)
+        return array("I", [t.id for t in self.model.tokenize(shown)]).tobytes()
+
+    def _learn(self, pieces: set[str]) -> None:
+        if len(self.pieces) > REMEMBERED // 2:
+            self.pieces.clear()
+        others = []
+        for p in pieces:
+            word = p[1:] if p[0] == " " else p
+            b = self.parts.get(word) if p[0] == " " else None
+            if b is not None:
+                self.pieces[p] = b
+            elif word.isalpha() or word.isdecimal() or MARKS.issuperset(word) and word:
+                self.pieces[p] = self._word(p)
+            else:
+                others.append(p)
+        if others:
+            for p, e in zip(others, self.tokenizer.encode_batch_fast(others, add_special_tokens=False), strict=True):
+                self.pieces[p] = array("I", e.ids).tobytes()
+
+    def _whole(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text by its pieces."""
+        pieces = [PIECE.findall(t) for t in texts]
+        new = {p for own in pieces for p in own if p not in self.pieces}
+        if new:  # if it takes forgetting, then all are new
+            self._learn(new if len(self.pieces) <= REMEMBERED // 2 else {p for own in pieces for p in own})
+        get = self.pieces.__getitem__
+        return [get(own[0]) if len(own) == 1 else b"".join(map(get, own)) for own in pieces]
+
+    def encode(self, text: str) -> bytes:
+        """A text's ids, four bytes each."""
         if not self.by_pieces:
-            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
-        pieces = CUT.split(text) if text else []
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        new = [p for p in set(pieces) if p not in self.known]
-        found = {p: np.array(e.ids, "<u4").tobytes() for p, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True)} if new else {}
-        self.known.update((p, b) for p, b in found.items() if len(p) <= LONGEST)
-        known = self.known
-        return np.frombuffer(b"".join([known[p] if p in known else found[p] for p in pieces]), "<u4")
+            return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+        first, *parts = text.split(" ")
+        known = list(map(self.parts.get, parts))
+        new = {p for p, b in zip(parts, known, strict=True) if b is None} if None in known else set()
+        # beside a part that is empty or has a blank at an end there is no sure cut
+        if any(not p or p[0] in BLANK or p[-1] in BLANK for p in new) or parts and (not first or first[-1] in BLANK):
+            return self._whole([text])[0]
+        made = {p: self._word(f" {p}") for p in new if p.isalpha()}
+        others = [p for p in new if p not in made]
+        opening, *ids = self._whole([first, *(f" {p}" for p in others)])
+        made.update(zip(others, ids, strict=True))
+        if len(self.parts) > REMEMBERED:
+            self.parts.clear()
+        self.parts.update(made if max(map(len, made), default=0) <= LONGEST else {p: b for p, b in made.items() if len(p) <= LONGEST})
+        return opening + b"".join([made[p] if b is None else b for p, b in zip(parts, known, strict=True)])
+
+
+@lru_cache(maxsize=2)
+def encoder(definition: str) -> Encoder:
+    """A worker's encoder: what it remembers serves all tasks that the worker gets."""
+    return Encoder(definition)
 
 
 def write_ids(df: DataFrame, tokenizer: str, folder: str | None = None, text: str = "text", doc_id: str = "doc_id", end_id: int = 2) -> DataFrame:
@@ -262,7 +337,7 @@ def write_ids(df: DataFrame, tokenizer: str, folder: str | None = None, text: st
     definition = spark.sparkContext.broadcast(Path(tokenizer).read_text(encoding="utf-8"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, end, part = Encoder(definition.value), np.array([end_id], "<u4"), TaskContext.get().partitionId()
+        encode, end, part = encoder(definition.value).encode, struct.pack("=I", end_id), TaskContext.get().partitionId()
         target, where = _system(folder)
         shard, done = None, 0
 
@@ -271,10 +346,10 @@ def write_ids(df: DataFrame, tokenizer: str, folder: str | None = None, text: st
             return pa.RecordBatch.from_arrays(arrays, names=["part", "shard", "file", "docs", "ids"])
 
         for batch in batches:
-            for key, value in zip(batch.column(0), batch.column(1), strict=True):
+            for key, value in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 if shard is None:
                     shard = ShardWriter(target, f"{where}/part-{part:06d}-{done:06d}-{uuid.uuid4().hex}.s8b")
-                shard.add(key.as_py(), np.concatenate([encoder.encode(value.as_py() or ""), end]))
+                shard.add(key, encode(value.as_py() or "") + end)
                 if shard.n_ids >= SHARD_IDS or len(shard.sizes) >= SHARD_DOCS:
                     yield row(shard.close())
                     shard, done = None, done + 1
@@ -292,9 +367,10 @@ def write_ids(df: DataFrame, tokenizer: str, folder: str | None = None, text: st
 
 
 def _placed(manifest: DataFrame) -> DataFrame:
-    """The manifest's files with the ids before each; dealt out one to a task where there are enough tasks."""
+    """The manifest's files with the ids before each, dealt out over as many tasks as there are files, READERS at most."""
     before = F.sum("ids").over(Window.orderBy("part", "shard").rowsBetween(Window.unboundedPreceding, -1))
-    return manifest.select("folder", "file", F.coalesce(before, F.lit(0)).alias("before"), F.col("file").alias("_f")).repartition("_f").drop("_f")
+    placed = manifest.select("folder", "file", F.coalesce(before, F.lit(0)).alias("before"))
+    return placed.repartition(max(1, min(READERS, manifest.count())), F.xxhash64("file"))
 
 
 def read_counts(manifest: DataFrame) -> DataFrame:

@@ -44,7 +44,7 @@ def test_shards_read_any_run(tmp_path):
     for i in range(300):
         ids = rng.integers(0, 50257, rng.integers(1, 9000) if i % 50 else 1_200_000).astype(np.uint32)
         docs.append(ids)
-        shard.add(None if i == 0 else i, ids)
+        shard.add(None if i == 0 else i, ids.tobytes())
     name, n_docs, n_ids = shard.close()
     every = np.concatenate(docs)
     reader = idfiles.ShardReader(system, path)
@@ -65,14 +65,34 @@ TEXTS = st.text(st.one_of(st.sampled_from(" \n\t.,!'s1éü᠎　\x1c\x85"), st.c
 def test_pieces_give_the_ids_of_whole_texts(texts):
     encoder = idfiles.encoder(open(BYTES, encoding="utf-8").read())
     assert encoder.by_pieces
-    for text in [*texts, "a<|endoftext|>b <|endoftext|>", "word " * 50 + " \n\n x", "it's we'LL"]:
-        assert "".join(idfiles.PIECE.findall(text)) == text
-        assert encoder.encode(text).tolist() == encoder.tokenizer.encode(text, add_special_tokens=False).ids
+    every = [*texts, "a<|endoftext|>b <|endoftext|>", "word " * 50 + " \n\n x", "it's we'LL", "", " a", "a b  c", "x \ty z"]
+    want = [encoder.tokenizer.encode(t, add_special_tokens=False).ids for t in every]
+    assert ["".join(idfiles.PIECE.findall(t)) for t in every] == every
+    assert [np.frombuffer(encoder.encode(t), np.uint32).tolist() for t in every] == want
 
 
 def test_other_tokenizers_get_whole_texts():
     encoder = idfiles.Encoder(open(P.path("word_bpe_49k.json"), encoding="utf-8").read())
-    assert not encoder.by_pieces and encoder.encode("A  b.").tolist() == encoder.tokenizer.encode("A  b.", add_special_tokens=False).ids
+    assert not encoder.by_pieces
+    for text in ("A  b.", "", "c"):
+        assert np.frombuffer(encoder.encode(text), np.uint32).tolist() == encoder.tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_what_is_remembered_is_bounded(monkeypatch):
+    monkeypatch.setattr(idfiles, "REMEMBERED", 5)
+    encoder = idfiles.Encoder(open(BYTES, encoding="utf-8").read())
+    for text in ("a b c d e", "a b c f g. h, i j", "k l m n. o p q r s t u", "a b c k l m", "a " * 30):
+        assert np.frombuffer(encoder.encode(text), np.uint32).tolist() == encoder.tokenizer.encode(text, add_special_tokens=False).ids
+        assert len(encoder.parts) <= 5 + 11 and len(encoder.pieces) <= 5 + 20
+
+
+def test_shards_end_with_documents(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(idfiles, "SHARD_DOCS", 3)
+    folder, system = str(tmp_path), fs.LocalFileSystem()
+    shard = idfiles.ShardWriter(system, f"{folder}/a")
+    for i in range(5):
+        shard.add(i, np.arange(i, dtype=np.uint32).tobytes())
+    assert shard.close() == ("a", 5, 10) and idfiles.ShardReader(system, f"{folder}/a").sizes.tolist() == [0, 1, 2, 3, 4]
 
 
 def brute(rows, end):
