@@ -6,9 +6,10 @@ import argparse
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docforge.operators import qa
+from docforge.operators import qa, reports
 from docforge.plans.batch import Batch, process_batch
 from docforge.sources import ingest
+from docforge.sources.runs import Runs
 
 
 def text_reader() -> object:
@@ -28,7 +29,7 @@ def parser() -> argparse.ArgumentParser:
     batch.add_argument("--most-pages", type=int, default=7)
     batch.add_argument("--force", action="store_true")
     batch.add_argument("--keep-reading", action="store_true", help="read on after the marker")
-    report = commands.add_parser("report", help="counts over the results of a batch, never values")
+    report = commands.add_parser("report", help="counts over the results of all runs of a batch, never values")
     report.add_argument("output")
     score = commands.add_parser("score", help="accuracy of rows (CSV) against gold rows (CSV, JSON lines or JSON)")
     score.add_argument("rows")
@@ -42,7 +43,10 @@ def run(spark: SparkSession, arguments: list[str] | None = None) -> DataFrame:
         options = Batch(suffix=a.suffix, limit=a.limit, sample=a.sample, most_pages=a.most_pages, force=a.force, stop_on_marker=not a.keep_reading)
         return process_batch(spark, a.folder, a.output, text_reader, options)
     if a.command == "report":
-        return qa.batch_report(spark.read.parquet(f"{a.output}/results")).orderBy("section", "key")
+        partials = Runs(spark, a.output).table("report")
+        if partials is None:
+            raise SystemExit("no run yet")
+        return reports.merged_report(partials).orderBy("section", "key")
     predicted = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(a.rows)
     gold = ingest.gold_rows(spark, a.gold)
     return qa.field_accuracy(gold, predicted, [c for c in gold.columns if c in predicted.columns and c not in ("source_file", "row_index")])

@@ -407,7 +407,7 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    from docforge import catalog_files, catalog_rules  # noqa: F401  they register their queries
+    from docforge import catalog_files, catalog_rules, catalog_runs  # noqa: F401  they register their queries
 
     return {name: f for name, (f, _) in REGISTERED.items()}
 

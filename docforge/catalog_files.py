@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 
 from docforge.catalog import query, table
 from docforge.functions.adapters import mock_ocr_lines
-from docforge.plans.batch import Batch, process_batch
+from docforge.operators import rows
+from docforge.plans.batch import Batch, all_outcomes, all_results, all_rows, process_batch
 from docforge.session import shared_folder
 from docforge.sources import ingest, sinks, workbook
 from docforge.streaming.incremental import process_new
@@ -52,7 +53,7 @@ def rows_as_json_lines(spark, d):
 @query(LABELLED_SQL)
 def rows_as_workbook(spark, d):
     """Rows as one sheet and back: the first row names the columns, empty cells are null."""
-    path = f"{shared_folder(spark, 'sheet')}.xlsx"
+    path = f"{shared_folder(spark, 'sheet')}/rows.xlsx"
     workbook.write_workbook(labelled(spark, d), path, ["source_file"], ["source_file", "row_index", "value"])
     folder, _, name = path.rpartition("/")
     files = ingest.binary_files(spark, folder, "xlsx").where(F.endswith("path", F.lit(name)))
@@ -159,10 +160,11 @@ def archive_members(spark, d):
     return ingest.zip_members(files).select("path", "member", F.decode("content", "UTF-8").alias("content"), "error")
 
 
-@query("""WITH f AS (SELECT n_nationkey AS k, CASE WHEN n_nationkey % 5 = 0 THEN 'ValueError: no text' END AS error FROM nation WHERE n_nationkey % 6 > 0)
-SELECT 'first' AS run, count(*) AS n, count(error) AS failed FROM f UNION ALL SELECT 'second', count(error), count(error) FROM f UNION ALL SELECT 'rows', 2 * (count(*) - count(error)), 0 FROM f""")
+@query("""WITH f AS (SELECT n_nationkey AS k, n_nationkey % 5 = 0 AS bad FROM nation WHERE n_nationkey % 6 > 0), n AS (SELECT count(*) AS n, count(*) FILTER (bad) AS bad FROM f)
+SELECT 'first' AS run, n AS tried, bad AS failed, 0 AS skipped FROM n UNION ALL SELECT 'second', bad, bad, n - bad FROM n UNION ALL SELECT 'results', n - bad, 0, 0 FROM n
+UNION ALL SELECT 'rows', 2 * (n - bad), 0, 0 FROM n UNION ALL SELECT 'outcomes', n, bad, 0 FROM n""")
 def batch_run(spark, d):
-    """A folder processed twice: the second run only tries again what failed in the first."""
+    """A folder processed twice: the second run only tries again what failed, and the first one's results stay."""
     folder, k = shared_folder(spark, "batch-run"), F.col("n_nationkey")
     text = F.concat(F.lit("%PDF "), k.cast("string"), F.lit("\nBị cáo: Trần Văn Bình, sinh năm 1990\nBị hại: Lê Thị Cúc\fNỘI DUNG VỤ ÁN\nBị cáo: Người Khác\fkhông đọc"))
     files = table(spark, d, "nation").where("n_nationkey % 6 > 0").select(F.when(k % 5 == 0, F.concat(F.lit("%PDF bad "), k.cast("string"))).otherwise(text).alias("value"), k.alias("part"))
@@ -177,10 +179,9 @@ def batch_run(spark, d):
 
         return read
 
-    runs = []
-    for name in ("first", "second"):
-        done = process_batch(spark, f"{folder}/in", f"{folder}/out", load, Batch(suffix="txt"))
-        runs.append(done.agg(F.lit(name).alias("run"), F.count("*").alias("n"), F.count("error").alias("failed")))
-        if name == "first":
-            rows = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(f"{folder}/out/rows").count()
-    return runs[0].unionByName(runs[1]).unionByName(spark.range(1).select(F.lit("rows").alias("run"), F.lit(rows).cast("long").alias("n"), F.lit(0).cast("long").alias("failed")))
+    counts = lambda name, df: df.agg(F.lit(name).alias("run"), F.count_if(F.col("status") != "skipped").alias("tried"), F.count_if(F.col("status") == "failed").alias("failed"), F.count_if(F.col("status") == "skipped").alias("skipped"))
+    whole = lambda name, df: counts(name, df.select(F.lit("done").alias("status")))
+    run = lambda: process_batch(spark, f"{folder}/in/*", f"{folder}/out", load, Batch(suffix="txt"))
+    out = f"{folder}/out"
+    runs = [counts("first", run()), counts("second", run())]
+    return rows.concatenated(*runs, whole("results", all_results(spark, out)), whole("rows", all_rows(spark, out)), counts("outcomes", all_outcomes(spark, out)))

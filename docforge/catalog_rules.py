@@ -302,7 +302,7 @@ def results_in_one_table(spark, d):
     """Rows of several runs one below the other, whatever the order of their columns."""
     a = table(spark, d, "documents").select(F.col("doc_id").cast("string").alias("source_file"), F.lit(0).alias("row_index"), F.col("lang").alias("value"))
     b = table(spark, d, "conversations").select(F.col("role").alias("value"), F.col("turn").cast("int").alias("row_index"), F.col("conv_id").cast("string").alias("source_file"))
-    return a.unionByName(b)
+    return rows.concatenated(a, b)
 
 
 @query("""WITH p AS (SELECT p_partkey AS k, p_partkey * 37 % 256 AS r, p_partkey * 7 % 256 AS g, p_partkey * 13 % 256 AS b FROM part)

@@ -6,18 +6,23 @@ import json
 import urllib.request
 from collections.abc import Callable
 
+from docforge.functions.adapters import TransportError
+
 EXTRACT = "Return one JSON object with the keys case_type, docket_number, docket_date, legal_relationship, presiding_judge, parties, confidence_by_field, evidence_by_field, warnings, reasoning_summary. Text:\n{}"
 MEND = "The following was to be one JSON object. Return it as valid JSON and nothing else:\n{}"
 
 
-class ModelError(RuntimeError):
+class ModelError(TransportError):
     """The server gave no usable answer."""
 
 
 def post(url: str, body: dict, token: str = "", timeout: float = 180.0) -> dict:
     request = urllib.request.Request(url, json.dumps(body).encode(), {"Content-Type": "application/json", **({"Authorization": f"Bearer {token}"} if token else {})})
     with urllib.request.urlopen(request, timeout=timeout) as answer:  # noqa: S310  the caller's own server
-        return json.loads(answer.read())
+        try:
+            return json.loads(answer.read())
+        except ValueError as problem:
+            raise TransportError(f"the answer is no JSON: {problem}") from problem
 
 
 def content_of(answer: dict) -> str:
@@ -38,7 +43,7 @@ def as_object(text: str) -> dict:
 
 
 def chat_model(url: str, name: str, prompt: str = EXTRACT, token: str = "", tokens: int = 2048, timeout: float = 180.0, send: Callable[..., dict] = post) -> Callable[[], Callable[[str], str]]:
-    """A loader for ``adapters.apply_model``: text to the JSON text of an object (see ``functions.payload``)."""
+    """A loader for ``adapters.call_service``, which keeps several calls under way, or ``apply_model``: text to the JSON text of an object (see ``functions.payload``)."""
 
     def load() -> Callable[[str], str]:
         def ask(message: str) -> str:

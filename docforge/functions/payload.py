@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from docforge.functions import vocab as V
-from docforge.functions.text import clamp
+from docforge.functions.text import clamp, let
 
 FIELD = "struct<value:string,confidence:double,evidence_text:string,reasoning_brief:string,source_method:string>"
 
@@ -38,53 +38,75 @@ def scalar(v: Column) -> Column:
     return F.when(~(F.startswith(kind, F.lit("OBJECT")) | F.startswith(kind, F.lit("ARRAY"))) & (text != ""), text)
 
 
-def has_key(v: Column, key: str) -> Column:
-    return F.coalesce(F.array_contains(F.map_keys(F.try_variant_get(v, "$", "map<string,variant>")), key), F.lit(False))
+def members(v: Column) -> Column:
+    """An object's members as a map, cast once for all the keys that are asked; null for anything else."""
+    return F.try_variant_get(v, "$", "map<string,variant>")
 
 
-def first_present(v: Column, *keys: str) -> Column:
-    """The value of the first key that is there, even if it is null."""
-    out = F.when(F.lit(False), v)
-    for k in keys:
-        out = out.when(has_key(v, k), get(v, k))
+def first_present(known: Column, *keys: str) -> Column:
+    """The value of the first key that a map of members has, even if it is null."""
+    out = F.lit(None).cast("variant")
+    for k in reversed(keys):
+        out = F.when(F.map_contains_key(known, k), F.try_element_at(known, F.lit(k))).otherwise(out)
     return out
 
 
 def field(value: Column, confidence: Column, evidence: Column, reasoning: Column, method: str) -> Column:
     """A field from an object with value, confidence, evidence_text and reasoning_brief, or from a scalar."""
-    nested = F.coalesce(F.startswith(F.schema_of_variant(value), F.lit("OBJECT")), F.lit(False))
-    plain = scalar(value)
-    return F.struct(
-        F.when(nested, scalar(get(value, "value"))).otherwise(plain).alias("value"),
-        F.when(nested, F.coalesce(clamp(get(value, "confidence", "string"), float("nan")), confidence)).when(plain.isNotNull(), confidence).otherwise(0.0).alias("confidence"),
-        F.when(nested, F.coalesce(scalar(get(value, "evidence_text")), evidence)).otherwise(evidence).alias("evidence_text"),
-        F.when(nested, F.coalesce(scalar(get(value, "reasoning_brief")), reasoning)).otherwise(reasoning).alias("reasoning_brief"),
-        F.lit(method).alias("source_method"),
-    )
+
+    def made(text: Column, sure: Column, proof: Column, reason: Column) -> Column:
+        return F.struct(text.alias("value"), sure.alias("confidence"), proof.alias("evidence_text"), reason.alias("reasoning_brief"), F.lit(method).alias("source_method"))
+
+    def nested(m: Column) -> Column:
+        own = lambda k: scalar(F.try_element_at(m, F.lit(k)))
+        sure = F.try_variant_get(F.try_element_at(m, F.lit("confidence")), "$", "string")
+        return made(own("value"), F.coalesce(clamp(sure, float("nan")), confidence), F.coalesce(own("evidence_text"), evidence), F.coalesce(own("reasoning_brief"), reasoning))
+
+    def plain(v: Column) -> Column:
+        return let(scalar(v), lambda text: made(text, F.when(text.isNotNull(), confidence).otherwise(0.0), evidence, reasoning))
+
+    return let(value, lambda v: let(members(v), lambda m: F.when(m.isNotNull(), nested(m)).otherwise(plain(v))))
 
 
 def extractor_output(payload: Column, method: str) -> Column:
     """(method, case_fields, participants, warnings) of a payload with public or internal keys.
 
-    Confidences come from the document's map for parties too. The reasoning summary is added to the warnings.
+    Confidences come from the document's map for parties too. The reasoning summary is added to the warnings. The payload
+    and each object in it are taken apart once; only the fields of the shape that it has are made.
     """
-    internal = has_key(payload, "case_info")
     none = F.lit(None).cast("string")
-    conf = lambda *keys: clamp(scalar(first_present(get(payload, "confidence_by_field"), *keys)))
-    proof = lambda v, *keys: scalar(first_present(get(v, "evidence_by_field"), *keys))
-    case = []
-    for public, own in V.PUBLIC_CASE_KEYS.items():
-        reason = scalar(get(payload, "reasoning_summary")) if public == "legal_relationship" else none
-        inner = field(get(get(payload, "case_info"), own), conf(own), none, none, method)
-        outer = field(get(payload, public), conf(public, own), proof(payload, public, own), reason, method)
-        case.append(F.when(internal, inner).otherwise(outer).alias(own))
-    items = lambda key: F.coalesce(F.try_variant_get(payload, f"$.{key}", "array<variant>"), F.array().cast("array<variant>"))
-    inside = F.transform(items("participants"), lambda p: F.struct(*(field(get(p, own), conf(own), none, none, method).alias(own) for own in V.PUBLIC_PARTY_KEYS.values())))
-    objects = F.filter(items("parties"), lambda p: F.startswith(F.schema_of_variant(p), F.lit("OBJECT")))
-    outside = F.transform(objects, lambda p: F.struct(*(field(get(p, public), conf(public, own), proof(p, public, own), none, method).alias(own) for public, own in V.PUBLIC_PARTY_KEYS.items())))
-    notes = F.filter(F.transform(items("warnings"), lambda w: F.trim(F.try_variant_get(w, "$", "string"))), lambda w: w != "")
-    summary = F.filter(F.array(scalar(get(payload, "reasoning_summary"))), lambda x: x.isNotNull())
-    return F.struct(F.lit(method).alias("method"), F.struct(*case).alias("case_fields"), F.when(internal, inside).otherwise(outside).alias("participants"), F.concat(notes, summary).alias("warnings"))
+
+    def output(top: Column, sure: Column, proofs: Column) -> Column:
+        conf = lambda *keys: clamp(scalar(first_present(sure, *keys)))
+        proof = lambda known, *keys: scalar(first_present(known, *keys))
+        at = lambda known, key: F.try_element_at(known, F.lit(key))
+        items = lambda key: F.coalesce(F.try_variant_get(at(top, key), "$", "array<variant>"), F.array().cast("array<variant>"))
+        summary = scalar(at(top, "reasoning_summary"))
+        internal = F.coalesce(F.map_contains_key(top, "case_info"), F.lit(False))
+
+        def inside() -> Column:
+            case = let(members(at(top, "case_info")), lambda info: F.struct(*(field(at(info, own), conf(own), none, none, method).alias(own) for own in V.PUBLIC_CASE_KEYS.values())))
+            party = lambda known: F.struct(*(field(at(known, own), conf(own), none, none, method).alias(own) for own in V.PUBLIC_PARTY_KEYS.values()))
+            return F.struct(case.alias("case_fields"), F.transform(F.transform(items("participants"), members), party).alias("participants"))
+
+        def outside() -> Column:
+            reason = lambda public: summary if public == "legal_relationship" else none
+            case = F.struct(*(field(at(top, public), conf(public, own), proof(proofs, public, own), reason(public), method).alias(own) for public, own in V.PUBLIC_CASE_KEYS.items()))
+
+            def party(known: Column) -> Column:
+                own_proofs = members(at(known, "evidence_by_field"))
+                return let(own_proofs, lambda p: F.struct(*(field(at(known, public), conf(public, own), proof(p, public, own), none, method).alias(own) for public, own in V.PUBLIC_PARTY_KEYS.items())))
+
+            people = F.filter(F.transform(items("parties"), members), lambda m: m.isNotNull())
+            return F.struct(case.alias("case_fields"), F.transform(people, party).alias("participants"))
+
+        notes = F.filter(F.transform(items("warnings"), lambda w: F.trim(F.try_variant_get(w, "$", "string"))), lambda w: w != "")
+        more = F.filter(F.array(summary), lambda x: x.isNotNull())
+        parts = F.when(internal, inside()).otherwise(outside())
+        return let(parts, lambda p: F.struct(F.lit(method).alias("method"), p["case_fields"].alias("case_fields"), p["participants"].alias("participants"), F.concat(notes, more).alias("warnings")))
+
+    own = lambda top, key: members(F.try_element_at(top, F.lit(key)))
+    return let(members(payload), lambda top: let(own(top, "confidence_by_field"), lambda sure: let(own(top, "evidence_by_field"), lambda proofs: output(top, sure, proofs))))
 
 
 def rule_output(case: Column, people: Column, method: str) -> Column:

@@ -37,17 +37,33 @@ def indel_score(a: Column, b: Column) -> Column:
     return F.when(total == 0, 100.0).otherwise(200.0 * lcs(a, b) / F.greatest(total, F.lit(1)))
 
 
+def running(values: Column, piece: int = 256) -> Column:
+    """Sums of the integers before each place of an array, and of all at the end: pieces add up on their own, then pieces'
+    totals, so that no fold appends to an array longer than a piece or than the number of pieces."""
+
+    def sums(part: Column) -> Column:
+        grow = lambda acc, x: F.array_append(acc, F.element_at(acc, -1) + x)
+        return F.aggregate(part, F.array(F.lit(0)), grow)
+
+    def over(parts: Column) -> Column:
+        offsets = sums(F.transform(parts, lambda p: F.element_at(p, -1)))
+        inner = F.transform(parts, lambda p, k: F.transform(F.slice(p, 1, F.size(p) - 1), lambda x: x + F.get(offsets, k)))
+        return F.array_append(F.flatten(inner), F.element_at(offsets, -1))
+
+    pieces = F.sequence(F.lit(0), F.greatest(F.lit(0), F.ceil(F.size(values) / piece).cast("int") - 1))
+    return let(F.transform(pieces, lambda k: sums(F.slice(values, k * piece + 1, piece))), over)
+
+
 def line_spans(c: Column) -> Column:
     """Array of (line, start, end): offsets of each line in characters."""
-    lines = F.split(c, "\n", -1)
 
-    def step(acc: Column, line: Column) -> Column:
-        start = acc["at"]
-        span = F.struct(line.alias("line"), start.alias("start"), (start + F.char_length(line)).alias("end"))
-        return F.struct(F.concat(acc["spans"], F.array(span)).alias("spans"), (start + F.char_length(line) + 1).alias("at"))
+    def spans(lines: Column) -> Column:
+        def placed(starts: Column) -> Column:
+            return F.transform(lines, lambda x, i: F.struct(x.alias("line"), F.get(starts, i).alias("start"), (F.get(starts, i) + F.char_length(x)).alias("end")))
+
+        return let(running(F.transform(lines, lambda x: F.char_length(x) + 1)), placed)
 
-    first = F.struct(F.array().cast("array<struct<line:string,start:int,end:int>>").alias("spans"), F.lit(0).alias("at"))
-    return F.aggregate(lines, first, step)["spans"]
+    return let(F.split(c, "\n", -1), spans)
 
 
 def common_length(a: str, masks: dict[str, int], size: int) -> int:

@@ -177,16 +177,24 @@ def should_join(previous: Column, current: Column) -> Column:
 
 
 def fold_lines(c: Column) -> Column:
-    """Soft-wrapped lines joined, each held against the line as it has grown so far."""
+    """Soft-wrapped lines joined, each held against the line as it has grown so far.
 
-    def step(lines: Column, line: Column) -> Column:
-        def grow(last: Column) -> Column:
-            joined = F.concat(F.slice(lines, 1, F.size(lines) - 1), F.array(F.concat(last, F.lit(" "), line)))
-            return F.when(F.coalesce((line != "") & (last != ""), F.lit(False)) & F.coalesce(should_join(last, line), F.lit(False)), joined).otherwise(F.concat(lines, F.array(line)))
+    Of a grown line only the end decides, and no phrase that asks for more has over two words: so each line is judged by
+    the two before it, all at once, in time linear in the text.
+    """
 
-        return let(F.get(lines, F.size(lines) - 1), grow)
+    def joins(lines: Column, i: Column) -> Column:
+        line, last, second = F.get(lines, i), F.get(lines, i - 1), F.get(lines, i - 2)
+        both = lambda a, b: F.coalesce((a != "") & (b != ""), F.lit(False))
+        goes_on = lambda a, b: both(a, b) & F.coalesce(should_join(a, b), F.lit(False))
+        # a last line of one word may be the end of a phrase that the line before began
+        grown = F.when(~F.contains(last, F.lit(" ")) & goes_on(second, last), F.concat_ws(" ", second, last)).otherwise(last)
+        return (i > 0) & both(last, line) & let(grown, lambda g: F.coalesce(should_join(g, line), F.lit(False)))
 
-    return F.array_join(F.aggregate(F.split(c, "\n", -1), F.array().cast("array<string>"), step), "\n")
+    def folded(lines: Column) -> Column:
+        return F.array_join(F.transform(lines, lambda x, i: F.when(i == 0, x).when(joins(lines, i), F.concat(F.lit(" "), x)).otherwise(F.concat(F.lit("\n"), x))), "")
+
+    return let(F.split(c, "\n", -1), folded)
 
 
 def normalise(c: Column, composed: bool = True) -> Column:

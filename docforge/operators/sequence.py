@@ -9,6 +9,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from docforge.functions import vocab as V
+from docforge.functions.similarity import running
+from docforge.functions.text import let
+from docforge.session import ship
 
 
 def early_stop(pages: DataFrame, key: str, page: str, hit: Column, most: int = 7, stop: bool = True, full: bool = False) -> DataFrame:
@@ -50,6 +53,40 @@ def lazy_pages(files: DataFrame, key: str, count: str, read: Callable[[str, int]
     return files.select(key, count).mapInPandas(run, f"{key} string, page_number int, text string")
 
 
+def page_table(read: Callable[[str, list[int]], list[str]], is_marker: Callable[[str], bool], most: int = 7, at_once: int = 1, full: bool = False) -> Callable[..., DataFrame]:
+    """A table function (key, page count) -> (page_number, text, error) that stops at a document's marker.
+
+    ``read`` gives the texts of some pages of a document, ``at_once`` of them a call; where such a call fails its pages are
+    read one by one, and a page that can't be read is a row with an error. Rows after the marker's page are not made, nor
+    are their pages read beyond the call that has it; ``full`` reads on to the last page.
+    """
+
+    class Pages:
+        def eval(self, key: str, count: int) -> Iterator[tuple[int, str | None, str | None]]:
+            last = int(count or 0) if full else min(int(count or 0), most)
+            for first in range(1, last + 1, at_once):
+                for page, text, error in self.some(key, list(range(first, min(first + at_once, last + 1)))):
+                    yield page, text, error
+                    if error is None and not full and is_marker(text):
+                        return
+
+        def some(self, key: str, pages: list[int]) -> list[tuple[int, str | None, str | None]]:
+            try:
+                return [(p, t, None) for p, t in zip(pages, read(key, pages), strict=True)]
+            except Exception as problem:  # noqa: BLE001  a reader may raise anything
+                if len(pages) == 1:
+                    return [(pages[0], None, f"{type(problem).__name__}: {problem}")]
+                return [row for p in pages for row in self.some(key, [p])]
+
+    return F.udtf(Pages, returnType="page_number int, text string, error string")
+
+
+def pages_until_marker(files: DataFrame, key: str, count: str, table: Callable[..., DataFrame]) -> DataFrame:
+    """``files`` with the rows of ``page_table`` beside each, as a lateral join; a document without a page has no row."""
+    ship(files.sparkSession)
+    return files.lateralJoin(table(F.col(key).outer(), F.col(count).outer()))
+
+
 def page_text(pages: DataFrame, key: str, page: str, text: str, between: str = "\n\n") -> DataFrame:
     """(key, text): non-blank pages in order; pages of equal number by their text."""
     rows = pages.where(F.trim(text) != "").groupBy(key).agg(F.array_sort(F.collect_list(F.struct(F.col(page).alias("p"), F.col(text).alias("t")))).alias("a"))
@@ -62,6 +99,25 @@ def trim_lines(spans: Column, start: Column) -> Column:
     return F.filter(cut, lambda x: x != "")
 
 
+def trim_page_lines(lines: Column, start: Column) -> Column:
+    """Page lines (structs with text, and a box or what else) before a place in their texts joined by line feeds.
+
+    The line that holds the place keeps its trimmed part before, with its own box, unless nothing is left of it; an
+    unknown place keeps all lines.
+    """
+    size = F.transform(lines, lambda x: F.char_length(F.coalesce(x["text"], F.lit(""))) + 1)
+
+    def trimmed(starts: Column) -> Column:
+        def cut(line: Column, i: Column) -> Column:
+            left = start - F.get(starts, i)
+            text = F.btrim(F.substring(line["text"], F.lit(1), left), F.lit(" \t\r\n"))
+            return F.when(F.get(starts, i + 1) - 1 <= start, line).when((left > 0) & (text != ""), line.withField("text", text))
+
+        return F.filter(F.transform(lines, cut), lambda x: x.isNotNull())
+
+    return F.when(start.isNull(), lines).otherwise(let(running(size), trimmed))
+
+
 def keep_first(df: DataFrame, key: list[str], order: list[str]) -> DataFrame:
     """The first row of each key: a minimum with map-side combine and an equi-join, for keys of any number of rows."""
     first = df.groupBy(*key).agg(F.min(F.struct(*order)).alias("_first"))

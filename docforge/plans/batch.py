@@ -9,11 +9,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docforge.functions.adapters import apply_model
-from docforge.operators import qa, rows
+from docforge.operators import qa, reports, rows
 from docforge.operators.sequence import early_stop, page_text
 from docforge.plans.extract import Options, extract, headers
-from docforge.session import shared_folder
+from docforge.session import scratch_folder
 from docforge.sources import ingest, sinks
+from docforge.sources.runs import Runs
 
 
 class RequiredModelError(RuntimeError):
@@ -76,41 +77,108 @@ def until_marker(read: DataFrame, options: Batch) -> DataFrame:
     return read.drop("pages", "page_count").join(stops, "file_id", "left").join(page_text(kept, "file_id", "page", "text"), "file_id", "left")
 
 
-def process_batch(spark: SparkSession, folder: str, output: str, load: Callable[[], Callable], options: Batch = Batch(), model: Callable[[DataFrame], Column] | None = None) -> DataFrame:  # noqa: B008
-    """Run a batch and write rows, results, a manifest and a summary below ``output``; returns (file_id, path, error).
+#: Tables of a batch's output and what tells their rows apart.
+KEYS = {"results": ["source_file"], "outcomes": ["path"]}
+OUTCOMES = "file_id string, path string, status string, error string"
+
+
+def done_files(spark: SparkSession, output: str) -> DataFrame:
+    """(file_id) of what any committed run has done."""
+    outcomes = Runs(spark, output).table("outcomes", OUTCOMES)
+    return spark.createDataFrame([], "file_id string") if outcomes is None else outcomes.where("status = 'done'").select("file_id")
+
+
+def all_results(spark: SparkSession, output: str) -> DataFrame | None:
+    """The results of all runs, a file's latest one each; None before the first run."""
+    return Runs(spark, output).latest("results", KEYS["results"])
+
+
+def all_outcomes(spark: SparkSession, output: str) -> DataFrame | None:
+    """(file_id, path, status, error): the latest attempt at each file; files that a run only skipped keep what they had."""
+    outcomes = Runs(spark, output).table("outcomes", OUTCOMES)
+    if outcomes is None:
+        return None
+    tried = F.struct((F.col("status") != "skipped").alias("tried"), F.col("run").alias("run"))
+    last = outcomes.groupBy("path").agg(F.max_by(F.struct("file_id", "path", "status", "error"), tried).alias("_row"))
+    return last.select("_row.*")
+
 
-    Files of the manifest are skipped unless ``force``; of files with equal contents only the first counts. A file that
-    can't be read or extracted is an error of its own and stays out of the manifest, so that the next run tries it
-    again. ``model`` gives a model's output for the read documents (see functions.payload); with ``require_model``
-    a document without one is an error.
+def all_rows(spark: SparkSession, output: str) -> DataFrame | None:
+    """Flat rows of ``all_results``."""
+    results = all_results(spark, output)
+    return None if results is None else rows.flat_rows(results)
+
+
+def process_files(spark: SparkSession, files: DataFrame, contents: DataFrame, output: str, load: Callable[[], Callable], options: Batch = Batch(), model: Callable[[DataFrame], Column] | None = None, source: str | None = None) -> DataFrame:  # noqa: B008
+    """Extract ``files`` (file_id, path) as one run of the tables below ``output``; see process_batch.
+
+    ``contents`` (path, length, content, file_id) has at least the files' contents; only those that are to be read go on.
+    ``source`` names what the files came from; a run that was committed from it is not made again. Returns the run's
+    outcomes (file_id, path, status, error), status being done, failed or skipped.
+    """
+    runs = Runs(spark, output)
+    if source is not None and runs.has(source):
+        return spark.createDataFrame([], OUTCOMES)
+    run = runs.begin()
+    with scratch_folder(spark, "batch") as scratch:
+        files.select("file_id", "path").write.parquet(f"{scratch}/files")
+        listed = spark.read.parquet(f"{scratch}/files")
+        todo = ingest.not_processed(listed, done_files(spark, output), force=options.force)
+        todo.select("path").write.parquet(f"{scratch}/todo")
+        todo = spark.read.parquet(f"{scratch}/todo")
+        content = ingest.checked(contents.join(todo, "path", "left_semi"))
+        until_marker(read_pages(content, load, options), options).write.parquet(f"{scratch}/texts")
+        read = spark.read.parquet(f"{scratch}/texts")
+        answer = F.lit(None).cast("string") if model is None else model(read)
+        if options.require_model:
+            missing = F.lit(True) if model is None else answer.isNull()
+            read = read.withColumn("error", F.coalesce("error", F.when(missing, f"{RequiredModelError.__name__}: no answer of the model")))
+        good = read.where("error is null")
+        extract(good, source="path", primary=None if model is None else answer, options=options.extraction).write.parquet(runs.part(run, "results"))
+        results = spark.read.parquet(runs.part(run, "results"))
+        tried = read.select("path", "error", F.when(F.col("error").isNull(), "done").otherwise("failed").alias("status"))
+        outcomes = listed.join(tried, "path", "left").select("file_id", "path", F.coalesce("status", F.lit("skipped")).alias("status"), "error")
+        outcomes.write.parquet(runs.part(run, "outcomes"))
+        outcomes = spark.read.schema(OUTCOMES).parquet(runs.part(run, "outcomes"))
+        sinks.write_rows(rows.flat_rows(results), runs.part(run, "rows"))
+        sinks.write_json(read, runs.part(run, "documents"), ["text"], options.include_sensitive)
+        qa.batch_report(results).coalesce(1).write.parquet(f"{scratch}/report")
+        report, before = spark.read.parquet(f"{scratch}/report"), all_results(spark, output)
+        sinks.write_summary(sinks.outcome_counts(outcomes), report, runs.part(run, "summary"))
+        if before is not None:
+            before.join(results.select("source_file"), "source_file", "left_semi").write.parquet(f"{scratch}/replaced")
+            replaced = spark.read.parquet(f"{scratch}/replaced")
+            report = report if replaced.isEmpty() else reports.without(report, replaced)
+        report.coalesce(1).write.parquet(runs.part(run, "report"))
+        reports.sketches(results).coalesce(1).write.parquet(runs.part(run, "sketches"))
+        runs.commit(run, ["results", "outcomes", "rows", "documents", "summary", "report", "sketches"], source)
+    return outcomes
+
+
+def process_batch(spark: SparkSession, folder: str, output: str, load: Callable[[], Callable], options: Batch = Batch(), model: Callable[[DataFrame], Column] | None = None) -> DataFrame:  # noqa: B008
+    """Run a batch over the files of a folder: (file_id, path, status, error) of each, done, failed or skipped.
+
+    Results, rows, redacted documents, outcomes, a summary and a partial report are written as one run's parts of tables
+    below ``output`` and committed together (see sources.runs): a later run keeps what earlier ones found, and a run that
+    is killed leaves nothing that counts. ``all_results``, ``all_rows`` and ``all_outcomes`` read the latest of each file.
+    Files that a run has done are skipped unless ``force``; of files with equal contents only the first counts. A file
+    that can't be read or extracted is an error of its own and is tried again by the next run. ``model`` gives a model's
+    output for the read documents (see functions.payload); with ``require_model`` a document without one is an error.
     """
     options.check()
-    files = chosen(spark, folder, options).drop("content")
-    manifest = known(spark, f"{output}/manifest")
-    todo = ingest.not_processed(files, manifest, force=options.force)
-    content = ingest.checked(ingest.binary_files(spark, folder, options.suffix).join(todo.select("path"), "path", "left_semi"))
-    read = until_marker(read_pages(content, load, options), options)
-    scratch = shared_folder(spark, "batch")
-    read.write.parquet(f"{scratch}/texts")
-    read = spark.read.parquet(f"{scratch}/texts")
-    answer = F.lit(None).cast("string") if model is None else model(read)
-    if options.require_model:
-        missing = F.lit(True) if model is None else answer.isNull()
-        read = read.withColumn("error", F.coalesce("error", F.when(missing, f"{RequiredModelError.__name__}: no answer of the model")))
-    good = read.where("error is null")
-    results = extract(good, source="path", primary=None if model is None else answer, options=options.extraction)
-    results.write.mode("overwrite").parquet(f"{output}/results")
-    results = spark.read.parquet(f"{output}/results")
-    sinks.write_rows(rows.flat_rows(results), f"{output}/rows")
-    sinks.append_manifest(good, f"{output}/manifest")
-    summary = sinks.batch_summary(files, read)
-    sinks.write_summary(summary, qa.batch_report(results), f"{output}/summary")
-    sinks.write_json(read, f"{output}/documents", ["text"], options.include_sensitive)
-    return read.select("file_id", "path", "error")
-
-
-def known(spark: SparkSession, path: str) -> DataFrame:
-    """The manifest, or an empty one before the first run."""
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    there = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop)
-    return spark.read.schema("file_id string, status string").parquet(path) if there else spark.createDataFrame([], "file_id string, status string")
+    return process_files(spark, chosen(spark, folder, options).select("file_id", "path"), ingest.binary_files(spark, folder, options.suffix), output, load, options, model)
+
+
+def batch_summary(spark: SparkSession, output: str) -> dict[str, DataFrame] | None:
+    """The state after all runs: ``counts`` (one row), ``skipped`` (file_id) by the last run, ``failures`` (file_id, error)
+    and redacted ``results``; tables, as any of them may be long."""
+    runs, outcomes, results = Runs(spark, output), all_outcomes(spark, output), all_results(spark, output)
+    if outcomes is None:
+        return None
+    last = spark.read.schema(OUTCOMES).parquet(f"{runs.folder}/outcomes/run={runs.commits()[-1]['name']}")
+    return {
+        "counts": sinks.outcome_counts(outcomes),
+        "skipped": last.where("status = 'skipped'").select("file_id"),
+        "failures": outcomes.where("status = 'failed'").select("file_id", "error"),
+        "results": rows.redact_fields(results),
+    }

@@ -9,10 +9,12 @@ from pyspark.sql import functions as F
 
 from docforge.functions import rules
 from docforge.functions import vocab as V
+from docforge.functions.offsets import normalise_mapped, raw_offset
 from docforge.functions.payload import rule_output
 from docforge.functions.similarity import find_marker, split_before
 from docforge.functions.text import normalise, once
 from docforge.operators.merge import merge_outputs
+from docforge.operators.sequence import trim_page_lines
 from docforge.operators.validate import validate
 
 
@@ -38,6 +40,21 @@ def headers(df: DataFrame, text: str = "text", options: Options = Options()) ->
     return once(out, text_before_marker=before)
 
 
+def above_marker(df: DataFrame, lines: str = "lines", options: Options = Options()) -> DataFrame:  # noqa: B008
+    """Pages with ``lines`` (structs with text) cut to those above the marker, and marker and text (the lines that are left).
+
+    The marker is sought in the normalised text of the page; its place is taken back to the raw lines by the map that
+    normalisation keeps, so that a raw line is cut at the right character whatever was removed, repaired or joined before.
+    """
+    raw = F.array_join(F.transform(lines, lambda x: F.coalesce(x["text"], F.lit(""))), "\n")
+    out = once(df, _map=normalise_mapped(raw, options.compose))
+    out = find_marker(once(out, _text=F.col("_map.text")), "_text", "marker", options.marker, options.threshold)
+    start = F.when(F.col("marker.found"), raw_offset(F.col("_map.runs"), F.col("marker.start")))
+    out = once(out, **{lines: trim_page_lines(F.col(lines), start)})
+    text = F.array_join(F.filter(F.transform(lines, lambda x: x["text"]), lambda t: F.trim(t) != ""), "\n")
+    return out.withColumn("text", text).drop("_map", "_text")
+
+
 def extract(df: DataFrame, text: str = "text", source: str = "source_file", primary: Column | None = None, options: Options = Options()) -> DataFrame:  # noqa: B008
     """Validated results: source_file, marker_found, case_info, participants, warnings, review_required, primary_extractor.
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import SparkSession
@@ -22,6 +24,22 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}-{uuid.uuid4().hex}"
 
 
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder of any file system that Spark reads."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+@contextmanager
+def scratch_folder(spark: SparkSession, name: str) -> Iterator[str]:
+    """A shared folder for tables that nothing returned reads; deleted at the end, also after an error."""
+    folder = shared_folder(spark, name)
+    try:
+        yield folder
+    finally:
+        delete_folder(spark, folder)
+
+
 def ship(spark: SparkSession) -> None:
     """Send this package to the executors' Python once per context, as they may not have it on their path."""
     sc = spark.sparkContext

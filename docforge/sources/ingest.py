@@ -15,6 +15,8 @@ from pyspark.sql import types as T
 
 from docforge.functions.text import cache_key
 from docforge.operators.sequence import keep_first
+from docforge.operators.sift import key_map, sifted
+from docforge.sources.runs import Runs
 
 
 STREAM = re.compile(rb"/FlateDecode.{0,200}?stream\r?\n(.*?)endstream", re.DOTALL)
@@ -28,6 +30,11 @@ def ocr_documents(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(OCR_DOCUMENT).json(path)
 
 
+def cached_documents(spark: SparkSession, folder: str) -> DataFrame | None:
+    """The newest document of each key in a cache that ``sinks.append_ocr_cache`` wrote; None of an empty cache."""
+    return Runs(spark, folder).latest("cache", ["cache_key"])
+
+
 def page_texts(documents: DataFrame) -> DataFrame:
     """(source_file, page_number, text): a page's own text, else its non-blank lines; blank pages are left out."""
     pages = documents.select("source_file", F.explode("pages").alias("p"))
@@ -43,21 +50,22 @@ def batch_results(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 
 def binary_files(spark: SparkSession, path: str, suffix: str = "pdf", empty: bool = True) -> DataFrame:
-    """path, length, content and file_id (SHA-256 of the content) of the files with a suffix, not below folders.
+    """path, length, content and file_id (SHA-256 of the content) of the files with a suffix in a folder, not below it.
 
-    Scans pass over files without a byte; with ``empty`` they are rows too, from a listing on the driver.
+    ``path`` may be a pattern for several folders; folders named like partitions are folders like any other. Scans pass
+    over files without a byte; with ``empty`` they are rows too, from a listing on the driver.
     """
-    files = spark.read.format("binaryFile").option("pathGlobFilter", f"*.{suffix}").load(path)
-    out = files.select("path", "length", "content", F.sha2("content", 256).alias("file_id"))
-    if not empty:
-        return out
     pattern = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/*.{suffix}")
     found = pattern.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(pattern) or []
-    names = [f.getPath().toString() for f in found if f.getLen() == 0 and f.isFile()]
-    if not names:
-        return out
-    rows = spark.createDataFrame([(n,) for n in names], "path string").withColumns({"length": F.lit(0).cast("long"), "content": F.lit("").cast("binary")})
-    return out.unionByName(rows.withColumn("file_id", F.sha2("content", 256)))
+    if any(f.isFile() and f.getLen() > 0 for f in found):
+        files = spark.read.format("binaryFile").load(pattern.toString()).select("path", "length", "content")
+    else:
+        files = spark.createDataFrame([], "path string, length long, content binary")
+    names = [f.getPath().toString() for f in found if f.getLen() == 0 and f.isFile()] if empty else []
+    if names:
+        nothing = spark.createDataFrame([(n,) for n in names], "path string").withColumns({"length": F.lit(0).cast("long"), "content": F.lit("").cast("binary")})
+        files = files.unionByName(nothing)
+    return files.withColumn("file_id", F.sha2("content", 256))
 
 
 def checked(files: DataFrame, magic: bytes = b"%PDF") -> DataFrame:
@@ -66,6 +74,12 @@ def checked(files: DataFrame, magic: bytes = b"%PDF") -> DataFrame:
     return files.withColumn("error", F.when(F.col("length") == 0, "empty file").when(~start, "unexpected content"))
 
 
+def requested(paths: DataFrame, files: DataFrame) -> DataFrame:
+    """``checked`` files for the paths (path) that were asked for; one that isn't there is a row with an error."""
+    found = paths.select("path").distinct().join(checked(files), "path", "left")
+    return found.withColumn("error", F.when(F.col("length").isNull(), "not found").otherwise(F.col("error")))
+
+
 def page_counts(files: DataFrame) -> DataFrame:
     """``checked`` with page_count, from the page objects of the file or the largest count its page tree gives.
 
@@ -151,10 +165,19 @@ def hash_sample(df: DataFrame, key: Column, k: int, seed: str = "42") -> DataFra
     return df.orderBy(F.sha2(F.concat(key.cast("string"), F.lit(f":{seed}")), 256), key).limit(k)
 
 
-def with_cache(df: DataFrame, cache: DataFrame, value: str, **options: Column) -> DataFrame:
-    """``cache_key`` from the options, the cached ``value`` if there is one, and whether there was."""
+def with_cache(df: DataFrame, cache: DataFrame, value: str, version: str | None = None, **options: Column) -> DataFrame:
+    """``cache_key`` from the options, the cached ``value`` if there is one, and whether there was.
+
+    A key that the cache has several times gives its value of the highest ``version``, or the largest value without one:
+    a row of ``df`` stays one row. Misses are told by a map of the cache's keys and don't go through the join.
+    """
+    newest = F.max_by(value, version) if version else F.max(value)
+    known = cache.groupBy("cache_key").agg(newest.alias(value), F.lit(True).alias("cache_hit"))
     keyed = df.withColumn("cache_key", cache_key(**options))
-    return keyed.join(cache.select("cache_key", value, F.lit(True).alias("cache_hit")), "cache_key", "left").withColumn("cache_hit", F.coalesce("cache_hit", F.lit(False)))
+    some, rest = sifted(keyed, "cache_key", *key_map(cache.select("cache_key"), "cache_key"))
+    found = some.join(known, "cache_key", "left").withColumn("cache_hit", F.coalesce("cache_hit", F.lit(False)))
+    missed = rest.withColumns({value: F.lit(None).cast(cache.schema[value].dataType), "cache_hit": F.lit(False)})
+    return found.unionByName(missed.select(found.columns))
 
 
 def corrected_texts(raw: DataFrame, corrected: DataFrame, stem: str = "stem", text: str = "text") -> DataFrame:

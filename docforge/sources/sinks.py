@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docforge.operators.rows import redact
+from docforge.sources.runs import Runs
 
 
 def write_rows(rows: DataFrame, path: str, single: bool = False) -> None:
@@ -35,6 +36,26 @@ def write_ocr_cache(documents: DataFrame, path: str) -> None:
     documents.withColumn("shard", F.substring("cache_key", 1, 2)).write.mode("append").partitionBy("shard").json(path)
 
 
+def append_ocr_cache(documents: DataFrame, folder: str) -> None:
+    """OCR documents as one more run of a cache; a key that is there already has a newer document then.
+
+    Of documents with one key in a run, that with most pages is kept. ``compact_ocr_cache`` leaves one of each key.
+    """
+    runs = Runs(documents.sparkSession, folder)
+    run = runs.begin()
+    columns = F.struct(*(F.col(c) for c in documents.columns))
+    documents.groupBy("cache_key").agg(F.max_by(columns, "page_count").alias("_row")).select("_row.*").write.parquet(runs.part(run, "cache"))
+    runs.commit(run, ["cache"])
+
+
+def compact_ocr_cache(spark: SparkSession, folder: str, sweep: bool = False) -> None:
+    """The newest document of each key, in place of all runs; ``sweep`` deletes the old parts, while no reader has begun."""
+    runs = Runs(spark, folder)
+    runs.compact({"cache": ["cache_key"]})
+    if sweep:
+        runs.sweep()
+
+
 def write_summary(summary: DataFrame, results: DataFrame, path: str) -> None:
     """The counts of a batch beside its results: ``path``/summary and ``path``/results, both JSON."""
     summary.coalesce(1).write.mode("overwrite").json(f"{path}/summary")
@@ -53,6 +74,12 @@ def batch_summary(total: DataFrame, processed: DataFrame) -> DataFrame:
     return n.crossJoin(p).select("total", "success", "failed", (F.col("total") - F.col("success") - F.col("failed")).alias("skipped"))  # one row each
 
 
+def outcome_counts(outcomes: DataFrame) -> DataFrame:
+    """One row: total, success, failed, skipped of outcomes with a status."""
+    by = lambda name: F.count_if(F.col("status") == name).alias({"done": "success"}.get(name, name))
+    return outcomes.agg(F.count(F.lit(1)).alias("total"), by("done"), by("failed"), by("skipped"))
+
+
 def first_failures(processed: DataFrame, order: str, n: int = 10, most: int = 220) -> DataFrame:
     """The first failures with errors on one line, cut to ``most`` characters."""
     text = F.trim(F.regexp_replace("error", r"\s+", " "))

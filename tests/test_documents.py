@@ -12,7 +12,7 @@ from docforge.functions import chat, payload, rules, similarity, text
 from docforge.functions import vocab as V
 from docforge.functions.adapters import apply_model, polygon_box, with_fallback
 from docforge.operators import evidence, merge, qa, rows, sequence, validate
-from docforge.plans.batch import Batch, process_batch
+from docforge.plans.batch import Batch, batch_summary, process_batch
 from docforge.plans.extract import Options, extract, headers
 from docforge.sources import ingest, options, sinks
 from docforge.streaming.incremental import process_new
@@ -273,7 +273,8 @@ def test_a_batch_with_a_limit_of_files_that_all_fail(spark, tmp_path):
 
     done = process_batch(spark, str(tmp_path / "in"), str(tmp_path / "out"), load, Batch(limit=10))
     assert done.count() == 10 == done.where("error = 'RuntimeError: broken'").count()
-    summary = spark.read.json(str(tmp_path / "out/summary/summary")).first()
+    summary = spark.read.json(str(tmp_path / "out/summary/run=*/summary")).first()
+    assert tuple(batch_summary(spark, str(tmp_path / "out"))["counts"].first()) == (10, 0, 10, 0)
     assert (summary.total, summary.success, summary.failed, summary.skipped) == (10, 0, 10, 0)
     required = process_batch(spark, str(tmp_path / "in"), str(tmp_path / "out2"), lambda: lambda c, m: ["text"], Batch(limit=2, require_model=True))
     assert {r.error for r in required.collect()} == {"RequiredModelError: no answer of the model"}
