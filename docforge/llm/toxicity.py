@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import unicodedata
 from collections.abc import Iterator
 
@@ -27,6 +28,10 @@ LONGEST, STEP = 128, 1 << 19
 OTHER, SPACE = 37, 127
 
 
+#: Where a long text may be cut: a sentence ends, and no single letter stands beside, to which others could be joined.
+SENTENCE = re.compile(r"(?<=[^\W_]{2}[.!?])\s(?=[^\W_]{2})|(?<=[^\W_]{2})\n(?=[^\W_]{2})")
+
+
 def _symbols() -> np.ndarray:
     out = np.zeros(1 << 16, np.uint8)
     for code in range(1 << 16):
@@ -270,7 +275,7 @@ class Classifier:
                 size, j = size + len(texts[j]), j + 1
             if size <= 2 * STEP:
                 margins = self._margins(Units([t.lower() for t in texts[i:j]]), j - i)
-            else:  # one long text, in pieces that end at white space
+            else:  # one long text, in pieces of whole sentences
                 margins = np.array([max(float(self._margins(Units([piece.lower()]), 1)[0]) for piece in self._pieces(texts[i]))])
             out += (1 / (1 + np.exp(-np.clip(self.slope * margins + self.shift, -30, 30)))).tolist()
             i = j
@@ -278,13 +283,12 @@ class Classifier:
 
     @staticmethod
     def _pieces(text: str) -> Iterator[str]:
+        """Whole sentences of STEP characters or more: a piece ends where a sentence does."""
         begin = 0
         while begin < len(text):
-            end = min(len(text), begin + STEP)
-            while end < len(text) and not text[end].isspace() and end < begin + 2 * STEP:
-                end += 1
-            yield text[begin:end]
-            begin = end
+            end = SENTENCE.search(text, begin + STEP) if len(text) - begin > 2 * STEP else None
+            yield text[begin : end.start() if end else len(text)]
+            begin = end.start() if end else len(text)
 
 
 def sample(docs: DataFrame, labels: DataFrame, text: str, doc_id: str, label: str) -> list[tuple[str, int]]:
@@ -319,6 +323,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str
 
     Without rows of both labels every document gets the rate of label 1. Labels that are null or neither 0 nor 1, and
     labels of ids that no document has, are left out; columns of ``docs`` called ``out`` are replaced. Repeated rows come
-    out alike; an empty table stays empty. A long text is scored in pieces of about STEP characters.
+    out alike; an empty table stays empty. A long text is scored in pieces of whole sentences, some STEP characters each, or one
+    sentence if that is longer, with the score of the whole.
     """
     return classify(docs, Classifier(sample(docs, labels, text, doc_id, label)), text, out)
