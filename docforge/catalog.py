@@ -30,6 +30,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Rows dealt over all cores, for work that costs far more than a shuffle: a small table may be one row group."""
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, key)
+
+
 LICENCE = r"(?i)licen[cs]e"
 
 
@@ -386,8 +391,7 @@ def extract_documents(spark, d):
     """The whole extraction plan over documents; rules for Vietnamese judgments find little in them."""
     from docforge.plans.extract import extract
 
-    out = extract(table(spark, d, "documents"), source="doc_id")
-    return rows.flat_rows(out)
+    return rows.flat_rows(extract(spread(table(spark, d, "documents").select("doc_id", "text"), "doc_id"), source="doc_id"))
 
 
 @query("""WITH f AS (SELECT *, row_number() OVER (PARTITION BY sha256(text) ORDER BY doc_id) AS n FROM documents),

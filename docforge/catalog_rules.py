@@ -10,7 +10,7 @@ import unicodedata
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docforge.catalog import query, table
+from docforge.catalog import query, spread, table
 from docforge.functions import payload, rules, similarity, text, vision
 from docforge.functions import vocab as V
 from docforge.functions.adapters import apply_model, chosen_engine, labelled_boxes, mock_ocr_lines, polygon_box, read_with, with_entities, with_fallback
@@ -47,7 +47,7 @@ def judgments(spark: SparkSession, d: str) -> DataFrame:
         .otherwise("")
     )
     head = F.concat(F.lit("TÒA ÁN NHÂN DÂN TỈNH X\nVụ án "), pick(KINDS, k), F.lit(" thụ lý số: "), number, date, about, F.lit("\n"), judge, F.lit("\n"), first, others)
-    orders = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderdate").repartition(spark.sparkContext.defaultParallelism, "o_orderkey")
+    orders = spread(table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderdate"), "o_orderkey")
     return orders.select(k.alias("k"), F.concat(head, F.lit("\n"), pick(MARKERS, k), F.lit("\nBị cáo: Người Khác khai")).alias("text"))
 
 
@@ -210,7 +210,7 @@ def payloads(spark: SparkSession, d: str) -> DataFrame:
     )
     internal = F.concat(F.lit('{"case_info": {"loai_an": "Hình sự", "so_thu_ly": {"value": '), s, F.lit('}}, "participants": [{"ho_ten": {"value": "M", "confidence": -1}}, {"ho_ten": "K"}], "confidence_by_field": {"loai_an": 0.2, "ho_ten": 0.6}}'))
     raw = F.when(k % 5 == 0, public).when(k % 5 == 1, F.concat(F.lit("```json\n"), public, F.lit("\n``` "))).when(k % 5 == 2, internal).when(k % 5 == 3, F.concat(F.lit("["), s, F.lit("]"))).otherwise(F.concat(F.lit("{"), s))
-    return table(spark, d, "events").select("event_id", raw.alias("raw"))
+    return spread(table(spark, d, "events").select("event_id"), "event_id").select("event_id", raw.alias("raw"))
 
 
 @query("""SELECT event_id, e < 3 AS ok, CASE e WHEN 3 THEN 'not a JSON object' WHEN 4 THEN 'invalid JSON' END AS error, CASE WHEN e < 2 THEN 'Dân sự' WHEN e = 2 THEN 'Hình sự' END AS kind, CASE WHEN e < 2 THEN 0.7 WHEN e = 2 THEN 0.2 END::DOUBLE AS kind_confidence,

@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docforge.catalog import query, table
+from docforge.catalog import query, spread, table
 from docforge.catalog_rules import CASE_SQL, PARTY_SQL, judgments
 from docforge.functions import text
 from docforge.functions.adapters import TransportError, ocr_lines, served_by
@@ -88,7 +88,7 @@ def lines_above_marker(spark, d):
     head = [F.concat(F.lit("Tòa"), zero, F.lit("  án "), k.cast("string")), F.concat(F.lit("ngày "), (k % 28 + 1).cast("string")), F.concat(F.lit(" tháng "), (k % 12 + 1).cast("string"))]
     texts = F.when(k % 4 < 3, F.array(*head, marked, F.lit("sau"))).otherwise(F.array(*head, F.lit("xét"), F.lit("không có")))
     lines = F.transform(texts, lambda t, i: F.struct(t.alias("text"), F.lit(1).alias("page_number"), F.array(F.lit(0.0), i.cast("double"), F.lit(1.0), i.cast("double")).alias("bbox")))
-    pages = table(spark, d, "orders").repartition(spark.sparkContext.defaultParallelism, "o_orderkey").select(k.alias("k"), lines.alias("lines"))
+    pages = spread(table(spark, d, "orders").select("o_orderkey"), "o_orderkey").select(k.alias("k"), lines.alias("lines"))
     return above_marker(pages).select("k", F.size("lines").cast("long").alias("n_lines"), F.col("text").alias("kept"))
 
 
@@ -156,7 +156,7 @@ def services_in_order(spark, d):
 
         return load
 
-    asked = table(spark, d, "customer").select("c_custkey").repartition(spark.sparkContext.defaultParallelism, "c_custkey")
+    asked = spread(table(spark, d, "customer").select("c_custkey"), "c_custkey")
     done = served_by(asked, "c_custkey", [service("first", 0), service("second", -1)], "string", in_flight=16, retries=0)
     return done.select("c_custkey", "answer.value", "answer.error")
 

@@ -91,7 +91,7 @@ def contains_evidence(text: Column, evidence: Column) -> Column:
 
 @cache
 def not_composed() -> str:
-    """A pattern for characters that composition may change: marks, jamo, and letters that are not composed themselves."""
+    """The inside of a class of characters that composition may change: marks, jamo, and letters that are not composed."""
     own = [c for c in range(0x80, 0x10000) if not 0xD800 <= c < 0xE000 and unicodedata.normalize("NFC", chr(c)) != chr(c)]
     runs: list[list[int]] = []
     for c in own:
@@ -99,7 +99,12 @@ def not_composed() -> str:
             runs[-1][1] = c
         else:
             runs.append([c, c])
-    return r"[\p{M}\u1100-\u11FF" + "".join(f"\\u{a:04X}-\\u{b:04X}" for a, b in runs) + r"\x{1D100}-\x{1D1FF}\x{2F800}-\x{2FA1F}]"
+    return r"\p{M}\u1100-\u11FF" + "".join(f"\\u{a:04X}-\\u{b:04X}" for a, b in runs) + r"\x{1D100}-\x{1D1FF}\x{2F800}-\x{2FA1F}"
+
+
+def beyond_ascii(inside: str) -> str:
+    """A pattern for a class of characters beyond ASCII: others are passed over by one comparison, not one for each range."""
+    return rf"(?=[^\x00-\x7F])[{inside}]"
 
 
 def in_python(c: Column, needs: Column, change: Callable[[str], str]) -> Column:
@@ -130,7 +135,7 @@ def repair(v: str, triggers: tuple[str, ...] = tuple(V.MOJIBAKE_TEXT)) -> str:
 
 def nfc(c: Column) -> Column:
     """Canonical composition, for which Spark has no function."""
-    return in_python(c, F.rlike(c, F.lit(not_composed())), compose)
+    return in_python(c, F.rlike(c, F.lit(beyond_ascii(not_composed()))), compose)
 
 
 def repair_text(c: Column, triggers: list[str] = V.MOJIBAKE_TEXT) -> Column:
@@ -139,7 +144,7 @@ def repair_text(c: Column, triggers: list[str] = V.MOJIBAKE_TEXT) -> Column:
 
 def repaired_and_composed(c: Column) -> Column:
     """``repair_text`` and then ``nfc``, in one way through Python."""
-    either = not_composed()[:-1] + "".join(t for t in V.MOJIBAKE_TEXT if len(t) == 1) + "]|" + "|".join(t for t in V.MOJIBAKE_TEXT if len(t) > 1)
+    either = beyond_ascii(not_composed() + "".join(t for t in V.MOJIBAKE_TEXT if len(t) == 1)) + "|" + "|".join(t for t in V.MOJIBAKE_TEXT if len(t) > 1)
     return in_python(c, F.rlike(c, F.lit(either)), lambda v: compose(repair(v)))
 
 
