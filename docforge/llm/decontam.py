@@ -15,8 +15,10 @@ from docforge.llm.common import map_arrow, widened, written
 
 #: Bytes of item text that the driver collects and sends out at once; a larger set takes a pass for each further group.
 MAX_ITEM_BYTES = 16 << 20
-#: Windows in one automaton, some 100 MB; a larger group is several automata that a batch of texts meets in turn.
+#: Windows in one automaton, some 100 MB; a larger group is several automata that GROUP_BYTES of text meet in turn.
 MAX_WINDOWS = 100_000
+#: Bytes of text that meet several automata in turn, each built once for them.
+GROUP_BYTES = 64 << 20
 #: a-z, 0-9 and all bytes of non-ASCII characters are kept, A-Z lower-cased, the rest separates words.
 NORMAL = bytes(b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else b + 32 if 65 <= b <= 90 else 32 for b in range(256))
 SCHEMA = "struct<n_words:bigint,n_hit:bigint,items:array<string>,spans:array<struct<start:int,end:int>>>"
@@ -83,6 +85,21 @@ def parts(items: list[tuple[str, bytes]], size: int) -> list[list[tuple[str, lis
     return out
 
 
+def grouped(batches: Iterator[pa.RecordBatch], at: int, most: int) -> Iterator[pa.RecordBatch]:
+    """Batches put together up to ``most`` bytes of their column ``at``, or one that is larger."""
+    held, size = [], 0
+    for batch in batches:
+        own = batch.column(at).nbytes
+        if held and size + own > most:
+            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            held, size = [], 0
+        if batch.num_rows:
+            held.append(batch)
+            size += own
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+
 def spans_of(text: bytes, hit: np.ndarray) -> list[dict]:
     """Byte spans of the runs of hit words."""
     edge = np.diff(np.concatenate([[0], hit.astype(np.int8), [0]]))
@@ -124,7 +141,7 @@ def _pass(docs: DataFrame, items: list[tuple[str, bytes]], text: str, size: int,
     kind = pa.struct([("n_words", pa.int64()), ("n_hit", pa.int64()), ("items", pa.list_(pa.string())), ("spans", pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in grouped(batches, at, GROUP_BYTES) if len(shared) > 1 else batches:
             column = batch.column(at).cast(pa.large_binary())
             raw = lambda i: column[i].as_buffer().to_pybytes() if column[i].is_valid else b""  # noqa: B023, E731
             many, hits, names = [0] * len(column), {}, {}

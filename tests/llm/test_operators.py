@@ -776,3 +776,13 @@ def test_contamination(spark, docs, empty, monkeypatch, most, size):
         assert sum((words(raw[s.start : s.end].decode()) for s in c.spans), []) == [w[k] for k in sorted(hit)]
     none = spark.createDataFrame([], "item_id long, text string")
     assert {r.contamination.n_hit for r in decontam.scan(docs, none).collect()} == {0} and decontam.scan(empty, none).count() == 0
+
+
+def test_automata_are_built_once_for_many_batches(monkeypatch):
+    import pyarrow as pa
+
+    batches = [pa.RecordBatch.from_arrays([pa.array(range(n)), pa.array(["word " * 10] * n)], names=["i", "t"]) for n in (3, 0, 4, 1, 900)]
+    for most, want in ((10**9, [908]), (120, [3, 4, 1, 900]), (300, [3, 5, 900])):
+        made = list(decontam.grouped(iter(batches), 1, most))
+        assert [b.num_rows for b in made] == want and all(b.schema == batches[0].schema for b in made)
+    assert list(decontam.grouped(iter(batches[1:2]), 1, 5)) == []
