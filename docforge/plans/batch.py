@@ -68,10 +68,14 @@ def read_pages(files: DataFrame, load: Callable[[], Callable], options: Batch) -
     return read.select("file_id", "path", F.coalesce("error", "read.error").alias("error"), F.size(F.coalesce("read.value", F.array().cast("array<string>"))).alias("page_count"), F.col("read.value").alias("pages"))
 
 
-def until_marker(read: DataFrame, options: Batch) -> DataFrame:
-    """``read`` with text, pages_ocr and stop_reason: pages up to the first with the marker."""
+def until_marker(read: DataFrame, options: Batch, keep: Callable[[DataFrame, str], DataFrame] = lambda df, _: df) -> DataFrame:
+    """``read`` with text, pages_ocr and stop_reason: pages up to the first with the marker.
+
+    ``keep`` stores what is used more than once: what a reader gave, and where pages have the marker.
+    """
+    read = keep(read, "pages")
     pages = read.where("error is null").select("file_id", F.posexplode("pages").alias("place", "text")).withColumn("page", F.col("place") + 1)
-    marked = headers(pages, options=options.extraction).select("file_id", "page", "text", F.col("marker.found").alias("hit"))
+    marked = keep(headers(pages, options=options.extraction).select("file_id", "page", "text", F.col("marker.found").alias("hit")), "marked")
     stops = early_stop(marked, "file_id", "page", F.col("hit"), options.most_pages, options.stop_on_marker, options.full)
     kept = marked.join(stops.select("file_id", "pages_ocr"), "file_id").where("page <= pages_ocr")
     return read.drop("pages", "page_count").join(stops, "file_id", "left").join(page_text(kept, "file_id", "page", "text"), "file_id", "left")
@@ -127,8 +131,12 @@ def process_files(spark: SparkSession, files: DataFrame, contents: DataFrame, ou
         todo.select("path").write.parquet(f"{scratch}/todo")
         todo = spark.read.parquet(f"{scratch}/todo")
         content = ingest.checked(contents.join(todo, "path", "left_semi"))
-        until_marker(read_pages(content, load, options), options).write.parquet(f"{scratch}/texts")
-        read = spark.read.parquet(f"{scratch}/texts")
+
+        def keep(df: DataFrame, name: str) -> DataFrame:
+            df.write.parquet(f"{scratch}/{name}")
+            return spark.read.schema(df.schema).parquet(f"{scratch}/{name}")
+
+        read = keep(until_marker(read_pages(content, load, options), options, keep), "texts")
         answer = F.lit(None).cast("string") if model is None else model(read)
         if options.require_model:
             missing = F.lit(True) if model is None else answer.isNull()

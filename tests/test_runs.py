@@ -3,6 +3,7 @@
 import io
 import json
 import random
+import tempfile
 import threading
 import time
 import unicodedata
@@ -95,6 +96,24 @@ def test_a_second_run_keeps_the_first_ones_results(spark, tmp_path):
     assert reports.merged_sketches(Runs(spark, out).table("sketches")).first().names == 2
 
 
+def test_each_file_is_read_once(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "seen").mkdir()
+    for i in range(4):
+        (tmp_path / "in" / f"{i}.txt").write_text(f"{HEADER}{i}\fmore", encoding="utf-8")
+    seen = str(tmp_path / "seen")
+
+    def load():
+        def read(content, most):
+            tempfile.mkstemp(dir=seen)
+            return content.decode().split("\f")[:most]
+
+        return read
+
+    process_batch(spark, str(tmp_path / "in"), str(tmp_path / "out"), load, Batch(suffix="txt"))
+    assert len(list((tmp_path / "seen").iterdir())) == 4
+
+
 def test_a_killed_run_leaves_nothing(spark, tmp_path, monkeypatch):
     (tmp_path / "in").mkdir()
     (tmp_path / "in" / "a.txt").write_text(HEADER, encoding="utf-8")
