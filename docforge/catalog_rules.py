@@ -343,7 +343,7 @@ def entities_beside_fields(spark, d):
 
         return find
 
-    df = with_entities(table(spark, d, "customer").select("c_custkey", "c_name"), "c_name", load, ["PER", "ORG"])
+    df = with_entities(spread(table(spark, d, "customer").select("c_custkey", "c_name"), "c_custkey"), "c_name", load, ["PER", "ORG"])
     return df.select("c_custkey", F.array_join(F.transform("entities", lambda e: F.concat_ws(":", e["label"], e["text"])), ",").alias("entities"))
 
 

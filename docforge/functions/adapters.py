@@ -19,8 +19,8 @@ from docforge.session import ship
 def apply_model(df: DataFrame, column: str, load: Callable[[], Callable[[Any], Any]], kind: str, out: str = "model", retries: int = 2, longest_wait: float = 5.0) -> DataFrame:
     """``out`` as a struct (ok, error, value: ``kind``) of a model's answer for ``column``.
 
-    ``load`` runs once for each task; a call is tried again with doubled waits, and what still fails is an error in its
-    own row, so that one document never ends a batch.
+    ``load`` runs once for each task; what failed of a batch is tried again, all of it after one wait, with doubled waits,
+    and what still fails is an error in its own row, so that one document never ends a batch nor holds it up for long.
     """
     ship(df.sparkSession)
     at = df.columns.index(column)
@@ -28,19 +28,23 @@ def apply_model(df: DataFrame, column: str, load: Callable[[], Callable[[Any], A
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         model = load()
+
+        def asked(value: Any) -> dict:
+            try:
+                return {"ok": True, "error": None, "value": model(value)}
+            except Exception as problem:  # noqa: BLE001  a model may raise anything
+                return {"ok": False, "error": f"{type(problem).__name__}: {problem}", "value": None}
+
         for batch in batches:
-            answers = []
-            for value in batch[name]:
-                error, answer = "", None
-                for n in range(retries + 1):
-                    try:
-                        error, answer = None, model(value)
-                        break
-                    except Exception as problem:  # noqa: BLE001  a model may raise anything
-                        error = f"{type(problem).__name__}: {problem}"
-                        if n < retries:
-                            time.sleep(min(2.0**n * 0.01, longest_wait))
-                answers.append({"ok": error is None, "error": error, "value": answer})
+            values = list(batch[name])
+            answers = [asked(value) for value in values]
+            for n in range(retries):
+                failed = [i for i, answer in enumerate(answers) if not answer["ok"]]
+                if not failed:
+                    break
+                time.sleep(min(2.0**n * 0.01, longest_wait))
+                for i in failed:
+                    answers[i] = asked(values[i])
             yield batch.assign(**{out: pd.Series(answers, index=batch.index)})
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields) + f", `{out}` struct<ok:boolean,error:string,value:{kind}>"

@@ -2,6 +2,7 @@
 
 import json
 import random
+import time
 import zipfile
 
 import pytest
@@ -225,6 +226,24 @@ def test_models_fail_alone_and_fall_back(spark):
     assert value(spark, polygon_box(box)) == [1.0, 1.0, 3.0, 5.0]
 
 
+def test_failures_of_a_batch_wait_together(spark):
+    def load():
+        calls = {}
+
+        def model(v):
+            calls[v] = calls.get(v, 0) + 1
+            if v % 2 or v % 4 == 0 and calls[v] < 3:
+                raise ValueError("no")
+            return calls[v]
+
+        return model
+
+    start = time.monotonic()
+    out = apply_model(spark.range(2000).coalesce(1), "id", load, "int", retries=2).select("id", "model.*").collect()
+    assert time.monotonic() - start < 20  # one wait for each row that fails would be 45 s
+    assert all((r.ok, r.value) == ((False, None) if r.id % 2 else (True, 3 if r.id % 4 == 0 else 1)) for r in out)
+
+
 def test_files(spark, tmp_path):
     for name, content in (("b.pdf", b"%PDF 1"), ("a.pdf", b"%PDF 1"), ("c.pdf", b"no"), ("d.txt", b"x")):
         (tmp_path / name).write_bytes(content)
