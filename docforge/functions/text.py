@@ -38,6 +38,13 @@ def once(df: DataFrame, **columns: Column) -> DataFrame:
     return df.select(*kept, F.inline(F.array(F.struct(*(c.alias(n) for n, c in columns.items())))))
 
 
+@cache
+def key_map() -> tuple[str, str]:
+    """``accent_map`` with 0 as O, 1 as I and combining marks (that have no counterpart) left out, in one pass."""
+    accents, bases = accent_map()
+    return accents + "01" + "".join(map(chr, range(0x300, 0x370))), bases + "OI"
+
+
 def strip_accents(c: Column) -> Column:
     return F.regexp_replace(F.translate(c, *accent_map()), "[̀-ͯ]", "")
 
@@ -47,7 +54,7 @@ def is_blank(c: Column) -> Column:
 
 
 def squeeze(c: Column) -> Column:
-    return F.trim(F.regexp_replace(c, r"\s+", " "))
+    return F.trim(F.regexp_replace(c, r"[\t\n\x0B\f\r]\s*| \s+", " "))
 
 
 def strip_chars(c: Column, chars: str) -> Column:
@@ -56,7 +63,7 @@ def strip_chars(c: Column, chars: str) -> Column:
 
 def match_key(c: Column) -> Column:
     """Upper case without accents, 0 as O and 1 as I, runs of all but A-Z 0-9 as a space; Đ counts among these."""
-    return F.trim(F.regexp_replace(F.translate(strip_accents(F.upper(c)), "01", "OI"), "[^A-Z0-9]+", " "))
+    return F.trim(F.regexp_replace(F.translate(F.upper(c), *key_map()), "[^A-Z0-9]+", " "))
 
 
 def compare_key(c: Column) -> Column:
@@ -83,40 +90,46 @@ def eval_key(c: Column) -> Column:
     return squeeze(F.lower(F.coalesce(c, F.lit(""))))
 
 
-def contains_evidence(text: Column, evidence: Column) -> Column:
-    """The evidence's key stands in the text's, with or without spaces; empty evidence doesn't."""
-    t, e = evidence_key(text), evidence_key(evidence)
-    return (e != "") & (F.contains(t, e) | F.contains(F.replace(t, F.lit(" "), F.lit("")), F.replace(e, F.lit(" "), F.lit(""))))
+SLASHED = r"(?<=\d)\s*/\s*(?=\d)"
 
 
-@cache
-def not_composed() -> str:
-    """The inside of a class of characters that composition may change: marks, jamo, and letters that are not composed."""
-    own = [c for c in range(0x80, 0x10000) if not 0xD800 <= c < 0xE000 and unicodedata.normalize("NFC", chr(c)) != chr(c)]
-    runs: list[list[int]] = []
-    for c in own:
-        if runs and c == runs[-1][1] + 1:
-            runs[-1][1] = c
-        else:
-            runs.append([c, c])
-    return r"\p{M}\u1100-\u11FF" + "".join(f"\\u{a:04X}-\\u{b:04X}" for a, b in runs) + r"\x{1D100}-\x{1D1FF}\x{2F800}-\x{2FA1F}"
+def evidence_keys(text: Column) -> Column:
+    """(key, spaceless, slashed): what a text's evidence is sought in, made once for all of it."""
+    slashed = F.when(F.contains(text, F.lit("/")), F.replace(evidence_key(F.regexp_replace(text, SLASHED, "ᐅ")), F.lit(" "), F.lit("")))
+    return let(evidence_key(text), lambda t: F.struct(t.alias("key"), F.replace(t, F.lit(" "), F.lit("")).alias("spaceless"), slashed.alias("slashed")))
+
 
+def holds_evidence(keys: Column, evidence: Column) -> Column:
+    """``contains_evidence`` for a text's ``evidence_keys``."""
+    spaceless = lambda c: F.replace(evidence_key(c), F.lit(" "), F.lit(""))
+    parted = F.rlike(evidence, F.lit(SLASHED))
+    apart = F.when(parted, F.coalesce(F.contains(keys["slashed"], spaceless(F.regexp_replace(evidence, SLASHED, "ᐅ"))), F.lit(False))).otherwise(F.contains(keys["spaceless"], spaceless(evidence)))
+    return let(evidence_key(evidence), lambda e: (e != "") & (F.contains(keys["key"], e) | apart))
 
-def beyond_ascii(inside: str) -> str:
-    """A pattern for a class of characters beyond ASCII: others are passed over by one comparison, not one for each range."""
-    return rf"(?=[^\x00-\x7F])[{inside}]"
 
+def contains_evidence(text: Column, evidence: Column) -> Column:
+    """The evidence's key stands in the text's, with or without spaces; empty evidence doesn't.
 
-def in_python(c: Column, needs: Column, change: Callable[[str], str]) -> Column:
-    """``change`` of the texts that need it; only these leave the JVM, in Arrow batches."""
+    Without spaces a slash between digits stays, as it parts numbers: 1801/1995 is no evidence for 18/01/1995.
+    """
+    return let(evidence_keys(text), lambda keys: holds_evidence(keys, evidence))
+
+
+def in_python(c: Column, change: Callable[[str], str]) -> Column:
+    """``change`` of the texts that have characters beyond ASCII: these alone leave the JVM, in Arrow batches, and only
+    what has changed comes back. A scan for the characters that ask for it by a pattern costs far more than the way there."""
 
     ship(SparkSession.getActiveSession())
 
+    def changed(v: str | None) -> str | None:
+        new = None if v is None else change(v)
+        return None if new == v else new
+
     @F.pandas_udf("string")
     def run(values: pd.Series) -> pd.Series:
-        return values.map(lambda v: None if v is None else change(v))
+        return values.map(changed)
 
-    return F.coalesce(run(F.when(needs, c)), c)
+    return F.coalesce(run(F.when(F.octet_length(c) > F.char_length(c), c)), c)
 
 
 def compose(v: str) -> str:
@@ -135,35 +148,40 @@ def repair(v: str, triggers: tuple[str, ...] = tuple(V.MOJIBAKE_TEXT)) -> str:
 
 def nfc(c: Column) -> Column:
     """Canonical composition, for which Spark has no function."""
-    return in_python(c, F.rlike(c, F.lit(beyond_ascii(not_composed()))), compose)
+    return in_python(c, compose)
 
 
 def repair_text(c: Column, triggers: list[str] = V.MOJIBAKE_TEXT) -> Column:
-    return in_python(c, F.rlike(c, F.lit("|".join(triggers))), lambda v: repair(v, tuple(triggers)))
+    return in_python(c, lambda v: repair(v, tuple(triggers)))
 
 
 def repaired_and_composed(c: Column) -> Column:
     """``repair_text`` and then ``nfc``, in one way through Python."""
-    either = beyond_ascii(not_composed() + "".join(t for t in V.MOJIBAKE_TEXT if len(t) == 1)) + "|" + "|".join(t for t in V.MOJIBAKE_TEXT if len(t) > 1)
-    return in_python(c, F.rlike(c, F.lit(either)), lambda v: compose(repair(v)))
+    return in_python(c, lambda v: compose(repair(v)))
 
 
 def join_split_dates(c: Column) -> Column:
     """Dates of which the line breaks before the month or the year are taken out."""
-    for label, number, then, last in V.DATE_BREAKS:
-        c = F.regexp_replace(c, rf"{IGNORE}\b{label}\s+({number})\s*\n\s*{then}\s+({last})", f"{label} $1 {then} $2")
-    return c
+
+    def joined(t: Column) -> Column:
+        for label, number, then, last in V.DATE_BREAKS:
+            t = F.regexp_replace(t, rf"{IGNORE}\b{label}\s+({number})\s*\n\s*{then}\s+({last})", f"{label} $1 {then} $2")
+        return t
+
+    return let(c, lambda t: F.when(F.rlike(t, F.lit(r"\d\s*\n\s*[tTnN]")), joined(t)).otherwise(t))  # few have a line end there
 
 
 def collapse_lines(c: Column) -> Column:
     """Trimmed lines with single blanks inside; at most one empty line in a row, none at the start."""
-    c = F.regexp_replace(F.regexp_replace(c, r"[ \t]+", " "), r" ?\n ?", "\n")
-    return F.regexp_replace(F.regexp_replace(F.btrim(c, F.lit(" ")), r"^\n+", ""), r"\n{3,}", "\n\n")
+    has = lambda t, *parts: reduce(lambda a, b: a | b, (F.contains(t, F.lit(p)) for p in parts))
+    some = lambda pattern, new, *parts: lambda t: F.when(has(t, *parts), F.regexp_replace(t, pattern, new)).otherwise(t)
+    c = let(let(c, some(r"[ \t]+", " ", "  ", "\t")), some(r" ?\n ?", "\n", " \n", "\n "))
+    return let(let(F.btrim(c, F.lit(" ")), lambda t: F.ltrim(t, F.lit("\n"))), some(r"\n{3,}", "\n\n", "\n\n\n"))
 
 
 def plain_lines(c: Column) -> Column:
     """Line ends as line feeds, without zero-width characters."""
-    return F.regexp_replace(F.regexp_replace(c, r"\r\n?", "\n"), "[​‌﻿]", "")
+    return correct(c, [("\r\n", "\n"), ("\r", "\n"), ("​", ""), ("‌", ""), ("﻿", "")])
 
 
 def correct(c: Column, pairs: list[tuple[str, str]]) -> Column:
@@ -199,7 +217,11 @@ def fold_lines(c: Column) -> Column:
     def folded(lines: Column) -> Column:
         return F.array_join(F.transform(lines, lambda x, i: F.when(i == 0, x).when(joins(lines, i), F.concat(F.lit(" "), x)).otherwise(F.concat(F.lit("\n"), x))), "")
 
-    return let(F.split(c, "\n", -1), folded)
+    return let(c, lambda t: F.when(F.rlike(t, F.lit(MAY_JOIN)), let(F.split(t, "\n", -1), folded)).otherwise(t))
+
+
+#: A line end after which a line may go on: it begins with a small letter, or the last word asks for more.
+MAY_JOIN = r"\n(?:\p{Ll}|(?<=(?iu:ngày|tháng|năm|sinh|trú|chỉ)[\r\u0085\u2028\u2029]?\n))"
 
 
 def normalise(c: Column, composed: bool = True) -> Column:

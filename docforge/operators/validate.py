@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from docforge.functions import vocab as V
 from docforge.functions.rules import valid_date
-from docforge.functions.text import contains_evidence, is_blank, split_notes
+from docforge.functions.text import evidence_keys, holds_evidence, is_blank, let, split_notes
 from docforge.operators.merge import ordered_distinct
 
 
@@ -25,9 +25,14 @@ def missing(fields: dict[str, Column]) -> Column:
 
 def evidence_note(field: Column, label: str, text: Column) -> Column:
     """For a model's value: evidence is missing, or doesn't stand in the text."""
+    return let(evidence_keys(text), lambda keys: keyed_note(field, label, keys))
+
+
+def keyed_note(field: Column, label: str, keys: Column) -> Column:
+    """``evidence_note`` for a text's ``evidence_keys``."""
     evidence = field["evidence_text"]
     model = F.rlike(F.lower(F.coalesce(field["source_method"], F.lit(""))), F.lit("llm|remote|model"))
-    note = F.when(empty(evidence), V.NO_EVIDENCE.format(label)).when(~contains_evidence(text, evidence), V.WRONG_EVIDENCE.format(label))
+    note = F.when(empty(evidence), V.NO_EVIDENCE.format(label)).when(~holds_evidence(keys, evidence), V.WRONG_EVIDENCE.format(label))
     return F.when(~empty(field["value"]) & model, note)
 
 
@@ -57,8 +62,9 @@ def validate(case: Column, participants: Column, found: Column, text: Column, wa
     """(warnings, participants with ghi_chu, review_required); any warning asks for review, notes alone don't."""
     date = case["ngay_thu_ly"]["value"]
     checked = ~is_blank(F.coalesce(text, F.lit("")))
-    case_proof = [F.when(checked, evidence_note(case[k], label, text)) for k, label in V.CASE_FIELDS.items() if k != "quan_he_phap_luat"]
-    party_proof = F.flatten(F.transform(participants, lambda p: F.array(*(F.when(checked, evidence_note(p[k], label, text)) for k, label in V.PARTY_FIELDS.items()))))
+    case_notes = lambda keys: F.array(*(keyed_note(case[k], label, keys) for k, label in V.CASE_FIELDS.items() if k != "quan_he_phap_luat"))
+    party_notes_ = lambda keys: F.flatten(F.transform(participants, lambda p: F.array(*(keyed_note(p[k], label, keys) for k, label in V.PARTY_FIELDS.items()))))
+    proof = F.when(checked, let(evidence_keys(text), lambda keys: F.concat(case_notes(keys), party_notes_(keys))))
     unsure = reduce(lambda a, b: a | b, (low_confidence(case[k]) for k in V.CASE_FIELDS)) | F.exists(participants, lambda p: reduce(lambda a, b: a | b, (low_confidence(p[k]) for k in V.PARTY_FIELDS)))
     all_warnings = ordered_distinct(
         warnings,
@@ -66,9 +72,8 @@ def validate(case: Column, participants: Column, found: Column, text: Column, wa
             F.when(~found, V.NO_MARKER),
             F.concat(F.lit(V.MISSING_CASE), missing({label: case[k]["value"] for k, label in V.CASE_FIELDS.items()})),
             F.when(~empty(date) & ~valid_date(date), F.concat(F.lit(V.BAD_DATE), date)),
-            *case_proof,
         ),
-        party_proof,
+        proof,
         F.array(F.when(F.size(participants) == 0, V.NO_PARTIES), F.when(unsure, V.LOW_CONFIDENCE_WARNING)),
     )
 

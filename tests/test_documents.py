@@ -138,6 +138,23 @@ def test_keys(spark):
     assert value(spark, text.safe_header(F.col("t")), t=" Năm sinh ") == "NAM_SINH"
 
 
+@pytest.mark.parametrize(
+    ("a", "b", "want"),
+    [("số 1801/1995/TLST-LĐ", "18/01/1995", False), ("12409/2000", "24/09/2000", False), ("ngày 18 / 01/1995", "18/01/1995", True), ("18-01-1995", "18/01/1995", True), ("012 345.678", "012345678", True), ("Lê Văn", "Lê/Văn", True)],
+)
+def test_a_slash_parts_numbers_of_evidence(spark, a, b, want):
+    assert value(spark, text.contains_evidence(F.col("a"), F.col("b")), a=a, b=b) is want
+
+
+def test_few_passes_over_a_text(spark):
+    """Long lines get no key, a text is sought once for its marker, and composition needs no scan by a pattern."""
+    assert similarity.search(["x" * 50, "NỘI DUNG VỤ ÁN"], [None, "NOI DUNG VU AN"], "NOI DUNG VU AN", 82.0)[0] == 100
+    lines = ["Tòa á́n 01", "ßﬁ ŉ Đ", "", "N.0.I  D-U"]
+    keys = [r.k for r in spark.createDataFrame([(i, x) for i, x in enumerate(lines)], "i int, t string").orderBy("i").select(text.match_key(F.col("t")).alias("k")).collect()]
+    assert keys == [similarity.line_key(x) for x in lines]
+    assert all(similarity.letters(x) <= len(k) for x, k in zip(lines, keys, strict=True) if "." not in x)
+
+
 def test_dates(spark):
     assert value(spark, rules.parse_date(F.col("t")), t="31/2/2024") == "31/02/2024"
     assert value(spark, rules.parse_date(F.col("t")), t="32/1/2024") is None
