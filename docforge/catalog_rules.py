@@ -119,7 +119,7 @@ def marker_variants(spark, d):
 @query("""SELECT o_orderkey AS k, CASE WHEN o_orderkey % 5 < 4 THEN 'Phần đầu ' || o_orderkey ELSE '' END AS before_marker FROM orders""")
 def without_marker_no_text(spark, d):
     """Text before the marker, and none where there is no marker and the option says so."""
-    docs = table(spark, d, "orders").select(F.col("o_orderkey").alias("k"), F.concat(F.lit("Phần đầu "), F.col("o_orderkey").cast("string"), F.when(F.col("o_orderkey") % 5 < 4, "\nNỘI DUNG VỤ ÁN\nX").otherwise("")).alias("text"))
+    docs = spread(table(spark, d, "orders").select("o_orderkey"), "o_orderkey").select(F.col("o_orderkey").alias("k"), F.concat(F.lit("Phần đầu "), F.col("o_orderkey").cast("string"), F.when(F.col("o_orderkey") % 5 < 4, "\nNỘI DUNG VỤ ÁN\nX").otherwise("")).alias("text"))
     return headers(docs, options=Options(extract_without_marker=False)).select("k", F.col("text_before_marker").alias("before_marker"))
 
 

@@ -11,11 +11,11 @@ from docforge.functions.text import IGNORE, let, squeeze, strip_chars
 
 def first_match(c: Column, patterns: list[str]) -> Column:
     """Group 1 of the first pattern that occurs; none of the patterns' groups can be empty."""
-    return F.coalesce(*(F.nullif(F.regexp_extract(c, IGNORE + p, 1), F.lit("")) for p in patterns))
+    return F.coalesce(*(none_if_empty(F.regexp_extract(c, IGNORE + p, 1)) for p in patterns))
 
 
 def none_if_empty(c: Column) -> Column:
-    return F.when(c != "", c)
+    return let(c, lambda x: F.when(x != "", x))
 
 
 def format_date(day: Column, month: Column, year: Column) -> Column:
@@ -41,7 +41,8 @@ def docket_number(c: Column) -> Column:
 def docket_date(c: Column) -> Column:
     near = F.regexp_extract(c, rf"(?ius){V.DOCKET_LABEL}.{{0,180}}?(ngày\s+\d{{1,2}}\s+tháng\s+\d{{1,2}}\s+năm\s+\d{{4}}|\d{{1,2}}[/-]\d{{1,2}}[/-]\d{{4}})", 1)
     long = rf"{IGNORE}\b{V.DATE_LONG}"
-    return F.coalesce(parse_date(near), format_date(*(F.regexp_extract(c, long, k) for k in (1, 2, 3))))
+    whole = lambda: let(F.regexp_extract(c, long, 0), lambda d: F.when(d != "", parse_date(d)))
+    return let(F.coalesce(let(near, parse_date), F.lit("")), lambda d: F.when(d != "", d).otherwise(whole()))
 
 
 def case_type(c: Column) -> Column:
@@ -94,24 +95,27 @@ def address(c: Column) -> Column:
 def canonical_role(label: Column) -> Column:
     """The name of the first entry of ROLE_NAMES that stands in the label; else the label."""
     key = F.lower(squeeze(label))
-    names = F.filter(F.array(*(F.when(F.contains(key, F.lit(part)), name) for part, name in V.ROLE_NAMES)), lambda x: x.isNotNull())
-    return F.coalesce(F.get(names, F.lit(0)), F.trim(label))
+    named = lambda k: F.coalesce(*(F.when(F.contains(k, F.lit(part)), name) for part, name in V.ROLE_NAMES), F.trim(label))
+    return let(key, named)
 
 
 def role_blocks(c: Column, label: str = V.ROLE_LABEL) -> Column:
     """Array of (role label, text up to the next label); blocks without text are dropped."""
     pattern = IGNORE + label + r"\s*[:：]?"
     labels = F.regexp_extract_all(c, F.lit(IGNORE + "(" + label + r")\s*[:：]?"), F.lit(1))
-    texts = F.transform(F.slice(F.split(c, pattern, -1), F.lit(2), F.greatest(F.size(F.split(c, pattern, -1)) - 1, F.lit(0))), lambda t: strip_chars(t, " :：\n\t"))
+    texts = F.transform(let(F.split(c, pattern, -1), lambda t: F.slice(t, F.lit(2), F.greatest(F.size(t) - 1, F.lit(0)))), lambda t: strip_chars(t, " :：\n\t"))
     blocks = F.zip_with(labels, texts, lambda a, b: F.struct(a.alias("label"), b.alias("text")))
     return F.filter(blocks, lambda b: b["text"] != "")
 
 
 def people(block: Column) -> Column:
     """The numbered items of a block if there are several, else the block."""
-    block = F.regexp_replace(block, IGNORE + V.LIST_LEAD, "")
-    items = F.filter(F.transform(F.split(block, V.LIST_ITEM, -1), lambda x: F.btrim(x, F.lit(" \n\t"))), lambda x: x != "")
-    return let(items, lambda found: F.when(F.size(found) > 1, found).otherwise(F.filter(F.array(F.btrim(block, F.lit(" \n\t"))), lambda x: x != "")))
+
+    def of(block: Column) -> Column:
+        items = F.filter(F.transform(F.split(block, V.LIST_ITEM, -1), lambda x: F.btrim(x, F.lit(" \n\t"))), lambda x: x != "")
+        return let(items, lambda found: F.when(F.size(found) > 1, found).otherwise(F.filter(F.array(F.btrim(block, F.lit(" \n\t"))), lambda x: x != "")))
+
+    return let(F.regexp_replace(block, IGNORE + V.LIST_LEAD, ""), of)
 
 
 def party(role: Column, text: Column, strict: bool = False) -> Column:
@@ -124,7 +128,7 @@ def party(role: Column, text: Column, strict: bool = False) -> Column:
 
 def parties(c: Column, strict: bool = False) -> Column:
     """Array of parties in the order of their labels."""
-    found = F.flatten(F.transform(role_blocks(c), lambda b: F.transform(people(b["text"]), lambda t: party(canonical_role(b["label"]), t, strict))))
+    found = F.flatten(F.transform(role_blocks(c), lambda b: let(canonical_role(b["label"]), lambda role: F.transform(people(b["text"]), lambda t: party(role, t, strict)))))
     return F.filter(found, lambda p: p["ho_ten"].isNotNull() | (p["raw_text"] != ""))
 
 

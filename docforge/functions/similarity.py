@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections import Counter
 
 import pandas as pd
@@ -9,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docforge.functions import vocab as V
-from docforge.functions.text import let, match_key, once
+from docforge.functions.text import key_map, let, match_key, once
 from docforge.session import ship
 
 
@@ -82,23 +83,48 @@ WINDOW = "struct<score:double,rank:int,start:int,end:int,text:string>"
 def best_window(c: Column, marker: str = V.MARKER, threshold: float = V.THRESHOLD) -> Column:
     """(score, rank, start, end, text) of the best window of one to three lines in a row, the earliest of equals.
 
-    Only windows count whose lengths allow the threshold. Lines' keys are made in the JVM; windows are compared in Arrow
-    batches, and only those whose counts of letters could still beat the best so far.
+    Only windows count whose lengths allow the threshold. They are compared in Arrow batches, and only those whose counts
+    of letters could still beat the best so far; a line with more letters and digits than any window gets no key.
     """
     ship(SparkSession.getActiveSession())
-    keys = F.transform(F.split(c, "\n", -1), match_key)
+    goal = line_key(marker)
+    longest = len(goal)
+    while 200.0 * len(goal) >= threshold * (longest + 1 + len(goal)) and longest < LONGEST:
+        longest += 1
 
     @F.pandas_udf(WINDOW)
-    def run(texts: pd.Series, line_keys: pd.Series, goals: pd.Series) -> pd.DataFrame:
+    def run(texts: pd.Series) -> pd.DataFrame:
         found = []
-        for value, own, goal in zip(texts, line_keys, goals, strict=True):
-            found.append((None,) * 5 if value is None or own is None else search(value.split("\n"), own, goal, threshold))
+        for value in texts:
+            if value is None:
+                found.append((None,) * 5)
+                continue
+            lines = value.split("\n")
+            found.append(search(lines, [None if len(x) > longest and letters(x) > longest else line_key(x) for x in lines], goal, threshold))
         return pd.DataFrame(found, columns=["score", "rank", "start", "end", "text"]).astype({"score": "Float64", "rank": "Int32", "start": "Int32", "end": "Int32"})
 
-    return run(c, keys, match_key(F.lit(marker)))
+    return run(c)
+
+
+LONGEST = 1 << 20
+KEY_MAP = {ord(a): (key_map()[1] + " " * len(key_map()[0]))[i].strip() or None for i, a in enumerate(key_map()[0])}
+NOT_KEYED = re.compile("[^A-Z0-9]+")
+NOT_COUNTED = bytes(c for c in range(128) if not chr(c).isalnum())
+
+
+def line_key(line: str) -> str:
+    """``text.match_key`` of one line."""
+    upper = line.upper()
+    return NOT_KEYED.sub(" ", upper.translate(KEY_MAP) if not upper.isascii() or "0" in upper or "1" in upper else upper).strip(" ")
+
+
+def letters(line: str) -> int:
+    """ASCII letters and digits of a line: its key has at least as many characters."""
+    return len(line.encode("ascii", "ignore").translate(None, NOT_COUNTED))
 
 
-def search(lines: list[str], keys: list[str], goal: str, threshold: float) -> tuple:
+def search(lines: list[str], keys: list[str | None], goal: str, threshold: float) -> tuple:
+    """A key that is None is longer than those of all windows that the threshold allows."""
     masks, counts, size = {}, Counter(goal), len(goal)
     for i, x in enumerate(goal):
         masks[x] = masks.get(x, 0) | 1 << i
@@ -107,6 +133,8 @@ def search(lines: list[str], keys: list[str], goal: str, threshold: float) -> tu
         key, stop = "", at - 1
         for n in range(min(3, len(lines) - i)):
             stop += len(lines[i + n]) + 1
+            if keys[i + n] is None:
+                break
             key = f"{key} {keys[i + n]}".strip()
             total = len(key) + size
             if 200.0 * min(len(key), size) < threshold * total:
@@ -140,18 +168,19 @@ def find_marker(df: DataFrame, column: str, out: str = "marker", marker: str = V
         raw, at = F.regexp_extract(c, "(?iu)" + pattern, 0), F.regexp_instr(c, F.lit("(?iu)" + pattern)) - 1
         return let(score, lambda s: result(s >= threshold, at, at + F.char_length(raw), raw, s))
 
-    def inline(exact: Column) -> Column:
+    def inline() -> Column:
         out = F.lit(None).cast(MATCH)
         for k, pattern in reversed(list(enumerate(V.INLINE_MARKERS))):
             raw = F.regexp_extract(c, "(?iu)" + pattern, 0)
             score = indel_score(match_key(raw), key)
-            out = F.when(raw != "", hit(pattern, F.when(exact, 100.0).otherwise(score) if k == 0 else score)).otherwise(out)
+            out = F.when(raw != "", hit(pattern, F.when(F.contains(match_key(c), key), 100.0).otherwise(score) if k == 0 else score)).otherwise(out)
         return out
 
-    df = once(df, _best=best_window(c, marker, threshold), _inline=let(F.contains(match_key(c), key), inline))
     best, found = F.col("_best"), F.col("_inline")
     zero, none = F.lit(0.0), F.lit(None)
     perfect = F.coalesce(best["score"] >= 100, F.lit(False))
+    df = once(df, _best=best_window(c, marker, threshold))
+    df = once(df, _inline=F.when(~perfect | (best["score"] < threshold), inline()))  # a perfect window wins anyway
     inline_wins = ~perfect & F.coalesce(found["found"] & (found["score"] >= F.coalesce(best["score"], zero)), F.lit(False))
     missing = result(F.lit(False), none.cast("int"), none.cast("int"), F.coalesce(best["text"], found["text"]), F.greatest(F.coalesce(best["score"], zero), F.coalesce(found["score"], zero)))
     by_window = F.when(best["score"] >= threshold, result(F.lit(True), best["start"], best["end"], best["text"], best["score"]))
