@@ -17,7 +17,7 @@ from docforge.functions.adapters import TransportError, ocr_lines, served_by
 from docforge.operators import reports, rows, sequence
 from docforge.plans.batch import Batch, all_results
 from docforge.plans.extract import above_marker, extract
-from docforge.session import shared_folder
+from docforge.session import shared_folder, ship
 from docforge.sources import archives, ingest, sinks
 from docforge.sources.runs import Runs
 from docforge.streaming.incremental import process_stream
@@ -96,6 +96,7 @@ def lines_above_marker(spark, d):
 UNION ALL SELECT 'no archive', NULL, NULL, 'broken archive: BadZipFile'""")
 def archive_ranges(spark, d):
     """Members of archives read by ranges from many tasks: damaged ones are errors of their own, as is a broken archive."""
+    ship(spark)
     folder = shared_folder(spark, "archives")
     system, place = archives.file_at(folder)
     system.create_dir(place)

@@ -19,6 +19,9 @@ RUN_BYTES = 16 << 20
 #: Largest member that is read, uncompressed; a larger one is a row with an error.
 LARGEST = 1 << 30
 LOCAL_HEAD, STORED, DEFLATED = 30, 0, 8
+#: Members of a table that a task hands on: as many, or as many bytes of content, whichever comes first.
+OUT_ROWS, OUT_BYTES = 4096, 4 << 20
+MEMBER_OUT = ["path", "member", "content", "error"]
 MEMBER = "path string, member string, start long, packed long, size long, method int, crc long, locked boolean, error string"
 
 
@@ -85,6 +88,7 @@ def archive_members(archives: DataFrame, suffix: str = ".pdf", run_bytes: int =
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         opened, file = None, None
+        out, size = [], 0
         for batch in batches:
             for m in batch.itertuples(index=False):
                 content, error = None, m.error
@@ -96,6 +100,12 @@ def archive_members(archives: DataFrame, suffix: str = ".pdf", run_bytes: int =
                         content = read_member(file, int(m.start), int(m.packed), int(m.size), int(m.method), int(m.crc), bool(m.locked))
                     except (ValueError, OSError, zlib.error) as problem:
                         error = f"broken member: {problem}"
-                yield pd.DataFrame({"path": [m.path], "member": [m.member], "content": [content], "error": [error]})
+                out.append((m.path, m.member, content, error))
+                size += len(content or b"")
+                if size >= OUT_BYTES or len(out) >= OUT_ROWS:
+                    yield pd.DataFrame(out, columns=MEMBER_OUT)
+                    out, size = [], 0
+        if out:
+            yield pd.DataFrame(out, columns=MEMBER_OUT)
 
     return dealt.mapInPandas(run, "path string, member string, content binary, error string")

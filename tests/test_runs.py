@@ -191,6 +191,19 @@ def test_members_of_one_archive_from_many_tasks(spark, tmp_path):
     assert sorted(r.error for r in found if r.member is None) == ["broken archive: BadZipFile", "broken archive: FileNotFoundError"]
 
 
+def test_members_are_handed_on_by_many(spark, tmp_path, monkeypatch):
+    with zipfile.ZipFile(tmp_path / "a.zip", "w") as archive:
+        for n in range(300):
+            archive.writestr(f"{n}.pdf", str(n))
+    index = archives.member_index(spark.createDataFrame([(str(tmp_path / "a.zip"),)], "path string"))
+    run = []
+    monkeypatch.setattr(archives, "member_index", lambda *_: index)
+    monkeypatch.setattr(type(index), "mapInPandas", lambda df, f, schema: run.append((f, df.toPandas())))
+    archives.archive_members(index)
+    out = list(run[0][0](iter([run[0][1]])))
+    assert len(out) == 1 and sorted(out[0]["content"]) == sorted(str(n).encode() for n in range(300))
+
+
 def test_members_that_are_not_read():
     with pytest.raises(ValueError, match="encrypted"):
         archives.read_member(None, 0, 0, 0, 0, 0, True)
