@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from docforge.functions import vocab as V
-from docforge.functions.text import IGNORE, let, squeeze, strip_chars
+from docforge.functions.text import IGNORE, folded, has_hint, let, squeeze, strip_chars
 
 
 def first_match(c: Column, patterns: list[str]) -> Column:
@@ -14,6 +16,16 @@ def first_match(c: Column, patterns: list[str]) -> Column:
     return F.coalesce(*(none_if_empty(F.regexp_extract(c, IGNORE + p, 1)) for p in patterns))
 
 
+def hinted(c: Column, low: Column | None, body: Callable[[Column, Column], Column]) -> Column:
+    """``body`` of a text and of it in folded case, in which hints are looked for: ``low`` if it is there already."""
+    return let(c, lambda t: let(folded(t), lambda k: body(t, k))) if low is None else body(c, low)
+
+
+def first_hinted(c: Column, low: Column, patterns: list[str], hints: list[tuple[str, ...]]) -> Column:
+    """``first_match``, each pattern sought only where one of its hints stands."""
+    return F.coalesce(*(F.when(has_hint(low, *some), none_if_empty(F.regexp_extract(c, IGNORE + p, 1))) for p, some in zip(patterns, hints, strict=True)))
+
+
 def none_if_empty(c: Column) -> Column:
     return let(c, lambda x: F.when(x != "", x))
 
@@ -34,26 +46,32 @@ def valid_date(c: Column) -> Column:
     return F.coalesce(F.rlike(c, F.lit(r"^\d{2}/\d{2}/\d{4}$")) & F.try_to_date(c, "dd/MM/yyyy").isNotNull(), F.lit(False))
 
 
-def docket_number(c: Column) -> Column:
-    return strip_chars(F.regexp_replace(first_match(c, V.DOCKET), r"\s+", ""), " .;:")
+def docket_number(c: Column, low: Column | None = None) -> Column:
+    found = hinted(c, low, lambda t, k: first_hinted(t, k, V.DOCKET, [V.DOCKET_HINTS] * len(V.DOCKET)))
+    return strip_chars(F.regexp_replace(found, r"\s+", ""), " .;:")
 
 
-def docket_date(c: Column) -> Column:
-    near = F.regexp_extract(c, rf"(?ius){V.DOCKET_LABEL}.{{0,180}}?(ngày\s+\d{{1,2}}\s+tháng\s+\d{{1,2}}\s+năm\s+\d{{4}}|\d{{1,2}}[/-]\d{{1,2}}[/-]\d{{4}})", 1)
+def docket_date(c: Column, low: Column | None = None) -> Column:
+    near = lambda t: F.regexp_extract(t, rf"(?ius){V.DOCKET_LABEL}.{{0,180}}?(ngày\s+\d{{1,2}}\s+tháng\s+\d{{1,2}}\s+năm\s+\d{{4}}|\d{{1,2}}[/-]\d{{1,2}}[/-]\d{{4}})", 1)
     long = rf"{IGNORE}\b{V.DATE_LONG}"
-    whole = lambda: let(F.regexp_extract(c, long, 0), lambda d: F.when(d != "", parse_date(d)))
-    return let(F.coalesce(let(near, parse_date), F.lit("")), lambda d: F.when(d != "", d).otherwise(whole()))
+    whole = lambda t: let(F.regexp_extract(t, long, 0), lambda d: F.when(d != "", parse_date(d)))
+    first = lambda t, k: F.when(has_hint(k, *V.DOCKET_HINTS), let(near(t), parse_date))
+    then = lambda t, k: F.when(has_hint(k, *V.DATE_HINTS), whole(t))
+    return hinted(c, low, lambda t, k: let(F.coalesce(first(t, k), F.lit("")), lambda d: F.when(d != "", d).otherwise(then(t, k))))
+
 
+def case_type(c: Column, low: Column | None = None) -> Column:
+    def named(t: Column, k: Column) -> Column:
+        out = F.when(F.lit(False), "")
+        for (pattern, name), some in zip(V.CASE_TYPES, V.CASE_TYPE_HINTS, strict=True):
+            out = out.when(has_hint(k, *some) & F.rlike(t, F.lit(IGNORE + pattern)), name)
+        return out
 
-def case_type(c: Column) -> Column:
-    out = F.when(F.lit(False), "")
-    for pattern, name in V.CASE_TYPES:
-        out = out.when(F.rlike(c, F.lit(IGNORE + pattern)), name)
-    return out
+    return hinted(c, low, named)
 
 
-def legal_relation(c: Column) -> Column:
-    return strip_chars(squeeze(first_match(c, V.RELATIONS)), " .;:\"'“”")
+def legal_relation(c: Column, low: Column | None = None) -> Column:
+    return strip_chars(squeeze(hinted(c, low, lambda t, k: first_hinted(t, k, V.RELATIONS, V.RELATION_HINTS))), " .;:\"'“”")
 
 
 def clean_name(c: Column) -> Column:
@@ -61,8 +79,8 @@ def clean_name(c: Column) -> Column:
     return F.regexp_replace(c, IGNORE + V.HONORIFIC, "")
 
 
-def judge(c: Column) -> Column:
-    return clean_name(first_match(c, V.JUDGES))
+def judge(c: Column, low: Column | None = None) -> Column:
+    return clean_name(hinted(c, low, lambda t, k: first_hinted(t, k, V.JUDGES, [V.JUDGE_HINTS] * len(V.JUDGES))))
 
 
 def looks_like_name(c: Column, strict: bool = False) -> Column:
@@ -102,10 +120,13 @@ def canonical_role(label: Column) -> Column:
 def role_blocks(c: Column, label: str = V.ROLE_LABEL) -> Column:
     """Array of (role label, text up to the next label); blocks without text are dropped."""
     pattern = IGNORE + label + r"\s*[:：]?"
-    labels = F.regexp_extract_all(c, F.lit(IGNORE + "(" + label + r")\s*[:：]?"), F.lit(1))
-    texts = F.transform(let(F.split(c, pattern, -1), lambda t: F.slice(t, F.lit(2), F.greatest(F.size(t) - 1, F.lit(0)))), lambda t: strip_chars(t, " :：\n\t"))
-    blocks = F.zip_with(labels, texts, lambda a, b: F.struct(a.alias("label"), b.alias("text")))
-    return F.filter(blocks, lambda b: b["text"] != "")
+    labels = lambda t: F.regexp_extract_all(t, F.lit(IGNORE + "(" + label + r")\s*[:：]?"), F.lit(1))
+    texts = lambda t: F.transform(let(F.split(t, pattern, -1), lambda t: F.slice(t, F.lit(2), F.greatest(F.size(t) - 1, F.lit(0)))), lambda t: strip_chars(t, " :：\n\t"))
+    blocks = lambda t: F.filter(F.zip_with(labels(t), texts(t), lambda a, b: F.struct(a.alias("label"), b.alias("text"))), lambda b: b["text"] != "")
+    if label != V.ROLE_LABEL:
+        return blocks(c)
+    none = F.array().cast("array<struct<label:string,text:string>>")
+    return hinted(c, None, lambda t, k: F.when(~has_hint(k, *V.ROLE_HINTS), none).otherwise(blocks(t)))
 
 
 def people(block: Column) -> Column:
@@ -133,7 +154,7 @@ def parties(c: Column, strict: bool = False) -> Column:
 
 
 def case_info(c: Column) -> Column:
-    return F.struct(
-        case_type(c).alias("loai_an"), docket_number(c).alias("so_thu_ly"), docket_date(c).alias("ngay_thu_ly"),
-        legal_relation(c).alias("quan_he_phap_luat"), judge(c).alias("chu_toa"),
-    )
+    return hinted(c, None, lambda t, low: F.struct(
+        case_type(t, low).alias("loai_an"), docket_number(t, low).alias("so_thu_ly"), docket_date(t, low).alias("ngay_thu_ly"),
+        legal_relation(t, low).alias("quan_he_phap_luat"), judge(t, low).alias("chu_toa"),
+    ))

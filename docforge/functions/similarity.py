@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import re
 from collections import Counter
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docforge.functions import vocab as V
-from docforge.functions.text import key_map, let, match_key, once
+from docforge.functions.text import folded, has_hint, key_map, let, match_key, once
 from docforge.session import ship
 
 
@@ -180,7 +181,8 @@ def find_marker(df: DataFrame, column: str, out: str = "marker", marker: str = V
     zero, none = F.lit(0.0), F.lit(None)
     perfect = F.coalesce(best["score"] >= 100, F.lit(False))
     df = once(df, _best=best_window(c, marker, threshold))
-    df = once(df, _inline=F.when(~perfect | (best["score"] < threshold), inline()))  # a perfect window wins anyway
+    may = let(folded(c), lambda low: reduce(lambda a, b: a & b, (has_hint(low, *some) for some in V.INLINE_HINTS)))
+    df = once(df, _inline=F.when((~perfect | (best["score"] < threshold)) & may, inline()))  # a perfect window wins anyway
     inline_wins = ~perfect & F.coalesce(found["found"] & (found["score"] >= F.coalesce(best["score"], zero)), F.lit(False))
     missing = result(F.lit(False), none.cast("int"), none.cast("int"), F.coalesce(best["text"], found["text"]), F.greatest(F.coalesce(best["score"], zero), F.coalesce(found["score"], zero)))
     by_window = F.when(best["score"] >= threshold, result(F.lit(True), best["start"], best["end"], best["text"], best["score"]))

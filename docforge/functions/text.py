@@ -45,6 +45,26 @@ def key_map() -> tuple[str, str]:
     return accents + "01" + "".join(map(chr, range(0x300, 0x370))), bases + "OI"
 
 
+def has_any(c: Column, *parts: str) -> Column:
+    """Whether one of the texts stands in ``c``: a plain search, far cheaper than a pattern or a replacement."""
+    return reduce(lambda a, b: a | b, (F.contains(c, F.lit(p)) for p in parts))
+
+
+def folded_case(c: Column) -> Column:
+    """Lower case with one form of each letter that a pattern without regard to case takes as one: dotless i, long s."""
+    return F.lower(F.when(has_any(c, "ı", "İ", "ſ"), F.translate(c, "ıİſ", "iis")).otherwise(c))
+
+
+def folded(c: Column) -> Column:
+    """(low, wide): a text in folded case, and the same again if it has characters beyond ASCII, else an empty text."""
+    return let(folded_case(c), lambda low: F.struct(low.alias("low"), F.when(F.octet_length(low) > F.char_length(low), low).when(low.isNotNull(), "").alias("wide")))
+
+
+def has_hint(low: Column, *parts: str) -> Column:
+    """``has_any`` of a ``folded`` text: what is beyond ASCII is only looked for where something is."""
+    return reduce(lambda a, b: a | b, (F.contains(low["low" if p.isascii() else "wide"], F.lit(p)) for p in parts))
+
+
 def strip_accents(c: Column) -> Column:
     return F.regexp_replace(F.translate(c, *accent_map()), "[̀-ͯ]", "")
 
@@ -173,8 +193,7 @@ def join_split_dates(c: Column) -> Column:
 
 def collapse_lines(c: Column) -> Column:
     """Trimmed lines with single blanks inside; at most one empty line in a row, none at the start."""
-    has = lambda t, *parts: reduce(lambda a, b: a | b, (F.contains(t, F.lit(p)) for p in parts))
-    some = lambda pattern, new, *parts: lambda t: F.when(has(t, *parts), F.regexp_replace(t, pattern, new)).otherwise(t)
+    some = lambda pattern, new, *parts: lambda t: F.when(has_any(t, *parts), F.regexp_replace(t, pattern, new)).otherwise(t)
     c = let(let(c, some(r"[ \t]+", " ", "  ", "\t")), some(r" ?\n ?", "\n", " \n", "\n "))
     return let(let(F.btrim(c, F.lit(" ")), lambda t: F.ltrim(t, F.lit("\n"))), some(r"\n{3,}", "\n\n", "\n\n\n"))
 
@@ -185,7 +204,15 @@ def plain_lines(c: Column) -> Column:
 
 
 def correct(c: Column, pairs: list[tuple[str, str]]) -> Column:
-    return reduce(lambda out, p: F.replace(out, F.lit(p[0]), F.lit(p[1])), pairs, c)
+    """Each pair's first text replaced by its second, in turn; most texts hold none of them and stay as they are."""
+    replaced = lambda t: reduce(lambda out, p: F.replace(out, F.lit(p[0]), F.lit(p[1])), pairs, t)
+    plain, others = ([wrong for wrong, _ in pairs if wrong.isascii() is kind] for kind in (True, False))
+
+    def held(t: Column) -> Column:
+        beyond = (F.octet_length(t) > F.char_length(t)) & has_any(t, *others) if others else F.lit(False)
+        return beyond | has_any(t, *plain) if plain else beyond
+
+    return let(c, lambda t: F.when(held(t), replaced(t)).otherwise(t))
 
 
 def should_join(previous: Column, current: Column) -> Column:

@@ -64,7 +64,9 @@ def validate(case: Column, participants: Column, found: Column, text: Column, wa
     checked = ~is_blank(F.coalesce(text, F.lit("")))
     case_notes = lambda keys: F.array(*(keyed_note(case[k], label, keys) for k, label in V.CASE_FIELDS.items() if k != "quan_he_phap_luat"))
     party_notes_ = lambda keys: F.flatten(F.transform(participants, lambda p: F.array(*(keyed_note(p[k], label, keys) for k, label in V.PARTY_FIELDS.items()))))
-    proof = F.when(checked, let(evidence_keys(text), lambda keys: F.concat(case_notes(keys), party_notes_(keys))))
+    some = lambda fields, names: reduce(lambda a, b: a | b, (~empty(fields[k]["value"]) for k in names))
+    asked = some(case, V.CASE_FIELDS) | F.exists(participants, lambda p: some(p, V.PARTY_FIELDS))  # only what has a value is held against the text
+    proof = F.when(checked & asked, let(evidence_keys(text), lambda keys: F.concat(case_notes(keys), party_notes_(keys))))
     unsure = reduce(lambda a, b: a | b, (low_confidence(case[k]) for k in V.CASE_FIELDS)) | F.exists(participants, lambda p: reduce(lambda a, b: a | b, (low_confidence(p[k]) for k in V.PARTY_FIELDS)))
     all_warnings = ordered_distinct(
         warnings,

@@ -146,6 +146,53 @@ def test_a_slash_parts_numbers_of_evidence(spark, a, b, want):
     assert value(spark, text.contains_evidence(F.col("a"), F.col("b")), a=a, b=b) is want
 
 
+ODD_CASES = [
+    "Hınh ſu", "HİNH SU", "hſſt", "tlpt-hs", "HÌNH\nSỰ", "Ds-ſt", "TLST-DS", "dân sự", "HNGĐ", "hôn  nhân", "\u212ainh doanh", "KDTM", "Kınh doanh", "LAO ĐỘNG", "lđ-ſt", "ſố thụ lý 8/2023/HſST ngày 1/2/2023",
+    "THỤ LÝ SƠ THẨM SỐ: 9 / 2022 / KDTM-ST", "ngày 12 tháng 11 năm 2021", "v/V: tranh chấp", "V\\V ly hôn", "về việc kiện đòi", "QUAN HỆ PHÁP LUẬT: nợ", "tội danh: x", "Về Tội “Y”", "CHỦ TỌA PHIÊN TÒA: Bà Lê Thị Hoa",
+    "THẨM PHÁN CHỦ TỌA: A B", "các BỊ CÁO: A B C", "NGƯỜI LÀM CHỨNG: D E", "Bị hại: F G", "NGƯỜI có quyền lợi, nghĩa vụ liên quan: H I", "nộı Dưng vụ án", "NOİ dung vu an :", "n0ı dung vu an", "plain", "", None,
+]
+
+
+def test_hints_lose_no_match(spark, monkeypatch):
+    """What is sought only where a hint stands is what is found when every pattern is tried."""
+
+    def found():
+        df = spark.createDataFrame([(i, t) for i, t in enumerate(ODD_CASES)], "k int, t string")
+        out = similarity.find_marker(df, "t").select("k", "marker", rules.case_info(F.col("t")).alias("case"), rules.parties(F.col("t")).alias("people"))
+        return sorted((r.k, str(r)) for r in out.collect())
+
+    hinted = found()
+    monkeypatch.setattr(rules, "has_hint", lambda *_: F.lit(True))
+    monkeypatch.setattr(similarity, "has_hint", lambda *_: F.lit(True))
+    assert hinted == found()
+    fields = {k: sum(k in r for _, r in hinted) for k in ("loai_an='", "chu_toa='", "found=True", "ho_ten='")}
+    assert all(n > 0 for n in fields.values()), fields
+
+
+def test_texts_without_hints_cost_less_than_the_patterns(spark):
+    """A text in which no field can stand is passed over by plain searches: less work than the patterns of one field."""
+    line = "He said that the weather in their part of the country had been fine, and nobody asked what came of it. "
+    df = spark.range(15000).select(F.concat(F.lit(line * 30), F.col("id").cast("string")).alias("t")).repartition(4).cache()
+    df.count()
+
+    def seconds(c):
+        took = []
+        for _ in range(3):
+            start = time.perf_counter()
+            text.once(df, x=c).select("x").write.format("noop").mode("overwrite").save()
+            took.append(time.perf_counter() - start)
+        return min(took)
+
+    patterns = F.array(*(F.rlike("t", F.lit(text.IGNORE + p)) for p, _ in V.CASE_TYPES))
+    assert seconds(F.struct(rules.case_info(F.col("t")), rules.parties(F.col("t")))) < seconds(patterns)
+
+
+def test_a_text_stays_bound_beside_an_alias_of_its_name(spark):
+    df = spark.createDataFrame([("TLST-DS ngày 12 tháng 11 năm 2021",)], "text string")
+    r = df.select(F.lit("x").alias("text"), rules.case_info(F.col("text")).alias("case")).first()
+    assert r.case.loai_an == "Dân sự" and r.case.ngay_thu_ly == "12/11/2021"
+
+
 def test_few_passes_over_a_text(spark):
     """Long lines get no key, a text is sought once for its marker, and composition needs no scan by a pattern."""
     assert similarity.search(["x" * 50, "NỘI DUNG VỤ ÁN"], [None, "NOI DUNG VU AN"], "NOI DUNG VU AN", 82.0)[0] == 100
