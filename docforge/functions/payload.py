@@ -13,18 +13,18 @@ FIELD = "struct<value:string,confidence:double,evidence_text:string,reasoning_br
 
 def strip_fence(c: Column) -> Column:
     """Without a Markdown fence, if the text starts with one."""
-    c = F.btrim(c, F.lit(" \n\t\r"))
-    inner = F.regexp_replace(F.regexp_replace(c, r"^```(?:json)?\s*", ""), r"\s*```$", "")
-    return F.when(F.startswith(c, F.lit("```")), F.btrim(inner, F.lit(" \n\t\r"))).otherwise(c)
+    inner = lambda t: F.regexp_replace(F.regexp_replace(t, r"^```(?:json)?\s*", ""), r"\s*```$", "")
+    return let(F.btrim(c, F.lit(" \n\t\r")), lambda t: F.when(F.startswith(t, F.lit("```")), F.btrim(inner(t), F.lit(" \n\t\r"))).otherwise(t))
 
 
 def parse_object(c: Column) -> Column:
     """(ok, payload as VARIANT, error): an error unless the text is a JSON object."""
-    value = F.try_parse_json(strip_fence(c))
-    kind = F.schema_of_variant(value)
-    ok = F.coalesce(F.startswith(kind, F.lit("OBJECT")), F.lit(False))
-    error = F.when(value.isNull(), "invalid JSON").when(~ok, "not a JSON object")
-    return F.struct(ok.alias("ok"), F.when(ok, value).alias("payload"), error.alias("error"))
+
+    def parsed(value: Column, ok: Column) -> Column:
+        error = F.when(value.isNull(), "invalid JSON").when(~ok, "not a JSON object")
+        return F.struct(ok.alias("ok"), F.when(ok, value).alias("payload"), error.alias("error"))
+
+    return let(F.try_parse_json(strip_fence(c)), lambda value: let(members(value).isNotNull(), lambda ok: parsed(value, ok)))
 
 
 def get(v: Column, path: str, kind: str = "variant") -> Column:
@@ -32,10 +32,16 @@ def get(v: Column, path: str, kind: str = "variant") -> Column:
 
 
 def scalar(v: Column) -> Column:
-    """Trimmed text of a scalar; containers and empty texts are null."""
-    kind = F.schema_of_variant(v)
-    text = F.trim(F.try_variant_get(v, "$", "string"))
-    return F.when(~(F.startswith(kind, F.lit("OBJECT")) | F.startswith(kind, F.lit("ARRAY"))) & (text != ""), text)
+    """Trimmed text of a scalar; containers and empty texts are null.
+
+    The value and its text are made once; its kind is only asked for where the text could be a container's.
+    """
+
+    def plain(v: Column, text: Column) -> Column:
+        held = F.substring(text, 1, 1).isin("{", "[") & F.substring(F.schema_of_variant(v), 1, 3).isin("OBJ", "ARR")
+        return F.when(text != "", F.when(~held, text))
+
+    return let(v, lambda v: F.when(v.isNotNull(), let(F.trim(F.try_variant_get(v, "$", "string")), lambda text: plain(v, text))))
 
 
 def members(v: Column) -> Column:
@@ -44,11 +50,8 @@ def members(v: Column) -> Column:
 
 
 def first_present(known: Column, *keys: str) -> Column:
-    """The value of the first key that a map of members has, even if it is null."""
-    out = F.lit(None).cast("variant")
-    for k in reversed(keys):
-        out = F.when(F.map_contains_key(known, k), F.try_element_at(known, F.lit(k))).otherwise(out)
-    return out
+    """The value of the first key that a map of members has, even if it is null: a JSON null is a VARIANT, no null."""
+    return F.coalesce(*(F.try_element_at(known, F.lit(k)) for k in keys))
 
 
 def field(value: Column, confidence: Column, evidence: Column, reasoning: Column, method: str) -> Column:
@@ -65,7 +68,9 @@ def field(value: Column, confidence: Column, evidence: Column, reasoning: Column
     def plain(v: Column) -> Column:
         return let(scalar(v), lambda text: made(text, F.when(text.isNotNull(), confidence).otherwise(0.0), evidence, reasoning))
 
-    return let(value, lambda v: let(members(v), lambda m: F.when(m.isNotNull(), nested(m)).otherwise(plain(v))))
+    absent = made(F.lit(None).cast("string"), F.lit(0.0), evidence, reasoning)
+    present = lambda v: let(members(v), lambda m: F.when(m.isNotNull(), nested(m)).otherwise(plain(v)))
+    return let(value, lambda v: F.when(v.isNull(), absent).otherwise(present(v)))
 
 
 def extractor_output(payload: Column, method: str) -> Column:

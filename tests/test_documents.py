@@ -220,6 +220,18 @@ def test_field_selection(spark, p, s, want):
     assert (note is not None) == (p[0] == "A")
 
 
+def test_a_payload_is_parsed_once(spark):
+    """What is costly is named once: the parse, a scalar's text, and each key of a map of members."""
+    raw = F.col("raw")
+    assert str(payload.parse_object(raw)).count("try_parse_json") == 1
+    assert str(payload.scalar(raw)).count("raw") == 1
+    assert str(payload.first_present(raw, "a", "b")).count("raw") == 2
+    df = spark.createDataFrame([('{"a": null, "b": "{x}"}',), ("[1]",), (None,)], "raw string")
+    top = text.once(df, m=payload.members(payload.parse_object(raw)["payload"]))
+    out = top.select(payload.first_present(F.col("m"), "a", "b").isNull().alias("none"), payload.scalar(payload.first_present(F.col("m"), "a", "b")).alias("first"), payload.scalar(payload.first_present(F.col("m"), "z", "b")).alias("second"))
+    assert [tuple(r) for r in out.collect()] == [(False, None, "{x}"), (True, None, None), (True, None, None)]
+
+
 def test_payloads(spark):
     public = {"case_type": "Dân sự", "docket_number": 5, "presiding_judge": {"value": "X", "confidence": 3}, "parties": [{"full_name": "N", "evidence_by_field": {"full_name": "e"}}, "no"], "confidence_by_field": {"case_type": 0.7, "full_name": "bad"}, "warnings": ["w", " "], "reasoning_summary": "r"}
     internal = {"case_info": {"loai_an": "Hình sự"}, "participants": [{"ho_ten": {"value": "M"}}], "confidence_by_field": {"loai_an": 0.2}}
