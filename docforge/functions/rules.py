@@ -8,7 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from docforge.functions import vocab as V
-from docforge.functions.text import IGNORE, folded, has_hint, let, squeeze, strip_chars
+from docforge.functions.text import IGNORE, folded, has_any, has_hint, let, squeeze, strip_chars
 
 
 def first_match(c: Column, patterns: list[str]) -> Column:
@@ -32,8 +32,8 @@ def none_if_empty(c: Column) -> Column:
 
 def format_date(day: Column, month: Column, year: Column) -> Column:
     """dd/mm/yyyy if day and month are in range; whether the day exists is for the validator."""
-    d, m = day.try_cast("int"), month.try_cast("int")
-    return F.when(d.between(1, 31) & m.between(1, 12), F.concat_ws("/", F.lpad(d.cast("string"), 2, "0"), F.lpad(m.cast("string"), 2, "0"), year))
+    padded = lambda n: F.lpad(n.cast("string"), 2, "0")
+    return let(day.try_cast("int"), lambda d: F.when(d.between(1, 31), let(month.try_cast("int"), lambda m: F.when(m.between(1, 12), F.concat_ws("/", padded(d), padded(m), year)))))
 
 
 def parse_date(c: Column) -> Column:
@@ -55,7 +55,7 @@ def docket_date(c: Column, low: Column | None = None) -> Column:
     near = lambda t: F.regexp_extract(t, rf"(?ius){V.DOCKET_LABEL}.{{0,180}}?(ngày\s+\d{{1,2}}\s+tháng\s+\d{{1,2}}\s+năm\s+\d{{4}}|\d{{1,2}}[/-]\d{{1,2}}[/-]\d{{4}})", 1)
     long = rf"{IGNORE}\b{V.DATE_LONG}"
     whole = lambda t: let(F.regexp_extract(t, long, 0), lambda d: F.when(d != "", parse_date(d)))
-    first = lambda t, k: F.when(has_hint(k, *V.DOCKET_HINTS), let(near(t), parse_date))
+    first = lambda t, k: F.when(has_hint(k, *V.DOCKET_HINTS), let(near(t), lambda d: F.when(d != "", parse_date(d))))
     then = lambda t, k: F.when(has_hint(k, *V.DATE_HINTS), whole(t))
     return hinted(c, low, lambda t, k: let(F.coalesce(first(t, k), F.lit("")), lambda d: F.when(d != "", d).otherwise(then(t, k))))
 
@@ -90,8 +90,7 @@ def looks_like_name(c: Column, strict: bool = False) -> Column:
 
 
 def person_name(c: Column, strict: bool = False) -> Column:
-    head = F.get(F.split(c, IGNORE + V.NAME_END, 2), F.lit(0))
-    head = F.get(F.split(head, "[;,]", 2), F.lit(0))
+    head = F.regexp_replace(F.regexp_replace(c, "(?ius)" + V.NAME_END + ".*$", ""), "(?s)[;,].*$", "")  # a split would compile its pattern for each value
     head = F.regexp_replace(F.regexp_replace(head, IGNORE + V.NAME_LEAD, ""), r"^\s*\d+\s*[.)-]\s*", "")
     shaped = lambda: let(clean_name(F.regexp_extract(c, V.NAME_SHAPE, 1)), lambda x: F.when(looks_like_name(x, strict), x))
     return let(clean_name(head), lambda x: F.when(looks_like_name(x, strict), x).otherwise(shaped()))
@@ -119,10 +118,14 @@ def canonical_role(label: Column) -> Column:
 
 def role_blocks(c: Column, label: str = V.ROLE_LABEL) -> Column:
     """Array of (role label, text up to the next label); blocks without text are dropped."""
-    pattern = IGNORE + label + r"\s*[:：]?"
+    pattern, start, end = IGNORE + label + r"\s*[:：]?", "\ue000", "\ue001"
     labels = lambda t: F.regexp_extract_all(t, F.lit(IGNORE + "(" + label + r")\s*[:：]?"), F.lit(1))
     texts = lambda t: F.transform(let(F.split(t, pattern, -1), lambda t: F.slice(t, F.lit(2), F.greatest(F.size(t) - 1, F.lit(0)))), lambda t: strip_chars(t, " :：\n\t"))
-    blocks = lambda t: F.filter(F.zip_with(labels(t), texts(t), lambda a, b: F.struct(a.alias("label"), b.alias("text"))), lambda b: b["text"] != "")
+    apart = lambda t: F.zip_with(labels(t), texts(t), lambda a, b: F.struct(a.alias("label"), b.alias("text")))
+    # in one pass, as a split would compile its pattern for each text
+    pieces = lambda t: let(F.split(F.regexp_replace(t, IGNORE + "(" + label + r")\s*[:：]?", f"{start}$1{end}"), start, -1), lambda x: F.slice(x, F.lit(2), F.greatest(F.size(x) - 1, F.lit(0))))
+    marked = lambda t: F.transform(pieces(t), lambda x: F.struct(F.substring_index(x, end, 1).alias("label"), strip_chars(F.substring_index(x, end, -1), " :：\n\t").alias("text")))
+    blocks = lambda t: F.filter(F.when(has_any(t, start, end), apart(t)).otherwise(marked(t)), lambda b: b["text"] != "")
     if label != V.ROLE_LABEL:
         return blocks(c)
     none = F.array().cast("array<struct<label:string,text:string>>")
@@ -133,8 +136,10 @@ def people(block: Column) -> Column:
     """The numbered items of a block if there are several, else the block."""
 
     def of(block: Column) -> Column:
+        whole = F.filter(F.array(F.btrim(block, F.lit(" \n\t"))), lambda x: x != "")
         items = F.filter(F.transform(F.split(block, V.LIST_ITEM, -1), lambda x: F.btrim(x, F.lit(" \n\t"))), lambda x: x != "")
-        return let(items, lambda found: F.when(F.size(found) > 1, found).otherwise(F.filter(F.array(F.btrim(block, F.lit(" \n\t"))), lambda x: x != "")))
+        several = let(items, lambda found: F.when(F.size(found) > 1, found).otherwise(whole))
+        return F.when(F.rlike(block, F.lit(V.LIST_ITEM)), several).otherwise(whole)
 
     return let(F.regexp_replace(block, IGNORE + V.LIST_LEAD, ""), of)
 

@@ -160,6 +160,7 @@ INLINE_HINTS = [("nội", "noi", "n0i"), ("dung", "dưng")]
 SUSPICIOUS_NAME = r"\b(?:co mat|vang mat|phien toa|tai phien|duoc trieu tap|bi bat|tam giam)\b"
 INLINE_MARKERS = [r"N[ỘO0]I\s+D[UƯ]NG\s+V[ỤU]\s+[ÁA]N\s*:?", r"NOI\s+DUNG\s+VU\s+AN\s*:?", r"N0I\s+DUNG\s+VU\s+AN\s*:?"]
 
+RULES_ONLY = "Local LLM not available; rules only."
 NO_MARKER = "Cần review: không tìm thấy marker NỘI DUNG VỤ ÁN trong phạm vi OCR."
 MISSING_CASE = "Thiếu thông tin chung: "
 BAD_DATE = "Ngày thụ lý không đúng DD/MM/YYYY: "

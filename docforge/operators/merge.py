@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from docforge.functions import vocab as V
-from docforge.functions.text import compare_key
+from docforge.functions.text import compare_key, let
 
 
 def filled(field: Column) -> Column:
@@ -14,9 +14,9 @@ def filled(field: Column) -> Column:
 
 
 def conflict(primary: Column, support: Column) -> Column:
-    """Both have values, and their comparison keys are there and differ."""
-    a, b = compare_key(primary["value"]), compare_key(support["value"])
-    return filled(primary) & filled(support) & (a != "") & (b != "") & (a != b)
+    """Both have values, and their comparison keys are there and differ; equal values need no keys."""
+    differ = lambda a: (a != "") & let(compare_key(support["value"]), lambda b: (b != "") & (a != b))
+    return filled(primary) & filled(support) & (primary["value"] != support["value"]) & let(compare_key(primary["value"]), differ)
 
 
 def higher(primary: Column, support: Column) -> Column:
@@ -42,17 +42,24 @@ def ordered_distinct(*groups: Column) -> Column:
     return F.array_distinct(kept)
 
 
+def unopposed(output: Column, warnings: Column, support: str) -> Column:
+    """``merge_outputs`` of an output and one with the same values by the method ``support``: there is nothing to weigh."""
+    return F.struct(
+        output["case_fields"].alias("case_fields"), output["participants"].alias("participants"), ordered_distinct(warnings, output["warnings"]).alias("warnings"),
+        output["method"].alias("primary_extractor"), F.lit(support).alias("support_extractor"),
+    )
+
+
 def merge_outputs(primary: Column, support: Column, warnings: Column) -> Column:
     """(case_fields, participants, warnings, primary_extractor, support_extractor) of two extractor outputs."""
     a, b = primary["case_fields"], support["case_fields"]
     case = F.struct(*(select_field(a[k], b[k]).alias(k) for k in V.CASE_FIELDS))
     notes = F.array(*(conflict_note(a[k], b[k], F.lit(k)) for k in V.CASE_FIELDS))
-    left, right = primary["participants"], support["participants"]
-    count = F.greatest(F.coalesce(F.size(left), F.lit(0)), F.coalesce(F.size(right), F.lit(0)))
-    places = F.filter(F.sequence(F.lit(0), F.greatest(count, F.lit(1)) - 1), lambda i: i < count)
-    people = F.transform(places, lambda i: F.struct(*(select_field(F.get(left, i)[k], F.get(right, i)[k]).alias(k) for k in V.PARTY_FIELDS)))
+    left, right = (F.coalesce(x["participants"], F.array()) for x in (primary, support))
+    people = F.zip_with(left, right, lambda p, q: F.struct(*(select_field(p[k], q[k]).alias(k) for k in V.PARTY_FIELDS)))
     name = lambda i, k: F.concat(F.lit("participants["), i.cast("string"), F.lit(f"].{k}"))
-    party_notes = F.flatten(F.transform(places, lambda i: F.array(*(conflict_note(F.get(left, i)[k], F.get(right, i)[k], name(i, k)) for k in V.PARTY_FIELDS))))
+    pairs = F.zip_with(left, right, lambda p, q: F.struct(p.alias("p"), q.alias("q")))
+    party_notes = F.flatten(F.transform(pairs, lambda x, i: F.array(*(conflict_note(x["p"][k], x["q"][k], name(i, k)) for k in V.PARTY_FIELDS))))
     return F.struct(
         case.alias("case_fields"), people.alias("participants"), ordered_distinct(warnings, notes, party_notes, primary["warnings"], support["warnings"]).alias("warnings"),
         primary["method"].alias("primary_extractor"), support["method"].alias("support_extractor"),

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from docforge.functions import vocab as V
 from docforge.functions.rules import valid_date
-from docforge.functions.text import evidence_keys, holds_evidence, is_blank, let, split_notes
+from docforge.functions.text import evidence_keys, has_any, holds_evidence, is_blank, let, split_notes, stands_in
 from docforge.operators.merge import ordered_distinct
 
 
@@ -25,15 +25,27 @@ def missing(fields: dict[str, Column]) -> Column:
 
 def evidence_note(field: Column, label: str, text: Column) -> Column:
     """For a model's value: evidence is missing, or doesn't stand in the text."""
-    return let(evidence_keys(text), lambda keys: keyed_note(field, label, keys))
+    return F.get(claim_notes(F.filter(F.array(claim(field, label, text)), lambda c: c.isNotNull()), text), F.lit(0))
 
 
-def keyed_note(field: Column, label: str, keys: Column) -> Column:
-    """``evidence_note`` for a text's ``evidence_keys``."""
+def claim(field: Column, label: str, text: Column) -> Column:
+    """(label, evidence) of a model's value of which the evidence doesn't stand in the text as it is; else null."""
     evidence = field["evidence_text"]
-    model = F.rlike(F.lower(F.coalesce(field["source_method"], F.lit(""))), F.lit("llm|remote|model"))
-    note = F.when(empty(evidence), V.NO_EVIDENCE.format(label)).when(~holds_evidence(keys, evidence), V.WRONG_EVIDENCE.format(label))
-    return F.when(~empty(field["value"]) & model, note)
+    model = has_any(F.lower(F.coalesce(field["source_method"], F.lit(""))), "llm", "remote", "model")
+    return F.when(~empty(field["value"]) & ~stands_in(text, evidence) & model, F.struct(F.lit(label).alias("label"), evidence.alias("evidence")))
+
+
+def claim_note(c: Column, keys: Column) -> Column:
+    """The note on a ``claim`` by a text's ``evidence_keys``, if there is one."""
+    said = lambda words: F.concat(F.lit(words.split("{}")[0]), c["label"], F.lit(words.split("{}")[1]))
+    return F.when(empty(c["evidence"]), said(V.NO_EVIDENCE)).when(~holds_evidence(keys, c["evidence"]), said(V.WRONG_EVIDENCE))
+
+
+def claim_notes(claims: Column, text: Column) -> Column:
+    """Notes on ``claims``: those that hold in lower case are left out before the text's keys are made, which few need."""
+    unheld = lambda cs: let(F.lower(text), lambda low: F.filter(cs, lambda c: ~let(F.lower(c["evidence"]), lambda e: stands_in(low, e))))
+    noted = lambda cs: F.when(F.size(cs) > 0, let(evidence_keys(text), lambda keys: F.transform(cs, lambda c: claim_note(c, keys))))
+    return let(claims, lambda cs: F.when(F.size(cs) > 0, let(unheld(cs), noted)))
 
 
 def low_confidence(field: Column) -> Column:
@@ -62,11 +74,9 @@ def validate(case: Column, participants: Column, found: Column, text: Column, wa
     """(warnings, participants with ghi_chu, review_required); any warning asks for review, notes alone don't."""
     date = case["ngay_thu_ly"]["value"]
     checked = ~is_blank(F.coalesce(text, F.lit("")))
-    case_notes = lambda keys: F.array(*(keyed_note(case[k], label, keys) for k, label in V.CASE_FIELDS.items() if k != "quan_he_phap_luat"))
-    party_notes_ = lambda keys: F.flatten(F.transform(participants, lambda p: F.array(*(keyed_note(p[k], label, keys) for k, label in V.PARTY_FIELDS.items()))))
-    some = lambda fields, names: reduce(lambda a, b: a | b, (~empty(fields[k]["value"]) for k in names))
-    asked = some(case, V.CASE_FIELDS) | F.exists(participants, lambda p: some(p, V.PARTY_FIELDS))  # only what has a value is held against the text
-    proof = F.when(checked & asked, let(evidence_keys(text), lambda keys: F.concat(case_notes(keys), party_notes_(keys))))
+    case_claims = F.array(*(claim(case[k], label, text) for k, label in V.CASE_FIELDS.items() if k != "quan_he_phap_luat"))
+    party_claims = F.flatten(F.transform(participants, lambda p: F.array(*(claim(p[k], label, text) for k, label in V.PARTY_FIELDS.items()))))
+    proof = F.when(checked, claim_notes(F.filter(F.concat(case_claims, party_claims), lambda c: c.isNotNull()), text))
     unsure = reduce(lambda a, b: a | b, (low_confidence(case[k]) for k in V.CASE_FIELDS)) | F.exists(participants, lambda p: reduce(lambda a, b: a | b, (low_confidence(p[k]) for k in V.PARTY_FIELDS)))
     all_warnings = ordered_distinct(
         warnings,
@@ -83,4 +93,4 @@ def validate(case: Column, participants: Column, found: Column, text: Column, wa
         values = {k: p[k]["value"] for k in V.PARTY_FIELDS}
         return F.struct(*((identity_digits(v) if k == "cccd" else v).alias(k) for k, v in values.items()), party_notes(values, F.lit(None).cast("string")).alias("ghi_chu"))
 
-    return F.struct(all_warnings.alias("warnings"), F.transform(participants, noted).alias("participants"), (F.size(all_warnings) > 0).alias("review_required"))
+    return let(all_warnings, lambda w: F.struct(w.alias("warnings"), F.transform(participants, noted).alias("participants"), (F.size(w) > 0).alias("review_required")))

@@ -13,10 +13,13 @@ from docforge.functions.offsets import normalise_mapped, raw_offset
 from docforge.functions.payload import rule_output
 from docforge.functions.similarity import find_marker, split_before
 from docforge.functions.text import normalise, once
-from docforge.operators.merge import merge_outputs
+from docforge.operators.merge import merge_outputs, unopposed
 from docforge.operators.sequence import trim_page_lines
 from docforge.operators.validate import validate
 
+#: The method of the rules beside a primary extractor.
+SUPPORT = "heuristic_support"
+
 
 @dataclass(frozen=True)
 class Options:
@@ -63,13 +66,14 @@ def extract(df: DataFrame, text: str = "text", source: str = "source_file", prim
     """
     out = headers(df, text, options)
     out = once(out, _case=rules.case_info(F.col("text_before_marker")), _people=rules.parties(F.col("text_before_marker"), options.strict_names))
-    support = rule_output(F.col("_case"), F.col("_people"), "heuristic_support")
     alone = rule_output(F.col("_case"), F.col("_people"), "rule_support_no_local_llm")
-    warning = F.array(F.lit("Local LLM not available; rules only."))
-    model = alone if primary is None else F.coalesce(primary, alone)
-    notes = warning if primary is None else F.when(primary.isNull(), warning).otherwise(F.array().cast("array<string>"))
-    out = once(out, _model=model, _support=support, _notes=notes)
-    out = once(out, _merged=merge_outputs(F.col("_model"), F.col("_support"), F.col("_notes")))
+    warning = F.array(F.lit(V.RULES_ONLY))
+    if primary is None:
+        out = once(out, _merged=unopposed(alone, warning, SUPPORT))
+    else:
+        notes = F.when(primary.isNull(), warning).otherwise(F.array().cast("array<string>"))
+        out = once(out, _model=F.coalesce(primary, alone), _support=rule_output(F.col("_case"), F.col("_people"), SUPPORT), _notes=notes)
+        out = once(out, _merged=merge_outputs(F.col("_model"), F.col("_support"), F.col("_notes")))
     m = F.col("_merged")
     out = once(out, _valid=validate(m["case_fields"], m["participants"], F.col("marker")["found"], F.col("text_before_marker"), m["warnings"]))
     return out.select(
