@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from docforge.functions import vocab as V
-from docforge.functions.text import ascii_key, eval_key, is_blank, safe_header
+from docforge.functions.text import ascii_key, eval_key, is_blank, let, once, safe_header
 
 
 def fill_rates(df: DataFrame, columns: list[str], by: list[str] | None = None) -> DataFrame:
@@ -25,11 +25,18 @@ def histogram(df: DataFrame, value: Column, out: str) -> DataFrame:
 
 
 def warning_group(c: Column) -> Column:
-    """The first group whose phrase stands in the unaccented warning."""
-    key, out = ascii_key(c), F.when(F.lit(False), "")
-    for phrase, name in V.WARNING_GROUPS:
-        out = out.when(F.rlike(key, F.lit(phrase)), name)
-    return out.otherwise("other")
+    """The first group whose phrase stands in the unaccented warning; those of warnings without a variable part are known."""
+
+    def group(key: Column) -> Column:
+        out = F.when(F.lit(False), "")
+        for phrase, name in V.WARNING_GROUPS:
+            out = out.when(F.rlike(key, F.lit(phrase)), name)
+        return out.otherwise("other")
+
+    known = F.when(F.lit(False), "")
+    for warning in (V.RULES_ONLY, V.LOW_CONFIDENCE_WARNING, V.NO_MARKER, V.NO_PARTIES):
+        known = known.when(c == warning, group(ascii_key(F.lit(warning))))  # folded to a constant
+    return known.otherwise(let(ascii_key(c), group))
 
 
 def suspicious_flags(name: Column, year: Column, identity: Column) -> dict[str, Column]:
@@ -60,33 +67,38 @@ def sections(frames: dict[str, DataFrame]) -> DataFrame:
 def batch_report(results: DataFrame) -> DataFrame:
     """(section, key, n) over validated results: batch, marker, review, extractors, fields, warnings, suspicious.
 
-    One pass: each result gives its counts as rows, which are summed with map-side combine; counts of nothing are 0.
+    One pass: counts are sums over the results of an extractor, with map-side combine, and become rows only then; counts of
+    nothing are 0, but groups of warnings and extractors that no result has are left out.
     """
-    people = F.col("participants")
+    sums: dict[tuple[str, str], Column] = {}
 
-    def entry(section: str, key: Column | str, n: Column) -> Column:
-        return F.struct(F.lit(section).alias("section"), (F.lit(key) if isinstance(key, str) else key).alias("key"), n.cast("long").alias("n"))
+    def stats(section: str, field: str, total: Column, filled: Column) -> None:
+        sums.update({(section, f"{field}.{m}"): n for m, n in (("total", total), ("non_empty", filled), ("empty", total - filled))})
 
-    def stats(section: str, field: str, total: Column, filled: Column) -> list[Column]:
-        return [entry(section, f"{field}.{m}", n) for m, n in (("total", total), ("non_empty", filled), ("empty", total - filled))]
-
-    def count_if(test: Callable[[Column], Column]) -> Column:
-        return F.coalesce(F.size(F.filter(people, lambda p: F.coalesce(test(p), F.lit(False)))), F.lit(0))
+    def count_if(items: str, test: Callable[[Column], Column]) -> Column:
+        return F.coalesce(F.size(F.filter(items, lambda x: F.coalesce(test(x), F.lit(False)))), F.lit(0))
 
+    odd = lambda p: suspicious_flags(p["ho_ten"], p["nam_sinh"], p["cccd"])
+    flags = F.transform("participants", lambda p: F.struct(*((~is_blank(p[f])).alias(f) for f in V.PARTY_FIELDS), *(c.alias(k) for k, c in odd(p).items())))
+    groups = F.transform("warnings", warning_group)
+    counted = once(results.select("marker_found", "review_required", "case_info", "primary_extractor", "participants", "warnings"), participants=flags, warnings=groups)
     found, review = (F.coalesce(F.col(c), F.lit(False)).cast("int") for c in ("marker_found", "review_required"))
-    many = F.coalesce(F.size(people), F.lit(0))
-    fixed = [entry("batch", "result_objects", F.lit(1)), entry("batch", "participant_rows", many)]
-    fixed += [entry("marker", "found", found), entry("marker", "not_found", 1 - found), entry("review", "required", review), entry("review", "not_required", 1 - review)]
+    many = F.coalesce(F.size("participants"), F.lit(0))
+    sums |= {("batch", "result_objects"): F.lit(1), ("batch", "participant_rows"): many}
+    sums |= {("marker", "found"): found, ("marker", "not_found"): 1 - found, ("review", "required"): review, ("review", "not_required"): 1 - review}
     for f in V.CASE_FIELDS:
-        fixed += stats("case_fields", f, F.lit(1), (~is_blank(F.col("case_info")[f])).cast("int"))
+        stats("case_fields", f, F.lit(1), (~is_blank(F.col("case_info")[f])).cast("int"))
     for f in V.PARTY_FIELDS:
-        fixed += stats("participant_fields", f, many, count_if(lambda p: ~is_blank(p[f])))  # noqa: B023
-    odd = lambda k: count_if(lambda p: suspicious_flags(p["ho_ten"], p["nam_sinh"], p["cccd"])[k])
-    fixed += [entry("suspicious_counts", k, odd(k)) for k in suspicious_flags(F.lit(""), F.lit(""), F.lit(""))]
-    varied = F.array_append(F.transform(F.coalesce("warnings", F.array().cast("array<string>")), lambda w: entry("warnings", warning_group(w), F.lit(1))), entry("extractors", F.coalesce("primary_extractor", F.lit("unknown")), F.lit(1)))
-    rows = results.select(F.inline(F.concat(F.array(*fixed), varied)))
-    zero = results.sparkSession.range(1).select(F.lit(None).cast("boolean").alias("marker_found"), F.lit(None).cast("boolean").alias("review_required"), F.lit(None).cast(results.schema["participants"].dataType).alias("participants"), F.lit(None).cast(results.schema["case_info"].dataType).alias("case_info"))
-    zero = zero.select(F.inline(F.array(*fixed))).withColumn("n", F.lit(0).cast("long"))
+        stats("participant_fields", f, many, count_if("participants", lambda p: p[f]))  # noqa: B023
+    for k in suspicious_flags(F.lit(""), F.lit(""), F.lit("")):
+        sums["suspicious_counts", k] = count_if("participants", lambda p: p[k])  # noqa: B023
+    varied = {("warnings", g): count_if("warnings", lambda w: w == g) for g in (*(g for _, g in V.WARNING_GROUPS), "other")}  # noqa: B023
+
+    own = counted.groupBy(F.coalesce("primary_extractor", F.lit("unknown")).alias("name")).agg(F.count(F.lit(1)).alias("results"), *(F.sum(c.cast("long")).alias(f"n{i}") for i, c in enumerate((sums | varied).values())))
+    entry = lambda section, key, n: F.struct(F.lit(section).alias("section"), key.alias("key"), n.alias("n"))
+    entries = [entry(section, F.lit(key), F.col(f"n{i}")) for i, (section, key) in enumerate(sums | varied)]
+    rows = own.select(F.inline(F.array(*entries, entry("extractors", F.col("name"), F.col("results"))))).where(~F.col("section").isin("warnings") | (F.col("n") > 0))
+    zero = results.sparkSession.range(1).select(F.inline(F.array(*(entry(section, F.lit(key), F.lit(0).cast("long")) for section, key in sums))))
     return rows.unionByName(zero).groupBy("section", "key").agg(F.sum("n").alias("n"))
 
 
