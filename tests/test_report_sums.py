@@ -2,7 +2,7 @@
 
 from docforge.operators import qa, reports
 from docforge.plans.extract import extract
-from test_once_only import documents, plan
+from tests.test_once_only import documents, plan
 
 
 def test_a_result_is_one_row_of_its_report(spark):
